@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,11 +13,20 @@ DATE_FORMATS = ("d/M/yyyy", "yyyy-MM-dd")
 
 
 def parse_date(column: Column, source: T.DataType | None = None) -> Column:
-    """First layout that fits; columns that already hold a date or timestamp are only cast."""
+    """First layout that fits; columns that already hold a date or timestamp are only cast.
+
+    A layout is tried only on texts that hold its separator. It could not fit others, and a failed
+    parse costs an exception, which would dominate the scan of a feed in the second layout.
+    """
     if isinstance(source, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return column.cast("date")
     text = column if source is None or isinstance(source, T.StringType) else column.cast("string")
-    return F.coalesce(*[F.try_to_date(text, layout) for layout in DATE_FORMATS])
+    return F.coalesce(
+        *[
+            F.when(F.contains(text, F.lit(re.search(r"\W", layout).group())), F.try_to_date(text, layout))
+            for layout in DATE_FORMATS
+        ]
+    )
 
 
 def parse_as(column: Column, type_name: str, source: T.DataType | None = None) -> Column:

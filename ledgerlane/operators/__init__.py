@@ -1,4 +1,4 @@
-from ledgerlane.operators.lookups import Dimension, left_lookup, run_hot_keys, with_copies
+from ledgerlane.operators.lookups import Dimension, left_lookup, run_hot_keys, run_measure, with_copies
 from ledgerlane.operators.measures import order_info, order_measures, wide_fact
 from ledgerlane.operators.metrics import customer_metrics, product_metrics, summarize
 from ledgerlane.operators.quality import (
@@ -41,6 +41,7 @@ __all__ = [
     "quarantine",
     "rejected",
     "run_hot_keys",
+    "run_measure",
     "run_null_report",
     "split",
     "summarize",

@@ -28,17 +28,9 @@ class Dimension:
     df: DataFrame
     key: str
     unique: bool = False  # no key occurs twice (null keys never match and do not count)
-    small: bool = False  # its size was measured and fits a broadcast
+    small: bool = False  # its measured size fits a broadcast
     hot: Mapping[Any, int] = field(default_factory=dict)  # frequent fact keys -> number of salts
 
-    @classmethod
-    def measured(cls, df: DataFrame, key: str, limit: int = BROADCAST_BYTES) -> Dimension:
-        """Runs one job over the dimension for its size and key uniqueness."""
-        size, keys, distinct = df.agg(
-            F.sum(row_bytes(df)), F.count(ref(key)), F.count_distinct(ref(key))
-        ).first()
-        return cls(df, key, unique=keys == distinct, small=(size or 0) <= limit)
-
     def guarded(self, fact: DataFrame) -> Dimension:
         """Learns the fact's hot keys, unless a broadcast makes them harmless."""
         return self if self.small else replace(self, hot=run_hot_keys(fact, [self.key])[self.key])
@@ -52,6 +44,23 @@ def dimension(table: DataFrame | Dimension, key: str) -> Dimension:
     return table if isinstance(table, Dimension) else Dimension(table, key)
 
 
+def run_measure(*tables: tuple[DataFrame, str], limit: int = BROADCAST_BYTES) -> list[Dimension]:
+    """Dimensions with measured size and key uniqueness; one job over all (table, key) pairs."""
+    measures = None
+    for number, (df, key) in enumerate(tables):
+        one = df.agg(
+            F.lit(number).alias("number"),
+            F.sum(row_bytes(df)).alias("bytes"),
+            (F.count(ref(key)) == F.count_distinct(ref(key))).alias("unique"),
+        )
+        measures = one if measures is None else measures.union(one)
+    found = sorted(measures.collect())  # one row per table
+    return [
+        Dimension(df, key, unique=row["unique"], small=(row["bytes"] or 0) <= limit)
+        for (df, key), row in zip(tables, found)
+    ]
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Approximate bytes of a row: text by its length, everything else by a fixed width."""
     total = F.lit(16).cast("bigint")

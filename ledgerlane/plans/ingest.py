@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerlane.contracts import CONTRACTS, DatasetContract
-from ledgerlane.operators.lookups import Dimension, heavy_hitters, hot_keys
+from ledgerlane.operators.lookups import Dimension, heavy_hitters, hot_keys, run_measure
 from ledgerlane.operators.quality import (
     duplicate_rows,
     evaluate,
@@ -99,13 +99,9 @@ class Store:
 
     def dimensions(self) -> tuple[Dimension, Dimension]:
         """Customers and products with their measured size and the orders' hot keys."""
-        return tuple(
-            Dimension(d.df, d.key, d.unique, d.small, {} if d.small else self.orders.hot[d.key])
-            for d in (
-                Dimension.measured(self.customers.clean, "customer_id"),
-                Dimension.measured(self.products.clean, "product_id"),
-            )
-        )
+        measured = run_measure((self.customers.clean, "customer_id"), (self.products.clean, "product_id"))
+        customers, products = (d if d.small else replace(d, hot=self.orders.hot[d.key]) for d in measured)
+        return customers, products
 
 
 def run_ingest(spark: SparkSession, settings: Settings) -> Store:

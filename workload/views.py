@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlane import operators as ops
 from ledgerlane.operators import CompareRule, Dimension, evaluate, valid
 
+_STATISTICS: dict[tuple[str, str], list[Dimension]] = {}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -99,12 +102,25 @@ def repeated_products(spark: SparkSession, folder: str) -> DataFrame:
     return everything.union(again.withColumn("sub_category", F.lit("Brand#0")))
 
 
+def run_statistics(spark: SparkSession, folder: str) -> list[Dimension]:
+    return ops.run_measure(
+        (clean_customers(spark, folder), "customer_id"), (clean_products(spark, folder), "product_id")
+    )
+
+
 def measured(spark: SparkSession, folder: str) -> tuple[DataFrame, Dimension, Dimension]:
-    """Orders with clean dimensions whose size and key uniqueness were measured."""
+    """Orders with clean dimensions whose size and key uniqueness are known.
+
+    Like table statistics after a load, the measures are taken once per session and folder.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _STATISTICS:
+        _STATISTICS[key] = run_statistics(spark, folder)
+    customers, products = _STATISTICS[key]
     return (
         orders(spark, folder),
-        Dimension.measured(clean_customers(spark, folder), "customer_id"),
-        Dimension.measured(clean_products(spark, folder), "product_id"),
+        customers.of(clean_customers(spark, folder)),
+        products.of(clean_products(spark, folder)),
     )
 
 
