@@ -127,11 +127,10 @@ def measured(spark: SparkSession, folder: str) -> tuple[DataFrame, Dimension, Di
 def text_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as a feed would deliver them: texts, two date layouts and some bad values."""
     line, key = F.col("row_id"), F.col("order_id")
-    layout = (
-        F.when(key % 10 == 0, F.date_format("order_date", "yyyy-'13'-dd"))
-        .when(key % 2 == 0, F.date_format("order_date", "d/M/yyyy"))
-        .otherwise(F.date_format("order_date", "yyyy-MM-dd"))
-    )
+    iso = F.col("order_date").cast("string")
+    day_first = F.concat_ws("/", F.day("order_date"), F.month("order_date"), F.year("order_date"))
+    no_such_month = F.concat(F.substring(iso, 1, 5), F.lit("13"), F.substring(iso, 8, 3))
+    layout = F.when(key % 10 == 0, no_such_month).when(key % 2 == 0, day_first).otherwise(iso)
     return orders(spark, folder).select(
         F.col("customer_id").cast("string").alias("customer_id"),
         F.col("discount").cast("string").alias("discount"),
@@ -144,7 +143,7 @@ def text_orders(spark: SparkSession, folder: str) -> DataFrame:
         F.when(line == 5, F.lit(None)).otherwise(F.col("profit").cast("string")).alias("profit"),
         F.when(line == 7, "abc").otherwise(F.col("quantity").cast("string")).alias("quantity"),
         line.cast("string").alias("row_id"),
-        F.date_format("ship_date", "yyyy-MM-dd").alias("ship_date"),
+        F.col("ship_date").cast("string").alias("ship_date"),
         F.col("ship_mode"),
     )
 
