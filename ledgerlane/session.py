@@ -21,6 +21,7 @@ def local_session(name: str, cores: int = 8, **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
+        .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
