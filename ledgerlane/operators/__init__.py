@@ -1,4 +1,11 @@
-from ledgerlane.operators.lookups import Dimension, left_lookup, run_hot_keys, run_measure, with_copies
+from ledgerlane.operators.lookups import (
+    Dimension,
+    left_lookup,
+    orphans,
+    run_hot_keys,
+    run_measure,
+    with_copies,
+)
 from ledgerlane.operators.measures import order_info, order_measures, wide_fact
 from ledgerlane.operators.metrics import customer_metrics, product_metrics, summarize
 from ledgerlane.operators.quality import (
@@ -8,7 +15,6 @@ from ledgerlane.operators.quality import (
     keys_are_unique,
     null_counts,
     null_counts_wide,
-    orphans,
     quarantine,
     rejected,
     run_null_report,

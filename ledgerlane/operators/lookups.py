@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -31,10 +32,6 @@ class Dimension:
     small: bool = False  # its measured size fits a broadcast
     hot: Mapping[Any, int] = field(default_factory=dict)  # frequent fact keys -> number of salts
 
-    def guarded(self, fact: DataFrame) -> Dimension:
-        """Learns the fact's hot keys, unless a broadcast makes them harmless."""
-        return self if self.small else replace(self, hot=run_hot_keys(fact, [self.key])[self.key])
-
     def of(self, df: DataFrame) -> Dimension:
         """Same knowledge about a narrower or renamed version of the table."""
         return replace(self, df=df)
@@ -44,21 +41,25 @@ def dimension(table: DataFrame | Dimension, key: str) -> Dimension:
     return table if isinstance(table, Dimension) else Dimension(table, key)
 
 
-def run_measure(*tables: tuple[DataFrame, str], limit: int = BROADCAST_BYTES) -> list[Dimension]:
-    """Dimensions with measured size and key uniqueness; one job over all (table, key) pairs."""
-    measures = None
+def run_measure(
+    *tables: tuple[DataFrame, str], fact: DataFrame | None = None, limit: int = BROADCAST_BYTES
+) -> list[Dimension]:
+    """Dimensions with measured size and key uniqueness; one job over all (table, key) pairs.
+
+    Given the `fact`, one more job finds its hot keys for tables too large to broadcast, if any.
+    """
+    measures = []
     for number, (df, key) in enumerate(tables):
-        one = df.agg(
-            F.lit(number).alias("number"),
-            F.sum(row_bytes(df)).alias("bytes"),
-            (F.count(ref(key)) == F.count_distinct(ref(key))).alias("unique"),
-        )
-        measures = one if measures is None else measures.union(one)
-    found = sorted(measures.collect())  # one row per table
-    return [
+        size, unique = F.sum(row_bytes(df)), F.count(ref(key)) == F.count_distinct(ref(key))
+        measures.append(df.agg(F.lit(number).alias("number"), size.alias("bytes"), unique.alias("unique")))
+    found = sorted(reduce(DataFrame.union, measures).collect())  # one row per table
+    known = [
         Dimension(df, key, unique=row["unique"], small=(row["bytes"] or 0) <= limit)
         for (df, key), row in zip(tables, found)
     ]
+    large = [table.key for table in known if not table.small]
+    hot = run_hot_keys(fact, large) if fact is not None and large else {}
+    return [replace(table, hot=hot.get(table.key, {})) for table in known]
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -79,10 +80,28 @@ def left_lookup(fact: DataFrame, table: Dimension) -> DataFrame:
     skewed partitions at run time. Where keys are known to be hot, their fact rows and rows
     without a key are spread by a salt, and only the table rows of those keys are repeated.
     """
+    return _match(fact, table, "left")
+
+
+def orphans(fact: DataFrame, reference: DataFrame | Dimension, keys: str | Sequence[str]) -> DataFrame:
+    """Fact rows whose key is absent from the reference; a null key is always absent.
+
+    A single-key reference may be a `Dimension`, and is then broadcast or salted like a lookup.
+    """
+    names = [keys] if isinstance(keys, str) else list(keys)
+    table = reference if isinstance(reference, Dimension) else Dimension(reference, names[0])
+    known = table.df.select(*[ref(k) for k in names])
+    if len(names) > 1 or not (table.small or table.hot):
+        # Left as a plain shuffled table: behind a distinct, Spark could not split a hot fact key.
+        return fact.join(known, names, "left_anti")
+    return _match(fact, table.of(known if table.unique else known.distinct()), "left_anti")
+
+
+def _match(fact: DataFrame, table: Dimension, how: str) -> DataFrame:
     if table.small:
-        return fact.join(F.broadcast(table.df), table.key, "left")
+        return fact.join(F.broadcast(table.df), table.key, how)
     if not table.hot:
-        return fact.join(table.df, table.key, "left")
+        return fact.join(table.df, table.key, how)
     key = ref(table.key)
     counts = F.create_map(*[F.lit(part) for pair in table.hot.items() for part in pair])
     salts = F.when(key.isin(list(table.hot)), counts[key]).otherwise(F.lit(1))
@@ -90,7 +109,7 @@ def left_lookup(fact: DataFrame, table: Dimension) -> DataFrame:
     # Hashing the row, unlike a random salt, gives a rerun task the same answer.
     spread = F.pmod(F.xxhash64(*[ref(c) for c in fact.columns]), fact_salts).cast("int")
     salted_table = table.df.withColumn(SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
-    return fact.withColumn(SALT, spread).join(salted_table, [table.key, SALT], "left").drop(SALT)
+    return fact.withColumn(SALT, spread).join(salted_table, [table.key, SALT], how).drop(SALT)
 
 
 def heavy_hitters(key: str, kept: int = HOT_KEYS_KEPT) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,9 @@ RAW = "_raw"
 FAILED_RULES = "failed_rules"
 FIRST_FAILED = "first_failed_rule"
 
+# A key with this many rows is worth keeping out of a shuffle.
+HOT_ROWS = 4_000_000
+
 
 def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Adds typed values, `failed_rules`, `first_failed_rule` and the untouched row in `_raw`.
@@ -85,25 +90,25 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count_name: str = "copies
     return counted.filter(ref(count_name) > 1)
 
 
-def duplicate_rows(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def duplicate_rows(df: DataFrame, keys: str | Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every row whose key occurs more than once; empty when the key is unique.
 
-    Counting combines on the map side, so only one row per key and task is shuffled, and rows go
-    back through a null-safe semi join. Helper names cannot clash with the data's own.
+    Counting combines on the map side, so only one row per key and task is shuffled; rows then go
+    back through a null-safe semi join. Rows of a key with `hot_rows` or more copies would all meet
+    in one task there, even with a salt if they are exact copies. Such keys number at most
+    rows / hot_rows, so they are broadcast and their rows never shuffled. Helper names cannot clash
+    with the data's own.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
     aliases = [f"__key_{i}" for i in range(len(names))]
-    repeated = (
-        df.select(*[ref(k).alias(a) for k, a in zip(names, aliases)])
-        .groupBy(*aliases)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .filter(F.col("__rows") > 1)
+    counted = df.select(*[ref(k).alias(a) for k, a in zip(names, aliases)]).groupBy(*aliases)
+    repeated = counted.agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > 1)
+    same = reduce(and_, [ref(k).eqNullSafe(F.col(a)) for k, a in zip(names, aliases)])
+    hot = F.broadcast(repeated.filter(F.col("__rows") >= hot_rows))
+    others = repeated.filter(F.col("__rows") < hot_rows)
+    return df.join(hot, same, "left_semi").union(
+        df.join(hot, same, "left_anti").join(others, same, "left_semi")
     )
-    condition = None
-    for name, alias in zip(names, aliases):
-        same = ref(name).eqNullSafe(F.col(alias))
-        condition = same if condition is None else condition & same
-    return df.join(repeated, condition, "left_semi")
 
 
 def keys_are_unique(df: DataFrame, keys: Sequence[str]) -> bool:
@@ -133,9 +138,3 @@ def run_null_report(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(
         [tuple(kept.values())], ", ".join(f"{quoted(name)} bigint" for name in kept)
     )
-
-
-def orphans(fact: DataFrame, reference: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """Fact rows whose key is absent from the reference; a null key is always absent."""
-    names = [keys] if isinstance(keys, str) else list(keys)
-    return fact.join(reference.select(*[ref(k) for k in names]).distinct(), names, "left_anti")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from typing import Any
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,19 +40,21 @@ def fully_enriched(
     products: Table,
     by_customer: DataFrame | None = None,
     by_product: DataFrame | None = None,
+    hot: Mapping[str, Mapping[Any, int]] | None = None,
 ) -> DataFrame:
     """Enriched lines with product and customer metrics.
 
     Metrics are joined to their dimension first, so the lines meet one lookup per key instead of
     two; rows without a key keep null attributes and null metrics. Pass metrics that were already
-    written as tables to spare the lines a second reading. Looking up metrics cannot rely on a
-    small dimension, so the hot keys of the lines are found first, which runs a job.
+    written as tables to spare the lines a second reading. Metrics have a row for every key in use
+    and are not broadcast, so hot keys of the lines must be salted; unless given, a job finds them.
     """
     if by_customer is None:
         by_customer = customer_table(orders, customers, products)
     if by_product is None:
         by_product = product_table(orders, customers, products)
-    hot = run_hot_keys(orders, ["customer_id", "product_id"])
+    if hot is None:
+        hot = run_hot_keys(orders, ["customer_id", "product_id"])
     customer_info, product_info = customer_lookup(customers), product_lookup(products)
     customer_side = left_lookup(by_customer, customer_info)
     product_side = left_lookup(by_product, product_info)

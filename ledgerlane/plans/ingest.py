@@ -8,12 +8,11 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerlane.contracts import CONTRACTS, DatasetContract
-from ledgerlane.operators.lookups import Dimension, heavy_hitters, hot_keys, run_measure
+from ledgerlane.operators.lookups import Dimension, heavy_hitters, hot_keys, orphans, run_measure
 from ledgerlane.operators.quality import (
     duplicate_rows,
     evaluate,
     null_counts,
-    orphans,
     quarantine,
     rule_counters,
     valid,
@@ -92,10 +91,13 @@ class Store:
     products: Ingested
 
     def missing_products(self) -> DataFrame:
-        return orphans(self.orders.clean, self.products.clean, "product_id")
+        return orphans(self.orders.clean, self._lookup(self.products, "product_id"), "product_id")
 
     def missing_customers(self) -> DataFrame:
-        return orphans(self.orders.clean, self.customers.clean, "customer_id")
+        return orphans(self.orders.clean, self._lookup(self.customers, "customer_id"), "customer_id")
+
+    def _lookup(self, dataset: Ingested, key: str) -> Dimension:
+        return Dimension(dataset.clean, key, hot=self.orders.hot[key])
 
     def dimensions(self) -> tuple[Dimension, Dimension]:
         """Customers and products with their measured size and the orders' hot keys."""

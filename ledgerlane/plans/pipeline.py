@@ -32,7 +32,9 @@ def run_enrichment(spark: SparkSession, store: Store, settings: Settings) -> dic
         "enriched_orders": order_measures(wide),
         "customer_metrics": by_customer,
         "product_metrics": by_product,
-        "fully_enriched": fully_enriched(orders, customers, products, by_customer, by_product),
+        "fully_enriched": fully_enriched(
+            orders, customers, products, by_customer, by_product, store.orders.hot
+        ),
         "order_info": order_info(wide),
     }
     for name, (keys, _, _) in PROFIT_TABLES.items():

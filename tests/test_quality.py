@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import types as T
 
 from ledgerlane.operators import (
+    Dimension,
     conform,
     duplicate_keys,
     duplicate_rows,
@@ -29,6 +30,15 @@ def test_duplicates_with_null_and_awkward_keys(spark):
     assert [(r["count"], r.copies) for r in duplicate_keys(df, ["count", "x.y"]).collect()] == [(None, 2)]
 
 
+def test_hot_keys_are_reported_with_the_others(spark):
+    rows = [(7, i) for i in range(5)] + [(None, i) for i in range(4)] + [(8, 0), (8, 1), (9, 0)]
+    df = spark.createDataFrame(rows, "k int, n int")
+    expected = sorted(map(str, duplicate_rows(df, "k").collect()))
+    assert len(expected) == 11
+    for hot_rows in (2, 4, 5):
+        assert sorted(map(str, duplicate_rows(df, "k", hot_rows).collect())) == expected
+
+
 def test_null_reports(spark):
     df = spark.createDataFrame(
         [(1, "Alice", 25), (2, None, 30), (3, "Bob", None), (4, None, None)], "id long, name string, `a.ge` long"
@@ -53,6 +63,10 @@ def test_orphans(spark):
     missing = orphans(fact, known, "id")
     assert sorted((r.id or "", r.amount) for r in missing.collect()) == [("", "1"), ("3", "30.0")]
     assert missing.columns == ["id", "amount"]
+    for knowledge in ({"small": True}, {"hot": {"2": 3, "3": 2}}):
+        again = orphans(fact, Dimension(known, "id", **knowledge), "id")
+        assert again.columns == missing.columns
+        assert sorted(map(str, again.collect())) == sorted(map(str, missing.collect()))
     two = orphans(fact, spark.createDataFrame([("1", "10.5")], "id string, amount string"), ["id", "amount"])
     assert two.count() == 3
 

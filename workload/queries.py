@@ -73,26 +73,16 @@ def profit_all_grains(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def profit_by_year_category_fan_out(spark: SparkSession, folder: str) -> DataFrame:
-    """Both dimensions hold repeated keys and nothing is known about them."""
+    """Both dimensions hold repeated keys."""
     name = "profit_by_year_category"
-    totals = profit_totals(
-        views.orders(spark, folder),
-        views.repeated_customers(spark, folder),
-        views.repeated_products(spark, folder),
-        PROFIT_TABLES[name][0],
-    )
+    totals = profit_totals(*views.measured(spark, folder, repeated=True), PROFIT_TABLES[name][0])
     return profit_table(name, totals)
 
 
 @query
 def profit_cells_fan_out(spark: SparkSession, folder: str) -> DataFrame:
     name = "profit_by_year_cat_sub_customer"
-    totals = profit_totals(
-        views.orders(spark, folder),
-        views.repeated_customers(spark, folder),
-        views.repeated_products(spark, folder),
-        PROFIT_TABLES[name][0],
-    )
+    totals = profit_totals(*views.measured(spark, folder, repeated=True), PROFIT_TABLES[name][0])
     return profit_table(name, totals)
 
 
@@ -101,8 +91,7 @@ def profit_cells_fan_out(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def wide_fact(spark: SparkSession, folder: str) -> DataFrame:
-    orders, customers, products = views.measured(spark, folder)
-    return decimals_as_double(ops.wide_fact(orders, customers.guarded(orders), products.guarded(orders)))
+    return decimals_as_double(ops.wide_fact(*views.measured(spark, folder)))
 
 
 @query
@@ -138,13 +127,7 @@ def customer_metrics_double(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def customer_metrics_fan_out(spark: SparkSession, folder: str) -> DataFrame:
-    return decimals_as_double(
-        customer_table(
-            views.orders(spark, folder),
-            views.repeated_customers(spark, folder),
-            views.repeated_products(spark, folder),
-        )
-    )
+    return decimals_as_double(customer_table(*views.measured(spark, folder, repeated=True)))
 
 
 @query
@@ -154,13 +137,7 @@ def product_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def product_metrics_fan_out(spark: SparkSession, folder: str) -> DataFrame:
-    return decimals_as_double(
-        product_table(
-            views.orders(spark, folder),
-            views.repeated_customers(spark, folder),
-            views.repeated_products(spark, folder),
-        )
-    )
+    return decimals_as_double(product_table(*views.measured(spark, folder, repeated=True)))
 
 
 @query
@@ -338,13 +315,15 @@ def null_counts_wide(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def orphans_by_customer(spark: SparkSession, folder: str) -> DataFrame:
-    missing = ops.orphans(views.orders(spark, folder), views.clean_customers(spark, folder), "customer_id")
+    orders, customers, _ = views.measured(spark, folder)
+    missing = ops.orphans(orders, customers, "customer_id")
     return decimals_as_double(missing)
 
 
 @query
 def orphans_by_product(spark: SparkSession, folder: str) -> DataFrame:
-    missing = ops.orphans(views.orders(spark, folder), views.clean_products(spark, folder), "product_id")
+    orders, _, products = views.measured(spark, folder)
+    missing = ops.orphans(orders, products, "product_id")
     return missing.select("order_id", "row_id", "product_id", "customer_id")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlane import operators as ops
 from ledgerlane.operators import CompareRule, Dimension, evaluate, valid
 
-_STATISTICS: dict[tuple[str, str], list[Dimension]] = {}
+_STATISTICS: dict[tuple[str, str, bool], list[Dimension]] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -102,26 +102,27 @@ def repeated_products(spark: SparkSession, folder: str) -> DataFrame:
     return everything.union(again.withColumn("sub_category", F.lit("Brand#0")))
 
 
-def run_statistics(spark: SparkSession, folder: str) -> list[Dimension]:
+def run_statistics(spark: SparkSession, folder: str, repeated: bool = False) -> list[Dimension]:
+    people, goods = (repeated_customers, repeated_products) if repeated else (clean_customers, clean_products)
     return ops.run_measure(
-        (clean_customers(spark, folder), "customer_id"), (clean_products(spark, folder), "product_id")
+        (people(spark, folder), "customer_id"),
+        (goods(spark, folder), "product_id"),
+        fact=orders(spark, folder),
     )
 
 
-def measured(spark: SparkSession, folder: str) -> tuple[DataFrame, Dimension, Dimension]:
-    """Orders with clean dimensions whose size and key uniqueness are known.
+def measured(
+    spark: SparkSession, folder: str, repeated: bool = False
+) -> tuple[DataFrame, Dimension, Dimension]:
+    """Orders with clean or repeated dimensions whose size, uniqueness and hot keys are known.
 
     Like table statistics after a load, the measures are taken once per session and folder.
     """
-    key = (spark.sparkContext.applicationId, folder)
+    key = (spark.sparkContext.applicationId, folder, repeated)
     if key not in _STATISTICS:
-        _STATISTICS[key] = run_statistics(spark, folder)
+        _STATISTICS[key] = run_statistics(spark, folder, repeated)
     customers, products = _STATISTICS[key]
-    return (
-        orders(spark, folder),
-        customers.of(clean_customers(spark, folder)),
-        products.of(clean_products(spark, folder)),
-    )
+    return orders(spark, folder), customers, products
 
 
 def text_orders(spark: SparkSession, folder: str) -> DataFrame:
