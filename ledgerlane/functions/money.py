@@ -38,8 +38,8 @@ def rounded_product(df: DataFrame, left: str, right: str, digits: int = 2) -> Co
     return F.coalesce(exact.cast("double"), F.round(ref(left) * ref(right), digits))
 
 
-def rounded_difference(df: DataFrame, left: str, right: str, digits: int = 2) -> Column:
-    # Both sides are already rounded amounts, so the double difference is within noise of the answer.
+def rounded_difference(left: str, right: str, digits: int = 2) -> Column:
+    """Of amounts that are already rounded, so even a double difference is within noise of the answer."""
     return F.round(ref(left) - ref(right), digits)
 
 

@@ -21,7 +21,7 @@ def order_measures(lines: DataFrame) -> DataFrame:
             "discount_amount": rounded_product(lines, "price", "discount"),
         }
     )
-    final = amounts.withColumn("final_price", rounded_difference(amounts, "total_sales", "discount_amount"))
+    final = amounts.withColumn("final_price", rounded_difference("total_sales", "discount_amount"))
     return final.withColumns(
         {
             "unit_selling_price": rounded_ratio(final, "final_price", "quantity"),

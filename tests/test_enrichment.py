@@ -101,7 +101,9 @@ def test_measured_dimensions(spark, tables):
     people, goods, unique = run_measure((customers, "customer_id"), (products, "product_id"), (unknown, "k"))
     assert (people.unique, goods.unique, unique.unique) == (False, False, True)
     assert people.small and goods.small
-    assert not run_measure((customers, "customer_id"), limit=10)[0].small
+    large = run_measure((customers, "customer_id"), fact=tables[0], limit=10)[0]
+    assert not large.small
+    assert large.hot["c1"] > large.hot.get("c9", 0)
 
 
 def test_measures_round_half_up_on_the_decimal_value(tables):
@@ -162,10 +164,17 @@ def test_order_info(tables):
 
 
 @pytest.mark.parametrize("name", PROFIT_TABLES)
-@pytest.mark.parametrize("known", [False, True])
+@pytest.mark.parametrize("known", ["nothing", "measured", "hot"])
 def test_profit_tables_equal_totals_of_the_wide_fact(tables, name, known):
     orders, customers, products = tables
-    dimensions = run_measure((customers, "customer_id"), (products, "product_id")) if known else (customers, products)
+    dimensions = (customers, products)
+    if known == "measured":
+        dimensions = run_measure((customers, "customer_id"), (products, "product_id"))
+    if known == "hot":
+        dimensions = (
+            Dimension(customers, "customer_id", hot={"c1": 3, "c3": 2}),
+            Dimension(products, "product_id", hot={"p1": 4, "p3": 2}),
+        )
     keys, alias, sort = PROFIT_TABLES[name]
     planned = profit_table(name, profit_totals(orders, *dimensions, keys))
     direct = summarize(wide_fact(*tables), keys, "profit", F.sum, 2, alias, sort)

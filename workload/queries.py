@@ -176,38 +176,38 @@ def _reasons(rejected: DataFrame) -> DataFrame:
 @query
 def type_rules_valid(spark: SparkSession, folder: str) -> DataFrame:
     rules = [ops.TypeRule("quantity", "long"), ops.TypeRule("profit", "double")]
-    kept = ops.valid(ops.evaluate(views.text_orders(spark, folder), rules))
+    kept = ops.valid(ops.evaluate(views.landed_orders(spark, folder), rules))
     return kept.select("order_id", "row_id", "product_id", "quantity", "profit")
 
 
 @query
 def type_rules_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     rules = [ops.TypeRule("quantity", "long"), ops.TypeRule("profit", "double")]
-    lost = ops.rejected(ops.evaluate(views.text_orders(spark, folder), rules))
+    lost = ops.rejected(ops.evaluate(views.landed_orders(spark, folder), rules))
     return _reasons(lost.select("order_id", "row_id", "product_id", "quantity", "profit", FIRST_FAILED, FAILED_RULES))
 
 
 @query
 def date_rule_valid(spark: SparkSession, folder: str) -> DataFrame:
-    kept = ops.valid(ops.evaluate(views.text_orders(spark, folder), [ops.TypeRule("order_date", "date")]))
+    kept = ops.valid(ops.evaluate(views.landed_orders(spark, folder), [ops.TypeRule("order_date", "date")]))
     return kept.select("order_id", "row_id", "product_id", "order_date")
 
 
 @query
 def date_rule_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    lost = ops.rejected(ops.evaluate(views.text_orders(spark, folder), [ops.TypeRule("order_date", "date")]))
+    lost = ops.rejected(ops.evaluate(views.landed_orders(spark, folder), [ops.TypeRule("order_date", "date")]))
     return lost.select("order_id", "row_id", "product_id", "order_date")
 
 
 @query
 def orders_clean(spark: SparkSession, folder: str) -> DataFrame:
-    flagged = ops.evaluate(views.text_orders(spark, folder), ORDERS.rules)
+    flagged = ops.evaluate(views.landed_orders(spark, folder), ORDERS.rules)
     return ops.conform(ops.valid(flagged), ORDERS.schema)
 
 
 @query
 def orders_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    return _reasons(ops.rejected(ops.evaluate(views.text_orders(spark, folder), ORDERS.rules)))
+    return _reasons(ops.rejected(ops.evaluate(views.landed_orders(spark, folder), ORDERS.rules)))
 
 
 @query
@@ -242,7 +242,7 @@ def quarantine_counts(spark: SparkSession, folder: str) -> DataFrame:
     sets = [
         ops.quarantine(ops.evaluate(view(spark, folder), contract.rules), contract.name)
         for contract, view in (
-            (ORDERS, views.text_orders),
+            (ORDERS, views.landed_orders),
             (CUSTOMERS, views.text_customers),
             (PRODUCTS, views.text_products),
         )
@@ -373,6 +373,6 @@ def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def staged_orders(spark: SparkSession, folder: str) -> DataFrame:
     """The pipeline's middle step: verdicts written once, clean rows read back."""
-    flagged = ops.evaluate(views.text_orders(spark, folder), ORDERS.rules)
+    flagged = ops.evaluate(views.landed_orders(spark, folder), ORDERS.rules)
     staged = stage(flagged, f"{staging_folder(spark)}/orders")
     return ops.conform(ops.valid(staged), ORDERS.schema).select("order_id", "row_id", "product_id", "order_date")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerlane import operators as ops
 from ledgerlane.operators import CompareRule, Dimension, evaluate, valid
+from ledgerlane.sinks import stage, staging_folder
 
+_LANDED: dict[tuple[str, str], DataFrame] = {}
 _STATISTICS: dict[tuple[str, str, bool], list[Dimension]] = {}
 
 
@@ -149,6 +151,14 @@ def text_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def landed_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The order feed as a landed table of texts, written once per session and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _LANDED:
+        _LANDED[key] = stage(text_orders(spark, folder), f"{staging_folder(spark)}/orders_feed")
+    return _LANDED[key]
+
+
 def text_customers(spark: SparkSession, folder: str) -> DataFrame:
     """Customers as texts with good, bad and missing emails and postal codes."""
     key = F.col("c_custkey")
