@@ -71,6 +71,11 @@ def quarantine(flagged: DataFrame, dataset: str) -> DataFrame:
     )
 
 
+def without_raw_of_valid(flagged: DataFrame) -> DataFrame:
+    """The same verdicts with the raw row kept for rejected rows only, for writing."""
+    return flagged.withColumn(RAW, F.when(F.col(FIRST_FAILED).isNotNull(), F.col(RAW)))
+
+
 def split(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
     """(rows where the condition is true, all other rows): null counts as failed."""
     return df.filter(condition), df.filter(~F.coalesce(condition, F.lit(False)))

@@ -16,6 +16,7 @@ from ledgerlane.operators.quality import (
     quarantine,
     rule_counters,
     valid,
+    without_raw_of_valid,
 )
 from ledgerlane.operators.shape import conform
 from ledgerlane.settings import Settings
@@ -59,7 +60,7 @@ def ingest(
     flagged = evaluate(source, contract.rules)
     keys = LOOKUP_KEYS.get(contract.name, ())
     seen = Observation(f"ingest {contract.name}")
-    observed = flagged.observe(
+    observed = without_raw_of_valid(flagged).observe(
         seen, *rule_counters(contract.rules), *[heavy_hitters(k).alias(f"frequent {k}") for k in keys]
     )
     staged = stage(observed, f"{staging or staging_folder(spark)}/{contract.name}")
@@ -67,7 +68,7 @@ def ingest(
     hot = {k: hot_keys(counts.pop(f"frequent {k}"), counts["rows"]) for k in keys}
 
     table = settings.table(contract.name)
-    write_table(conform(valid(staged), contract.schema), table)
+    write_table(conform(valid(staged), contract.schema), table, path=settings.path(contract.name))
     keyed = conform(valid(staged, contract.rules_after_key_report), contract.schema)
     clean = spark.table(table)
     return Ingested(
@@ -112,5 +113,5 @@ def run_ingest(spark: SparkSession, settings: Settings) -> Store:
     staging = staging_folder(spark)
     store = Store(**{name: ingest(spark, contract, settings, staging) for name, contract in CONTRACTS.items()})
     rejected = store.orders.quarantine.union(store.customers.quarantine).union(store.products.quarantine)
-    write_table(rejected, settings.quarantine_table)
+    write_table(rejected, settings.quarantine_table, path=settings.path("quarantine"))
     return store

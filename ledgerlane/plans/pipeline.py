@@ -20,7 +20,7 @@ def run_enrichment(spark: SparkSession, store: Store, settings: Settings) -> dic
     orders = store.orders.clean
 
     def written(name: str, df: DataFrame) -> DataFrame:
-        write_table(df, settings.table(name))
+        write_table(df, settings.table(name), path=settings.path(name))
         return spark.table(settings.table(name))
 
     wide = written("wide_orders", wide_fact(orders, customers, products))

@@ -14,10 +14,14 @@ class Settings:
     schema: str = "raw"
     formats: dict[str, str] = field(default_factory=dict)
     read_options: dict[str, dict[str, str]] = field(default_factory=dict)
+    location: str | None = None  # folder for external tables; managed tables if not given
 
     def table(self, name: str) -> str:
         return f"{self.catalog}.{self.schema}.{name}"
 
+    def path(self, name: str) -> str | None:
+        return None if self.location is None else f"{self.location}/{name}"
+
     @property
     def quarantine_table(self) -> str:
         return self.table("quarantine")

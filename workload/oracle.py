@@ -411,6 +411,8 @@ ORACLE["null_counts"] = f"WITH {wide()}, counts AS (" + " UNION ALL ".join(
 ORACLE["null_counts_wide"] = f"WITH {TEXT_ORDERS} SELECT " + ", ".join(
     f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c}" for c in NULLABLE[:11]
 ) + " FROM text_orders"
+ORACLE["null_report"] = f"""
+WITH {TEXT_ORDERS} SELECT CAST(COUNT(*) FILTER (WHERE profit IS NULL) AS BIGINT) AS profit FROM text_orders"""
 ORACLE["orphans_by_customer"] = f"""
 WITH {ORDERS}, {CUSTOMERS}
 SELECT customer_id, CAST(discount AS DOUBLE) AS discount, order_date, order_id, CAST(price AS DOUBLE) AS price,
@@ -442,3 +444,12 @@ WITH {ORDERS}
 SELECT customer_id, CAST(discount AS DOUBLE) AS discount, order_date, order_id, CAST(price AS DOUBLE) AS price,
        product_id, CAST(profit AS DOUBLE) AS profit, quantity, row_id, ship_date, ship_mode
 FROM orders_v"""
+ORACLE["ingested_quarantine"] = ORACLE["quarantine_counts"]
+ORACLE["ingested_profit_by_year_category"] = f"""
+WITH {TEXT_ORDERS}, {renamed(ORDER_FLAGS, "order_flags")}, {TEXT_PRODUCTS}, {renamed(PRODUCT_FLAGS, "product_flags")}
+SELECT CAST(year(o.order_date_t) AS INTEGER) AS order_year, p.category,
+       CAST(ROUND(SUM(CAST(o.profit AS DECIMAL(17,4))), 2) AS DOUBLE) AS profit_per_year_category
+FROM order_flags o
+LEFT JOIN product_flags p ON o.product_id = p.product_id AND p.first_failed_rule IS NULL
+WHERE o.first_failed_rule IS NULL
+GROUP BY 1, 2"""

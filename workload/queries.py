@@ -23,6 +23,8 @@ from ledgerlane.plans import (
     profit_totals,
     register_view,
 )
+from ledgerlane.plans.ingest import Store, run_ingest
+from ledgerlane.settings import Settings
 from ledgerlane.sinks import stage, staging_folder, write_table
 from ledgerlane.sources import decode_workbooks, read_dataset
 from workload import views
@@ -313,6 +315,11 @@ def null_counts_wide(spark: SparkSession, folder: str) -> DataFrame:
     return ops.null_counts_wide(views.text_orders(spark, folder))
 
 
+@query
+def null_report(spark: SparkSession, folder: str) -> DataFrame:
+    return ops.run_null_report(views.landed_orders(spark, folder))
+
+
 @query
 def orphans_by_customer(spark: SparkSession, folder: str) -> DataFrame:
     orders, customers, _ = views.measured(spark, folder)
@@ -370,6 +377,42 @@ def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
+def _ingest_feeds(spark: SparkSession, folder: str) -> tuple[Store, Settings]:
+    """Feeds as files, then everything ingestion does with them."""
+    root = staging_folder(spark)
+    _with_headers(views.text_orders(spark, folder), ORDERS).write.json(f"{root}/orders")
+    for contract, view in ((PRODUCTS, views.text_products), (CUSTOMERS, views.text_customers)):
+        feed = _with_headers(view(spark, folder), contract)
+        feed.write.option("header", "true").csv(f"{root}/{contract.name}")
+    settings = Settings(
+        sources={name: f"{root}/{name}" for name in ("orders", "products", "customers")},
+        formats={"orders": "json", "products": "csv", "customers": "csv"},
+        read_options={"orders": {"multiLine": "false"}},
+        schema="ledgerlane_raw",
+        location=f"{root}/tables",
+    )
+    return run_ingest(spark, settings), settings
+
+
+@query
+def ingested_profit_by_year_category(spark: SparkSession, folder: str) -> DataFrame:
+    """From files through quarantine and clean tables to a profit table."""
+    store, _ = _ingest_feeds(spark, folder)
+    name = "profit_by_year_category"
+    return profit_table(name, profit_totals(store.orders.clean, *store.dimensions(), PROFIT_TABLES[name][0]))
+
+
+@query
+def ingested_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """The written quarantine table, counted by reason."""
+    _, settings = _ingest_feeds(spark, folder)
+    return (
+        spark.table(settings.quarantine_table)
+        .groupBy("dataset", FIRST_FAILED)
+        .agg(F.count(F.lit(1)).alias("row_count"), F.count_if(F.size("raw") > 0).alias("with_raw_values"))
+    )
+
+
 @query
 def staged_orders(spark: SparkSession, folder: str) -> DataFrame:
     """The pipeline's middle step: verdicts written once, clean rows read back."""
