@@ -8,17 +8,22 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerlane.functions import quoted
 
+# The decoder travels with its tasks, so workers need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 RELATION_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 ROWS_PER_BATCH = 8192

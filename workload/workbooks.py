@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 _RELATIONS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 _PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"
