@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerlane.llm.decontaminate import run_contamination
 from ledgerlane.llm.near_dup import run_near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,3 +27,50 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return run_near_duplicates(table(spark, folder, "documents"), width=4)
+
+
+@query
+def op6_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = run_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.aggregate("hits", F.lit(0).cast("long"), lambda n, hit: n + hit.last - hit.first).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
+ORACLE["op6_benchmark_passages"] = r"""
+WITH item_words AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark WHERE text IS NOT NULL
+), windows AS (
+    SELECT DISTINCT item_id, least(len(words), 10) AS width,
+        list_slice(words, start, start + least(len(words), 10) - 1) AS phrase
+    FROM (SELECT item_id, words, unnest(range(1, greatest(1, len(words) - 9) + 1)) AS start
+          FROM item_words WHERE len(words) > 0)
+), document_words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), places AS (
+    SELECT doc_id, width, start, list_slice(words, start, start + width - 1) AS phrase
+    FROM (SELECT doc_id, words, width, unnest(range(1, len(words) - width + 2)) AS start
+          FROM document_words, (SELECT DISTINCT width FROM windows) WHERE len(words) >= width)
+), found AS (
+    SELECT doc_id, item_id, start, p.width FROM places p JOIN windows w ON p.width = w.width AND p.phrase = w.phrase
+), hits AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(start, start + width)) AS place FROM found) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+    coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM document_words d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
