@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.llm.decontaminate import run_contamination
 from ledgerlane.llm.near_dup import run_near_duplicates
+from ledgerlane.llm.quality import run_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,3 +75,8 @@ SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_
     coalesce(n_hit, 0) > 0 AS contaminated
 FROM document_words d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@query
+def op9_quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
+    return run_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
