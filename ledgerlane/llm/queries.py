@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.decontaminate import run_contamination
 from ledgerlane.llm.near_dup import run_near_duplicates
+from ledgerlane.llm.pii import KINDS, run_find_personal_data
 from ledgerlane.llm.quality import run_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +81,21 @@ FROM document_words d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_i
 @query
 def op9_quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
     return run_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def _span_list(spans) -> Column:
+    texts = F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string")))
+    return F.array_join(texts, ",")
+
+
+@query
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = run_find_personal_data(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s.by_rule)
+    counts = [
+        F.size(F.filter("spans", lambda s, k=kind: s.by_rule & (s.kind == k))).cast("long").alias(f"n_{kind}")
+        for kind in KINDS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(_span_list(base), 256).alias("base_sha256"), _span_list("spans").alias("spans")
+    )
