@@ -39,7 +39,7 @@ def rule_spans(text: str) -> list[tuple[int, int, int]]:
     if "@" in text:
         found += [(0, m.start(), m.end()) for m in _EMAIL.finditer(text) if m["match"]]
     for m in _IP.finditer(text):
-        if m["match"] and all(len(p := p.lstrip("0")) < 4 and int(p or 0) <= 255 for p in m[0].split(".")):
+        if m["match"] and all(len(p) < 4 and int(p or 0) <= 255 for p in (part.lstrip("0") for part in m[0].split("."))):
             found.append((1, m.start(), m.end()))
     for m in _CARD.finditer(text):
         if m["match"] and len(m[0]) >= 13:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlane.llm.bpe import run_encode
 from ledgerlane.llm.decontaminate import run_contamination
 from ledgerlane.llm.near_dup import run_near_duplicates
 from ledgerlane.llm.pii import KINDS, run_find_personal_data
@@ -99,3 +102,15 @@ def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(_span_list(base), 256).alias("base_sha256"), _span_list("spans").alias("spans")
     )
+
+
+@query
+def op2_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = run_encode(documents, public_tokenizers.path("word_bpe_49k.json"), decoded=True)
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )

@@ -29,5 +29,16 @@ def run_count(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1))).first()[0]
 
 
-def session_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+def share_file(spark: SparkSession, name: str, content: bytes) -> str:
+    """Writes a file into the shared folder and has Spark hand it to every executor; returns its name there."""
+    folder = staging_folder(spark)
+    context = spark.sparkContext
+    unique = f"{name}-{folder.rpartition('-')[2]}"
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/{unique}")
+    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+    context.addFile(path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString())
+    return unique
