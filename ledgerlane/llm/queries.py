@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.bpe import run_encode
 from ledgerlane.llm.decontaminate import run_contamination
+from ledgerlane.llm.html_text import extract_text
 from ledgerlane.llm.near_dup import run_near_duplicates
 from ledgerlane.llm.pii import KINDS, run_find_personal_data
 from ledgerlane.llm.quality import run_quality
@@ -114,3 +114,8 @@ def op2_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op7_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages"))
