@@ -9,11 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.bpe import run_encode
+from ledgerlane.llm.chat import format_chat, read_content, read_loss, read_role, text_parts
 from ledgerlane.llm.decontaminate import run_contamination
+from ledgerlane.llm.fingerprints import as_text, likeness, repeated, run_fingerprints
 from ledgerlane.llm.html_text import extract_text
 from ledgerlane.llm.near_dup import run_near_duplicates
 from ledgerlane.llm.pii import KINDS, run_find_personal_data
 from ledgerlane.llm.quality import run_quality
+from ledgerlane.llm.url_filter import Rule, run_judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,3 +122,139 @@ def op2_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_page_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract_text(table(spark, folder, "pages"))
+
+
+RULES = (
+    Rule("allow", "org/"),
+    Rule("block", "example.org/es/"),
+    Rule("block", "example.org/en/1"),
+    Rule("allow", "com/fr/"),
+    Rule("block", "com/de/"),
+)
+
+
+@query
+def op1_url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    return run_judge(table(spark, folder, "pages"), RULES)
+
+
+ORACLE["op1_url_verdicts"] = r"""
+WITH split AS (
+    SELECT page_id,
+        coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), rules(action, pattern, rule_host, rule_path) AS (
+    VALUES ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
+        ('block', 'example.org/en/1', 'example.org', '/en/1'), ('allow', 'com/fr/', 'com', '/fr/'),
+        ('block', 'com/de/', 'com', '/de/')
+), ruled AS (
+    SELECT s.*, (SELECT max({'size': length(pattern), 'pattern': pattern, 'action': action}) FROM rules
+        WHERE (s.host = rule_host OR ends_with(s.host, '.' || rule_host)) AND starts_with(s.path, rule_path)) AS found
+    FROM split s
+), plain AS (
+    SELECT host, regexp_replace(host, '^.*@|:[0-9]*$', '', 'g') AS name,
+        sum((found.action = 'allow')::INT) AS good, count(found.action) AS labelled
+    FROM ruled GROUP BY host
+), suffixed AS (
+    SELECT *, CASE WHEN regexp_matches(name, '(^|[.])(ac[.]uk|co[.]jp|co[.]uk|com[.]au|com[.]br|org[.]uk)$')
+        THEN array_to_string(string_split(name, '.')[-2:], '.') ELSE string_split(name, '.')[-1] END AS suffix
+    FROM plain
+), hosts AS (
+    SELECT host, coalesce(good, 0) AS good, labelled, suffix,
+        array_to_string(string_split(name, '.')[-(len(string_split(suffix, '.')) + 1):], '.') AS domain
+    FROM suffixed
+), suffix_sums AS (
+    SELECT suffix, sum(good) AS good, sum(labelled) AS labelled,
+        (SELECT (sum(good) + 0.5) / (sum(labelled) + 1) FROM hosts) AS prior
+    FROM hosts GROUP BY suffix
+), suffix_weight AS (
+    SELECT coalesce(round(1 / least(greatest((sum(labelled * pow(good / labelled - prior, 2)) - sum(prior * (1 - prior)))
+        / nullif(sum(prior * (1 - prior) * (labelled - 1)), 0), 0.001), 0.999) - 1, 9), 1) AS weight
+    FROM suffix_sums WHERE labelled > 0
+), domain_sums AS (
+    SELECT domain, h.suffix, sum(h.good) AS good, sum(h.labelled) AS labelled,
+        any_value((s.good + weight * s.prior) / (s.labelled + weight)) AS prior
+    FROM hosts h JOIN suffix_sums s USING (suffix), suffix_weight GROUP BY domain, h.suffix
+), domain_weight AS (
+    SELECT coalesce(round(1 / least(greatest((sum(labelled * pow(good / labelled - prior, 2)) - sum(prior * (1 - prior)))
+        / nullif(sum(prior * (1 - prior) * (labelled - 1)), 0), 0.001), 0.999) - 1, 9), 1) AS weight
+    FROM domain_sums WHERE labelled > 0
+), units AS (
+    SELECT h.host, h.good, h.labelled, (d.good + weight * d.prior) / (d.labelled + weight) AS prior
+    FROM hosts h JOIN domain_sums d USING (domain, suffix), domain_weight
+), host_weight AS (
+    SELECT coalesce(round(1 / least(greatest((sum(labelled * pow(good / labelled - prior, 2)) - sum(prior * (1 - prior)))
+        / nullif(sum(prior * (1 - prior) * (labelled - 1)), 0), 0.001), 0.999) - 1, 9), 1) AS weight
+    FROM units WHERE labelled > 0
+), posterior AS (
+    SELECT host, good + weight * prior AS a, labelled - good + weight * (1 - prior) AS b FROM units, host_weight
+), reputation AS (
+    SELECT host, round(a / (a + b) - 1.645 * sqrt(a * b / (pow(a + b, 2) * (a + b + 1))), 9) AS bound FROM posterior
+)
+SELECT page_id, host, path, found.pattern AS rule,
+    coalesce(found.action, CASE WHEN bound >= 0.5 THEN 'allow' ELSE 'block' END) AS verdict
+FROM ruled JOIN reputation USING (host)
+"""
+
+
+@query
+def op3_scaled_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = run_fingerprints(table(spark, folder, "documents"))
+    return repeated(
+        found.select(
+            "doc_id",
+            "n_chars",
+            F.sha2("edited", 256).alias("edited_sha256"),
+            as_text("sketch").alias("fingerprint"),
+            as_text("edited_sketch").alias("edited_fingerprint"),
+            likeness("sketch", "edited_sketch").alias("near_edited"),
+            likeness("sketch", "next_sketch").alias("near_next"),
+            "copies",
+        )
+    )
+
+
+#: A conversation whose texts look like another template's control strings.
+CONTROL = ((-7, 0, "user"), (-7, 1, "assistant"))
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query
+def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    said = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame([(*row, CONTROL_TEXT) for row in CONTROL], "conv_id long, turn int, role string, text string")
+    messages = said.union(control.select(*(F.col(c).cast(t) for c, t in said.dtypes)))
+    chats = format_chat(messages.withColumn("parts", text_parts(F.col("text"))))
+    newline = F.lit("\n")
+    loss = F.array_join(F.transform("turns", read_loss), "")
+    return chats.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(
+            F.array_join(
+                F.transform("turns", lambda t: F.concat(read_role(t["text"]), newline, read_content(t["text"]), newline)), ""
+            ),
+            256,
+        ).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+ORACLE["op4_chat_format"] = r"""
+WITH messages AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+    sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+    sum(23 + length(replace(replace(role, '\', '\\'), '<|', '<\|')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')))::BIGINT
+        AS formatted_chars
+FROM messages GROUP BY conv_id
+"""
