@@ -13,6 +13,7 @@ from ledgerlane.llm.chat import format_chat, read_content, read_loss, read_role,
 from ledgerlane.llm.decontaminate import run_contamination
 from ledgerlane.llm.fingerprints import as_text, likeness, repeated, run_fingerprints
 from ledgerlane.llm.html_text import extract_text
+from ledgerlane.llm.lm import run_backoff_scores
 from ledgerlane.llm.near_dup import run_near_duplicates
 from ledgerlane.llm.pii import KINDS, run_find_personal_data
 from ledgerlane.llm.quality import run_quality
@@ -258,3 +259,8 @@ SELECT conv_id, count(*) AS n_turns,
         AS formatted_chars
 FROM messages GROUP BY conv_id
 """
+
+
+@query
+def op5_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return run_backoff_scores(table(spark, folder, "documents"))
