@@ -99,10 +99,11 @@ def _span_list(spans) -> Column:
 def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = run_find_personal_data(table(spark, folder, "documents"))
     base = F.filter("spans", lambda s: s.by_rule)
-    counts = [
-        F.size(F.filter("spans", lambda s, k=kind: s.by_rule & (s.kind == k))).cast("long").alias(f"n_{kind}")
-        for kind in KINDS
-    ]
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in KINDS]
     return found.select(
         "doc_id", *counts, F.sha2(_span_list(base), 256).alias("base_sha256"), _span_list("spans").alias("spans")
     )
