@@ -110,6 +110,9 @@ def labelled_table(sentences: int = 700, seed: int = 7) -> list[tuple[list[str],
             lambda: f"@{name()}",
             lambda: f"{digits(3)} {digits(3)} {digits(3)}",
             lambda: f"{rng.randint(1, 9)}@{rng.randint(1, 9)}",
+            lambda: " ".join(f"{name()}{digits(rng.randint(1, 4))}" for _ in range(rng.randint(1, 5))),
+            lambda: " ".join(f"{name()}{digits(1)}{name()}" for _ in range(rng.randint(1, 5))),
+            lambda: " ".join(digits(rng.randint(1, 6)) for _ in range(rng.randint(2, 8))),
         ],
     }
     table = []
@@ -145,6 +148,25 @@ _LEADING = re.compile(r"^[^0-9A-Za-z+(\x80-\U0010ffff]+")
 _TRAILING = re.compile(r"[^0-9A-Za-z)\x80-\U0010ffff]+$")
 
 
+_LETTER = re.compile(r"[A-Za-z\x80-\U0010ffff]")
+_SPELLED_AT = re.compile(r"@|[\[(]at[\])]", re.IGNORECASE)
+
+
+def _plausible(kind: int, text: str) -> bool:
+    """Whether a labelled run can be what its label says; the field sees shapes, not values."""
+    digits = _NOT_DIGIT.sub("", text)
+    if KINDS[kind] == "email":
+        return bool(_SPELLED_AT.search(text)) and len(text.split()) <= 6
+    if _LETTER.search(text):
+        return False
+    if KINDS[kind] == "ip":
+        parts = text.split(".")
+        return len(parts) == 4 and all(p.isascii() and p.isdecimal() and len(p) < 4 and int(p) <= 255 for p in parts)
+    if KINDS[kind] == "card":
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    return 7 <= len(digits) <= 15
+
+
 def _field_spans(model: Crf, text_of: dict[int, str], sequences: list) -> dict[int, list[tuple[int, int, int]]]:
     """Per row the spans of runs of equally labelled words, without punctuation around them."""
     found: dict[int, list[tuple[int, int, int]]] = {}
@@ -161,7 +183,7 @@ def _field_spans(model: Crf, text_of: dict[int, str], sequences: list) -> dict[i
                     start, end = places[place][0], places[last][1]
                     start += len(text_of[row][start:end]) - len(_LEADING.sub("", text_of[row][start:end]))
                     end -= len(text_of[row][start:end]) - len(_TRAILING.sub("", text_of[row][start:end]))
-                    if start < end:
+                    if start < end and _plausible(int(labels[place]) - 1, text_of[row][start:end]):
                         found.setdefault(row, []).append((int(labels[place]) - 1, start, end))
                 place = last + 1
     return found
