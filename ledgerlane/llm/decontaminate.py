@@ -268,22 +268,22 @@ def run_decontaminate(
     The words that `run_contamination` marks are cut out, range by range; `n_chars`, where there
     is such a column, is counted anew for texts that changed. See there for nulls and ties.
     """
-    columns = documents.columns
-    found = run_contamination(documents, benchmark, text, width=width, keep=tuple(columns))
+    columns, types = documents.columns, dict(documents.dtypes)
+    names = [f"c{i}" for i in range(len(columns))]
+    place = columns.index(text)
+    found = run_contamination(
+        documents.toDF(*names), benchmark, names[place], width=width, keep=tuple(names)
+    ).drop("n_words", "items")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index("document_text")
-            yield batch.set_column(at, "document_text", _cut_out(batch.column(at), batch.column("hits")))
-
-    rows = found.select(
-        *(F.col(c).alias("document_text" if c == text else f"keep_{k}") for k, c in enumerate(columns)), "hits"
-    )
-    cleaned = rows.mapInArrow(clean, rows.schema)
-    result = cleaned.select(
-        *(F.col("document_text" if c == text else f"keep_{k}").alias(c) for k, c in enumerate(columns)), F.col("hits").alias("_hits")
+            yield batch.set_column(place, names[place], _cut_out(batch.column(place), batch.column("hits")))
+
+    cleaned = found.mapInArrow(clean, found.schema)
+    counted = F.when(F.size("hits") > 0, F.length(names[place]))
+    return cleaned.select(
+        *(
+            F.coalesce(counted.cast(types[c]), n).alias(c) if c == n_chars else F.col(n).alias(c)
+            for c, n in zip(columns, names)
+        )
     )
-    if n_chars in columns:
-        counted = F.length(text).cast(dict(documents.dtypes)[n_chars])
-        result = result.withColumn(n_chars, F.when(F.size("_hits") > 0, counted).otherwise(F.col(n_chars)))
-    return result.drop("_hits")
