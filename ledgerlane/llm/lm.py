@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.storage import cut, discard
@@ -18,22 +17,6 @@ BACKOFF = 0.4
 #: Counts are put together over so many words of a task before they are shuffled.
 SHARD_WORDS = 1 << 22
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Jobs in here drop their shuffle files when they end: their results are in tables by then."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
-
 
 def half(id_column: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 2, F.lit(0)).cast("int")
@@ -129,44 +112,42 @@ def run_backoff_scores(documents: DataFrame, id_column: str = "doc_id", text: st
     Null and empty texts have no words and score 0, per word too. Rows that repeat an id are parts of
     one document; rows without id are one document of their own. An empty table gives an empty result.
     """
-    spark = documents.sparkSession
     rows = documents.select(
         F.col(id_column).alias("id"), half(id_column).alias("half"), F.col(text).cast("string").alias("text")
     )
-    with _shuffles_removed(spark):
-        words = cut(_counts(rows, False).select("word", "c0", "c1"))
-        totals = words.agg(F.sum("c0"), F.sum("c1")).first()
-        # What a document of a half reads: the other half's counts.
-        logs = words.select(
-            F.col("word").alias("key"),
-            F.log(F.greatest("c1", F.lit(1))).alias("v0"),
-            F.log(F.greatest("c0", F.lit(1))).alias("v1"),
-        )
-        shared = cut(_counts(rows, True).where("c0 > 0 and c1 > 0"))
-        before = words.toDF("first", "b0", "b1")
-        after = words.toDF("word", "a0", "a1")
-        pairs = cut(
-            shared.join(before, "first")
-            .join(after, "word")
-            .select(
-                "first",
-                "word",
-                (F.log("c1") - F.log("b1") - F.log("a1")).alias("v0"),
-                (F.log("c0") - F.log("b0") - F.log("a0")).alias("v1"),
-            )
-            .mapInArrow(_with_key, "key long, v0 double, v1 double")
+    words = cut(_counts(rows, False).select("word", "c0", "c1"))
+    totals = words.agg(F.sum("c0"), F.sum("c1")).first()
+    # What a document of a half reads: the other half's counts.
+    logs = words.select(
+        F.col("word").alias("key"),
+        F.log(F.greatest("c1", F.lit(1))).alias("v0"),
+        F.log(F.greatest("c0", F.lit(1))).alias("v1"),
+    )
+    shared = cut(_counts(rows, True).where("c0 > 0 and c1 > 0"))
+    before = words.toDF("first", "b0", "b1")
+    after = words.toDF("word", "a0", "a1")
+    pairs = cut(
+        shared.join(before, "first")
+        .join(after, "word")
+        .select(
+            "first",
+            "word",
+            (F.log("c1") - F.log("b1") - F.log("a1")).alias("v0"),
+            (F.log("c0") - F.log("b0") - F.log("a0")).alias("v1"),
         )
-        discard(shared)
-        value = F.col("times") * F.when(F.col("half") == 0, F.col("v0")).otherwise(F.col("v1"))
+        .mapInArrow(_with_key, "key long, v0 double, v1 double")
+    )
+    discard(shared)
+    value = F.col("times") * F.when(F.col("half") == 0, F.col("v0")).otherwise(F.col("v1"))
 
-        def summed(exploded: DataFrame, table: DataFrame, name: str) -> DataFrame:
-            found = exploded.join(table.hint("shuffle_hash"), "key")
-            return cut(found.groupBy("id").agg(F.sum("times").alias(f"n_{name}"), F.sum(value).alias(name)))
+    def summed(exploded: DataFrame, table: DataFrame, name: str) -> DataFrame:
+        found = exploded.join(table.hint("shuffle_hash"), "key")
+        return cut(found.groupBy("id").agg(F.sum("times").alias(f"n_{name}"), F.sum(value).alias(name)))
 
-        single = summed(_exploded(rows, False), logs, "words")
-        discard(words)
-        double = summed(_exploded(rows, True), pairs, "matched")
-        discard(pairs)
+    single = summed(_exploded(rows, False), logs, "words")
+    discard(words)
+    double = summed(_exploded(rows, True), pairs, "matched")
+    discard(pairs)
     ids = rows.groupBy("id").agg(F.first("half").alias("half"))
     known = ids.join(single.withColumnRenamed("id", "i"), F.col("id").eqNullSafe(F.col("i")), "left").drop("i")
     known = known.join(double.withColumnRenamed("id", "j"), F.col("id").eqNullSafe(F.col("j")), "left").drop("j")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +14,30 @@ from ledgerlane.sinks import stage, staging_folder
 BROADCAST_BYTES = 64 << 20
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Jobs in here drop their shuffle files when they end."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Runs `df` into a table under spark.checkpoint.dir and returns a reader of it."""
-    return stage(df, staging_folder(df.sparkSession))
+    """Runs `df` into a table under spark.checkpoint.dir and returns a reader of it.
+
+    The table takes the place of the shuffle files that led to it, so these go at once.
+    """
+    with _shuffles_removed(df.sparkSession):
+        return stage(df, staging_folder(df.sparkSession))
 
 
 def discard(*tables: DataFrame) -> None:
