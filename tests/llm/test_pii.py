@@ -1,0 +1,104 @@
+import random
+import re
+import time
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from helpers import DOCUMENTS, clashing, empty, odd_documents, rows_of
+
+from ledgerlane.llm.crf import LABELS, luhn, train
+from ledgerlane.llm.pii import labelled_table, redacted, rule_spans, run_find_personal_data, run_redact, spans_of
+
+PATTERNS = {
+    0: r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    1: r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    2: r"[0-9]([\x20-]?[0-9])+",
+    3: r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain(text):
+    """The patterns as they are stated."""
+    found = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                0: True,
+                1: kind != 1 or all(int(p) <= 255 for p in m[0].split(".")),
+                2: 13 <= len(digits) <= 19 and luhn(digits),
+                3: 9 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                found.append((kind, m.start(), m.end()))
+    return found
+
+
+@pytest.fixture(scope="module")
+def model():
+    return train(labelled_table())
+
+
+@pytest.mark.parametrize("letters", ["aB@@...12 3-+()5 é,", "0123456789 -+.", "a@.b-_"])
+def test_rules_equal_the_stated_patterns(letters):
+    rng = random.Random(letters)
+    for _ in range(4000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 60)))
+        assert rule_spans(text) == plain(text), text
+
+
+def test_field_labels_held_out_sentences(model):
+    table = labelled_table(300, seed=99)
+    found = model.decode([words for words, _ in table])
+    assert np.mean([labels == list(got) for (_, labels), got in zip(table, found)]) > 0.97
+
+
+def test_viterbi_is_the_best_of_all_paths(model):
+    words = "call +49 (030) 555-7713 1.2.3.4 now".split()
+    scores, _ = model.emissions([words])
+    best, choice = -np.inf, None
+    for code in range(len(LABELS) ** len(words)):
+        labels = [code // len(LABELS) ** k % len(LABELS) for k in range(len(words))]
+        total = sum(scores[0, p, label] for p, label in enumerate(labels))
+        total += sum(model.moves[a, b] for a, b in zip(labels, labels[1:]))
+        if total > best:
+            best, choice = total, labels
+    assert model.decode([words, words[:1]])[0].tolist() == choice
+
+
+def test_the_field_adds_what_the_patterns_miss(model):
+    texts = ["mail bob [at] example [dot] com now", "call (030) 555-7713 now", "see +1 (826) 555-4081 190.137.223.204 there"]
+    found = [[s[:3] for s in row if not s[3]] for row in spans_of(pa.array(texts), model)]
+    assert found == [[(0, 5, 31)], [(3, 5, 19)], [(3, 4, 21)]]
+    clean = ["version 2.0, 1999 to 2024", "order no 1234567890", 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"', "4785380592391138", "plain words only"]
+    assert [row for row in spans_of(pa.array(clean), model) if row] == []
+
+
+def test_long_texts_take_linear_time(model):
+    started = time.time()
+    for text in ("0" * 200_000, "a" * 200_000 + "@", "+" * 100_000, "1." * 100_000, "x " * 100_000):
+        spans_of(pa.array([text]), model)
+    assert time.time() - started < 20
+    assert rule_spans(".".join(["0" * 5000] * 4)) == [(1, 0, 20003)]
+
+
+def test_awkward_rows(spark):
+    documents = clashing(odd_documents(spark)).union(
+        clashing(spark.createDataFrame([(50, "é a@b.c", None, None, None)] * 2, DOCUMENTS))
+    )
+    found = run_find_personal_data(documents)
+    assert found.columns == ["doc_id", "spans"]
+    spans = [(r.doc_id, [(s.kind, s.start, s.end) for s in r.spans if s.by_rule]) for r in found.collect()]
+    assert sorted(spans, key=repr) == sorted(
+        [(i, []) for i in (1, 1, 2, 3, 4, 5, 6, 7, None)] + [(50, [("email", 2, 7)])] * 2, key=repr
+    )
+    assert run_find_personal_data(empty(spark)).collect() == []
+    clean = run_redact(documents)
+    assert clean.dtypes == documents.dtypes
+    assert rows_of(clean.where("doc_id = 50"), "text", "n_chars") == [("é [EMAIL]", 9)] * 2
+    assert rows_of(clean.where("doc_id < 50 or doc_id is null"), "*") == rows_of(documents.where("doc_id < 50 or doc_id is null"), "*")
+
+
+def test_overlapping_spans_share_a_marker():
+    assert redacted("ab 1234 cd", [(2, 3, 6, True), (3, 5, 7, True)]) == "ab [CARD] cd"
