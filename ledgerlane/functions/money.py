@@ -1,8 +1,9 @@
 """Money arithmetic that rounds half up on the decimal value, not on binary noise.
 
-Inputs may be decimals (kept exact throughout) or doubles. A double is read as the decimal it
-prints as; NaN, infinities and numbers too long for the decimal type fall back to double
-arithmetic, so no value is lost from a product, a sum or an average.
+Inputs may be decimals, whole numbers or doubles. Decimals and whole numbers are kept exact at the
+widths of their own types. A double is read as a decimal only where that decimal is the same double
+again; all others (NaN, infinities, more digits than fit) take double arithmetic, so no value is cut
+off or lost from a product, a sum or an average.
 """
 
 from __future__ import annotations
@@ -13,29 +14,51 @@ from pyspark.sql import types as T
 
 from ledgerlane.functions.names import ref
 
-# Widths chosen so that products and weighted sums stay within 38 digits without losing scale.
+# Widths for doubles, chosen so that products and weighted sums keep all their digits within 38.
+# They limit nothing: what does not fit them is calculated in doubles.
 FACTOR = "decimal(24,8)"
 RATE = "decimal(13,8)"
-WHOLE = "decimal(12,0)"
 ADDEND = T.DecimalType(28, 8)
-COPIES = "decimal(9,0)"
+COUNT_BESIDE_FACTOR = "decimal(12,0)"
+COPIES_BESIDE_ADDEND = "decimal(9,0)"
+# Holds every bigint.
+WHOLE = "decimal(20,0)"
 
 
 def is_floating(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
 
 
-def _exact(df: DataFrame, name: str, floating: str = FACTOR) -> Column:
-    if isinstance(df.schema[name].dataType, T.DecimalType):
+def is_decimal(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.DecimalType)
+
+
+def lossless(value: Column, kind: str | T.DecimalType) -> Column:
+    """A double as a decimal, or null where the decimal is another number."""
+    exact = value.try_cast(kind)
+    return F.when(exact.cast("double") == value, exact)
+
+
+def _exact(df: DataFrame, name: str, beside_floating: bool, floating: str = FACTOR) -> Column:
+    if is_floating(df, name):
+        return lossless(ref(name), floating)
+    if is_decimal(df, name):
         return ref(name)
-    return ref(name).try_cast(floating if is_floating(df, name) else WHOLE)
+    return ref(name).try_cast(COUNT_BESIDE_FACTOR) if beside_floating else ref(name).cast(WHOLE)
+
+
+def _or_double(exact: Column, fallback: Column, floating: bool) -> Column:
+    """Exact values where there are any, else the double result, in the type of the inputs."""
+    if floating:
+        return F.coalesce(exact.cast("double"), fallback)
+    return F.coalesce(exact, fallback.try_cast("decimal(38,2)"))
 
 
 def rounded_product(df: DataFrame, left: str, right: str, digits: int = 2) -> Column:
-    exact = F.round(_exact(df, left) * _exact(df, right, RATE), digits)
-    if not (is_floating(df, left) or is_floating(df, right)):
-        return exact
-    return F.coalesce(exact.cast("double"), F.round(ref(left) * ref(right), digits))
+    floating = is_floating(df, left) or is_floating(df, right)
+    factors = _exact(df, left, floating), _exact(df, right, floating, RATE)
+    exact = F.round(F.try_multiply(*factors), digits)
+    return _or_double(exact, F.round(ref(left).cast("double") * ref(right).cast("double"), digits), floating)
 
 
 def rounded_difference(left: str, right: str, digits: int = 2) -> Column:
@@ -45,40 +68,44 @@ def rounded_difference(left: str, right: str, digits: int = 2) -> Column:
 
 def rounded_ratio(df: DataFrame, amount: str, divisor: str, digits: int = 2) -> Column:
     """`amount / divisor`; null for a zero divisor."""
+    floating = is_floating(df, amount) or is_floating(df, divisor)
     by = F.nullif(ref(divisor), F.lit(0))
-    exact = F.round(_exact(df, amount) / by.try_cast(WHOLE), digits)
-    if not is_floating(df, amount):
-        return exact
-    return F.coalesce(exact.cast("double"), F.round(ref(amount) / by, digits))
-
+    exact_by = F.nullif(_exact(df, divisor, floating), F.lit(0).cast(WHOLE))
+    exact = F.round(F.try_divide(_exact(df, amount, floating), exact_by), digits)
+    return _or_double(exact, F.round(ref(amount).cast("double") / by.cast("double"), digits), floating)
 
-def _weighted(column: Column, copies: str | None, kind: str) -> Column:
-    return column if copies is None else column * ref(copies).cast(kind)
 
+def exact_and_rest(value: Column, floating: bool, copies: Column | None = None) -> tuple[Column, Column | None]:
+    """What of an addend can be summed exactly, each row counted `copies` times, and what can't, as doubles.
 
-def _split(df: DataFrame, name: str) -> tuple[Column, Column | None]:
-    """The exact part of a column and, for doubles, the part that has no decimal form."""
-    if not is_floating(df, name):
-        return ref(name), None
-    exact = ref(name).try_cast(ADDEND)
-    return exact, F.when(exact.isNull(), ref(name))
+    One of the two is null for every row. Without floating values there is no second part.
+    """
+    if not floating:
+        return (value if copies is None else value * copies.cast(WHOLE)), None
+    exact = lossless(value, ADDEND)
+    if copies is None:
+        return exact, F.when(exact.isNull(), value)
+    exact = exact * copies.try_cast(COPIES_BESIDE_ADDEND)
+    return exact, F.when(exact.isNull(), value * copies.cast("double"))
 
 
-def _sum(df: DataFrame, exact: Column, name: str, copies: str | None) -> Column:
+def _split(df: DataFrame, name: str, copies: str | None) -> tuple[Column, Column | None]:
+    weight = None if copies is None else ref(copies)
     if isinstance(df.schema[name].dataType, T.IntegralType):
-        return F.sum(_weighted(exact, copies, "bigint"))
-    return F.sum(_weighted(exact, copies, COPIES))
+        value = ref(name) if weight is None else ref(name).cast(WHOLE) * weight.cast(WHOLE)
+        return value, None
+    return exact_and_rest(ref(name), is_floating(df, name), weight)
 
 
 def rounded_sum(df: DataFrame, name: str, digits: int = 2, copies: str | None = None) -> Column:
     """Aggregate: sum of a column, each row counted `copies` times."""
-    exact, rest = _split(df, name)
-    total = F.round(_sum(df, exact, name, copies), digits)
+    exact, rest = _split(df, name, copies)
+    total = F.round(F.sum(exact), digits)
     if rest is None:
         return total
-    leftover = F.sum(_weighted(rest, copies, "double"))
+    leftover = F.sum(rest)
     return F.when(leftover.isNull(), total.cast("double")).otherwise(
-        F.round(F.coalesce(total.cast("double"), F.lit(0.0)) + leftover, digits)
+        F.round(F.coalesce(F.sum(exact).cast("double"), F.lit(0.0)) + leftover, digits)
     )
 
 
@@ -88,20 +115,21 @@ def rounded_avg(df: DataFrame, name: str, digits: int = 2, copies: str | None =
     Divides an exact sum by an exact count, which keeps at least 15 digits for two-digit money;
     averaging decimals directly would round to six digits first and can turn 0.1249996 into 0.13.
     """
-    exact, rest = _split(df, name)
+    exact, rest = _split(df, name, copies)
     kind = df.schema[name].dataType
-    scale = kind.scale if isinstance(kind, T.DecimalType) else ADDEND.scale if rest is not None else 0
-    if copies is None:
-        rows = F.count(ref(name))
-    else:
-        rows = F.sum(F.when(ref(name).isNotNull(), ref(copies)))
-    total = _sum(df, exact, name, copies).cast(T.DecimalType(20 + scale, scale))
-    mean = F.round(total / F.nullif(rows, F.lit(0)).cast(WHOLE), digits)
+    scale = kind.scale if is_decimal(df, name) else ADDEND.scale if rest is not None else 0
+    rows = F.count(ref(name)) if copies is None else F.sum(F.when(ref(name).isNotNull(), ref(copies).cast(WHOLE)))
+    some_rows = F.nullif(rows.cast(WHOLE), F.lit(0).cast(WHOLE))
+    # A sum too large for this width has no decimal places left to lose in a double.
+    total = F.sum(exact).try_cast(T.DecimalType(20 + scale, scale))
+    in_doubles = F.coalesce(F.sum(exact).cast("double"), F.when(rows > 0, F.lit(0.0)))
+    mean = F.round(F.try_divide(total, some_rows), digits)
     if rest is None:
-        return mean if isinstance(kind, T.DecimalType) else mean.cast("double")
-    leftover = F.sum(_weighted(rest, copies, "double"))
-    return F.when(leftover.isNull(), mean.cast("double")).otherwise(
-        F.round((F.coalesce(total.cast("double"), F.lit(0.0)) + leftover) / rows, digits)
+        mean = F.coalesce(mean, F.round(F.sum(exact).cast("double") / some_rows.cast("double"), digits).try_cast("decimal(38,6)"))
+        return mean if is_decimal(df, name) else mean.cast("double")
+    leftover = F.sum(rest)
+    return F.when(leftover.isNull() & total.isNotNull(), mean.cast("double")).otherwise(
+        F.round((in_doubles + F.coalesce(leftover, F.lit(0.0))) / some_rows.cast("double"), digits)
     )
 
 

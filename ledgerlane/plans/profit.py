@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import mul
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlane.functions import ref
-from ledgerlane.functions.money import ADDEND, COPIES, is_floating
+from ledgerlane.functions.money import COPIES_BESIDE_ADDEND, WHOLE, exact_and_rest, is_floating
 from ledgerlane.operators.lookups import Dimension, dimension, left_lookup, with_copies
 from ledgerlane.operators.metrics import ordering
 
@@ -46,19 +48,27 @@ PROFIT_TABLES = {
 }
 
 
-def _exact_profit(orders: DataFrame) -> Column:
-    return ref("profit").try_cast(ADDEND) if is_floating(orders, "profit") else ref("profit")
+def _add_up(df: DataFrame, keys: Sequence[str], copies: Sequence[str] = ()) -> DataFrame:
+    """Partial sums stay exact decimals until the last step rounds them.
+
+    With doubles in the fact there is a second sum, of what has no exact form; rows that occur too
+    often for an exact product go there.
+    """
+    if not copies:
+        sums = [_narrow(F.sum("profit"), df).alias("profit")]
+        return df.groupBy(*keys).agg(*sums, *(F.sum(c).alias(c) for c in df.columns if c == "profit_rest"))
+    weight = reduce(mul, [ref(name).cast(WHOLE) for name in copies])
+    if "profit_rest" not in df.columns:
+        return df.groupBy(*keys).agg(_narrow(F.sum(ref("profit") * weight), df).alias("profit"))
+    exact = ref("profit") * weight.try_cast(COPIES_BESIDE_ADDEND)
+    in_doubles = F.when(exact.isNull(), ref("profit").cast("double"))
+    rest = F.coalesce(ref("profit_rest") + F.coalesce(in_doubles, F.lit(0.0)), in_doubles) * weight.cast("double")
+    return df.groupBy(*keys).agg(_narrow(F.sum(exact), df).alias("profit"), F.sum(rest).alias("profit_rest"))
 
 
-def _add_up(df: DataFrame, keys: Sequence[str], copies: Sequence[str] = ()) -> DataFrame:
-    """Partial sums stay exact decimals until the last step rounds them."""
-    exact, rest = ref("profit"), ref("profit_rest")
-    for name in copies:
-        exact, rest = exact * ref(name).cast(COPIES), rest * ref(name).cast("double")
-    sums = {"profit": F.sum(exact).cast(T.DecimalType(28, df.schema["profit"].dataType.scale))}
-    if "profit_rest" in df.columns:
-        sums["profit_rest"] = F.sum(rest)
-    return df.groupBy(*keys).agg(*[total.alias(name) for name, total in sums.items()])
+def _narrow(total: Column, df: DataFrame) -> Column:
+    """Back to a width that leaves room for the next product; sums of profit have at most 20 whole digits."""
+    return total.cast(T.DecimalType(28, df.schema["profit"].dataType.scale))
 
 
 def _look_up(rows: DataFrame, table: Dimension, labels: Sequence[str], copies: str) -> DataFrame:
@@ -97,10 +107,10 @@ def profit_totals(
     ]
 
     columns = [*ids, *([F.year("order_date").alias("order_year")] if year else [])]
-    columns.append(_exact_profit(orders).alias("profit"))
-    if is_floating(orders, "profit"):
-        # The part without a decimal form (NaN, infinite, over-long); null everywhere else.
-        columns.append(F.when(ref("profit").try_cast(ADDEND).isNull(), ref("profit")).alias("profit_rest"))
+    exact, rest = exact_and_rest(ref("profit"), is_floating(orders, "profit"))
+    columns.append(exact.alias("profit"))
+    if rest is not None:
+        columns.append(rest.alias("profit_rest"))
     rows, copies = orders.select(*columns), []
 
     if silent:
