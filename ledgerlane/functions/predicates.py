@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import operator
+import re
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column
@@ -19,6 +21,8 @@ COMPARISONS = {
     "!=": operator.ne,
 }
 
+NUMBER = re.compile(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?")
+
 # Fixed value: what counts as an email address.
 EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 
@@ -30,8 +34,17 @@ def _comparison(symbol: str):
 
 
 def compare(column: str, symbol: str, value: Any) -> Column:
-    """Column against a literal. A text literal is cast to the column's type by Spark."""
-    return _comparison(symbol)(ref(column), F.lit(value))
+    """Column against a literal.
+
+    A text that reads as a number is compared as that number, whatever the column's type: "0.5" against
+    whole numbers is 0.5, not an error. Any other text is cast to the column's type by Spark.
+    """
+    literal = F.lit(value)
+    if isinstance(value, str) and NUMBER.fullmatch(value.strip()):
+        number = Decimal(value.strip())
+        wide = len(number.as_tuple().digits) > 30 or abs(number.adjusted()) > 15
+        literal = F.lit(float(number) if wide else number)
+    return _comparison(symbol)(ref(column), literal)
 
 
 def compare_columns(left: str, symbol: str, right: str) -> Column:

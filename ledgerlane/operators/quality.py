@@ -18,13 +18,17 @@ FIRST_FAILED = "first_failed_rule"
 
 # A key with this many rows is worth keeping out of a shuffle.
 HOT_ROWS = 4_000_000
+# At most so many such keys are broadcast.
+HOT_KEYS_SENT = 10_000
 
 
 def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Adds typed values, `failed_rules`, `first_failed_rule` and the untouched row in `_raw`.
 
-    One projection serves every rule and both sides of the split. Rules keep their order, so
-    `first_failed_rule` is the rule that would have caught the row had they run one after another.
+    One projection serves every rule and both sides of the split: the verdicts come out of a
+    generator, which the optimizer neither copies into later filters nor evaluates twice. Rules keep
+    their order, so `first_failed_rule` is the rule that would have caught the row had they run one
+    after another. Rules of one name are one rule that needs all their conditions.
     """
     typed: dict[str, Column] = {}
     for rule in rules:
@@ -38,11 +42,15 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         return shaped.withColumns(
             {FAILED_RULES: F.array().cast("array<string>"), FIRST_FAILED: F.lit(None).cast("string")}
         )
-    met = {rule.name: F.coalesce(rule.condition(), F.lit(False)) for rule in rules}
+    met: dict[str, Column] = {}
+    for rule in rules:
+        ok = F.coalesce(rule.condition(), F.lit(False))
+        met[rule.name] = met[rule.name] & ok if rule.name in met else ok
     # array_remove and coalesce both compile; a filtering lambda would drop out of codegen.
     failed = F.array_remove(F.array(*[F.when(ok, "").otherwise(name) for name, ok in met.items()]), "")
     first = F.coalesce(*[F.when(~ok, name) for name, ok in met.items()])
-    return shaped.withColumns({FAILED_RULES: failed, FIRST_FAILED: first})
+    verdict = F.struct(failed.alias(FAILED_RULES), first.alias(FIRST_FAILED))
+    return shaped.select("*", F.inline(F.array(verdict)))
 
 
 def valid(flagged: DataFrame, forgiving: Iterable[str] = ()) -> DataFrame:
@@ -50,7 +58,7 @@ def valid(flagged: DataFrame, forgiving: Iterable[str] = ()) -> DataFrame:
     passed = F.col(FIRST_FAILED).isNull()
     forgiven = list(forgiving)
     if forgiven:
-        passed = passed | F.col(FIRST_FAILED).isin(forgiven)
+        passed = passed | (F.size(F.array_except(FAILED_RULES, F.array(*map(F.lit, forgiven)))) == 0)
     return flagged.filter(passed).drop(RAW, FAILED_RULES, FIRST_FAILED)
 
 
@@ -99,21 +107,25 @@ def duplicate_rows(df: DataFrame, keys: str | Sequence[str], hot_rows: int = HOT
     """Every row whose key occurs more than once; empty when the key is unique.
 
     Counting combines on the map side, so only one row per key and task is shuffled; rows then go
-    back through a null-safe semi join. Rows of a key with `hot_rows` or more copies would all meet
-    in one task there, even with a salt if they are exact copies. Such keys number at most
-    rows / hot_rows, so they are broadcast and their rows never shuffled. Helper names cannot clash
-    with the data's own.
+    back through a null-safe join. Rows of a key with `hot_rows` or more copies would all meet in
+    one task there, even with a salt if they are exact copies. Such keys are told apart by a
+    broadcast of at most HOT_KEYS_SENT of them, the most frequent, and their rows never shuffled;
+    further ones are left to Spark's splitting of skewed joins.
+    Helper names cannot clash with the data's own.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
     aliases = [f"__key_{i}" for i in range(len(names))]
     counted = df.select(*[ref(k).alias(a) for k, a in zip(names, aliases)]).groupBy(*aliases)
     repeated = counted.agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > 1)
+    by_size = [F.desc("__rows"), *aliases]
+    hot = repeated.filter(F.col("__rows") >= hot_rows).orderBy(*by_size).limit(HOT_KEYS_SENT)
+    sent = hot.select(*[F.col(a).alias(f"{a}_hot") for a in aliases], F.lit(True).alias("__hot"))
+    told = reduce(and_, [ref(k).eqNullSafe(F.col(f"{a}_hot")) for k, a in zip(names, aliases)])
+    flagged = df.join(F.broadcast(sent), told, "left").drop(*[f"{a}_hot" for a in aliases])
     same = reduce(and_, [ref(k).eqNullSafe(F.col(a)) for k, a in zip(names, aliases)])
-    hot = F.broadcast(repeated.filter(F.col("__rows") >= hot_rows))
-    others = repeated.filter(F.col("__rows") < hot_rows)
-    return df.join(hot, same, "left_semi").union(
-        df.join(hot, same, "left_anti").join(others, same, "left_semi")
-    )
+    kept = flagged.filter("__hot").drop("__hot")
+    others = flagged.filter("__hot is null").drop("__hot").join(repeated, same, "left_semi")
+    return kept.union(others)
 
 
 def keys_are_unique(df: DataFrame, keys: Sequence[str]) -> bool:
@@ -121,6 +133,11 @@ def keys_are_unique(df: DataFrame, keys: Sequence[str]) -> bool:
     return duplicate_keys(df, keys, "__rows").isEmpty()
 
 
+def run_has_rows(df: DataFrame) -> bool:
+    """Whether a report holds any row; the job ends at the first one it finds."""
+    return not df.isEmpty()
+
+
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column_name, null_count) for columns that hold at least one null; one pass, lazy."""
     names = list(columns or df.columns)

@@ -38,6 +38,20 @@ class TypeRule(Rule):
         return ref(self.column).isNotNull()
 
 
+@dataclass(frozen=True)
+class ReadableRule(Rule):
+    """The reader could make a whole record of the source text; `column` holds the text otherwise."""
+
+    column: str
+
+    @property
+    def name(self) -> str:
+        return "readable record"
+
+    def condition(self) -> Column:
+        return ref(self.column).isNull()
+
+
 @dataclass(frozen=True)
 class CompareRule(Rule):
     column: str
@@ -73,7 +87,7 @@ class EmailRule(Rule):
 
     @property
     def name(self) -> str:
-        return f"{self.column} is an email"
+        return f"{self.column} is an email" + (" in one line" if self.strict else "")
 
     def condition(self) -> Column:
         return is_email(self.column, self.strict)

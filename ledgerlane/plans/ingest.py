@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerlane.contracts import CONTRACTS, DatasetContract
 from ledgerlane.operators.lookups import Dimension, heavy_hitters, hot_keys, orphans, run_measure
+from ledgerlane.operators.rules import ReadableRule
 from ledgerlane.operators.quality import (
     duplicate_rows,
     evaluate,
@@ -22,6 +23,7 @@ from ledgerlane.operators.shape import conform
 from ledgerlane.settings import Settings
 from ledgerlane.sinks import stage, staging_folder, write_table
 from ledgerlane.sources import read_dataset
+from ledgerlane.sources.files import CORRUPT
 
 # Columns of a dataset that later serve as lookup keys.
 LOOKUP_KEYS = {"orders": ("customer_id", "product_id")}
@@ -57,11 +59,12 @@ def ingest(
         fmt=settings.formats.get(contract.name),
         **settings.read_options.get(contract.name, {}),
     )
-    flagged = evaluate(source, contract.rules)
+    rules = ([ReadableRule(CORRUPT)] if CORRUPT in source.columns else []) + list(contract.rules)
+    flagged = evaluate(source, rules)
     keys = LOOKUP_KEYS.get(contract.name, ())
     seen = Observation(f"ingest {contract.name}")
     observed = without_raw_of_valid(flagged).observe(
-        seen, *rule_counters(contract.rules), *[heavy_hitters(k).alias(f"frequent {k}") for k in keys]
+        seen, *rule_counters(rules), *[heavy_hitters(k).alias(f"frequent {k}") for k in keys]
     )
     staged = stage(observed, f"{staging or staging_folder(spark)}/{contract.name}")
     counts = dict(seen.get)
@@ -90,18 +93,21 @@ class Store:
     orders: Ingested
     customers: Ingested
     products: Ingested
+    _dimensions: tuple[Dimension, Dimension] | None = field(default=None, repr=False)
 
     def missing_products(self) -> DataFrame:
-        return orphans(self.orders.clean, self._lookup(self.products, "product_id"), "product_id")
+        return orphans(self.orders.clean, self.dimensions()[1], "product_id")
 
     def missing_customers(self) -> DataFrame:
-        return orphans(self.orders.clean, self._lookup(self.customers, "customer_id"), "customer_id")
-
-    def _lookup(self, dataset: Ingested, key: str) -> Dimension:
-        return Dimension(dataset.clean, key, hot=self.orders.hot[key])
+        return orphans(self.orders.clean, self.dimensions()[0], "customer_id")
 
     def dimensions(self) -> tuple[Dimension, Dimension]:
-        """Customers and products with their measured size and the orders' hot keys."""
+        """Customers and products with their measured size and the orders' hot keys; a job the first time."""
+        if self._dimensions is None:
+            self._dimensions = self._run_dimensions()
+        return self._dimensions
+
+    def _run_dimensions(self) -> tuple[Dimension, Dimension]:
         measured = run_measure((self.customers.clean, "customer_id"), (self.products.clean, "product_id"))
         customers, products = (d if d.small else replace(d, hot=self.orders.hot[d.key]) for d in measured)
         return customers, products

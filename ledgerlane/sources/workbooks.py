@@ -17,6 +17,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlane.functions import quoted
@@ -156,16 +157,18 @@ def decode_workbooks(
 
 
 def _run_headers(files: DataFrame, sheet: str | None, header_rows: int) -> list[str]:
-    """Runs a job that reads the header of one workbook."""
+    """Runs a job that reads the header of every workbook: all names, in the order of the first paths."""
 
-    def first_header(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for content in batch["content"]:
+            for path, content in zip(batch["path"], batch["content"]):
                 rows = sheet_rows(content, sheet)
-                yield pd.DataFrame({"headers": [[next(rows, []) for _ in range(header_rows)][-1]]})
+                found = [h for h in [next(rows, []) for _ in range(header_rows)][-1] if h]
+                yield pd.DataFrame({"path": path, "place": range(len(found)), "name": found})
 
-    header = files.select("content").limit(1).mapInPandas(first_header, "headers array<string>").first()
-    return [] if header is None else [h for h in header["headers"] if h]
+    named = files.select("path", "content").mapInPandas(headers, "path string, place int, name string")
+    first = named.groupBy("name").agg(F.min(F.struct("path", "place")).alias("first"))
+    return [row["name"] for row in first.orderBy("first").collect()]
 
 
 def read_workbooks(
@@ -175,8 +178,11 @@ def read_workbooks(
     header_rows: int = 1,
     headers: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All workbooks of a folder, glob or file. Without `headers` the first workbook's are used."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
+    """All workbooks of a folder, glob or file, whatever the case of their suffix.
+
+    Without `headers` there is a column for every header that any workbook has.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][lL][sS][xX]")
     files = reader.load(path)
     if headers is None:
         headers = _run_headers(files, sheet, header_rows)

@@ -9,7 +9,10 @@ from ledgerlane.plans import PROFIT_SQL, profit_sql
 from ledgerlane.plans.pipeline import run_pipeline
 from ledgerlane.settings import Settings
 from ledgerlane.sinks import stage, staging_folder, table_format, write_table
+from ledgerlane.operators.quality import FIRST_FAILED, evaluate, rejected, valid
+from ledgerlane.operators.rules import ReadableRule
 from ledgerlane.sources import read_dataset, read_files, read_workbooks
+from ledgerlane.sources.files import CORRUPT
 from ledgerlane.sources.workbooks import sheet_rows
 from workload.workbooks import workbook_bytes
 
@@ -64,7 +67,7 @@ def files(tmp_path_factory):
 
 def test_csv_is_read_as_text(spark, files):
     df = read_dataset(spark, str(files / "Products.csv"), PRODUCTS)
-    assert df.columns == PRODUCTS.schema.names
+    assert df.columns == [*PRODUCTS.schema.names, CORRUPT]
     assert {t for _, t in df.dtypes} == {"string"}
     assert df.first().product_name == "Chair, oak"
     inferred = read_files(spark, str(files / "Products.csv"), {"State": "state", "Absent": "x"}, infer=True)
@@ -210,3 +213,39 @@ def test_pipeline_outputs(spark, run):
         assert sorted(map(str, profit_sql(spark, name).collect())) == sorted(
             map(str, outputs[name].select(*profit_sql(spark, name).columns).collect())
         )
+
+
+def test_csv_records_of_another_width_are_quarantined(spark, tmp_path):
+    header = ",".join(PRODUCTS.headers)
+    (tmp_path / "p.csv").write_text(f"{header}\n1,c,s,n,t,2.5\n2,c,s,n,t,2.5,more\n3,c,s\n")
+    rows = {r.product_id: r for r in read_dataset(spark, str(tmp_path / "p.csv"), PRODUCTS).collect()}
+    assert rows["1"][CORRUPT] is None
+    assert rows["2"][CORRUPT] == "2,c,s,n,t,2.5,more" and rows["3"][CORRUPT] == "3,c,s"
+    flagged = evaluate(read_dataset(spark, str(tmp_path / "p.csv"), PRODUCTS), [ReadableRule(CORRUPT), *PRODUCTS.rules])
+    assert [r.product_id for r in valid(flagged).collect()] == ["1"]
+    assert {r[FIRST_FAILED] for r in rejected(flagged).collect()} == {"readable record"}
+    (tmp_path / "q.csv").write_text("Product ID,Category\n1,c\n")
+    with pytest.raises(ValueError, match="lacks the headers Sub-Category"):
+        read_dataset(spark, str(tmp_path / "q.csv"), PRODUCTS)
+
+
+def test_headers_match_in_any_case(spark, tmp_path):
+    (tmp_path / "lines.json").write_text('{"row id": "7", "PRICE": "2"}\n{"row id": "8"}\n')
+    rows = read_dataset(spark, str(tmp_path / "lines.json"), ORDERS, multiLine="false").collect()
+    assert sorted((r.row_id, r.price) for r in rows) == [("7", "2"), ("8", None)]
+    rows = read_dataset(spark, str(tmp_path / "lines.json"), ORDERS, multiLine="false", headersAsSpelled="true").collect()
+    assert [(r.row_id, r.price) for r in rows] == [(None, None)] * 2
+    (tmp_path / "c.csv").write_text(",".join(h.upper() for h in PRODUCTS.headers) + "\n1,c,s,n,t,2.5\n")
+    assert read_dataset(spark, str(tmp_path / "c.csv"), PRODUCTS).first().price_per_product == "2.5"
+
+
+def test_workbooks_with_other_headers_and_suffixes(spark, tmp_path):
+    from workload.workbooks import as_workbooks
+
+    for name, row in (("a.xlsx", [("1", "x")]), ("b.XLSX", [("2", "y")])):
+        columns = "Id string, Name string" if name[0] == "a" else "Id string, Town string"
+        book = as_workbooks(spark.createDataFrame(row, columns)).first()["content"]
+        (tmp_path / name).write_bytes(bytes(book))
+    found = read_workbooks(spark, str(tmp_path), sheet="Worksheet")
+    assert found.columns == ["Id", "Name", "Town"]
+    assert sorted(map(tuple, found.collect())) == [("1", "x", None), ("2", None, "y")]

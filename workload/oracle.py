@@ -424,7 +424,9 @@ SELECT order_id, row_id, product_id, customer_id
 FROM orders_v o WHERE NOT EXISTS (SELECT 1 FROM products_v p WHERE p.product_id = o.product_id)"""
 ORACLE["conform_types"] = f"""
 WITH {TEXT_ORDERS}
-SELECT customer_id, TRY_CAST(discount AS DOUBLE) AS discount, order_id, TRY_CAST(price AS DOUBLE) AS price, product_id,
+SELECT customer_id, TRY_CAST(discount AS DOUBLE) AS discount,
+       CASE WHEN contains(order_date, '-') THEN TRY_CAST(order_date AS DATE) END AS order_date,
+       order_id, TRY_CAST(price AS DOUBLE) AS price, product_id,
        TRY_CAST(profit AS DOUBLE) AS profit, {as_long("quantity")} AS quantity, {as_long("row_id")} AS row_id,
        TRY_CAST(ship_date AS DATE) AS ship_date, ship_mode
 FROM text_orders"""

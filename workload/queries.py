@@ -27,6 +27,7 @@ from ledgerlane.plans.ingest import Store, run_ingest
 from ledgerlane.settings import Settings
 from ledgerlane.sinks import stage, staging_folder, write_table
 from ledgerlane.sources import decode_workbooks, read_dataset
+from ledgerlane.sources.files import CORRUPT
 from workload import views
 from workload.workbooks import as_workbooks
 
@@ -336,7 +337,7 @@ def orphans_by_product(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def conform_types(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.conform(views.text_orders(spark, folder).drop("order_date"), [f for f in ORDERS.schema if f.name != "order_date"])
+    return ops.conform(views.text_orders(spark, folder), ORDERS.schema)
 
 
 # Sources and sinks --------------------------------------------------------------------------
@@ -350,7 +351,7 @@ def _with_headers(df: DataFrame, contract) -> DataFrame:
 def csv_products(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{staging_folder(spark)}/products_csv"
     _with_headers(views.text_products(spark, folder), PRODUCTS).write.option("header", "true").csv(path)
-    return read_dataset(spark, path, PRODUCTS, fmt="csv").drop("state")
+    return read_dataset(spark, path, PRODUCTS, fmt="csv").drop("state", CORRUPT)
 
 
 @query
