@@ -17,6 +17,7 @@ from ledgerlane.operators.quality import (
     null_counts_wide,
     quarantine,
     rejected,
+    run_has_rows,
     run_null_report,
     split,
     valid,
@@ -48,6 +49,7 @@ __all__ = [
     "rejected",
     "run_hot_keys",
     "run_measure",
+    "run_has_rows",
     "run_null_report",
     "split",
     "summarize",

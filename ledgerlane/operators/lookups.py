@@ -17,9 +17,14 @@ from ledgerlane.operators.quality import duplicate_keys
 
 SALT = "__salt"
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS_KEPT = 64
-HOT_SHARE = 0.001
-SALT_PARTS = 2048
+# The sketch returns so many keys, and counts so many to find them. A key that is not among them has
+# less than a thousandth of the rows; what skew it still causes is left to Spark's splitting.
+HOT_KEYS_KEPT = 1000
+KEYS_COUNTED = 100_000
+# A key with more rows than one task should read is hot, and gets a salt per so many rows.
+ROWS_PER_TASK = 4_000_000
+# Rows without a key match nothing, so they can be spread as far as there are tasks.
+NULL_PARTS = 1 << 20
 
 
 @dataclass(frozen=True, eq=False)
@@ -42,7 +47,10 @@ def dimension(table: DataFrame | Dimension, key: str) -> Dimension:
 
 
 def run_measure(
-    *tables: tuple[DataFrame, str], fact: DataFrame | None = None, limit: int = BROADCAST_BYTES
+    *tables: tuple[DataFrame, str],
+    fact: DataFrame | None = None,
+    limit: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> list[Dimension]:
     """Dimensions with measured size and key uniqueness; one job over all (table, key) pairs.
 
@@ -58,16 +66,19 @@ def run_measure(
         for (df, key), row in zip(tables, found)
     ]
     large = [table.key for table in known if not table.small]
-    hot = run_hot_keys(fact, large) if fact is not None and large else {}
+    hot = run_hot_keys(fact, large, rows_per_task) if fact is not None and large else {}
     return [replace(table, hot=hot.get(table.key, {})) for table in known]
 
 
 def row_bytes(df: DataFrame) -> Column:
-    """Approximate bytes of a row: text by its length, everything else by a fixed width."""
+    """Approximate bytes of a row: texts by their length, arrays, maps and structs by their JSON text
+    twice over, everything else by a fixed width."""
     total = F.lit(16).cast("bigint")
     for f in df.schema:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             total = total + 8 + F.coalesce(F.octet_length(ref(f.name)), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + 16 + 2 * F.coalesce(F.octet_length(F.to_json(ref(f.name))), F.lit(0))
         else:
             total = total + 16
     return total
@@ -105,35 +116,44 @@ def _match(fact: DataFrame, table: Dimension, how: str) -> DataFrame:
     key = ref(table.key)
     counts = F.create_map(*[F.lit(part) for pair in table.hot.items() for part in pair])
     salts = F.when(key.isin(list(table.hot)), counts[key]).otherwise(F.lit(1))
-    fact_salts = F.when(key.isNull(), F.lit(SALT_PARTS)).otherwise(salts)
-    # Hashing the row, unlike a random salt, gives a rerun task the same answer.
-    spread = F.pmod(F.xxhash64(*[ref(c) for c in fact.columns]), fact_salts).cast("int")
+    fact_salts = F.when(key.isNull(), F.lit(NULL_PARTS)).otherwise(salts)
+    # Hashing the row, unlike a random salt, gives a rerun task the same answer. Exact copies of a
+    # row share a salt; very many of them are split by Spark when it reads the shuffle.
+    spread = F.pmod(F.xxhash64(*[_hashable(f) for f in fact.schema]), fact_salts).cast("int")
     salted_table = table.df.withColumn(SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
     return fact.withColumn(SALT, spread).join(salted_table, [table.key, SALT], how).drop(SALT)
 
 
+def _hashable(field: T.StructField) -> Column:
+    """The column, as text where it may hold a map."""
+    nested = isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType))
+    return F.to_json(ref(field.name)) if nested else ref(field.name)
+
+
 def heavy_hitters(key: str, kept: int = HOT_KEYS_KEPT) -> Column:
     """Aggregate: the most frequent keys as array<struct<item,count>>, from a mergeable sketch.
 
     Bounded however many keys there are, so it can ride along in `observe`. It only decides which
     keys are salted; results do not depend on it.
     """
-    return F.call_function("approx_top_k", ref(key), F.lit(kept))
+    return F.call_function("approx_top_k", ref(key), F.lit(kept), F.lit(KEYS_COUNTED))
 
 
-def hot_keys(hitters: Sequence[Any], rows: int, min_share: float = HOT_SHARE) -> dict[Any, int]:
-    """Keys with at least `min_share` of the rows, with salts in proportion to their share."""
+def hot_keys(hitters: Sequence[Any], rows_per_task: int = ROWS_PER_TASK) -> dict[Any, int]:
+    """Keys with more than `rows_per_task` rows, with a salt for each that many."""
     return {
-        h["item"]: max(2, math.ceil(SALT_PARTS * h["count"] / rows))
+        h["item"]: math.ceil(h["count"] / rows_per_task)
         for h in hitters or []
-        if h["item"] is not None and h["count"] >= max(2, min_share * rows)
+        if h["item"] is not None and h["count"] > rows_per_task
     }
 
 
-def run_hot_keys(fact: DataFrame, keys: Sequence[str], min_share: float = HOT_SHARE) -> dict[str, dict[Any, int]]:
+def run_hot_keys(
+    fact: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+) -> dict[str, dict[Any, int]]:
     """One pass over the fact's key columns; combines on the map side, returns a bounded answer."""
-    found = fact.agg(F.count(F.lit(1)).alias("__rows"), *[heavy_hitters(k).alias(k) for k in keys]).first()
-    return {k: hot_keys(found[k], found["__rows"], min_share) for k in keys}
+    found = fact.agg(*[heavy_hitters(k).alias(k) for k in keys]).first()
+    return {k: hot_keys(found[k], rows_per_task) for k in keys}
 
 
 def with_copies(fact: DataFrame, tables: Sequence[Dimension], name: str = "copies") -> DataFrame:

@@ -68,7 +68,7 @@ def ingest(
     )
     staged = stage(observed, f"{staging or staging_folder(spark)}/{contract.name}")
     counts = dict(seen.get)
-    hot = {k: hot_keys(counts.pop(f"frequent {k}"), counts["rows"]) for k in keys}
+    hot = {k: hot_keys(counts.pop(f"frequent {k}")) for k in keys}
 
     table = settings.table(contract.name)
     write_table(conform(valid(staged), contract.schema), table, path=settings.path(contract.name))

@@ -10,17 +10,19 @@ from ledgerlane.operators import (
     null_counts,
     null_counts_wide,
     orphans,
+    run_has_rows,
     run_null_report,
 )
 
 
 def test_duplicate_rows(spark):
-    rows = [(1, "Alice"), (2, "Bob"), (1, "Alice Dup"), (3, "Charlie"), (2, "Bob Dup")]
-    df = spark.createDataFrame(rows, "id long, name string")
-    assert sorted(r.id for r in duplicate_rows(df, "id").collect()) == [1, 1, 2, 2]
-    assert duplicate_rows(df, ["id", "name"]).isEmpty()
-    assert not keys_are_unique(df, ["id"])
-    assert keys_are_unique(df, ["id", "name"])
+    rows = [(31, "oak"), (44, "elm"), (31, "ash"), (58, "fir"), (31, "yew"), (60, "elm")]
+    df = spark.createDataFrame(rows, "plot long, tree string")
+    assert sorted(r.tree for r in duplicate_rows(df, "plot").collect()) == ["ash", "oak", "yew"]
+    assert sorted(r.plot for r in duplicate_rows(df, "tree").collect()) == [44, 60]
+    assert duplicate_rows(df, ["plot", "tree"]).isEmpty()
+    assert not keys_are_unique(df, ["plot"])
+    assert keys_are_unique(df, ["plot", "tree"])
 
 
 def test_duplicates_with_null_and_awkward_keys(spark):
@@ -41,13 +43,14 @@ def test_hot_keys_are_reported_with_the_others(spark):
 
 def test_null_reports(spark):
     df = spark.createDataFrame(
-        [(1, "Alice", 25), (2, None, 30), (3, "Bob", None), (4, None, None)], "id long, name string, `a.ge` long"
+        [(7, "red", 1.5), (8, None, 0.0), (9, None, None), (10, None, 2.0), (11, "blue", 3.5)],
+        "lot long, colour string, `net.kg` double",
     )
-    assert {r.column_name: r.null_count for r in null_counts(df).collect()} == {"name": 2, "a.ge": 2}
-    assert null_counts_wide(df).first().asDict() == {"id": 0, "name": 2, "a.ge": 2}
+    assert {r.column_name: r.null_count for r in null_counts(df).collect()} == {"colour": 3, "net.kg": 1}
+    assert null_counts_wide(df).first().asDict() == {"lot": 0, "colour": 3, "net.kg": 1}
     report = run_null_report(df)
     assert report.count() == 1
-    assert report.first().asDict() == {"name": 2, "a.ge": 2}
+    assert report.first().asDict() == {"colour": 3, "net.kg": 1}
 
 
 def test_null_reports_without_nulls(spark):
@@ -58,27 +61,28 @@ def test_null_reports_without_nulls(spark):
 
 
 def test_orphans(spark):
-    fact = spark.createDataFrame([("1", "10.5"), ("2", "20.0"), ("3", "30.0"), (None, "1")], "id string, amount string")
-    known = spark.createDataFrame([("1", "abc"), ("2", "xyz"), ("2", "xyz"), (None, "n")], "id string, name string")
-    missing = orphans(fact, known, "id")
-    assert sorted((r.id or "", r.amount) for r in missing.collect()) == [("", "1"), ("3", "30.0")]
-    assert missing.columns == ["id", "amount"]
-    for knowledge in ({"small": True}, {"hot": {"2": 3, "3": 2}}):
-        again = orphans(fact, Dimension(known, "id", **knowledge), "id")
+    fact = spark.createDataFrame([("B7", 4), ("C1", 9), ("B7", 5), ("D4", 2), (None, 6)], "bin string, units int")
+    known = spark.createDataFrame([("B7", "left"), ("D4", "right"), ("D4", "back"), (None, "lost")], "bin string, side string")
+    missing = orphans(fact, known, "bin")
+    assert sorted((r.bin or "", r.units) for r in missing.collect()) == [("", 6), ("C1", 9)]
+    assert missing.columns == ["bin", "units"]
+    assert run_has_rows(missing) and not run_has_rows(orphans(fact.where("units < 6 and bin <> 'C1'"), known, "bin"))
+    for knowledge in ({"small": True}, {"hot": {"D4": 3, "C1": 2}}):
+        again = orphans(fact, Dimension(known, "bin", **knowledge), "bin")
         assert again.columns == missing.columns
         assert sorted(map(str, again.collect())) == sorted(map(str, missing.collect()))
-    two = orphans(fact, spark.createDataFrame([("1", "10.5")], "id string, amount string"), ["id", "amount"])
-    assert two.count() == 3
+    two = orphans(fact, spark.createDataFrame([("B7", 5)], "bin string, units int"), ["bin", "units"])
+    assert two.count() == 4
 
 
 def test_conform(spark):
-    df = spark.createDataFrame([("1", "10.5", "abc"), ("x", "20.0", "xyz")], "id string, amount string, name string")
+    df = spark.createDataFrame([("12", "0.25", "k"), ("twelve", "8", "m")], "shelf string, width string, unit string")
     fields = [
-        T.StructField("amount", T.DoubleType()),
-        T.StructField("id", T.IntegerType()),
+        T.StructField("width", T.DoubleType()),
+        T.StructField("shelf", T.IntegerType()),
     ]
     shaped = conform(df, fields)
-    assert shaped.dtypes == [("amount", "double"), ("id", "int")]
-    assert [r.id for r in shaped.collect()] == [1, None]
+    assert shaped.dtypes == [("width", "double"), ("shelf", "int")]
+    assert [r.shelf for r in shaped.collect()] == [12, None]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         conform(df, fields, strict=True).collect()

@@ -101,7 +101,7 @@ def wide_fact(spark: SparkSession, folder: str) -> DataFrame:
 def wide_fact_salted(spark: SparkSession, folder: str) -> DataFrame:
     """The path for large dimensions: frequent keys found by a sketch and salted."""
     orders = views.orders(spark, folder)
-    hot = ops.run_hot_keys(orders, ["customer_id", "product_id"], min_share=0.0005)
+    hot = ops.run_hot_keys(orders, ["customer_id", "product_id"], rows_per_task=25)
     customers = ops.Dimension(views.repeated_customers(spark, folder), "customer_id", hot=hot["customer_id"])
     products = ops.Dimension(views.repeated_products(spark, folder), "product_id", hot=hot["product_id"])
     return decimals_as_double(ops.wide_fact(orders, customers, products))
