@@ -22,7 +22,7 @@ from ledgerlane.operators.quality import (
     split,
     valid,
 )
-from ledgerlane.operators.rules import CompareColumnsRule, CompareRule, EmailRule, Rule, TypeRule
+from ledgerlane.operators.rules import CompareColumnsRule, CompareRule, EmailRule, Rule, ReadableRule, TypeRule
 from ledgerlane.operators.shape import conform
 
 __all__ = [
@@ -31,6 +31,7 @@ __all__ = [
     "Dimension",
     "EmailRule",
     "Rule",
+    "ReadableRule",
     "TypeRule",
     "conform",
     "customer_metrics",

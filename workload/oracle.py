@@ -455,3 +455,51 @@ FROM order_flags o
 LEFT JOIN product_flags p ON o.product_id = p.product_id AND p.first_failed_rule IS NULL
 WHERE o.first_failed_rule IS NULL
 GROUP BY 1, 2"""
+
+# Layouts that files really have, and reports over them -------------------------------------------
+
+ORACLE["json_array_orders"] = ORACLE["json_orders"]
+ORACLE["xlsx_folder_customers"] = ORACLE["xlsx_customers"]
+ORACLE["csv_malformed_products"] = f"""
+WITH {TEXT_PRODUCTS}
+SELECT product_id, CASE
+  WHEN CAST(product_id AS BIGINT) % 13 = 0 OR CAST(product_id AS BIGINT) % 17 = 0 THEN 'readable record'
+  WHEN TRY_CAST(price_per_product AS DOUBLE) IS NULL THEN 'price_per_product as double'
+  WHEN TRY_CAST(price_per_product AS DOUBLE) < 0 THEN 'price_per_product >= 0' END AS first_failed_rule
+FROM text_products"""
+ORACLE["long_decimal_measures"] = f"""
+WITH {ORDERS},
+lines AS (SELECT order_id, row_id, quantity, CAST(price AS DOUBLE) / CAST(7.31 AS DOUBLE) AS price, CAST(discount AS DOUBLE) / CAST(3.7 AS DOUBLE) AS discount FROM orders_v)
+SELECT order_id, row_id, ROUND(price * quantity, 2) AS total_sales, ROUND(price * discount, 2) AS discount_amount FROM lines"""
+ORACLE["enriched_orders"] = f"""
+WITH {wide()}, {measured("wide_v")} SELECT {WIDE_COLUMNS}, {MEASURE_COLUMNS} FROM measured"""
+ORACLE["orders_key_report"] = f"""
+WITH {TEXT_ORDERS}, {ORDER_FLAGS},
+keyed AS (SELECT * FROM flagged WHERE first_failed_rule IS NULL OR failed_rules = 'ship_date >= order_date'),
+repeated AS (SELECT order_id, product_id FROM keyed GROUP BY ALL HAVING COUNT(*) > 1)
+SELECT k.order_id, k.product_id, row_id_t AS row_id, order_date_t AS order_date, ship_date_t AS ship_date
+FROM keyed k JOIN repeated r ON k.order_id = r.order_id AND k.product_id = r.product_id"""
+ORACLE["products_key_report"] = f"""
+WITH {PRODUCTS}
+SELECT product_id, category, sub_category FROM repeated_products
+WHERE product_id IN (SELECT product_id FROM repeated_products GROUP BY product_id HAVING COUNT(*) > 1)"""
+ORACLE["customers_key_report"] = f"""
+WITH {CUSTOMERS}
+SELECT customer_id, segment FROM repeated_customers
+WHERE customer_id IN (SELECT customer_id FROM repeated_customers GROUP BY customer_id HAVING COUNT(*) > 1)"""
+ORACLE["products_null_counts"] = f"""
+WITH {TEXT_PRODUCTS},
+counts AS (
+  SELECT 'state' AS column_name, COUNT(*) AS null_count FROM text_products
+  UNION ALL
+  SELECT 'price_per_product', COUNT(*) FILTER (WHERE TRY_CAST(price_per_product AS DOUBLE) IS NULL) FROM text_products
+)
+SELECT column_name, CAST(null_count AS BIGINT) AS null_count FROM counts WHERE null_count > 0"""
+ORACLE["has_missing_references"] = f"""
+WITH {ORDERS}, {CUSTOMERS}, {PRODUCTS},
+missing AS (
+  SELECT 'customer_id' AS key, COUNT(*) AS lines FROM orders_v WHERE customer_id NOT IN (SELECT customer_id FROM customers_v)
+  UNION ALL
+  SELECT 'product_id', COUNT(*) FROM orders_v WHERE product_id NOT IN (SELECT product_id FROM products_v)
+)
+SELECT key, lines, lines > 0 AS missing FROM missing"""

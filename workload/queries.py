@@ -29,7 +29,7 @@ from ledgerlane.sinks import stage, staging_folder, write_table
 from ledgerlane.sources import decode_workbooks, read_dataset
 from ledgerlane.sources.files import CORRUPT
 from workload import views
-from workload.workbooks import as_workbooks
+from workload.workbooks import as_workbooks, write_workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -420,3 +420,97 @@ def staged_orders(spark: SparkSession, folder: str) -> DataFrame:
     flagged = ops.evaluate(views.landed_orders(spark, folder), ORDERS.rules)
     staged = stage(flagged, f"{staging_folder(spark)}/orders")
     return ops.conform(ops.valid(staged), ORDERS.schema).select("order_id", "row_id", "product_id", "order_date")
+
+
+# Layouts that files really have, and reports over them ---------------------------------------
+
+
+@query
+def json_array_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Files with one JSON array each, over several lines."""
+    path = f"{staging_folder(spark)}/orders_arrays"
+    rows = _with_headers(views.text_orders(spark, folder), ORDERS)
+    block = F.floor(F.col("Order ID").cast("long") / 4000).alias("block")
+    arrays = rows.groupBy(block).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+    arrays = arrays.withColumn("value", F.regexp_replace("value", r"\},\{", "},\n{"))
+    arrays.write.partitionBy("block").text(path)
+    feed = read_dataset(spark, f"{path}/block=*/", ORDERS, fmt="json")
+    return feed.select(*ORDERS.schema.names)
+
+
+@query
+def xlsx_folder_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder of workbooks, found and read as files."""
+    path = f"{staging_folder(spark)}/customers_xlsx"
+    books = as_workbooks(_with_headers(views.text_customers(spark, folder), CUSTOMERS))
+    write_workbooks(books, path)
+    found = read_dataset(spark, path, CUSTOMERS, fmt="excel")
+    return found.select("customer_id", "customer_name", "email", "segment", "postal_code")
+
+
+@query
+def csv_malformed_products(spark: SparkSession, folder: str) -> DataFrame:
+    """Records with too many and too few fields, and what becomes of every record."""
+    path = f"{staging_folder(spark)}/products_csv"
+    rows = _with_headers(views.text_products(spark, folder), PRODUCTS).na.fill("")
+    key = F.col("Product ID").cast("long")
+    whole = F.concat_ws(",", *rows.columns)
+    line = F.when(key % 13 == 0, F.concat(whole, F.lit(",surplus"))).when(
+        key % 17 == 0, F.concat_ws(",", *rows.columns[:3])
+    ).otherwise(whole)
+    # A separator that no text holds leaves the lines as they are.
+    lines = rows.select(line.alias(",".join(rows.columns)))
+    lines.write.options(header="true", sep="\u0001", quote="", escape="").csv(path)
+    rules = [ops.ReadableRule(CORRUPT), *PRODUCTS.rules]
+    flagged = ops.evaluate(read_dataset(spark, path, PRODUCTS, fmt="csv"), rules)
+    return flagged.select("product_id", FIRST_FAILED)
+
+
+@query
+def long_decimal_measures(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices and discounts with more digits than any fixed scale."""
+    lines = views.double_orders(spark, folder)
+    lines = lines.withColumns({"price": F.col("price") / 7.31, "discount": F.col("discount") / 3.7})
+    return ops.order_measures(lines).select("order_id", "row_id", "total_sales", "discount_amount")
+
+
+@query
+def enriched_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The wide fact with its line measures."""
+    return decimals_as_double(ops.order_measures(ops.wide_fact(*views.measured(spark, folder))))
+
+
+@query
+def orders_key_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Repeated keys, among rows that fail no rule but that of the dates."""
+    flagged = ops.evaluate(views.landed_orders(spark, folder), ORDERS.rules)
+    keyed = ops.conform(ops.valid(flagged, ORDERS.rules_after_key_report), ORDERS.schema)
+    return ops.duplicate_rows(keyed, ORDERS.keys).select("order_id", "product_id", "row_id", "order_date", "ship_date")
+
+
+@query
+def products_key_report(spark: SparkSession, folder: str) -> DataFrame:
+    repeated = ops.duplicate_rows(views.repeated_products(spark, folder), PRODUCTS.keys)
+    return repeated.select("product_id", "category", "sub_category")
+
+
+@query
+def customers_key_report(spark: SparkSession, folder: str) -> DataFrame:
+    return ops.duplicate_rows(views.repeated_customers(spark, folder), CUSTOMERS.keys).select("customer_id", "segment")
+
+
+@query
+def products_null_counts(spark: SparkSession, folder: str) -> DataFrame:
+    flagged = ops.evaluate(views.text_products(spark, folder), PRODUCTS.rules)
+    return ops.null_counts(ops.conform(flagged, PRODUCTS.schema))
+
+
+@query
+def has_missing_references(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether any line lacks its customer or its product, and how many do."""
+    orders, customers, products = views.measured(spark, folder)
+    counts = [
+        ops.orphans(orders, table, key).agg(F.lit(key).alias("key"), F.count(F.lit(1)).alias("lines"))
+        for table, key in ((customers, "customer_id"), (products, "product_id"))
+    ]
+    return counts[0].union(counts[1]).select("key", "lines", (F.col("lines") > 0).alias("missing"))

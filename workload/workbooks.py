@@ -9,6 +9,8 @@ from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
@@ -60,3 +62,25 @@ def as_workbooks(df: DataFrame) -> DataFrame:
             yield pd.DataFrame({"content": [workbook_bytes([headers, *rows])]})
 
     return df.mapInPandas(pack, "content binary")
+
+
+def write_workbooks(books: DataFrame, folder: str) -> None:
+    """Runs a job that writes each workbook of a `content` column as a file, in the tasks that made them.
+
+    Every other one has its suffix in capitals, as feeds do.
+    """
+    target = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, number = TaskContext.get().partitionId(), 0
+        system, path = FileSystem.from_uri(target.replace("file:/", "file:///") if "://" not in target else target)
+        system.create_dir(path, recursive=True)
+        for batch in batches:
+            for content in batch["content"]:
+                suffix = "xlsx" if (part + number) % 2 else "XLSX"
+                with system.open_output_stream(f"{path}/part-{part:05d}-{number}.{suffix}") as out:
+                    out.write(bytes(content))
+                number += 1
+        yield pd.DataFrame({"written": [number]})
+
+    books.mapInPandas(write, "written long").agg({"written": "sum"}).collect()
