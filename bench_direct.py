@@ -1,7 +1,6 @@
-"""Times the straightforward formulations the planned queries compete with.
+"""Times plain formulations of the headline results, as a yardstick for the planned queries.
 
-Each result is built the obvious way: join everything into the wide fact, aggregate that, join the
-aggregates back, detect missing references with a left join and a null filter. Same tables, same
+Each is one SQL statement or window over the wide fact and leaves all planning to Spark. Same tables, same
 session settings and same sink as `bench.py`.
 """
 
@@ -14,7 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerlane.functions import decimals_as_double  # noqa: E402
@@ -31,33 +30,30 @@ def _wide(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _profit(name: str):
-    keys, alias, order = PROFIT_TABLES[name]
+    keys, alias, _ = PROFIT_TABLES[name]
+    names = ", ".join(keys)
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        totals = _wide(spark, folder).groupBy(*keys).agg(F.round(F.sum("profit"), 2).alias(alias))
-        return totals.orderBy(*[F.desc(c) if way == "desc" else F.asc(c) for c, way in order])
+        _wide(spark, folder).createOrReplaceTempView("direct_wide")
+        return spark.sql(
+            f"SELECT {names}, round(sum(profit), 2) AS {alias} FROM direct_wide GROUP BY {names} ORDER BY {names}"
+        )
 
     return run
 
 
-def _enriched(spark: SparkSession, folder: str) -> DataFrame:
-    lines = order_measures(_wide(spark, folder))
-    return lines.join(product_metrics(lines), "product_id", "left").join(
-        customer_metrics(lines), "customer_id", "left"
-    )
-
-
 def _duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    lines, keys = views.orders(spark, folder), ["order_id", "product_id"]
-    if lines.count() == lines.select(keys).distinct().count():
-        raise ValueError("the test tables hold duplicates")
-    return lines.join(lines.groupBy(keys).count().filter("count > 1").drop("count"), keys)
+    same_key = Window.partitionBy("order_id", "product_id")
+    return views.orders(spark, folder).withColumn("rows", F.count(F.lit(1)).over(same_key)).where("rows > 1")
 
 
 def _orphans(spark: SparkSession, folder: str) -> DataFrame:
-    known = views.clean_customers(spark, folder)
-    joined = views.orders(spark, folder).join(known, "customer_id", "left")
-    return joined.filter(known["customer_id"].isNull())
+    views.orders(spark, folder).createOrReplaceTempView("direct_lines")
+    views.clean_customers(spark, folder).createOrReplaceTempView("direct_customers")
+    return spark.sql(
+        "SELECT * FROM direct_lines l WHERE NOT EXISTS "
+        "(SELECT 1 FROM direct_customers c WHERE c.customer_id = l.customer_id)"
+    )
 
 
 DIRECT = {
@@ -66,7 +62,6 @@ DIRECT = {
     "order_measures": lambda spark, folder: order_measures(views.orders(spark, folder)),
     "customer_metrics": lambda spark, folder: customer_metrics(order_measures(_wide(spark, folder))),
     "product_metrics": lambda spark, folder: product_metrics(order_measures(_wide(spark, folder))),
-    "enriched_table": _enriched,
     "order_info": lambda spark, folder: order_info(_wide(spark, folder)),
     "duplicate_order_lines": _duplicates,
     "orphans_by_customer": _orphans,

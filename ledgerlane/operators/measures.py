@@ -9,6 +9,7 @@ from ledgerlane.functions import ref, rounded_difference, rounded_product, round
 from ledgerlane.operators.lookups import Dimension, dimension, left_lookup
 
 
+# The names of the measures, here and in the metrics, are those of the published tables.
 def order_measures(lines: DataFrame) -> DataFrame:
     """Adds the five line measures; each amount is rounded before the next one uses it.
 
@@ -58,15 +59,19 @@ def wide_fact(
     return joined.select(*[ref(c) for c in columns])
 
 
+# The published columns of the order info, in their order.
+ORDER_INFO = (
+    "order_id",
+    "customer_name",
+    "country",
+    "category",
+    "sub_category",
+    "quantity",
+    "price",
+    "discount",
+    "profit",
+)
+
+
 def order_info(wide: DataFrame) -> DataFrame:
-    return wide.select(
-        "order_id",
-        "customer_name",
-        "country",
-        "category",
-        "sub_category",
-        "quantity",
-        "price",
-        "discount",
-        F.round("profit", 2).alias("profit"),
-    )
+    return wide.select(*[F.round(c, 2).alias(c) if c == "profit" else c for c in ORDER_INFO])

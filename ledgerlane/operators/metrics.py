@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlane.functions import ref, rounded_avg, rounded_sum
 
 
+# The result names of both metric tables are the published ones.
 def customer_metrics(measured: DataFrame, copies: str | None = None) -> DataFrame:
     """One row per customer over measured order lines, each counted `copies` times.
 

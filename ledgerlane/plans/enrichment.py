@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -38,29 +39,35 @@ def fully_enriched(
     orders: DataFrame,
     customers: Table,
     products: Table,
-    by_customer: DataFrame | None = None,
-    by_product: DataFrame | None = None,
+    by_customer: Table | None = None,
+    by_product: Table | None = None,
     hot: Mapping[str, Mapping[Any, int]] | None = None,
 ) -> DataFrame:
     """Enriched lines with product and customer metrics.
 
     Metrics are joined to their dimension first, so the lines meet one lookup per key instead of
     two; rows without a key keep null attributes and null metrics. Pass metrics that were already
-    written as tables to spare the lines a second reading. Metrics have a row for every key in use
-    and are not broadcast, so hot keys of the lines must be salted; unless given, a job finds them.
+    written as tables, with their measured size, to spare the lines a second reading and, where they
+    fit a broadcast with their dimension, a shuffle. Otherwise hot keys of the lines must be salted;
+    unless given, a job finds them.
     """
     if by_customer is None:
         by_customer = customer_table(orders, customers, products)
     if by_product is None:
         by_product = product_table(orders, customers, products)
-    if hot is None:
-        hot = run_hot_keys(orders, ["customer_id", "product_id"])
     customer_info, product_info = customer_lookup(customers), product_lookup(products)
-    customer_side = left_lookup(by_customer, customer_info)
-    product_side = left_lookup(by_product, product_info)
+    sides = [
+        (dimension(metrics, info.key), info)
+        for metrics, info in ((by_customer, customer_info), (by_product, product_info))
+    ]
+    large = [info.key for metrics, info in sides if not (metrics.small and info.small)]
+    if large and hot is None:
+        hot = run_hot_keys(orders, large)
     joined = order_measures(orders).withColumn("order_year", F.year("order_date"))
-    joined = left_lookup(joined, Dimension(customer_side, "customer_id", hot=hot["customer_id"]))
-    joined = left_lookup(joined, Dimension(product_side, "product_id", hot=hot["product_id"]))
+    for metrics, info in sides:
+        side = Dimension(left_lookup(metrics.df, info), info.key, small=info.key not in large)
+        joined = left_lookup(joined, replace(side, hot=hot[info.key]) if info.key in large else side)
+    by_customer, by_product = (metrics.df for metrics, _ in sides)
 
     keys = ["customer_id", "product_id"]
     measures = ["total_sales", "discount_amount", "final_price", "unit_selling_price", "days_to_ship"]

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlane.operators.lookups import run_measure
 from ledgerlane.operators.measures import order_info, order_measures, wide_fact
 from ledgerlane.plans.enrichment import customer_table, fully_enriched, product_table
 from ledgerlane.plans.ingest import Store, run_ingest
-from ledgerlane.plans.profit import PROFIT_TABLES, profit_table, profit_totals
+from ledgerlane.plans.profit import FINEST, PROFIT_TABLES, cell_totals, profit_table, profit_totals
 from ledgerlane.plans.sql_texts import register_view
 from ledgerlane.settings import Settings
-from ledgerlane.sinks import write_table
+from ledgerlane.sinks import stage, staging_folder, write_table
 
 
 def run_enrichment(spark: SparkSession, store: Store, settings: Settings) -> dict[str, DataFrame]:
@@ -26,6 +27,8 @@ def run_enrichment(spark: SparkSession, store: Store, settings: Settings) -> dic
     wide = written("wide_orders", wide_fact(orders, customers, products))
     by_customer = written("customer_metrics", customer_table(orders, customers, products))
     by_product = written("product_metrics", product_table(orders, customers, products))
+    # Every profit table is a sum of these cells, so the orders are read once for all five.
+    cells = stage(profit_totals(orders, customers, products, FINEST), f"{staging_folder(spark)}/profit_cells")
     register_view(wide)
     outputs = {
         "wide_fact": wide,
@@ -33,12 +36,16 @@ def run_enrichment(spark: SparkSession, store: Store, settings: Settings) -> dic
         "customer_metrics": by_customer,
         "product_metrics": by_product,
         "fully_enriched": fully_enriched(
-            orders, customers, products, by_customer, by_product, store.orders.hot
+            orders,
+            customers,
+            products,
+            *run_measure((by_customer, "customer_id"), (by_product, "product_id")),
+            store.orders.hot,
         ),
         "order_info": order_info(wide),
     }
     for name, (keys, _, _) in PROFIT_TABLES.items():
-        outputs[name] = profit_table(name, profit_totals(orders, customers, products, keys))
+        outputs[name] = profit_table(name, cell_totals(cells, keys))
     return outputs
 
 

@@ -48,6 +48,15 @@ PROFIT_TABLES = {
 }
 
 
+# The keys of the finest table, from which all others can be summed.
+FINEST = PROFIT_TABLES["profit_by_year_cat_sub_customer"][0]
+
+
+def cell_totals(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Unrounded profit by some of the keys, from unrounded profit by the finest ones."""
+    return _add_up(cells, keys)
+
+
 def _add_up(df: DataFrame, keys: Sequence[str], copies: Sequence[str] = ()) -> DataFrame:
     """Partial sums stay exact decimals until the last step rounds them.
 
@@ -152,7 +161,7 @@ def profit_grains(cells: DataFrame) -> DataFrame:
     `grain` names the table; keys that are not part of it are null. It comes from the grouping
     bits, so a genuinely null key is never mistaken for a subtotal.
     """
-    finest = list(PROFIT_TABLES["profit_by_year_cat_sub_customer"][0])
+    finest = list(FINEST)
     grouping_sets = [[ref(k) for k in keys] for keys, _, _ in PROFIT_TABLES.values()]
     bits = F.grouping_id(*[ref(k) for k in finest])
     sums = [F.sum(c).alias(c) for c in ("profit", "profit_rest") if c in cells.columns]

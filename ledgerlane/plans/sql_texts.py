@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 VIEW = "orders_customers_products"
 
+# Names, columns and sort orders of the published reports.
 PROFIT_SQL = {
     "profit_by_year": """
         SELECT order_year, CAST(ROUND(SUM(profit), 2) AS DOUBLE) AS profit_per_year

@@ -9,14 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """A new folder under `spark.checkpoint.dir`; only a local session may do without that."""
+    """A new place under `spark.checkpoint.dir`, gone when the driver ends.
+
+    Only a local session may do without that setting, which has to name a folder that all share.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         master = spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerlane-")
-    return f"{root.rstrip('/')}/ledgerlane-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/ledgerlane-{uuid.uuid4().hex}")
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{folder}/staged"
 
 
 def stage(df: DataFrame, folder: str) -> DataFrame:

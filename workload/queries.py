@@ -145,7 +145,13 @@ def product_metrics_fan_out(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def enriched_table(spark: SparkSession, folder: str) -> DataFrame:
-    return decimals_as_double(fully_enriched(*views.measured(spark, folder)))
+    """Metrics as written and measured tables, then one reading of the lines."""
+    orders, customers, products = views.measured(spark, folder)
+    root = staging_folder(spark)
+    by_customer = stage(customer_table(orders, customers, products), f"{root}/customer_metrics")
+    by_product = stage(product_table(orders, customers, products), f"{root}/product_metrics")
+    metrics = ops.run_measure((by_customer, "customer_id"), (by_product, "product_id"))
+    return decimals_as_double(fully_enriched(orders, customers, products, *metrics))
 
 
 @query

@@ -9,8 +9,8 @@ from ledgerlane import operators as ops
 from ledgerlane.operators import CompareRule, Dimension, evaluate, valid
 from ledgerlane.sinks import stage, staging_folder
 
-_LANDED: dict[tuple[str, str], DataFrame] = {}
-_STATISTICS: dict[tuple[str, str, bool], list[Dimension]] = {}
+_LANDED: dict[tuple, DataFrame] = {}
+_STATISTICS: dict[tuple, list[Dimension]] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -113,14 +113,21 @@ def run_statistics(spark: SparkSession, folder: str, repeated: bool = False) ->
     )
 
 
+def table_state(spark: SparkSession, folder: str) -> tuple:
+    """What tells one version of the tables from another: their files, sizes and times, from a listing."""
+    paths = [f"{folder}/{name}.parquet" for name in ("customer", "lineitem", "nation", "orders", "part", "region")]
+    files = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime")
+    return (spark.sparkContext.applicationId, *sorted(map(tuple, files.collect())))
+
+
 def measured(
     spark: SparkSession, folder: str, repeated: bool = False
 ) -> tuple[DataFrame, Dimension, Dimension]:
     """Orders with clean or repeated dimensions whose size, uniqueness and hot keys are known.
 
-    Like table statistics after a load, the measures are taken once per session and folder.
+    Like table statistics after a load, the measures are taken once per version of the tables.
     """
-    key = (spark.sparkContext.applicationId, folder, repeated)
+    key = (table_state(spark, folder), repeated)
     if key not in _STATISTICS:
         _STATISTICS[key] = run_statistics(spark, folder, repeated)
     customers, products = _STATISTICS[key]
@@ -152,8 +159,8 @@ def text_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def landed_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """The order feed as a landed table of texts, written once per session and folder."""
-    key = (spark.sparkContext.applicationId, folder)
+    """The order feed as a landed table of texts, written once per version of the tables."""
+    key = table_state(spark, folder)
     if key not in _LANDED:
         _LANDED[key] = stage(text_orders(spark, folder), f"{staging_folder(spark)}/orders_feed")
     return _LANDED[key]
