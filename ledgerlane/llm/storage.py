@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -57,7 +58,7 @@ def share_file(spark: SparkSession, name: str, content: bytes) -> str:
     """Writes a file into the shared folder and has Spark hand it to every executor; returns its name there."""
     folder = staging_folder(spark)
     context = spark.sparkContext
-    unique = f"{name}-{folder.rpartition('-')[2]}"
+    unique = f"{name}-{uuid.uuid4().hex}"
     path = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/{unique}")
     out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
     try:
