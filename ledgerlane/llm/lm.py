@@ -41,6 +41,13 @@ def _key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return (first * np.uint64(0x9E3779B97F4A7C15) ^ (first >> np.uint64(29))) + second
 
 
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    fresh = np.ones(len(ordered), dtype=bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    return np.flatnonzero(fresh)
+
+
 def _counts(documents: DataFrame, pairs: bool) -> DataFrame:
     """(first, word, c0, c1): how often each word or pair occurs in either half."""
 
@@ -50,9 +57,12 @@ def _counts(documents: DataFrame, pairs: bool) -> DataFrame:
 
         def put_out() -> pa.RecordBatch:
             first, second, halves = (np.concatenate(x) for x in zip(*held))
-            _, at, member = np.unique(_key(first, second), return_index=True, return_inverse=True)
-            in_one = np.bincount(member, weights=halves, minlength=len(at)).astype(np.int64)
-            both = np.bincount(member, minlength=len(at))
+            keys = _key(first, second)
+            order = np.argsort(keys)
+            starts = _starts(keys[order])
+            at = order[starts]
+            in_one = np.add.reduceat(halves[order].astype(np.int64), starts)
+            both = np.diff(np.append(starts, len(order)))
             columns = [first[at].view(np.int64), second[at].view(np.int64), both - in_one, in_one]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["first", "word", "c0", "c1"])
 
@@ -66,7 +76,7 @@ def _counts(documents: DataFrame, pairs: bool) -> DataFrame:
                     yield put_out()
                     held.clear()
                     size = 0
-        if held:
+        if size:
             yield put_out()
 
     found = documents.mapInArrow(count, "first long, word long, c0 long, c1 long")
@@ -74,7 +84,7 @@ def _counts(documents: DataFrame, pairs: bool) -> DataFrame:
 
 
 def _exploded(documents: DataFrame, pairs: bool) -> DataFrame:
-    """(id, half, key, times): the distinct words or pairs of every text."""
+    """(id, half, key, times): the words or pairs of every text with their number."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,11 +92,12 @@ def _exploded(documents: DataFrame, pairs: bool) -> DataFrame:
             for start, offsets, data in text_chunks(batch.column("text")):
                 rows, first, second = _chunk_grams(offsets, data, pairs)
                 keys = _key(first, second)
-                order = np.lexsort((keys, rows))
+                # By row, then by the leading bits of the key: one sort of plain numbers. Keys that agree
+                # in these bits may alternate, and then come out in several rows, which adds up the same.
+                bits = np.uint64(max(1, int(rows[-1]).bit_length() if len(rows) else 1))
+                order = np.argsort(rows.astype(np.uint64) << (np.uint64(64) - bits) | keys >> bits)
                 keys, rows = keys[order], rows[order]
-                fresh = np.ones(len(keys), dtype=bool)
-                fresh[1:] = (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])
-                at = np.flatnonzero(fresh)
+                at = np.union1d(_starts(keys), _starts(rows))
                 times = np.diff(np.append(at, len(keys)))
                 owners = pa.array(rows[at] + start)
                 yield pa.RecordBatch.from_arrays(

@@ -1,4 +1,4 @@
-"""Intermediate tables in the shared folder of the cluster, and broadcasts of checked size."""
+"""Intermediate tables and files in the shared folder of the cluster."""
 
 from __future__ import annotations
 
@@ -7,14 +7,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerlane.sinks import stage, staging_folder
 
-#: Tables up to this size may be sent whole to every task.
-BROADCAST_BYTES = 64 << 20
-
-
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -50,10 +45,6 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def run_count(df: DataFrame) -> int:
-    return df.agg(F.count(F.lit(1))).first()[0]
-
-
 def share_file(spark: SparkSession, name: str, content: bytes) -> str:
     """Writes a file into the shared folder and has Spark hand it to every executor; returns its name there."""
     folder = staging_folder(spark)
