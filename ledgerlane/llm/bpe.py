@@ -21,7 +21,9 @@ from ledgerlane.llm.wordspace import NOT_ASCII_SPACE, text_chunks, words_of
 #: Most frequent words that are compiled; all others are merged when they are met.
 LEXICON_WORDS = 200_000
 #: Pieces of unseen words that a task remembers at a time.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
+#: Greater than the rank of any pair.
+NO_RANK = 1 << 60
 
 _PLAIN_KINDS = {"normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split", "ByteLevel"]}
 
@@ -71,12 +73,16 @@ class WordBpe:
         """Ids of one piece: the pair that was learned first is joined, from the left, until none is known."""
         symbols = [self.letters[b] for b in piece.encode()]
         symbols[-1] += self.suffix
-        ranks = self.merges
-        while len(symbols) > 1:
-            best, place = min((ranks.get(pair, 1 << 60), i) for i, pair in enumerate(zip(symbols, symbols[1:])))
-            if best == 1 << 60:
-                break
-            symbols[place : place + 2] = [symbols[place] + symbols[place + 1]]
+        rank = self.merges.get
+        ranks = [rank(pair, NO_RANK) for pair in zip(symbols, symbols[1:])]
+        while ranks and (best := min(ranks)) != NO_RANK:
+            place = ranks.index(best)
+            symbols[place] += symbols.pop(place + 1)
+            del ranks[place]
+            if place < len(ranks):
+                ranks[place] = rank((symbols[place], symbols[place + 1]), NO_RANK)
+            if place:
+                ranks[place - 1] = rank((symbols[place - 1], symbols[place]), NO_RANK)
         return [self.vocabulary[s] for s in symbols if s in self.vocabulary]
 
     def _ordinary(self, text: str) -> list[int]:
@@ -250,17 +256,15 @@ def run_encode(
         encoder = Encoder(model.value, Lexicon(SparkFiles.get(lexicon)))
         decoder = Decoder(model.value) if decoded else None
         for batch in batches:
-            counts, packed, texts = [], [], []
-            for _, offsets, data in text_chunks(batch.column("source_text")):
+            # Rows go out chunk by chunk, so that a task holds the ids and texts of one chunk only.
+            for first, offsets, data in text_chunks(batch.column("source_text")):
                 ids, bounds = encoder.chunk(data, offsets)
-                counts += np.diff(bounds).tolist()
-                packed += [ids[a:b].astype("<u4").tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                part = batch.slice(first, len(offsets) - 1)
+                packed = [ids[a:b].astype("<u4").tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                made = [pa.array(np.diff(bounds), pa.int64()), pa.array(packed, pa.binary())]
                 if decoder:
-                    texts += decoder.texts(ids, bounds)
-            made = [pa.array(counts, pa.int64()), pa.array(packed, pa.binary())]
-            if decoder:
-                made.append(pa.array(texts, pa.binary()).cast(pa.string()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*batch.schema.names[:-1], *added])
+                    made.append(pa.array(decoder.texts(ids, bounds), pa.binary()).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names=[*part.schema.names[:-1], *added])
 
     rows = documents.select(
         *(F.col(c).alias(f"c{i}") for i, c in enumerate(columns)), F.col(text).cast("string").alias("source_text")

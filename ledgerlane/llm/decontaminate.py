@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.fm_index import FmIndex
@@ -18,6 +18,9 @@ BLOCK_CHARS = 8 << 20
 #: An index is built once so many words of a shard wait for it.
 SHARD_WORDS = 1 << 20
 
+#: Rows that a task puts out at a time.
+ROWS_AT_ONCE = 1000
+
 _BITMAP_BITS = 22
 
 
@@ -157,8 +160,8 @@ def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[s
 _FOUND = "n_words long, hits array<struct<first:int,last:int>>, items array<string>"
 
 
-def _marked(documents: DataFrame, text: str, phrases: Phrases) -> DataFrame:
-    """`documents` with the hits and items of one more block of phrases."""
+def _marked(documents: DataFrame, text: str, phrases: Phrases, cut: bool) -> DataFrame:
+    """`documents` with the hits and items of one more block of phrases; with `cut`, the texts without the hits."""
     shared = documents.sparkSession.sparkContext.broadcast(phrases)
     columns = documents.columns
 
@@ -202,7 +205,13 @@ def _marked(documents: DataFrame, text: str, phrases: Phrases) -> DataFrame:
                 "hits": pa.array(all_hits, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
                 "items": pa.array(all_items, pa.list_(pa.string())),
             }
-            yield pa.RecordBatch.from_arrays([replaced.get(c, batch.column(c)) for c in columns], names=columns)
+            whole = pa.RecordBatch.from_arrays([replaced.get(c, batch.column(c)) for c in columns], names=columns)
+            place = columns.index(text)
+            for first in range(0, rows, ROWS_AT_ONCE):
+                part = whole.slice(first, ROWS_AT_ONCE)
+                if cut:
+                    part = part.set_column(place, text, _cut_out(part.column(place), part.column("hits")))
+                yield part
 
     return documents.mapInArrow(mark, documents.schema)
 
@@ -231,17 +240,23 @@ def run_contamination(
     Null and empty texts have no words. A passage of an item without id is found but not listed.
     Repeated rows of either table change nothing for the others. Empty tables are allowed.
     """
-    names = [f"keep_{k}" for k in range(len(keep))]
+    kept = [F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)]
+    marked = _run_marks(documents, kept, benchmark, text, item, item_text, width, cut=False)
+    return marked.select(*(F.col(f"keep_{k}").alias(c) for k, c in enumerate(keep)), "n_words", "hits", "items")
+
+
+def _run_marks(documents, kept: list, benchmark, text: str, item: str, item_text: str, width: int, cut: bool) -> DataFrame:
     marked = documents.select(
-        *(F.col(c).alias(n) for c, n in zip(keep, names)),
+        *kept,
         F.col(text).cast("string").alias("text"),
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<struct<first:int,last:int>>").alias("hits"),
         F.array().cast("array<string>").alias("items"),
     )
-    for block in _blocks(benchmark, item, item_text):
-        marked = _marked(marked, "text", Phrases(block, width))
-    return marked.select(*(F.col(n).alias(c) for c, n in zip(keep, names)), "n_words", "hits", "items")
+    blocks = list(_blocks(benchmark, item, item_text))
+    for number, block in enumerate(blocks):
+        marked = _marked(marked, "text", Phrases(block, width), cut and number == len(blocks) - 1)
+    return marked
 
 
 def _cut_out(texts: pa.Array, hits: pa.Array) -> pa.Array:
@@ -269,21 +284,14 @@ def run_decontaminate(
     is such a column, is counted anew for texts that changed. See there for nulls and ties.
     """
     columns, types = documents.columns, dict(documents.dtypes)
-    names = [f"c{i}" for i in range(len(columns))]
-    place = columns.index(text)
-    found = run_contamination(
-        documents.toDF(*names), benchmark, names[place], width=width, keep=tuple(names)
-    ).drop("n_words", "items")
+    kept = [F.col(c).alias(f"keep_{k}") for k, c in enumerate(columns) if c != text]
+    cleaned = _run_marks(documents, kept, benchmark, text, "item_id", "text", width, cut=True)
+    counted = F.when(F.size("hits") > 0, F.length("text"))
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.set_column(place, names[place], _cut_out(batch.column(place), batch.column("hits")))
-
-    cleaned = found.mapInArrow(clean, found.schema)
-    counted = F.when(F.size("hits") > 0, F.length(names[place]))
-    return cleaned.select(
-        *(
-            F.coalesce(counted.cast(types[c]), n).alias(c) if c == n_chars else F.col(n).alias(c)
-            for c, n in zip(columns, names)
-        )
-    )
+    def result(place: int, name: str) -> Column:
+        if name == text:
+            return F.col("text").cast(types[name]).alias(name)
+        own = F.col(f"keep_{place}")
+        return (F.coalesce(counted.cast(types[name]), own) if name == n_chars else own).alias(name)
+
+    return cleaned.select(*(result(k, c) for k, c in enumerate(columns)))

@@ -26,6 +26,8 @@ _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 #: Sequences for the random field: words this close to one that has a digit, @ or +, or is an "[at]".
 CONTEXT = 3
+#: Rows with their texts that a task holds twice.
+ROWS_AT_ONCE = 1000
 #: Sequences that are decoded together.
 SEQUENCES = 4096
 
@@ -253,8 +255,10 @@ def run_find_personal_data(documents: DataFrame, id_column: str = "doc_id", text
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = _as_arrow(spans_of(batch.column("text"), model.value))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), found], names=["id", "spans"])
+            for first in range(0, len(batch), ROWS_AT_ONCE):
+                part = batch.slice(first, ROWS_AT_ONCE)
+                found = _as_arrow(spans_of(part.column("text"), model.value))
+                yield pa.RecordBatch.from_arrays([part.column("id"), found], names=["id", "spans"])
 
     rows = documents.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text"))
     kind = dict(rows.dtypes)["id"]
@@ -283,15 +287,17 @@ def run_redact(documents: DataFrame, text: str = "text", n_chars: str = "n_chars
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            old = batch.column(place).cast(pa.string())
-            spans, new, changed = spans_of(old, model.value), old.to_pylist(), []
-            for row, found in enumerate(spans):
-                if found:
-                    new[row] = redacted(new[row], found)
-                changed.append(bool(found))
-            arrays = [*batch.columns, pa.array(changed)]
-            arrays[place] = pa.array(new, pa.string())
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, "changed"])
+            for first in range(0, len(batch), ROWS_AT_ONCE):
+                part = batch.slice(first, ROWS_AT_ONCE)
+                old = part.column(place).cast(pa.string())
+                spans, new, changed = spans_of(old, model.value), old.to_pylist(), []
+                for row, found in enumerate(spans):
+                    if found:
+                        new[row] = redacted(new[row], found)
+                    changed.append(bool(found))
+                arrays = [*part.columns, pa.array(changed)]
+                arrays[place] = pa.array(new, pa.string())
+                yield pa.RecordBatch.from_arrays(arrays, names=[*part.schema.names, "changed"])
 
     named = documents.select(
         *(F.col(c).cast("string").alias(f"c{i}") if c == text else F.col(c).alias(f"c{i}") for i, c in enumerate(columns))

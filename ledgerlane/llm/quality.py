@@ -19,6 +19,9 @@ RIDGE = 0.05
 #: Code points that are added to a text's length in shares, so that one capital says little in a short text.
 SMOOTHING = 30
 
+#: Rows with their texts that a filtering task holds twice.
+ROWS_AT_ONCE = 1000
+
 FEATURES = (
     "words", "word_length", "length_spread", "words_per_line", "distinct_words", "distinct_lines",
     "repeated_words", "capitals", "digits", "symbols", "marks", "stops", "beyond_ascii", "short_words",
@@ -214,8 +217,10 @@ def run_keep_good(documents: DataFrame, labels: DataFrame, id_column: str = "doc
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = model.score(text_statistics(batch.column(place).cast(pa.string()))) >= 0.5
-            yield batch.filter(pa.array(good))
+            for first in range(0, len(batch), ROWS_AT_ONCE):
+                part = batch.slice(first, ROWS_AT_ONCE)
+                good = model.score(text_statistics(part.column(place).cast(pa.string()))) >= 0.5
+                yield part.filter(pa.array(good))
 
     named = documents.toDF(*(f"c{i}" for i in range(len(columns))))
     return named.mapInArrow(keep, named.schema).toDF(*columns)
