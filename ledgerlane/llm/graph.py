@@ -31,27 +31,29 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def _state(edges: DataFrame):
-    return edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.max(F.xxhash64("u", "v"))).first()
+def _run_is_done(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other that hangs on none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    roles = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return not roles.where("below > 1 or below = 1 and above = 1").head(1)
 
 
 def run_components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of `edges` (u, v; longs): the least node that it is connected with.
 
-    Large-star and small-star steps alternate until the edges stay, a number of rounds that grows
-    with the logarithm of the longest path. Each round is a few sums by node and joins on it, so a
+    Large-star and small-star steps alternate until all nodes hang on their least one, a number of
+    rounds that grows with the logarithm of the longest path. Each round is a few sums by node and joins on it, so a
     node with very many edges is combined before the shuffle or split by the join. Loops, repeated
     edges and nulls are ignored.
     """
     current = cut(
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
-    state = _state(current)
-    while True:
+    while not _run_is_done(current):
         following = cut(_small_star(_large_star(current)))
         discard(current)
-        current, before, state = following, state, _state(following)
-        if state == before:
-            break
+        current = following
     lows = current.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("label")).union(lows)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,31 +13,46 @@ from pyspark.sql import functions as F
 
 from ledgerlane.llm.graph import run_components
 from ledgerlane.llm.storage import cut, discard
-from ledgerlane.llm.wordspace import FOLD_ASCII, NOT_ASCII_SPACE, shingle_sets, text_chunks, words_of
+from ledgerlane.llm.wordspace import FOLD_ASCII, NOT_ASCII_SPACE, mixed, shingle_sets, text_chunks, words_of
 
 COORDINATES = 64
 #: Equal coordinates that two documents need before their sets are compared. Of 64, a pair with a
 #: similarity of 0.8 has 51 on average and fewer than 36 once in two million times.
 MATCHES = 36
-#: Rounds in which the documents of a list are compared with one of them only.
-STAR_ROUNDS = 2
+#: Bits of the longer sketch that open pairs are tested with. Sets of similarity s agree in a bit with
+#: probability (1 + s) / 2; a similar pair falls five deviations below that once in three million times.
+BITS = 4096
+DEVIATIONS = 5
 
-_ROWS_AT_ONCE = 4096
+_VALUES_AT_ONCE = 1 << 18
 
 
-def _multipliers() -> np.ndarray:
-    return np.random.default_rng(20240229).integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def _multipliers(count: int = COORDINATES) -> np.ndarray:
+    return np.random.default_rng(20240229).integers(1, 2**63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def signature(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
-    """The least scrambled hash per coordinate; its six lowest bits name the coordinate."""
-    least = np.full(COORDINATES, 2**64 - 1, dtype=np.uint64)
-    for first in range(0, len(shingles), _ROWS_AT_ONCE):
-        block = shingles[first : first + _ROWS_AT_ONCE, None] * multipliers[None, :]
+def _least_hashes(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
+    """The least scrambled hash per multiplier."""
+    least = np.full(len(multipliers), 2**64 - 1, dtype=np.uint64)
+    rows = max(1, _VALUES_AT_ONCE // len(multipliers))
+    for first in range(0, len(shingles), rows):
+        block = shingles[first : first + rows, None] * multipliers[None, :]
         np.minimum(least, block.min(axis=0), out=least)
+    return least
+
+
+def signature(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
+    """The least hash per coordinate; its six lowest bits name the coordinate."""
+    least = _least_hashes(shingles, multipliers)
     return (least & ~np.uint64(63) | np.arange(COORDINATES, dtype=np.uint64)).view(np.int64)
 
 
+def bit_sketch(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
+    """One bit of each of BITS least hashes."""
+    bits = (mixed(_least_hashes(shingles, multipliers)) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits).view(np.int64)
+
+
 def _sets(batch: pa.RecordBatch, text: str, width: int) -> Iterator[np.ndarray]:
     for _, offsets, data in text_chunks(batch.column(text)):
         yield from shingle_sets(words_of(FOLD_ASCII[data], offsets, NOT_ASCII_SPACE), width)
@@ -96,8 +112,9 @@ def _posted(classes: DataFrame, matches: int) -> DataFrame:
         tokens.join(shared, "token")
         .groupBy("class")
         .agg(F.sort_array(F.collect_list(F.struct("holders", "token"))).alias("found"))
-        .where(F.size("found") >= matches)
-        .select("class", F.slice("found.token", F.lit(1), F.size("found") - (matches - 1)).alias("prefix"))
+        .withColumn("common", F.size("found"))
+        .where(F.col("common") >= matches)
+        .select("class", "common", F.slice("found.token", F.lit(1), F.col("common") - (matches - 1)).alias("prefix"))
     )
     kept = classes.select("class", "least_id", "digest", "size", "signature")
     return cut(ordered.join(kept, "class"))
@@ -154,45 +171,95 @@ def _confirmed(pairs: DataFrame, posted: DataFrame, sets: DataFrame, percent: in
     )
 
 
-def _lists(posted: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(token, class, label): the posting lists whose classes are not all known to be connected."""
-    rows = posted.select("class", F.explode("prefix").alias("token"))
-    if labels is None:
-        return rows.withColumn("label", F.col("class"))
-    named = rows.join(labels.withColumnRenamed("node", "class"), "class", "left")
-    named = named.withColumn("label", F.coalesce("label", "class"))
-    open_lists = named.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b")
-    return named.join(open_lists.select("token"), "token")
+def _lists(posted: DataFrame) -> DataFrame:
+    return posted.select("class", "common", F.explode("prefix").alias("token"))
+
 
+def _star_pairs(lists: DataFrame) -> DataFrame:
+    """Each class of a posting list with one of them: the one with the fewest values of its own.
 
-def _star_pairs(lists: DataFrame, number: int) -> DataFrame:
-    """Each class of a list with one of them, the same for all lists as far as possible."""
-    rank = F.struct(F.xxhash64("class", F.lit(number)), "class", "label")
+    In a group of near copies that is the class most like the others, and the same in all lists.
+    """
+    rank = F.struct(-F.col("common"), F.xxhash64("class"), "class")
     leaders = lists.groupBy("token").agg(F.min(rank).alias("leader"))
     return (
         lists.join(leaders, "token")
-        .where("label <> leader.label")
+        .where("class <> leader.class")
         .select(F.least("class", "leader.class").alias("u"), F.greatest("class", "leader.class").alias("v"))
         .distinct()
     )
 
 
-def _open_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of a list whose classes are not known to be connected.
+def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(token, class, label) of lists whose classes are not all known to be connected."""
+    named = lists.join(labels.withColumnRenamed("node", "class"), "class", "left")
+    named = named.select("token", "class", F.coalesce("label", "class").alias("label"))
+    several = named.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b")
+    return named.join(several.select("token"), "token")
+
+
+def _partner_sizes(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(class, size, least, most): the sizes that a similar set can have, for classes that can have one.
+
+    What a set shares with any other in these lists is at most the number of its shingles that occur
+    in another one, `shared`. With an intersection i the sizes add up to (1 + 1 / similarity) * i at most.
+    """
+    found = sets.join(lists.select("class").distinct(), "class")
+    single = found.select("class", F.explode("shingles").alias("shingle"))
+    several = single.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    shared = single.join(several.select("shingle"), "shingle").groupBy("class").agg(F.count(F.lit(1)).alias("shared"))
+    sizes = found.select("class", F.size("shingles").cast("long").alias("size")).join(shared, "class")
+    return sizes.select(
+        "class",
+        "size",
+        F.expr(f"({percent} * size + 99) div 100").alias("least"),
+        F.expr(f"least(shared * {100 + percent} div {percent} - size, 100 * size div {percent})").alias("most"),
+    ).where("least <= most")
+
+
+def _with_bits(sets: DataFrame, partners: DataFrame) -> DataFrame:
+    """`partners` with the bit sketches of their sets."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        multipliers = _multipliers(BITS)
+        for batch in batches:
+            made = [bit_sketch(s.values.to_numpy().view(np.uint64), multipliers) for s in batch.column("shingles")]
+            bits = pa.array([m.tolist() for m in made], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], bits], names=[*batch.schema.names[:-1], "bits"])
+
+    rows = partners.join(sets, "class")
+    return rows.mapInArrow(sketch, "class long, size long, least long, most long, prefix array<long>, bits array<long>")
+
+
+def _open_pairs(lists: DataFrame, partners: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a list that are not known to be connected and may be similar.
 
     Classes of the most frequent label in a list meet only those of other labels, so that a large
-    group which is already connected costs nothing.
+    group which is already connected costs nothing. A pair is met in the first of its lists only,
+    and only if its sizes and its bit sketches allow the similarity.
     """
-    counted = lists.groupBy("token", "label").agg(F.count(F.lit(1)).alias("rows"))
-    largest = counted.groupBy("token").agg(F.max(F.struct("rows", "label")).alias("most"))
-    known = lists.join(largest.select("token", F.col("most.label").alias("most")), "token")
-    others = known.where("label <> most").select("token", F.col("class").alias("u"), F.col("label").alias("label_u"))
-    all_rows = known.select("token", F.col("class").alias("v"), F.col("label").alias("label_v"), "most")
+    rows = lists.join(partners.select("class"), "class")
+    counted = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("rows"))
+    largest = counted.groupBy("token").agg(F.max(F.struct("rows", "label")).alias("found"))
+    known = rows.join(largest.select("token", F.col("found.label").alias("main")), "token").join(partners, "class")
+    others = known.where("label <> main").drop("main")
+    others = others.toDF(*(c if c == "token" else f"{c}_u" for c in others.columns))
+    first_list = F.array_min(F.array_intersect("prefix", "prefix_u")) == F.col("token")
+    unequal = F.aggregate(
+        F.zip_with("bits", "bits_u", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, k: n + k
+    )
+    share = (1 - percent / 100) / 2  # of unequal bits, for a pair that is just similar
+    most = BITS * share + DEVIATIONS * math.sqrt(BITS * share * (1 - share))
+    fitting = (
+        F.expr("label_u <> label and (label = main or class_u < class)")
+        & F.expr("size between least_u and most_u and size_u between least and most")
+        & first_list
+        & (unequal <= math.ceil(most))
+    )
     return (
-        others.join(all_rows, "token")
-        .where("label_u <> label_v and (label_v = most or u < v)")
-        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-        .distinct()
+        others.join(known, "token")
+        .where(fitting)
+        .select(F.least("class_u", "class").alias("u"), F.greatest("class_u", "class").alias("v"))
     )
 
 
@@ -215,8 +282,8 @@ def run_near_duplicates(
     Signatures of 64 MinHash values are posted under each coordinate and value; pairs with enough
     equal values are confirmed on the sets of the whole texts. Equal sets are one class from the
     start. Classes of one posting list first meet a single class of the list; what that connects
-    need not be paired any more, and all remaining pairs of every list are then tried, without a
-    limit.
+    need not be paired any more. All remaining pairs of every list are then tried, without a limit,
+    except those that their sizes, the shingles nobody else has, or a longer sketch rule out.
 
     Empty, blank and null texts have no shingles and are linked with nothing. A row without id is
     linked with nothing, has no component and is kept. Rows that repeat an id are rows of one
@@ -227,23 +294,21 @@ def run_near_duplicates(
     classes = _classes(sketched)
     posted = _posted(classes, matches)
     sets = _full_sets(documents, posted, id_column, text, width)
-    labels, links, used = None, None, []
-    for number in range(STAR_ROUNDS + 1):
-        lists = cut(_lists(posted, labels))
-        pairs = cut(_star_pairs(lists, number) if number < STAR_ROUNDS else _open_pairs(lists))
-        found = cut(_confirmed(pairs, posted, sets, percent, matches))
-        discard(lists, pairs)
-        used.append(found)
-        links = found if links is None else links.union(found)
-        if labels is None or found.head(1):
-            labels = cut(run_components(links if labels is None else links.union(labels.toDF("u", "v"))))
-            used.append(labels)
-    discard(sets)
+    lists = _lists(posted)
+    links = cut(_confirmed(_star_pairs(lists), posted, sets, percent, matches))
+    labels = run_components(links)
+    open_lists = cut(_open_lists(lists, labels))
+    partners = _partner_sizes(open_lists, sets, percent).join(posted.select("class", "prefix"), "class")
+    pairs = _open_pairs(open_lists, cut(_with_bits(sets, partners)), percent)
+    more = cut(_confirmed(pairs, posted, sets, percent, matches))
+    discard(links, open_lists, sets)
+    if more.head(1):
+        labels = run_components(more.union(labels.toDF("u", "v")))
     named = classes.select("class", "digest", "least_id").join(labels.withColumnRenamed("node", "class"), "class", "left")
     named = named.withColumn("label", F.coalesce("label", "class"))
     least = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
     groups = cut(named.join(least, "label").select("digest", "component_id"))
-    discard(classes, posted, *used)
+    discard(classes, posted, more)
     whole = sketched.select("id", "n_shingles", "digest").join(groups, "digest", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component_id"))
     return whole.select(
