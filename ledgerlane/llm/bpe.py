@@ -20,6 +20,8 @@ from ledgerlane.llm.wordspace import NOT_ASCII_SPACE, text_chunks, words_of
 
 #: Most frequent words that are compiled; all others are merged when they are met.
 LEXICON_WORDS = 200_000
+#: Text in which each different word is looked up once.
+CHUNK_BYTES = 1 << 20
 #: Pieces of unseen words that a task remembers at a time.
 REMEMBERED = 150_000
 #: Greater than the rank of any pair.
@@ -193,7 +195,7 @@ class Decoder:
 def _word_counts(documents: DataFrame, text: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, offsets, data in text_chunks(batch.column("text")):
+            for _, offsets, data in text_chunks(batch.column("text"), CHUNK_BYTES):
                 words = words_of(data, offsets, NOT_ASCII_SPACE)
                 hashes, first, counts = np.unique(words.hashes, return_index=True, return_counts=True)
                 spelled = _take(data, words.starts[first], words.ends[first] - words.starts[first])
@@ -257,7 +259,7 @@ def run_encode(
         decoder = Decoder(model.value) if decoded else None
         for batch in batches:
             # Rows go out chunk by chunk, so that a task holds the ids and texts of one chunk only.
-            for first, offsets, data in text_chunks(batch.column("source_text")):
+            for first, offsets, data in text_chunks(batch.column("source_text"), CHUNK_BYTES):
                 ids, bounds = encoder.chunk(data, offsets)
                 part = batch.slice(first, len(offsets) - 1)
                 packed = [ids[a:b].astype("<u4").tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]

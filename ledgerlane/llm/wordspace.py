@@ -12,11 +12,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POWERS: dict[int, np.ndarray] = {}
+_POWERS_KEPT = 1 << 22
 
 FOLD_ASCII = np.arange(256, dtype=np.uint8)
 FOLD_ASCII[65:91] += 32
@@ -63,7 +64,7 @@ def _powers(base: np.uint64, count: int) -> np.ndarray:
         known = np.full(size, base, dtype=np.uint64)
         known[0] = 1
         known = np.cumprod(known, dtype=np.uint64)
-        if size <= 2 * CHUNK_BYTES:
+        if size <= _POWERS_KEPT:
             _POWERS[int(base)] = known
     return known[:count]
 
