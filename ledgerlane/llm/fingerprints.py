@@ -98,7 +98,7 @@ def run_fingerprints(documents: DataFrame, id_column: str = "doc_id", text: str
     The next document is the one that follows by descending id; after the last comes the first. In
     the edited text the last third of the code points, rounded down, is replaced by as many of the
     first ones of the next document's text, or all it has. Returns the id, n_chars, edited (the text),
-    sketch, edited_sketch, next_sketch.
+    sketch, edited_sketch, next_id, next_sketch and copies: how many rows have this id and text.
 
     Null texts are empty; rows without id come last; rows of one id and different texts come in a
     fixed order. Rows that repeat an id and a text are one document: they have the same next one and the
@@ -112,29 +112,39 @@ def run_fingerprints(documents: DataFrame, id_column: str = "doc_id", text: str
         F.xxhash64(F.lit(1), number, number.isNull(), whole).alias("a"),
         F.xxhash64(whole, number.isNull(), number, F.lit(2)).alias("b"),
     )
-    keys = cut(rows.select("id", "a", "b", F.length("text").alias("n_chars")).distinct())
-    ordered = keys.select("a", "b", "n_chars", F.col("id").isNull().alias("o1"), F.bitwise_not("id").alias("o2"))
-    links = cut(run_neighbours(ordered, ["o1", "o2", "a", "b"], ["a", "b"]))
-    known = rows.groupBy("a", "b").agg(
-        F.first("id").alias("id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")
+    keys = cut(
+        rows.groupBy("id", "a", "b", F.length("text").alias("n_chars")).agg(F.count(F.lit(1)).alias("copies"))
     )
+    ordered = keys.select("a", "b", "n_chars", "copies", F.col("id").isNull().alias("o1"), F.bitwise_not("id").alias("o2"))
+    links = cut(run_neighbours(ordered, ["o1", "o2", "a", "b"], ["a", "b"]))
+    # Both uses below need the same columns, so that the texts are shuffled once for both.
+    known = rows.groupBy("a", "b").agg(F.first("id").alias("id"), F.first("text").alias("text"))
     # What the next document gives: keyed by itself, asked for by the one before it.
     wanted = links.select(
-        F.col("next_a").alias("a"), F.col("next_b").alias("b"), F.col("a").alias("for_a"), F.col("b").alias("for_b"),
+        F.col("next_a").alias("a"),
+        F.col("next_b").alias("b"),
+        F.col("a").alias("for_a"),
+        F.col("b").alias("for_b"),
         F.floor(F.col("n_chars") / 3).cast("int").alias("wanted"),
-    )
+        "copies",
+    )
     given = with_sketch(known.join(wanted, ["a", "b"]), "text", "next_sketch").select(
-        F.col("for_a").alias("a"), F.col("for_b").alias("b"), F.substring("text", F.lit(1), F.col("wanted")).alias("given"), "next_sketch"
+        F.col("for_a").alias("a"),
+        F.col("for_b").alias("b"),
+        F.col("id").alias("next_id"),
+        F.substring("text", F.lit(1), F.col("wanted")).alias("given"),
+        "next_sketch",
+        "wanted",
+        "copies",
     )
     edited = (
         known.withColumn("n_chars", F.length("text").cast("long"))
         .join(given, ["a", "b"])
-        .withColumn("kept", (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int"))
-        .withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("kept")), "given"))
+        .withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - F.col("wanted")).cast("int")), "given"))
     )
     sketched = with_sketch(with_sketch(edited, "text", "sketch"), "edited", "edited_sketch")
     return sketched.select(
-        F.col("id").alias(id_column), "n_chars", "edited", "sketch", "edited_sketch", "next_sketch", "copies"
+        F.col("id").alias(id_column), "n_chars", "edited", "sketch", "edited_sketch", "next_id", "next_sketch", "copies"
     )
 
 

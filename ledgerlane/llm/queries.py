@@ -38,6 +38,32 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return run_near_duplicates(table(spark, folder, "documents"), width=4)
 
 
+ORACLE["op10_near_duplicates"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, list_slice(words, start, start + 3) AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS start FROM words WHERE len(words) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS size FROM shingles GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT u, v FROM pairs JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+    WHERE 100 * common >= 80 * (x.size + y.size - common)
+), edges AS (
+    SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reached(doc_id, root) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT e.v, r.root FROM reached r JOIN edges e ON e.u = r.doc_id
+)
+SELECT r.doc_id, any_value(coalesce(size, 0))::BIGINT AS n_shingles, min(root) AS component_id, min(root) = r.doc_id AS kept
+FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
 @query
 def op6_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
     found = run_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -213,6 +239,7 @@ def op3_scaled_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
             as_text("edited_sketch").alias("edited_fingerprint"),
             likeness("sketch", "edited_sketch").alias("near_edited"),
             likeness("sketch", "next_sketch").alias("near_next"),
+            F.col("next_id").alias("next_doc_id"),
             "copies",
         )
     )
