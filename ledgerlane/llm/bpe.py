@@ -20,6 +20,8 @@ from ledgerlane.llm.wordspace import NOT_ASCII_SPACE, text_chunks, words_of
 
 #: Most frequent words that are compiled; all others are merged when they are met.
 LEXICON_WORDS = 200_000
+#: Classes of counts per doubling; a class is compiled as a whole.
+COUNT_STEPS = 16
 #: Text in which each different word is looked up once.
 CHUNK_BYTES = 1 << 20
 #: Pieces of unseen words that a task remembers at a time.
@@ -212,8 +214,9 @@ def _word_counts(documents: DataFrame, text: str) -> DataFrame:
 def run_lexicon(documents: DataFrame, path: str, text: str = "text", words: int = LEXICON_WORDS) -> str:
     """Counts the words of all documents, compiles the most frequent ones and returns the name of the shared file.
 
-    A word is what ASCII white space separates; equal counts go by spelling. The number of words
-    bounds the driver's work, not the result: words that are not compiled are merged exactly.
+    A word is what ASCII white space separates. The least count is found from a histogram of counts,
+    so that at most `words` of them are taken, without sorting them. That number bounds the driver's
+    work, not the result: words that are not compiled are merged exactly.
     """
     model = documents.sparkSession.sparkContext.broadcast(WordBpe(path))
 
@@ -222,10 +225,18 @@ def run_lexicon(documents: DataFrame, path: str, text: str = "text", words: int
             found = [model.value.encode_word(w.decode()) for w in batch.column("word").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(found, pa.list_(pa.int32()))], names=["word", "ids"])
 
-    chosen = cut(_word_counts(documents, text).orderBy(F.desc("found"), "word").limit(words).select("word"))
-    entries = chosen.mapInArrow(encode, "word binary, ids array<int>").toArrow()
+    counted = cut(_word_counts(documents, text).withColumn("size", F.floor(F.log2("found") * COUNT_STEPS)))
+    sizes = counted.groupBy("size").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("size")).collect()
+    least, taken = None, 0
+    for row in sizes:
+        taken += row["words"]
+        if taken > words:
+            break
+        least = row["size"]
+    chosen = counted.where(F.col("size") >= least) if least is not None else counted.where("false")
+    entries = chosen.select("word").mapInArrow(encode, "word binary, ids array<int>").toArrow()
     entries = sorted(zip(entries.column("word").to_pylist(), entries.column("ids").to_pylist()))
-    discard(chosen)
+    discard(counted)
     return share_file(documents.sparkSession, "lexicon", compile_lexicon(entries))
 
 
