@@ -63,8 +63,9 @@ def _counts(documents: DataFrame, pairs: bool) -> DataFrame:
             at = order[starts]
             in_one = np.add.reduceat(halves[order].astype(np.int64), starts)
             both = np.diff(np.append(starts, len(order)))
-            columns = [first[at].view(np.int64), second[at].view(np.int64), both - in_one, in_one]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["first", "word", "c0", "c1"])
+            # Both counts in one number, as the shuffled rows are many and mostly hashes.
+            columns = [first[at].view(np.int64), second[at].view(np.int64), (both - in_one) | in_one << 32]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["first", "word", "c"])
 
         for batch in batches:
             halves = batch.column("half").to_numpy(zero_copy_only=False)
@@ -79,16 +80,18 @@ def _counts(documents: DataFrame, pairs: bool) -> DataFrame:
         if size:
             yield put_out()
 
-    found = documents.mapInArrow(count, "first long, word long, c0 long, c1 long")
-    return found.groupBy("first", "word").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+    found = documents.mapInArrow(count, "first long, word long, c long")
+    return found.groupBy("first", "word").agg(
+        F.sum(F.expr("c & 4294967295")).alias("c0"), F.sum(F.shiftright("c", 32)).alias("c1")
+    )
 
 
 def _exploded(documents: DataFrame, pairs: bool) -> DataFrame:
-    """(id, half, key, times): the words or pairs of every text with their number."""
+    """(id, key, times): the words or pairs of every text with their number, below zero in half 1."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, halves = batch.column("id"), batch.column("half")
+            ids, signs = batch.column("id"), 1 - 2 * batch.column("half").to_numpy(zero_copy_only=False)
             for start, offsets, data in text_chunks(batch.column("text")):
                 rows, first, second = _chunk_grams(offsets, data, pairs)
                 keys = _key(first, second)
@@ -98,15 +101,15 @@ def _exploded(documents: DataFrame, pairs: bool) -> DataFrame:
                 order = np.argsort(rows.astype(np.uint64) << (np.uint64(64) - bits) | keys >> bits)
                 keys, rows = keys[order], rows[order]
                 at = np.union1d(_starts(keys), _starts(rows))
-                times = np.diff(np.append(at, len(keys)))
-                owners = pa.array(rows[at] + start)
+                owners = rows[at] + start
+                times = np.diff(np.append(at, len(keys))) * signs[owners]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(owners), halves.take(owners), pa.array(keys[at].view(np.int64)), pa.array(times.astype(np.int32))],
-                    names=["id", "half", "key", "times"],
+                    [ids.take(pa.array(owners)), pa.array(keys[at].view(np.int64)), pa.array(times.astype(np.int32))],
+                    names=["id", "key", "times"],
                 )
 
     kind = dict(documents.dtypes)["id"]
-    return documents.mapInArrow(explode, f"id {kind}, half int, key long, times int")
+    return documents.mapInArrow(explode, f"id {kind}, key long, times int")
 
 
 def run_backoff_scores(documents: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -134,6 +137,14 @@ def run_backoff_scores(documents: DataFrame, id_column: str = "doc_id", text: st
         F.log(F.greatest("c1", F.lit(1))).alias("v0"),
         F.log(F.greatest("c0", F.lit(1))).alias("v1"),
     )
+    value = F.abs("times") * F.when(F.col("times") > 0, F.col("v0")).otherwise(F.col("v1"))
+
+    def summed(exploded: DataFrame, table: DataFrame, name: str) -> DataFrame:
+        found = exploded.join(table.hint("shuffle_hash"), "key")
+        return cut(found.groupBy("id").agg(F.sum(F.abs("times")).alias(f"n_{name}"), F.sum(value).alias(name)))
+
+    # The largest shuffles are told apart by smaller ones, so that their files never lie side by side.
+    single = summed(_exploded(rows, False), logs, "words")
     shared = cut(_counts(rows, True).where("c0 > 0 and c1 > 0"))
     before = words.toDF("first", "b0", "b1")
     after = words.toDF("word", "a0", "a1")
@@ -149,13 +160,6 @@ def run_backoff_scores(documents: DataFrame, id_column: str = "doc_id", text: st
         .mapInArrow(_with_key, "key long, v0 double, v1 double")
     )
     discard(shared)
-    value = F.col("times") * F.when(F.col("half") == 0, F.col("v0")).otherwise(F.col("v1"))
-
-    def summed(exploded: DataFrame, table: DataFrame, name: str) -> DataFrame:
-        found = exploded.join(table.hint("shuffle_hash"), "key")
-        return cut(found.groupBy("id").agg(F.sum("times").alias(f"n_{name}"), F.sum(value).alias(name)))
-
-    single = summed(_exploded(rows, False), logs, "words")
     discard(words)
     double = summed(_exploded(rows, True), pairs, "matched")
     discard(pairs)
