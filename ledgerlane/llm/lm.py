@@ -137,7 +137,7 @@ def run_backoff_scores(documents: DataFrame, id_column: str = "doc_id", text: st
         F.log(F.greatest("c1", F.lit(1))).alias("v0"),
         F.log(F.greatest("c0", F.lit(1))).alias("v1"),
     )
-    value = F.abs("times") * F.when(F.col("times") > 0, F.col("v0")).otherwise(F.col("v1"))
+    value = F.abs("times") * F.when(F.col("times") > 0, F.col("v0")).otherwise(F.col("v1")).cast("double")
 
     def summed(exploded: DataFrame, table: DataFrame, name: str) -> DataFrame:
         found = exploded.join(table.hint("shuffle_hash"), "key")
@@ -154,10 +154,11 @@ def run_backoff_scores(documents: DataFrame, id_column: str = "doc_id", text: st
         .select(
             "first",
             "word",
-            (F.log("c1") - F.log("b1") - F.log("a1")).alias("v0"),
-            (F.log("c0") - F.log("b0") - F.log("a0")).alias("v1"),
+            # Seven digits of a logarithm are enough, and half as many bytes to shuffle.
+            (F.log("c1") - F.log("b1") - F.log("a1")).cast("float").alias("v0"),
+            (F.log("c0") - F.log("b0") - F.log("a0")).cast("float").alias("v1"),
         )
-        .mapInArrow(_with_key, "key long, v0 double, v1 double")
+        .mapInArrow(_with_key, "key long, v0 float, v1 float")
     )
     discard(shared)
     discard(words)
