@@ -1,4 +1,4 @@
-"""Stupid-backoff scores of documents by word-pair counts of the other half of the corpus."""
+"""Stupid-backoff scores of documents by word-pair counts of the other documents."""
 
 from __future__ import annotations
 
@@ -16,6 +16,7 @@ from ledgerlane.llm.wordspace import ALPHANUMERIC, FOLD_ASCII, text_chunks, word
 BACKOFF = 0.4
 #: Counts are put together over so many words of a task before they are shuffled.
 SHARD_WORDS = 1 << 22
+_FOLD = np.uint64(0xA0761D6478BD642F)
 
 
 def half(id_column: str) -> Column:
@@ -26,14 +27,20 @@ def _rows_of(bounds: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
 
 
-def _chunk_grams(offsets: np.ndarray, data: np.ndarray, pairs: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, first word or 0, word) of every word, or of every two consecutive words of a row."""
+def _chunk_grams(
+    offsets: np.ndarray, data: np.ndarray, folds: np.ndarray, pairs: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first word or 0, word, place of the word) of every word, or of every two consecutive words of a row.
+
+    Words of rows of fold 1 are others than those of fold 0.
+    """
     words = words_of(FOLD_ASCII[data], offsets, ALPHANUMERIC)
-    rows, hashes = _rows_of(words.bounds), words.hashes
+    rows = _rows_of(words.bounds)
+    hashes = words.hashes ^ folds[rows].astype(np.uint64) * _FOLD
     if not pairs:
-        return rows, np.zeros(len(hashes), np.uint64), hashes
+        return rows, np.zeros(len(hashes), np.uint64), hashes, np.arange(len(hashes))
     inside = np.flatnonzero(rows[1:] == rows[:-1]) if len(rows) else rows
-    return rows[inside], hashes[inside], hashes[inside + 1]
+    return rows[inside], hashes[inside], hashes[inside + 1], inside + 1
 
 
 def _key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -48,31 +55,48 @@ def _starts(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(fresh)
 
 
+def _by_row(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by row and key, and where each run of one key of a row begins in it."""
+    # By row, then by the leading bits of the key: one sort of plain numbers, unless keys agree in these bits.
+    bits = np.uint64(max(1, int(rows[-1]).bit_length() if len(rows) else 1))
+    leading = rows.astype(np.uint64) << (np.uint64(64) - bits) | keys >> bits
+    order = np.argsort(leading)
+    if np.any((leading[order][1:] == leading[order][:-1]) & (keys[order][1:] != keys[order][:-1])):
+        order = np.lexsort((keys, rows))
+    return order, np.union1d(_starts(keys[order]), _starts(rows[order]))
+
+
+def _times_in_row(rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """How often each key occurs in its row."""
+    order, at = _by_row(rows, keys)
+    times = np.diff(np.append(at, len(keys)))
+    found = np.empty(len(keys), dtype=np.int64)
+    found[order] = np.repeat(times, times)
+    return found
+
+
 def _counts(documents: DataFrame, pairs: bool) -> DataFrame:
-    """(first, word, c0, c1): how often each word or pair occurs in either half."""
+    """(first, word, c): how often each word or pair occurs in rows of the same fold."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
 
         def put_out() -> pa.RecordBatch:
-            first, second, halves = (np.concatenate(x) for x in zip(*held))
+            first, second = (np.concatenate(x) for x in zip(*held))
             keys = _key(first, second)
             order = np.argsort(keys)
             starts = _starts(keys[order])
             at = order[starts]
-            in_one = np.add.reduceat(halves[order].astype(np.int64), starts)
-            both = np.diff(np.append(starts, len(order)))
-            # Both counts in one number, as the shuffled rows are many and mostly hashes.
-            columns = [first[at].view(np.int64), second[at].view(np.int64), (both - in_one) | in_one << 32]
+            columns = [first[at].view(np.int64), second[at].view(np.int64), np.diff(np.append(starts, len(order)))]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["first", "word", "c"])
 
         for batch in batches:
-            halves = batch.column("half").to_numpy(zero_copy_only=False)
+            folds = batch.column("fold").to_numpy(zero_copy_only=False)
             for start, offsets, data in text_chunks(batch.column("text")):
-                rows, first, second = _chunk_grams(offsets, data, pairs)
-                held.append((first, second, halves[rows + start]))
-                size += len(rows)
+                _, first, second, _ = _chunk_grams(offsets, data, folds[start:], pairs)
+                held.append((first, second))
+                size += len(first)
                 if size >= SHARD_WORDS:
                     yield put_out()
                     held.clear()
@@ -81,98 +105,166 @@ def _counts(documents: DataFrame, pairs: bool) -> DataFrame:
             yield put_out()
 
     found = documents.mapInArrow(count, "first long, word long, c long")
-    return found.groupBy("first", "word").agg(
-        F.sum(F.expr("c & 4294967295")).alias("c0"), F.sum(F.shiftright("c", 32)).alias("c1")
-    )
+    return found.groupBy("first", "word").agg(F.sum("c").alias("c"))
 
 
-def _exploded(documents: DataFrame, pairs: bool) -> DataFrame:
-    """(id, key, times): the words or pairs of every text with their number, below zero in half 1."""
+def _exploded(documents: DataFrame) -> DataFrame:
+    """(id, key, times): the words of every text with their number."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, signs = batch.column("id"), 1 - 2 * batch.column("half").to_numpy(zero_copy_only=False)
+            ids, folds = batch.column("id"), batch.column("fold").to_numpy(zero_copy_only=False)
             for start, offsets, data in text_chunks(batch.column("text")):
-                rows, first, second = _chunk_grams(offsets, data, pairs)
-                keys = _key(first, second)
-                # By row, then by the leading bits of the key: one sort of plain numbers. Keys that agree
-                # in these bits may alternate, and then come out in several rows, which adds up the same.
-                bits = np.uint64(max(1, int(rows[-1]).bit_length() if len(rows) else 1))
-                order = np.argsort(rows.astype(np.uint64) << (np.uint64(64) - bits) | keys >> bits)
-                keys, rows = keys[order], rows[order]
-                at = np.union1d(_starts(keys), _starts(rows))
-                owners = rows[at] + start
-                times = np.diff(np.append(at, len(keys))) * signs[owners]
+                rows, _, words, _ = _chunk_grams(offsets, data, folds[start:], False)
+                order, at = _by_row(rows, words)
+                owners, times = rows[order][at] + start, np.diff(np.append(at, len(rows)))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(owners)), pa.array(keys[at].view(np.int64)), pa.array(times.astype(np.int32))],
+                    [ids.take(pa.array(owners)), pa.array(words[order][at].view(np.int64)), pa.array(times)],
                     names=["id", "key", "times"],
                 )
 
     kind = dict(documents.dtypes)["id"]
-    return documents.mapInArrow(explode, f"id {kind}, key long, times int")
+    return documents.mapInArrow(explode, f"id {kind}, key long, times long")
 
 
-def run_backoff_scores(documents: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def _exploded_pairs(documents: DataFrame) -> DataFrame:
+    """(id, key, first, word, own, wide): the pairs of every text.
+
+    `own` holds the numbers of the pair, of its first and of its second word in that text in 8, 12 and
+    12 bits, as the shuffled rows are many and mostly hashes; where they don't fit, `wide` has them.
+    """
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, folds = batch.column("id"), batch.column("fold").to_numpy(zero_copy_only=False)
+            for start, offsets, data in text_chunks(batch.column("text")):
+                word_rows, _, words, _ = _chunk_grams(offsets, data, folds[start:], False)
+                in_row = _times_in_row(word_rows, words)
+                rows, first, second, places = _chunk_grams(offsets, data, folds[start:], True)
+                keys = _key(first, second)
+                order, at = _by_row(rows, keys)
+                at_pair = order[at]
+                times = np.diff(np.append(at, len(keys)))
+                a, b = in_row[places[at_pair] - 1], in_row[places[at_pair]]
+                fits = (times < 1 << 8) & (a < 1 << 12) & (b < 1 << 12)
+                own = np.where(fits, times | a << 8 | b << 20, 0).astype(np.uint32).view(np.int32)
+                wide = [None] * len(fits)
+                for k in np.flatnonzero(~fits).tolist():
+                    wide[k] = [int(times[k]), int(a[k]), int(b[k])]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        ids.take(pa.array(rows[at_pair] + start)),
+                        pa.array(keys[at_pair].view(np.int64)),
+                        pa.array(first[at_pair].view(np.int64)),
+                        pa.array(second[at_pair].view(np.int64)),
+                        pa.array(own),
+                        pa.array(wide, pa.list_(pa.int64())),
+                    ],
+                    names=["id", "key", "first", "word", "own", "wide"],
+                )
+
+    kind = dict(documents.dtypes)["id"]
+    return documents.mapInArrow(explode, f"id {kind}, key long, first long, word long, own int, wide array<long>")
+
+
+def _unpacked() -> tuple[Column, Column, Column]:
+    """The three numbers in `own` and `wide`."""
+    packed = (F.col("own").bitwiseAND(255), F.expr("own >> 8 & 4095"), F.expr("own >>> 20"))
+    return tuple(F.coalesce(F.col("wide")[k], p.cast("long")) for k, p in enumerate(packed))
+
+
+def _parts_together(parts: DataFrame) -> DataFrame:
+    """(id, key, own, wide) like those of `_exploded_pairs`, for documents that have several rows."""
+    words = cut(_exploded(parts).groupBy("id", "key").agg(F.sum("times").alias("n")))
+    times = _unpacked()[0]
+    pairs = _exploded_pairs(parts).groupBy("id", "key", "first", "word").agg(F.sum(times).alias("times"))
+    for place in ("first", "word"):
+        own = words.toDF("i", "w", f"n_{place}")
+        pairs = pairs.join(own, F.col("id").eqNullSafe(F.col("i")) & (F.col(place) == F.col("w"))).drop("i", "w")
+    return pairs.select("id", "key", F.lit(0).alias("own"), F.array("times", "n_first", "n_word").alias("wide"))
+
+
+#: What a document is not scored with: its own words, or the half of the corpus it is in.
+LEFT_OUT = ("document", "half")
+
+
+def run_backoff_scores(
+    documents: DataFrame, id_column: str = "doc_id", text: str = "text", left_out: str = "half"
+) -> DataFrame:
     """id, n_words, n_matched, score and score_per_word (natural logarithms) per id.
 
-    Words are runs of 0-9, letters (A-Z folded) and code points above 127. The corpus is split into
-    halves by the crc32 of the id as text, and each document is scored with the counts of the half it
-    is not in: a word scores count(pair) / count(word before) if that half has the pair, else 0.4
-    times its share of that half's words; words that half lacks count as if it had them once. The
-    first word has no factor. Counts are tables by hash, joined to the distinct words and pairs of every
-    document and summed per document; common ones are summed in their tasks first, and a pair that very
-    many documents have is split by the join.
+    Words are runs of 0-9, letters (A-Z folded) and code points above 127. With `left_out` "document"
+    each document is scored with the counts of all documents less its own. With "half" the corpus is split
+    into halves by the crc32 of the id as text, and each document reads only the half it is not in. A
+    word scores count(pair) / count(word before) if these counts have the pair, else 0.4 times its share
+    of all their words; words they lack count as if they had them once. The first word has no factor.
+    Counts are tables by hash, joined to the distinct words and pairs of every document and summed per
+    document; common ones are summed in their tasks first, and a pair that very many documents have is
+    split by the join.
 
     Null and empty texts have no words and score 0, per word too. Rows that repeat an id are parts of
     one document; rows without id are one document of their own. An empty table gives an empty result.
     """
-    rows = documents.select(
-        F.col(id_column).alias("id"), half(id_column).alias("half"), F.col(text).cast("string").alias("text")
-    )
-    words = cut(_counts(rows, False).select("word", "c0", "c1"))
-    totals = words.agg(F.sum("c0"), F.sum("c1")).first()
-    # What a document of a half reads: the other half's counts.
-    logs = words.select(
-        F.col("word").alias("key"),
-        F.log(F.greatest("c1", F.lit(1))).alias("v0"),
-        F.log(F.greatest("c0", F.lit(1))).alias("v1"),
-    )
-    value = F.abs("times") * F.when(F.col("times") > 0, F.col("v0")).otherwise(F.col("v1")).cast("double")
-
-    def summed(exploded: DataFrame, table: DataFrame, name: str) -> DataFrame:
-        found = exploded.join(table.hint("shuffle_hash"), "key")
-        return cut(found.groupBy("id").agg(F.sum(F.abs("times")).alias(f"n_{name}"), F.sum(value).alias(name)))
+    if left_out not in LEFT_OUT:
+        raise ValueError(f"left_out is one of {LEFT_OUT}")
+    by_document = left_out == "document"
+    fold = F.lit(0) if by_document else half(id_column)
+    rows = documents.select(F.col(id_column).alias("id"), fold.alias("fold"), F.col(text).cast("string").alias("text"))
+    # Counts are of the fold of those who read them.
+    counted = rows if by_document else rows.withColumn("fold", 1 - F.col("fold"))
+    ids = cut(rows.groupBy("id").agg(F.count(F.lit(1)).alias("parts")))
+
+    def rest(count: str, own: str) -> Column:
+        return F.col(count) - F.col(own) if by_document else F.col(count)
+
+    def summed(found: DataFrame, name: str, value: Column) -> DataFrame:
+        return cut(found.groupBy("id").agg(F.sum("times").alias(f"n_{name}"), F.sum(F.col("times") * value).alias(name)))
+
+    whole, parts = rows, None
+    if by_document and ids.where("parts > 1").head(1):
+        several = ids.where("parts > 1").select(F.col("id").alias("i"))
+        whole, parts = (rows.join(several, F.col("id").eqNullSafe(F.col("i")), how) for how in ("left_anti", "left_semi"))
 
     # The largest shuffles are told apart by smaller ones, so that their files never lie side by side.
-    single = summed(_exploded(rows, False), logs, "words")
-    shared = cut(_counts(rows, True).where("c0 > 0 and c1 > 0"))
-    before = words.toDF("first", "b0", "b1")
-    after = words.toDF("word", "a0", "a1")
+    words = cut(_counts(counted, False).select("word", "c"))
+    own_words = _exploded(whole)
+    if parts is not None:
+        own_words = own_words.union(_exploded(parts).groupBy("id", "key").agg(F.sum("times").alias("times")))
+    read = own_words.join(words.withColumnRenamed("word", "key").hint("shuffle_hash"), "key", "left")
+    single = summed(read, "words", F.log(F.greatest(F.coalesce(rest("c", "times"), F.lit(1)), F.lit(1))))
+    # A pair that occurs once is left by its own document only.
+    shared = cut(_counts(counted, True).where(F.col("c") > int(by_document)))
+    before = words.toDF("first", "c_first")
+    after = words.toDF("word", "c_word")
     pairs = cut(
         shared.join(before, "first")
         .join(after, "word")
-        .select(
-            "first",
-            "word",
-            # Seven digits of a logarithm are enough, and half as many bytes to shuffle.
-            (F.log("c1") - F.log("b1") - F.log("a1")).cast("float").alias("v0"),
-            (F.log("c0") - F.log("b0") - F.log("a0")).cast("float").alias("v1"),
-        )
-        .mapInArrow(_with_key, "key long, v0 float, v1 float")
+        .select("first", "word", "c", "c_first", "c_word")
+        .mapInArrow(_with_key, "key long, c long, c_first long, c_word long")
     )
     discard(shared)
     discard(words)
-    double = summed(_exploded(rows, True), pairs, "matched")
+    own_pairs = _exploded_pairs(whole).select("id", "key", "own", "wide")
+    if parts is not None:
+        own_pairs = own_pairs.union(_parts_together(parts))
+    read = own_pairs.join(pairs.hint("shuffle_hash"), "key").withColumns(dict(zip(("times", "n_first", "n_word"), _unpacked())))
+    read = read.where(rest("c", "times") > 0)
+    gain = F.log(rest("c", "times")) - F.log(rest("c_first", "n_first")) - F.log(rest("c_word", "n_word"))
+    double = summed(read, "matched", gain)
     discard(pairs)
-    ids = rows.groupBy("id").agg(F.first("half").alias("half"))
     known = ids.join(single.withColumnRenamed("id", "i"), F.col("id").eqNullSafe(F.col("i")), "left").drop("i")
     known = known.join(double.withColumnRenamed("id", "j"), F.col("id").eqNullSafe(F.col("j")), "left").drop("j")
     known = known.fillna(0, ["n_words", "n_matched"]).fillna(0.0, ["words", "matched"])
-    other = F.when(F.col("half") == 0, F.lit(math.log(max(totals[1] or 0, 1)))).otherwise(math.log(max(totals[0] or 0, 1)))
+    sizes = dict(single.groupBy(half("id")).agg(F.sum("n_words")).collect())
+    totals = sizes.get(0, 0), sizes.get(1, 0)
+    if by_document:
+        total = F.lit(sum(totals)) - F.col("n_words")
+    else:
+        total = F.when(half("id") == 0, F.lit(totals[1])).otherwise(F.lit(totals[0]))
     score = (
         F.col("words")
         + F.col("matched")
-        - (F.col("n_words") - F.col("n_matched")) * other
+        - (F.col("n_words") - F.col("n_matched")) * F.log(F.greatest(total, F.lit(1)))
         + (F.col("n_words") - 1 - F.col("n_matched")) * math.log(BACKOFF)
     )
     return known.withColumn("score", F.when(F.col("n_words") > 0, score).otherwise(0.0)).select(
@@ -188,5 +280,5 @@ def _with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         first, word = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("first", "word"))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(_key(first, word).view(np.int64)), batch.column("v0"), batch.column("v1")], names=["key", "v0", "v1"]
+            [pa.array(_key(first, word).view(np.int64)), *batch.columns[2:]], names=["key", *batch.schema.names[2:]]
         )

@@ -291,4 +291,4 @@ FROM messages GROUP BY conv_id
 
 @query
 def op5_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return run_backoff_scores(table(spark, folder, "documents"))
+    return run_backoff_scores(table(spark, folder, "documents"), left_out="document")
