@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.llm.bpe import run_encode
 from ledgerlane.llm.decontaminate import run_decontaminate
-from ledgerlane.llm.near_dup import run_near_duplicates
+from ledgerlane.llm.near_dup import run_near_duplicates, text_sha256
 from ledgerlane.llm.pii import run_redact
 from ledgerlane.llm.quality import run_keep_good
 from ledgerlane.llm.storage import cut, discard
@@ -26,9 +26,13 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near duplicates (five words, 0.8), and once only."""
-    others = run_near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """The document with the least id of each group of near duplicates (five words, 0.8), and once only.
+
+    Rows of one id and different texts go or stay each by its own text.
+    """
+    others = run_near_duplicates(docs, digests=True).where("not kept").select("doc_id", "text_sha256").distinct()
+    same = (docs["doc_id"] == others["doc_id"]) & (text_sha256(docs["text"]) == others["text_sha256"])
+    return docs.join(others, same, "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

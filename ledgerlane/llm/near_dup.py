@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.graph import run_components
@@ -62,8 +62,13 @@ def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def text_sha256(text: Column) -> Column:
+    """A digest of a text that tells rows of one id apart; null for null."""
+    return F.unhex(F.sha2(text.cast("string").cast("binary"), 256))
+
+
 def sketches(documents: DataFrame, id_column: str, text: str, width: int) -> DataFrame:
-    """(id, n_shingles, digest of the set, signature) per row."""
+    """(id, digest of the text, n_shingles, digest of the set, signature) per row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multipliers = _multipliers()
@@ -78,15 +83,20 @@ def sketches(documents: DataFrame, id_column: str, text: str, width: int) -> Dat
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
+                    batch.column("text_sha256"),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.cumsum(lengths, dtype=np.int32)), pa.array(values)),
                 ],
-                names=["id", "n_shingles", "digest", "signature"],
+                names=["id", "text_sha256", "n_shingles", "digest", "signature"],
             )
 
-    rows = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(sketch, "id long, n_shingles long, digest binary, signature array<long>")
+    rows = documents.select(
+        F.col(id_column).cast("long").alias("id"),
+        F.col(text).cast("string").alias("text"),
+        text_sha256(F.col(text)).alias("text_sha256"),
+    )
+    return rows.mapInArrow(sketch, "id long, text_sha256 binary, n_shingles long, digest binary, signature array<long>")
 
 
 def _classes(sketched: DataFrame) -> DataFrame:
@@ -270,6 +280,7 @@ def run_near_duplicates(
     width: int = 5,
     percent: int = 80,
     matches: int = MATCHES,
+    digests: bool = False,
 ) -> DataFrame:
     """Groups of documents that are linked by similar sets of word shingles.
 
@@ -277,7 +288,8 @@ def run_near_duplicates(
     of `width` words, the whole sequence if it is shorter. Two documents are linked if
     100 * intersection >= percent * union. Returns id, n_shingles, component_id (the least id that
     links lead to) and kept (id = component_id), one row per row of `documents`, other columns are
-    not looked at.
+    not looked at. With `digests`, text_sha256 of each row's text besides, which tells to what row of
+    an id the verdict belongs.
 
     Signatures of 64 MinHash values are posted under each coordinate and value; pairs with enough
     equal values are confirmed on the sets of the whole texts. Equal sets are one class from the
@@ -309,11 +321,12 @@ def run_near_duplicates(
     least = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
     groups = cut(named.join(least, "label").select("digest", "component_id"))
     discard(classes, posted, more)
-    whole = sketched.select("id", "n_shingles", "digest").join(groups, "digest", "left")
+    whole = sketched.select("id", "text_sha256", "n_shingles", "digest").join(groups, "digest", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component_id"))
     return whole.select(
         F.col("id").alias(id_column),
         "n_shingles",
         F.when(F.col("id").isNotNull(), component).alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        *(["text_sha256"] if digests else []),
     )
