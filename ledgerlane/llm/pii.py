@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.crf import LABELS, Crf, luhn, train
-from ledgerlane.llm.wordspace import NOT_ASCII_SPACE, text_chunks, words_of
+from ledgerlane.llm.wordspace import FOLD_ASCII, NOT_ASCII_SPACE, text_chunks, words_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -24,7 +24,7 @@ _CARD = re.compile(r"[0-9](?P<match>(?:[\x20-]?[0-9])++)?")
 _PHONE = re.compile(r"(?P<match>\+[0-9][\x20().0-9-]+[0-9])")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
-#: Sequences for the random field: words this close to one that has a digit, @ or +, or is an "[at]".
+#: Sequences for the random field: words this close to one that has a digit, @ or +, or is an "[at]" in any case.
 CONTEXT = 3
 #: Rows with their texts that a task holds twice.
 ROWS_AT_ONCE = 1000
@@ -201,11 +201,10 @@ def spans_of(column: pa.Array, model: Crf) -> list[list[tuple[int, int, int, boo
         points = np.zeros(len(data) + 1, dtype=np.int64)
         np.cumsum((data & 0xC0) != 0x80, out=points[1:])
         wanted = flags[words.ends] > flags[words.starts]
-        for spelling in (b"at", b"AT"):
-            # "[at]" and "(at)" stand alone and are rare: look for their bytes.
-            match = (data[1:-2] == spelling[0]) & (data[2:-1] == spelling[1]) if len(data) > 3 else np.zeros(0, bool)
-            opened = np.isin(data[:-3], [ord("["), ord("(")]) if len(data) > 3 else match
-            closed = np.isin(data[3:], [ord("]"), ord(")")]) if len(data) > 3 else match
+        if len(data) > 3:
+            # "[at]" and "(at)", in any case, stand alone and are rare: look for their bytes.
+            match = (FOLD_ASCII[data[1:-2]] == ord("a")) & (FOLD_ASCII[data[2:-1]] == ord("t"))
+            opened, closed = np.isin(data[:-3], [ord("["), ord("(")]), np.isin(data[3:], [ord("]"), ord(")")])
             at = np.flatnonzero(match & opened & closed)
             if len(at):
                 owner = np.searchsorted(words.starts, at, side="right") - 1

@@ -75,6 +75,14 @@ def test_the_field_adds_what_the_patterns_miss(model):
     assert [row for row in spans_of(pa.array(clean), model) if row] == []
 
 
+@pytest.mark.parametrize("at", ["[at]", "[AT]", "[At]", "[aT]", "(At)", "(aT)"])
+def test_spelled_signs_are_found_in_any_case(model, at):
+    texts = [f"mail jane {at} site [dot] com now", f"mail jane{at}site.com now"]
+    found = spans_of(pa.array(texts), model)
+    assert found == spans_of(pa.array([t.replace(at, at.lower()) for t in texts]), model)
+    assert [s[0] for s in found[0]] == [0]
+
+
 def test_long_texts_take_linear_time(model):
     started = time.time()
     for text in ("0" * 200_000, "a" * 200_000 + "@", "+" * 100_000, "1." * 100_000, "x " * 100_000):
