@@ -20,6 +20,9 @@ from ledgerlane.llm.wordspace import NOT_ASCII_SPACE, text_chunks, words_of
 
 #: Most frequent words that are compiled; all others are merged when they are met.
 LEXICON_WORDS = 200_000
+#: Bytes of the longest word that is compiled, and of all compiled words together.
+LEXICON_WORD_BYTES = 48
+LEXICON_BYTES = 16 * LEXICON_WORDS
 #: Classes of counts per doubling; a class is compiled as a whole.
 COUNT_STEPS = 16
 #: Text in which each different word is looked up once.
@@ -214,9 +217,10 @@ def _word_counts(documents: DataFrame, text: str) -> DataFrame:
 def run_lexicon(documents: DataFrame, path: str, text: str = "text", words: int = LEXICON_WORDS) -> str:
     """Counts the words of all documents, compiles the most frequent ones and returns the name of the shared file.
 
-    A word is what ASCII white space separates. The least count is found from a histogram of counts,
-    so that at most `words` of them are taken, without sorting them. That number bounds the driver's
-    work, not the result: words that are not compiled are merged exactly.
+    A word is what ASCII white space separates, in some scripts a sentence. Words of more than
+    LEXICON_WORD_BYTES are not compiled. The least count is found from a histogram of counts, so that at
+    most `words` of them with at most LEXICON_BYTES are taken, without sorting them. These numbers bound
+    the driver's work, not the result: words that are not compiled are merged exactly.
     """
     model = documents.sparkSession.sparkContext.broadcast(WordBpe(path))
 
@@ -226,14 +230,16 @@ def run_lexicon(documents: DataFrame, path: str, text: str = "text", words: int
             yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(found, pa.list_(pa.int32()))], names=["word", "ids"])
 
     counted = cut(_word_counts(documents, text).withColumn("size", F.floor(F.log2("found") * COUNT_STEPS)))
-    sizes = counted.groupBy("size").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("size")).collect()
-    least, taken = None, 0
+    short = counted.where(F.octet_length("word") <= LEXICON_WORD_BYTES)
+    sums = F.count(F.lit(1)).alias("words"), F.sum(F.octet_length("word")).alias("bytes")
+    sizes = short.groupBy("size").agg(*sums).orderBy(F.desc("size")).collect()
+    least, taken, length = None, 0, 0
     for row in sizes:
-        taken += row["words"]
-        if taken > words:
+        taken, length = taken + row["words"], length + row["bytes"]
+        if taken > words or length > LEXICON_BYTES:
             break
         least = row["size"]
-    chosen = counted.where(F.col("size") >= least) if least is not None else counted.where("false")
+    chosen = short.where(F.col("size") >= least) if least is not None else counted.where("false")
     entries = chosen.select("word").mapInArrow(encode, "word binary, ids array<int>").toArrow()
     entries = sorted(zip(entries.column("word").to_pylist(), entries.column("ids").to_pylist()))
     discard(counted)

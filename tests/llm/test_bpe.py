@@ -58,6 +58,21 @@ def test_awkward_rows(spark, library):
     assert run_decode(nothing, PATH).first().decoded == ""
 
 
+def test_compiled_words_are_bounded_in_bytes(spark, library, monkeypatch):
+    compiled = []
+    monkeypatch.setattr(bpe, "compile_lexicon", lambda entries: compiled.extend(entries) or compile_lexicon(entries))
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("日本語文章、。") for _ in range(2000)) + " the the cat" for _ in range(20)]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    for row in run_encode(spark.createDataFrame(rows, DOCUMENTS), PATH).collect():
+        assert np.frombuffer(row.ids, "<u4").tolist() == expected(library, texts[row.doc_id])[0]
+    assert sorted(w for w, _ in compiled) == [b"cat", b"the"]
+    compiled.clear()
+    monkeypatch.setattr(bpe, "LEXICON_BYTES", 5)
+    run_encode(spark.createDataFrame(rows, DOCUMENTS), PATH).collect()
+    assert [w for w, _ in compiled] == [b"the"]
+
+
 def test_long_pieces_merge_as_short_ones():
     model, rng = WordBpe(PATH), random.Random(2)
     for _ in range(200):
