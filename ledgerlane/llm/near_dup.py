@@ -17,10 +17,11 @@ from ledgerlane.llm.wordspace import FOLD_ASCII, NOT_ASCII_SPACE, mixed, shingle
 
 COORDINATES = 64
 #: Equal coordinates that two documents need before their sets are compared. Of 64, a pair with a
-#: similarity of 0.8 has 51 on average and fewer than 36 once in two million times.
+#: similarity of 0.8 has 51 on average and fewer than 36 once in 236,000 times; at 0.81 once in 690,000.
+#: Such a pair is not linked, unless other links join it.
 MATCHES = 36
 #: Bits of the longer sketch that open pairs are tested with. Sets of similarity s agree in a bit with
-#: probability (1 + s) / 2; a similar pair falls five deviations below that once in three million times.
+#: probability (1 + s) / 2; a similar pair falls five deviations below that once in two million times.
 BITS = 4096
 DEVIATIONS = 5
 
