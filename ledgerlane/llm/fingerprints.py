@@ -33,7 +33,11 @@ def scaled(hashes: Column) -> Column:
 
 
 def with_sketch(rows: DataFrame, text: str, into: str) -> DataFrame:
-    """`rows` with the sketch of a text column: sorted hashes, equal for equal texts, mergeable by union.
+    """`rows` with the sketch of a text column: sorted hashes, equal for equal texts.
+
+    The union of sketches is the sketch of the union only where all of them hold hashes below the
+    threshold. A text with none there (24 % of texts of 5 shingles, 6 % of 10) has its least hash, which
+    the sketch of a longer text seldom holds: likeness and containment then read 0.
 
     Words are separated by ASCII white space. Each step is a column of its own, so that none is
     computed twice.
