@@ -92,3 +92,13 @@ def test_awkward_rows(spark):
     assert run_backoff_scores(empty(spark), left_out="document").collect() == []
     with pytest.raises(ValueError):
         run_backoff_scores(documents, left_out="nothing")
+
+
+def test_scores_hold_four_decimals_on_long_texts(spark):
+    from test_lm import brute as by_halves
+
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abcdefg") for _ in range(30_000))) for i in range(6)]
+    for row in run_backoff_scores(frame_of(spark, rows)).collect():
+        assert abs(row.score - by_halves(rows)[row.doc_id][2]) < 1e-4
+    check(spark, rows)
