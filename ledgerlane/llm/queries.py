@@ -15,6 +15,7 @@ from ledgerlane.llm.fingerprints import as_text, likeness, repeated, run_fingerp
 from ledgerlane.llm.html_text import extract_text
 from ledgerlane.llm.lm import run_backoff_scores
 from ledgerlane.llm.near_dup import run_near_duplicates
+from ledgerlane.llm.pieces import encode_pieces
 from ledgerlane.llm.pii import KINDS, run_find_personal_data
 from ledgerlane.llm.quality import run_quality
 from ledgerlane.llm.url_filter import Rule, run_judge
@@ -292,3 +293,16 @@ FROM messages GROUP BY conv_id
 @query
 def op5_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
     return run_backoff_scores(table(spark, folder, "documents"), left_out="document")
+
+
+@query
+def op13_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = encode_pieces(documents, public_tokenizers.path("piece_bpe_32k.model"), spans=True, decoded=True)
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2("spans", 256).alias("spans_sha256"),
+    )

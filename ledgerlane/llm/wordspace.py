@@ -120,3 +120,35 @@ def shingle_sets(words: Words, width: int) -> Iterator[np.ndarray]:
             yield run_hash(words.hashes[first:last], last - first)
         else:
             yield runs[:0]
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """flat[start : start + length] of all pairs, one after the other."""
+    ends = np.cumsum(lengths)
+    if not len(ends) or not ends[-1]:
+        return flat[:0]
+    return flat[np.arange(ends[-1]) + np.repeat(starts - ends + lengths, lengths)]
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span."""
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(data)), dtype=np.uint64, out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * _powers(_BASE_INVERSE, len(data) + 1)[starts])
+
+
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a span of each different content, which of these each span is like). Contents are compared, not hashes only."""
+    _, first, member = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    lengths, like = ends - starts, first[member]
+    same = np.array_equal(lengths, lengths[like])
+    if same and np.array_equal(gathered(data, starts, lengths), gathered(data, starts[like], lengths)):
+        return first, member
+    known: dict[bytes, int] = {}
+    found, chosen = [], []
+    for k, (a, b) in enumerate(zip(starts.tolist(), ends.tolist())):
+        number = known.setdefault(data[a:b].tobytes(), len(known))
+        if number == len(chosen):
+            chosen.append(k)
+        found.append(number)
+    return np.array(chosen, dtype=np.int64), np.array(found, dtype=np.int64)
