@@ -141,4 +141,7 @@ def test_both_ways_of_normalising_agree(model):
         for r in range(len(offsets) - 1):
             text, at = normalized(model, data[offsets[r] : offsets[r + 1]].tobytes())
             assert made[bounds[r] : bounds[r + 1]].tobytes() == text
-            assert places[bounds[r] + r : bounds[r + 1] + r + 1].tolist() == at
+            # Within a character the plain way counts on, the other stays at its start.
+            starts = [k for k, byte in enumerate(text) if byte & 0xC0 != 0x80]
+            found = places[bounds[r] + r : bounds[r + 1] + r + 1]
+            assert found[starts].tolist() == [at[k] for k in starts] and found[-1] == at[-1]
