@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.llm.bpe import run_encode
 from ledgerlane.llm.chat import format_chat, read_content, read_loss, read_role, text_parts
+from ledgerlane.llm.collocations import run_collocations
 from ledgerlane.llm.decontaminate import run_contamination
 from ledgerlane.llm.fingerprints import as_text, likeness, repeated, run_fingerprints
 from ledgerlane.llm.html_text import extract_text
@@ -306,3 +307,46 @@ def op13_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         F.sha2("spans", 256).alias("spans_sha256"),
     )
+
+
+@query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return run_collocations(table(spark, folder, "documents"))
+
+
+ORACLE["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL
+), word_lists AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), grams AS (
+    SELECT lang, width, list_slice(words, start, start + width - 1) AS words
+    FROM (SELECT lang, words, width, unnest(range(1, len(words) - width + 2)) AS start
+          FROM word_lists, (VALUES (1), (2), (3)) AS widths(width) WHERE len(words) >= width)
+), totals AS (
+    SELECT lang, count(*) AS n FROM grams WHERE width = 1 GROUP BY lang
+), counts AS (
+    SELECT lang, width, words, array_to_string(words, ' ') AS phrase, count(*) AS f
+    FROM grams GROUP BY lang, width, words HAVING count(*) >= 10
+), parts AS (
+    SELECT lang, phrase, width, f, cut, array_to_string(list_slice(words, 1, cut), ' ') AS first_part,
+        array_to_string(list_slice(words, cut + 1, width), ' ') AS rest
+    FROM (SELECT *, unnest(range(1, width)) AS cut FROM counts WHERE width > 1)
+), scored AS (
+    SELECT p.lang, p.phrase, p.width, p.f AS a, cut, x.f AS l, y.f AS r,
+        (1000000::HUGEINT * p.f::HUGEINT * p.f::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+    FROM parts p JOIN counts x ON x.lang = p.lang AND x.phrase = first_part JOIN counts y ON y.lang = p.lang AND y.phrase = rest
+), lowest AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM scored
+), covered AS (
+    SELECT lang, array_to_string(list_slice(words, side, side + 1), ' ') AS phrase, max(f) AS most
+    FROM counts, (VALUES (1), (2)) AS sides(side) WHERE width = 3 GROUP BY ALL
+), ranked AS (
+    SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank
+    FROM lowest w LEFT JOIN covered c ON c.lang = w.lang AND c.phrase = w.phrase AND w.width = 2
+    WHERE place = 1 AND NOT coalesce(100 * most >= 50 * a, false)
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

@@ -23,9 +23,10 @@ COLUMNS = {
     "op8_personal_data": "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string",
     "op9_quality_discriminant": "doc_id long, held_out boolean, score double, predicted int",
     "op10_near_duplicates": "doc_id long, n_shingles long, component_id long, kept boolean",
+    "op11_collocations": "lang string, rank long, phrase string, a long, l long, r long, n long, score long",
     "op13_sentence_pieces": "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
 }
-SIZES = {"op1_url_verdicts": "pages", "op7_page_text": "pages", "op4_chat_format": None}
+SIZES = {"op1_url_verdicts": "pages", "op7_page_text": "pages", "op4_chat_format": None, "op11_collocations": None}
 
 
 def test_all_operators_and_the_pipeline_are_registered():
