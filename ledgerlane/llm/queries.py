@@ -19,6 +19,8 @@ from ledgerlane.llm.near_dup import run_near_duplicates
 from ledgerlane.llm.pieces import encode_pieces
 from ledgerlane.llm.pii import KINDS, run_find_personal_data
 from ledgerlane.llm.quality import run_quality
+from ledgerlane.llm.repair import conversation_counts, conversation_digests, run_repair
+from ledgerlane.llm.storage import cut
 from ledgerlane.llm.url_filter import Rule, run_judge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -350,3 +352,34 @@ WITH pieces AS (
 )
 SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
+
+
+def damaged(messages: DataFrame) -> DataFrame:
+    """Rows (nulls are one space) that their conversation and turn let go, empty, cut short, repeat or turn into user rows."""
+    named = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")]
+    conv, turn, role, text = named
+    fate = F.crc32(F.concat(conv, F.lit(":"), turn).cast("binary")) % 20
+    return messages.where(fate != 0).select(
+        "conv_id",
+        "turn",
+        F.when(fate == 4, "user").otherwise(role).alias("role"),
+        F.when(fate == 1, "").when(fate == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(fate == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    said = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    edited = cut(run_repair(damaged(said), copies="copies"))
+    counts, digests = conversation_counts(edited), conversation_digests(edited)
+    found = counts.join(digests.withColumnRenamed("conv", "c"), F.col("conv").eqNullSafe(F.col("c"))).drop("c")
+    known = said.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    numbers = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit(b""), 256)
+    return known.select(
+        "conv_id",
+        *numbers,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
+    )

@@ -24,9 +24,11 @@ COLUMNS = {
     "op9_quality_discriminant": "doc_id long, held_out boolean, score double, predicted int",
     "op10_near_duplicates": "doc_id long, n_shingles long, component_id long, kept boolean",
     "op11_collocations": "lang string, rank long, phrase string, a long, l long, r long, n long, score long",
+    "op12_conversation_repair": "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, "
+    "cost long, audit string, repaired_sha256 string",
     "op13_sentence_pieces": "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
 }
-SIZES = {"op1_url_verdicts": "pages", "op7_page_text": "pages", "op4_chat_format": None, "op11_collocations": None}
+SIZES = {"op1_url_verdicts": "pages", "op7_page_text": "pages", "op4_chat_format": None, "op11_collocations": None, "op12_conversation_repair": None}
 
 
 def test_all_operators_and_the_pipeline_are_registered():

@@ -1,0 +1,222 @@
+"""Repairs against a plain search over whole conversations, whole and cut into many ranges."""
+
+import hashlib
+import itertools
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlane.llm import repair
+from ledgerlane.llm.queries import damaged, op12_conversation_repair
+from ledgerlane.llm.repair import ARCS, END, auction, block_prices, repair_codes, repaired_messages, row_code
+from ledgerlane.llm.repair import conversation_counts, conversation_digests, run_repair
+
+MESSAGES = "conv_id long, turn long, role string, text string"
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def cheapest(rows):
+    """(cost, audit, repaired rows) of (role, text, must go, extra) rows: the least way to every state, row by row."""
+    nxt = {0: 2, 1: 2, 2: 3, 3: 2}
+    roles = {2: "user", 3: "assistant"}
+
+    def with_inserts(best):
+        best = dict(best)
+        for _ in range(4):
+            for state, (cost, audit, out) in list(best.items()):
+                new = (cost + 3, audit + "I", [*out, (roles[nxt[state]], "")])
+                if nxt[state] not in best or new[:2] < best[nxt[state]][:2]:
+                    best[nxt[state]] = new
+        return best
+
+    best = {0: (0, "", [])}
+    for role, text, gone, extra in rows:
+        after = {}
+
+        def offer(state, way):
+            if state not in after or way[:2] < after[state][:2]:
+                after[state] = way
+
+        for state, (cost, audit, out) in with_inserts(best).items():
+            offer(state, (cost + 4, audit + "D", out))
+            if gone:
+                continue
+            offer(nxt[state], (cost + 3 + extra, audit + "R", [*out, (roles[nxt[state]], text)]))
+            legal = {"s": {0: 1}, "u": {0: 2, 1: 2, 3: 2}, "a": {2: 3}}.get(role[:1], {})
+            if state in legal:
+                offer(legal[state], (cost + extra, audit + "K", [*out, (role, text)]))
+        best = after
+    best = with_inserts(best)
+    return min(best[s] for s in (0, 3) if s in best)
+
+
+def brute(messages):
+    """{conv: (gaps, blank, duplicate, truncated, illegal, cost, audit, repaired rows)}."""
+    by_conv = defaultdict(list)
+    for conv, turn, role, text in messages:
+        by_conv[conv].append((turn, " " if role is None else role, " " if text is None else text))
+    found = {}
+    for conv, rows in by_conv.items():
+        rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        counts, seen, plain = defaultdict(int), set(), []
+        for _, role, text in rows:
+            shown = text.rstrip(WHITE)
+            if not shown:
+                fault = "blank"
+            elif (role, text) in seen:
+                fault = "duplicate"
+            else:
+                fault = "truncated" if shown[-1] not in ".!?" else ""
+            seen.add((role, text))
+            counts[fault] += 1
+            plain.append((role, text, fault in ("blank", "duplicate"), 3 * (fault == "truncated")))
+        turns = [t for t, _, _ in rows if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(rows))
+        cost, audit, out = cheapest(plain)
+        found[conv] = (gaps, counts["blank"], counts["duplicate"], counts["truncated"], illegal, cost, audit, out)
+    return found
+
+
+def some_messages(seed, sizes):
+    pick = random.Random(seed)
+    rows = []
+    for conv, size in enumerate(sizes):
+        for k in range(size):
+            role = pick.choice(["user", "assistant", "user", "assistant", "system", "robot", "", None, "User"])
+            if pick.random() < 0.7:
+                role = ("user", "assistant")[k % 2]
+            text = pick.choice(["Yes.", "no", "  ", "", None, "well? \n", f"text {k}.", f"text {k}", f"text {k}!", f"t{k}.", "é日本。"])
+            rows.append((conv, pick.choice([k, k, k, k + 1, None]), role, text))
+    return rows
+
+
+def digest(out):
+    return hashlib.sha256("\n".join(f"{r}:{t}" for r, t in out).encode()).hexdigest()
+
+
+def check(spark, messages, **given):
+    df = spark.createDataFrame(messages, MESSAGES)
+    edited = run_repair(df, **given).cache()
+    wanted = brute(messages)
+    counts = {r["conv"]: tuple(r[c] for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")) for r in conversation_counts(edited).collect()}
+    assert counts == {c: w[:6] for c, w in wanted.items()}
+    digests = {r["conv"]: (r["audit"], r["repaired_sha256"]) for r in conversation_digests(edited).collect()}
+    assert digests == {c: (w[6], digest(w[7])) for c, w in wanted.items()}
+    left = defaultdict(list)
+    for r in sorted(repaired_messages(edited).collect(), key=lambda r: (r["seq"], r["place"])):
+        left[r["conv"]].append((r["role"], r["text"]))
+    assert dict(left) == {c: w[7] for c, w in wanted.items() if w[7]}
+    edited.unpersist()
+
+
+def test_auction_finds_least_costs_and_traces_the_least_letters():
+    pick = random.Random(3)
+    names = "suax"
+    for size in [0, 1, 2, 3, 5, 8, 9, 17, 40] * 12:
+        rows = [(pick.choice("uuaasx"), "", False, 3 * pick.randrange(2)) for _ in range(size)]
+        codes = [row_code(r, bool(x)) for r, _, _, x in rows]
+        blocks, prices, lacking = block_prices(codes, list(END))
+        state, edits, _ = repair_codes(codes, blocks, 0)
+        audit = "".join(edits) + "I" * repair.END_INSERTS[state]
+        cost, wanted, _ = cheapest(rows)
+        assert (prices[0] + lacking, audit) == (cost, wanted), [names[c >> 1] for c in codes]
+
+
+def test_prices_never_pass_the_cost_of_an_arc_and_its_end():
+    """What makes them proof that no cheaper way exists."""
+    pick = random.Random(5)
+    for _ in range(50):
+        codes = [pick.randrange(8) for _ in range(8)]
+        exits = [pick.randrange(7) for _ in range(4)]
+        exits[pick.randrange(4)] = 0
+        prices = auction(codes, exits)
+        for row, code in enumerate(codes):
+            for state in range(4):
+                for _, cost, down, new in ARCS[code][state]:
+                    assert prices[4 * row + state] <= cost + prices[4 * (row + down) + new]
+
+
+@pytest.fixture
+def narrow(spark):
+    """Ranges of a few rows each, so that most conversations have several pieces."""
+    settings = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_conversations_over_many_ranges(spark, narrow):
+    """One conversation has most of the rows."""
+    check(spark, some_messages(1, [90, 3, 0, 1, 25, 7]))
+
+
+def test_conversation_that_is_deleted_but_for_its_middle(spark, narrow):
+    blank = [(1, k, "user", " ") for k in range(20)]
+    middle = [(1, 20, "system", "S."), (1, 21, "user", "U."), (1, 22, "assistant", "A.")]
+    late = [(1, 23 + k, "system", f"more {k}") for k in range(20)]
+    check(spark, blank + middle + late)
+    check(spark, [(2, k, "system", f"S{k}.") for k in range(30)])
+
+
+def test_usual_conversations(spark):
+    check(spark, some_messages(2, [random.Random(9).randrange(9) for _ in range(150)]))
+
+
+def test_copies_ties_and_nulls(spark):
+    rows = [(1, 1, "user", "a.")] * 5 + [(1, 1, "assistant", "a.")] * 2 + [(None, None, None, None)] * 3
+    rows += [(None, 4, "user", "x " * 50_000), (3, None, "user", "q?"), (3, None, "assistant", "w"), (4, 9, "", "")]
+    check(spark, rows)
+    weighted = spark.createDataFrame([(1, 1, "user", "a.", 5), (1, 2, "user", "b", 1)], MESSAGES + ", n int")
+    plain = [(1, 1, "user", "a.")] * 5 + [(1, 2, "user", "b")]
+    found = conversation_digests(run_repair(weighted, copies="n")).first()
+    assert found["audit"] == brute(plain)[1][6]
+
+
+def test_other_columns_and_names(spark):
+    rows = some_messages(4, [5, 6])
+    df = spark.createDataFrame(rows, "`a.b` long, t long, who string, said string")
+    extra = df.withColumns({n: F.lit(1) for n in ("conv", "seq", "part", "turn", "role", "text", "copies", "edits", "live")})
+    found = conversation_digests(run_repair(extra, "a.b", "t", "who", "said"))
+    assert {r["conv"]: r["audit"] for r in found.collect()} == {c: w[6] for c, w in brute(rows).items()}
+
+
+def test_empty_table(spark):
+    edited = run_repair(spark.createDataFrame([], MESSAGES))
+    assert edited.count() == conversation_counts(edited).count() == conversation_digests(edited).count() == repaired_messages(edited).count() == 0
+
+
+def damaged_rows(messages):
+    for conv, turn, role, text in messages:
+        conv_text, turn_text, role, text = (" " if x is None else str(x) for x in (conv, turn, role, text))
+        fate = zlib.crc32(f"{conv_text}:{turn_text}".encode()) % 20
+        if fate == 0:
+            continue
+        text = {1: "", 2: text.translate({ord(c): None for c in ".!?"})}.get(fate, text)
+        for _ in range(1 + (fate == 3)):
+            yield conv, turn, "user" if fate == 4 else role, text
+
+
+def test_query_equals_the_plain_search(spark):
+    folder = "/root/testdata/sf0.01"
+    messages = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    wanted = {c: (*w[:7], digest(w[7])) for c, w in brute(damaged_rows(messages)).items()}
+    names = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+    rows = op12_conversation_repair(spark, folder).collect()
+    found = {r["conv_id"]: tuple(r[c] for c in names) for r in rows}
+    assert len(rows) == len(found) and set(found) == {m[0] for m in messages}
+    nothing = (0, 0, 0, 0, 0, 0, "", digest([]))
+    assert found == {c: wanted.get(c, nothing) for c in found}
+
+
+def test_damage_by_conversation_and_turn(spark):
+    messages = [(c, t, r, "a? b. c") for c in (*range(12), None) for t in (*range(8), None) for r in ("assistant", None)]
+    found = damaged(spark.createDataFrame(messages, MESSAGES))
+    got = sorted((tuple(r)[:4] for r in found.collect() for _ in range(r["copies"])), key=repr)
+    assert got == sorted(damaged_rows(messages), key=repr)
