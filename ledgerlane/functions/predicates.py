@@ -9,6 +9,7 @@ from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlane.functions.names import ref
 
@@ -33,18 +34,28 @@ def _comparison(symbol: str):
     return COMPARISONS[symbol]
 
 
-def compare(column: str, symbol: str, value: Any) -> Column:
+def compare(column: str, symbol: str, value: Any, kind: T.DataType | None = None) -> Column:
     """Column against a literal.
 
-    A text that reads as a number is compared as that number, whatever the column's type: "0.5" against
-    whole numbers is 0.5, not an error. Any other text is cast to the column's type by Spark.
+    A text is compared as Spark does with a column of that type: as text with texts, as a date with dates.
+    Only with a number column a text that reads as a number is that number: "0.5" against whole
+    numbers is 0.5, not an error. Without `kind`, the column's type, the plan itself asks for it; the answer
+    is known before the plan runs, but the numbers then pass through their texts and reach no scan filter.
     """
-    literal = F.lit(value)
-    if isinstance(value, str) and NUMBER.fullmatch(value.strip()):
-        number = Decimal(value.strip())
-        wide = len(number.as_tuple().digits) > 30 or abs(number.adjusted()) > 15
-        literal = F.lit(float(number) if wide else number)
-    return _comparison(symbol)(ref(column), literal)
+    chosen = _comparison(symbol)
+    plain = chosen(ref(column), F.lit(value))
+    if not isinstance(value, str) or not NUMBER.fullmatch(value.strip()):
+        return plain
+    number = Decimal(value.strip())
+    wide = len(number.as_tuple().digits) > 30 or abs(number.adjusted()) > 15
+    if kind is not None:
+        return chosen(ref(column), F.lit(float(number) if wide else number)) if isinstance(kind, T.NumericType) else plain
+    text = ref(column).cast("string")
+    as_double = chosen(text.try_cast("double"), F.lit(float(number)))
+    exact = as_double if wide else F.coalesce(chosen(text.try_cast("decimal(38,18)"), F.lit(number)), as_double)
+    type_name = F.typeof(ref(column))
+    whole = type_name.isin("tinyint", "smallint", "int", "bigint") | type_name.startswith("decimal")
+    return F.when(type_name.isin("double", "float"), as_double).when(whole, exact).otherwise(plain)
 
 
 def compare_columns(left: str, symbol: str, right: str) -> Column:

@@ -44,7 +44,7 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         )
     met: dict[str, Column] = {}
     for rule in rules:
-        ok = F.coalesce(rule.condition(), F.lit(False))
+        ok = F.coalesce(rule.condition(shaped.schema), F.lit(False))
         met[rule.name] = met[rule.name] & ok if rule.name in met else ok
     # array_remove and coalesce both compile; a filtering lambda would drop out of codegen.
     failed = F.array_remove(F.array(*[F.when(ok, "").otherwise(name) for name, ok in met.items()]), "")

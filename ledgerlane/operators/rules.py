@@ -16,7 +16,8 @@ class Rule:
     def name(self) -> str:
         raise NotImplementedError
 
-    def condition(self) -> Column:
+    def condition(self, schema: T.StructType) -> Column:
+        """Over rows of this schema."""
         raise NotImplementedError
 
 
@@ -34,7 +35,7 @@ class TypeRule(Rule):
     def parse(self, source: T.DataType) -> Column:
         return parse_as(ref(self.column), self.type_name, source)
 
-    def condition(self) -> Column:
+    def condition(self, schema: T.StructType) -> Column:
         return ref(self.column).isNotNull()
 
 
@@ -48,7 +49,7 @@ class ReadableRule(Rule):
     def name(self) -> str:
         return "readable record"
 
-    def condition(self) -> Column:
+    def condition(self, schema: T.StructType) -> Column:
         return ref(self.column).isNull()
 
 
@@ -62,8 +63,8 @@ class CompareRule(Rule):
     def name(self) -> str:
         return f"{self.column} {self.symbol} {self.value}"
 
-    def condition(self) -> Column:
-        return compare(self.column, self.symbol, self.value)
+    def condition(self, schema: T.StructType) -> Column:
+        return compare(self.column, self.symbol, self.value, schema[self.column].dataType)
 
 
 @dataclass(frozen=True)
@@ -76,7 +77,7 @@ class CompareColumnsRule(Rule):
     def name(self) -> str:
         return f"{self.left} {self.symbol} {self.right}"
 
-    def condition(self) -> Column:
+    def condition(self, schema: T.StructType) -> Column:
         return compare_columns(self.left, self.symbol, self.right)
 
 
@@ -89,5 +90,5 @@ class EmailRule(Rule):
     def name(self) -> str:
         return f"{self.column} is an email" + (" in one line" if self.strict else "")
 
-    def condition(self) -> Column:
+    def condition(self, schema: T.StructType) -> Column:
         return is_email(self.column, self.strict)

@@ -375,6 +375,10 @@ for _word, _symbol in {"gt": ">", "lt": "<", "ge": ">=", "le": "<=", "eq": "=",
     ORACLE[f"compare_literal_{_word}"] = (
         f"SELECT c_custkey AS customer_id, CAST(c_acctbal AS DECIMAL(12,2)) {_symbol} 1000.5 AS flag FROM customer"
     )
+    ORACLE[f"compare_text_{_word}"] = f"SELECT o_orderkey, o_orderpriority {_symbol} '3' AS flag FROM orders"
+    ORACLE[f"compare_date_{_word}"] = (
+        f"WITH {ORDERS} SELECT order_id, row_id, order_date {_symbol} DATE '1995-01-01' AS flag FROM orders_v"
+    )
     ORACLE[f"compare_columns_{_word}"] = (
         f"WITH {ORDERS} SELECT order_id, row_id, ship_date {_symbol} order_date AS flag FROM orders_v"
     )

@@ -264,7 +264,20 @@ def quarantine_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _compare_literal(spark: SparkSession, folder: str, symbol: str) -> DataFrame:
     everyone = views.customers(spark, folder)
-    return everyone.select("customer_id", compare("balance", symbol, "1000.5").alias("flag"))
+    flag = compare("balance", symbol, "1000.5", everyone.schema["balance"].dataType)
+    return everyone.select("customer_id", flag.alias("flag"))
+
+
+def _compare_text(spark: SparkSession, folder: str, symbol: str) -> DataFrame:
+    """A text column against a text that reads as a number."""
+    placed = views.table(spark, folder, "orders")
+    return placed.select("o_orderkey", compare("o_orderpriority", symbol, "3").alias("flag"))
+
+
+def _compare_date(spark: SparkSession, folder: str, symbol: str) -> DataFrame:
+    """A date column against a text that reads as a number."""
+    lines = views.orders(spark, folder)
+    return lines.select("order_id", "row_id", compare("order_date", symbol, "1995").alias("flag"))
 
 
 def _compare_columns(spark: SparkSession, folder: str, symbol: str) -> DataFrame:
@@ -274,6 +287,8 @@ def _compare_columns(spark: SparkSession, folder: str, symbol: str) -> DataFrame
 
 for _word, _symbol in OPERATORS.items():
     QUERIES[f"compare_literal_{_word}"] = partial(_compare_literal, symbol=_symbol)
+    QUERIES[f"compare_text_{_word}"] = partial(_compare_text, symbol=_symbol)
+    QUERIES[f"compare_date_{_word}"] = partial(_compare_date, symbol=_symbol)
     QUERIES[f"compare_columns_{_word}"] = partial(_compare_columns, symbol=_symbol)
 
 
