@@ -7,6 +7,7 @@ from the number of workbooks.
 from __future__ import annotations
 
 import io
+import json
 import re
 import sys
 import zipfile
@@ -129,30 +130,45 @@ def sheet_rows(content: bytes, sheet: str | None = None) -> Iterator[list[str |
 
 
 def decode_workbooks(
-    files: DataFrame, headers: Sequence[str], sheet: str | None = None, header_rows: int = 1
+    files: DataFrame,
+    headers: Sequence[str],
+    sheet: str | None = None,
+    header_rows: int = 1,
+    unreadable: str | None = None,
 ) -> DataFrame:
     """Rows of workbooks held in a binary `content` column, one text column per header.
 
-    Columns are matched by header within each workbook; headers a workbook lacks are null.
+    Columns are matched by header within each workbook, in any case; one spelled as asked goes first.
+    Headers a workbook lacks are null. With `unreadable`, a column of that name says for every row of such
+    a workbook what it lacks and what the row holds, as JSON, and is null for all others.
     """
     wanted = list(headers)
+    names = [*wanted, unreadable] if unreadable else wanted
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
                 rows = sheet_rows(content, sheet)
                 found = [next(rows, []) for _ in range(header_rows)][-1]
-                places = [found.index(h) if h in found else None for h in wanted]
+                folded = [None if h is None else h.lower() for h in found]
+                places = [
+                    found.index(h) if h in found else folded.index(h.lower()) if h.lower() in folded else None for h in wanted
+                ]
+                absent = [h for h, p in zip(wanted, places) if p is None]
                 pending = []
                 for row in rows:
-                    pending.append([row[p] if p is not None and p < len(row) else None for p in places])
+                    values = [row[p] if p is not None and p < len(row) else None for p in places]
+                    if unreadable:
+                        held = {"lacks": absent, "row": {str(h): v for h, v in zip(found, row)}}
+                        values.append(json.dumps(held, ensure_ascii=False) if absent else None)
+                    pending.append(values)
                     if len(pending) == ROWS_PER_BATCH:
-                        yield pd.DataFrame(pending, columns=wanted, dtype=object)
+                        yield pd.DataFrame(pending, columns=names, dtype=object)
                         pending = []
                 if pending:
-                    yield pd.DataFrame(pending, columns=wanted, dtype=object)
+                    yield pd.DataFrame(pending, columns=names, dtype=object)
 
-    schema = T.StructType.fromDDL(", ".join(f"{quoted(h)} string" for h in wanted))
+    schema = T.StructType.fromDDL(", ".join(f"{quoted(h)} string" for h in names))
     return files.select("content").mapInPandas(decode, schema)
 
 
@@ -177,13 +193,15 @@ def read_workbooks(
     sheet: str | None = None,
     header_rows: int = 1,
     headers: Sequence[str] | None = None,
+    unreadable: str | None = None,
 ) -> DataFrame:
     """All workbooks of a folder, glob or file, whatever the case of their suffix.
 
-    Without `headers` there is a column for every header that any workbook has.
+    Without `headers` there is a column for every header that any workbook has; with them, `unreadable`
+    names a column that tells which rows come from workbooks that lack some.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][lL][sS][xX]")
     files = reader.load(path)
     if headers is None:
         headers = _run_headers(files, sheet, header_rows)
-    return decode_workbooks(files, headers, sheet, header_rows)
+    return decode_workbooks(files, headers, sheet, header_rows, unreadable)

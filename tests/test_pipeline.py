@@ -249,3 +249,14 @@ def test_workbooks_with_other_headers_and_suffixes(spark, tmp_path):
     found = read_workbooks(spark, str(tmp_path), sheet="Worksheet")
     assert found.columns == ["Id", "Name", "Town"]
     assert sorted(map(tuple, found.collect())) == [("1", "x", None), ("2", None, "y")]
+
+
+def test_workbooks_that_lack_a_header_are_quarantined(spark, tmp_path):
+    for name, headers in (("a", ["CUSTOMER id", "Name"]), ("b", ["customer ID", "Name", "Missing"])):
+        (tmp_path / f"{name}.xlsx").write_bytes(workbook_bytes([headers, [name, "n", "m"][: len(headers)]]))
+    (tmp_path / "c.xlsx").write_bytes(workbook_bytes([["name", "NAME", "Name", "missing", "Customer ID"], ["x", "y", "z", "m", "c"]]))
+    wanted = ["Customer ID", "Name", "Missing"]
+    found = read_files(spark, str(tmp_path), fmt="excel", headers=wanted, sheetName="Worksheet").orderBy("Customer ID")
+    rows = [tuple(r) for r in found.collect()]
+    assert rows[0][:3] == ("a", "n", None) and json.loads(rows[0][3]) == {"lacks": ["Missing"], "row": {"CUSTOMER id": "a", "Name": "n"}}
+    assert rows[1:] == [("b", "n", "m", None), ("c", "z", "m", None)]

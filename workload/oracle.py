@@ -464,6 +464,11 @@ GROUP BY 1, 2"""
 
 ORACLE["json_array_orders"] = ORACLE["json_orders"]
 ORACLE["xlsx_folder_customers"] = ORACLE["xlsx_customers"]
+ORACLE["xlsx_mixed_headers"] = f"""
+WITH {TEXT_CUSTOMERS}
+SELECT customer_id, email, CASE WHEN CAST(customer_id AS BIGINT) % 3 < 2 THEN segment END AS segment, postal_code,
+       CAST(customer_id AS BIGINT) % 3 < 2 AS readable
+FROM text_customers"""
 ORACLE["csv_malformed_products"] = f"""
 WITH {TEXT_PRODUCTS}
 SELECT product_id, CASE

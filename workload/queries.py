@@ -469,6 +469,18 @@ def xlsx_folder_customers(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("customer_id", "customer_name", "email", "segment", "postal_code")
 
 
+@query
+def xlsx_mixed_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder of workbooks whose headers are spelled in different cases; some lack a header."""
+    path = staging_folder(spark)
+    rows = _with_headers(views.text_customers(spark, folder), CUSTOMERS)
+    spelled = (rows.toDF(*map(str.upper, rows.columns)), rows.toDF(*map(str.lower, rows.columns)), rows.drop("Segment"))
+    for number, part in enumerate(spelled):
+        write_workbooks(as_workbooks(part.where(F.col(part.columns[0]).cast("long") % 3 == number)), f"{path}/{number}")
+    found = read_dataset(spark, f"{path}/*", CUSTOMERS, fmt="excel")
+    return found.select("customer_id", "email", "segment", "postal_code", F.col(CORRUPT).isNull().alias("readable"))
+
+
 @query
 def csv_malformed_products(spark: SparkSession, folder: str) -> DataFrame:
     """Records with too many and too few fields, and what becomes of every record."""
