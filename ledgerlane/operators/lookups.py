@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlane.functions import ref
+from ledgerlane.functions import quoted, ref
 from ledgerlane.operators.quality import duplicate_keys
 
 SALT = "__salt"
+HOT_KEY = "__hot_key"
+SALTS = "__salts"
 BROADCAST_BYTES = 64 * 1024 * 1024
 # The sketch returns so many keys, and counts so many to find them. A key that is not among them has
 # less than a thousandth of the rows; what skew it still causes is left to Spark's splitting.
@@ -113,15 +115,22 @@ def _match(fact: DataFrame, table: Dimension, how: str) -> DataFrame:
         return fact.join(F.broadcast(table.df), table.key, how)
     if not table.hot:
         return fact.join(table.df, table.key, how)
-    key = ref(table.key)
-    counts = F.create_map(*[F.lit(part) for pair in table.hot.items() for part in pair])
-    salts = F.when(key.isin(list(table.hot)), counts[key]).otherwise(F.lit(1))
-    fact_salts = F.when(key.isNull(), F.lit(NULL_PARTS)).otherwise(salts)
+    # At most HOT_KEYS_KEPT keys with their salts, looked up by hash on both sides.
+    kind = next(f.dataType for f in fact.schema if f.name == table.key)
+    fields = [T.StructField(HOT_KEY, kind), T.StructField(SALTS, T.IntegerType())]
+    hot = F.broadcast(fact.sparkSession.createDataFrame(list(table.hot.items()), T.StructType(fields)))
+    known = F.coalesce(F.col(SALTS), F.lit(1))
+    fact_salts = F.when(ref(table.key).isNull(), F.lit(NULL_PARTS)).otherwise(known)
     # Hashing the row, unlike a random salt, gives a rerun task the same answer. Exact copies of a
     # row share a salt; very many of them are split by Spark when it reads the shuffle.
     spread = F.pmod(F.xxhash64(*[_hashable(f) for f in fact.schema]), fact_salts).cast("int")
-    salted_table = table.df.withColumn(SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
-    return fact.withColumn(SALT, spread).join(salted_table, [table.key, SALT], how).drop(SALT)
+    salted_fact = fact.join(hot, fact[quoted(table.key)] == hot[HOT_KEY], "left").withColumn(SALT, spread).drop(HOT_KEY, SALTS)
+    salted_table = (
+        table.df.join(hot, table.df[quoted(table.key)] == hot[HOT_KEY], "left")
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0), known - 1)))
+        .drop(HOT_KEY, SALTS)
+    )
+    return salted_fact.join(salted_table, [table.key, SALT], how).drop(SALT)
 
 
 def _hashable(field: T.StructField) -> Column:
