@@ -81,8 +81,7 @@ ORDERS = DatasetContract(
         CompareRule("quantity", ">=", "0"),
         CompareColumnsRule("ship_date", ">=", "order_date"),
     ),
-    # One JSON array per file. Such files cannot be split; large feeds should be JSON lines
-    # read with multiLine="false".
+    # One JSON array per file; JSON lines are read with multiLine="false".
     read_options={"multiLine": "true"},
     rules_after_key_report=("ship_date >= order_date",),
 )

@@ -463,6 +463,7 @@ GROUP BY 1, 2"""
 # Layouts that files really have, and reports over them -------------------------------------------
 
 ORACLE["json_array_orders"] = ORACLE["json_orders"]
+ORACLE["json_array_divided_orders"] = ORACLE["json_array_orders"]
 ORACLE["xlsx_folder_customers"] = ORACLE["xlsx_customers"]
 ORACLE["xlsx_mixed_headers"] = f"""
 WITH {TEXT_CUSTOMERS}

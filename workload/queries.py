@@ -446,17 +446,26 @@ def staged_orders(spark: SparkSession, folder: str) -> DataFrame:
 # Layouts that files really have, and reports over them ---------------------------------------
 
 
-@query
-def json_array_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Files with one JSON array each, over several lines."""
+def _array_feed(spark: SparkSession, folder: str, orders_in_file: int) -> DataFrame:
     path = f"{staging_folder(spark)}/orders_arrays"
     rows = _with_headers(views.text_orders(spark, folder), ORDERS)
-    block = F.floor(F.col("Order ID").cast("long") / 4000).alias("block")
+    block = F.floor(F.col("Order ID").cast("long") / orders_in_file).alias("block")
     arrays = rows.groupBy(block).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
     arrays = arrays.withColumn("value", F.regexp_replace("value", r"\},\{", "},\n{"))
     arrays.write.partitionBy("block").text(path)
-    feed = read_dataset(spark, f"{path}/block=*/", ORDERS, fmt="json")
-    return feed.select(*ORDERS.schema.names)
+    return read_dataset(spark, f"{path}/block=*/", ORDERS, fmt="json").select(*ORDERS.schema.names)
+
+
+@query
+def json_array_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Files with one JSON array each, over several lines."""
+    return _array_feed(spark, folder, 4000)
+
+
+@query
+def json_array_divided_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Files with one JSON array each that are large enough for several tasks to read each of them."""
+    return _array_feed(spark, folder, 40_000)
 
 
 @query
