@@ -21,7 +21,7 @@ from ledgerlane.operators.quality import (
 )
 from ledgerlane.operators.shape import conform
 from ledgerlane.settings import Settings
-from ledgerlane.sinks import stage, staging_folder, write_table
+from ledgerlane.sinks import all_batches, stage, staging_folder, write_batch, write_table
 from ledgerlane.sources import read_dataset
 from ledgerlane.sources.files import CORRUPT
 
@@ -43,14 +43,24 @@ class Ingested:
     hot: dict[str, dict[Any, int]] = field(default_factory=dict)
 
 
+def _write(df: DataFrame, name: str, path: str | None, batch: str | None) -> DataFrame:
+    """The table after this load: of its rows only, or, if loads are named, of all loads."""
+    if batch is None:
+        write_table(df, name, path=path)
+        return df.sparkSession.table(name)
+    write_batch(df, name, batch, path=path)
+    return all_batches(df.sparkSession, name)
+
+
 def ingest(
     spark: SparkSession, contract: DatasetContract, settings: Settings, staging: str | None = None
 ) -> Ingested:
-    """Reads a source once and writes its clean table.
+    """Reads a source once and writes its clean table, or its batch of that table if the load is named and the table grows.
 
     The source text is parsed in a single pass into a staged table that carries the verdicts;
     row and rule counters and the frequent lookup keys are observed on the way. Everything after
-    that reads columns of the staged table.
+    that reads columns of the staged table. Counts, repeated keys, rejected rows and hot keys are those of
+    this load; the clean table, and the nulls counted in it, are of all loads.
     """
     source = read_dataset(
         spark,
@@ -71,9 +81,9 @@ def ingest(
     hot = {k: hot_keys(counts.pop(f"frequent {k}")) for k in keys}
 
     table = settings.table(contract.name)
-    write_table(conform(valid(staged), contract.schema), table, path=settings.path(contract.name))
+    batch = settings.batch if contract.name in settings.growing else None
+    clean = _write(conform(valid(staged), contract.schema), table, settings.path(contract.name), batch)
     keyed = conform(valid(staged, contract.rules_after_key_report), contract.schema)
-    clean = spark.table(table)
     return Ingested(
         contract=contract,
         table=table,
@@ -114,10 +124,14 @@ class Store:
 
 
 def run_ingest(spark: SparkSession, settings: Settings) -> Store:
-    """Ingests all three datasets; the quarantine table is replaced, so a rerun repeats no rows."""
+    """Ingests all three datasets.
+
+    Without a name for the load all tables are replaced; with one, of growing tables and the quarantine only
+    what a load of that name wrote before. Either way a rerun repeats no rows.
+    """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {settings.catalog}.{settings.schema}")
     staging = staging_folder(spark)
     store = Store(**{name: ingest(spark, contract, settings, staging) for name, contract in CONTRACTS.items()})
     rejected = store.orders.quarantine.union(store.customers.quarantine).union(store.products.quarantine)
-    write_table(rejected, settings.quarantine_table, path=settings.path("quarantine"))
+    _write(rejected, settings.quarantine_table, settings.path("quarantine"), settings.batch)
     return store

@@ -15,6 +15,8 @@ class Settings:
     formats: dict[str, str] = field(default_factory=dict)
     read_options: dict[str, dict[str, str]] = field(default_factory=dict)
     location: str | None = None  # folder for external tables; managed tables if not given
+    batch: str | None = None  # name of the load; growing tables and the quarantine then keep the other loads
+    growing: tuple[str, ...] = ("orders",)  # datasets that come in loads; others are replaced by each
 
     def table(self, name: str) -> str:
         return f"{self.catalog}.{self.schema}.{name}"

@@ -460,6 +460,21 @@ LEFT JOIN product_flags p ON o.product_id = p.product_id AND p.first_failed_rule
 WHERE o.first_failed_rule IS NULL
 GROUP BY 1, 2"""
 
+ORACLE["batched_quarantine"] = f"""
+WITH {TEXT_ORDERS}, {renamed(ORDER_FLAGS, "order_flags")},
+{TEXT_CUSTOMERS}, {renamed(CUSTOMER_FLAGS, "customer_flags")},
+{TEXT_PRODUCTS}, {renamed(PRODUCT_FLAGS, "product_flags")},
+loads(load_batch) AS (VALUES ('first load'), ('second load')),
+everything AS (
+  SELECT CASE WHEN CAST(order_id AS BIGINT) % 2 = 0 THEN 'first load' ELSE 'second load' END AS load_batch,
+         'orders' AS dataset, first_failed_rule FROM order_flags
+  UNION ALL SELECT load_batch, 'customers', first_failed_rule FROM customer_flags, loads
+  UNION ALL SELECT load_batch, 'products', first_failed_rule FROM product_flags, loads
+)
+SELECT load_batch, dataset, first_failed_rule, CAST(COUNT(*) AS BIGINT) AS row_count, CAST(COUNT(*) AS BIGINT) AS with_raw_values
+FROM everything WHERE first_failed_rule IS NOT NULL GROUP BY load_batch, dataset, first_failed_rule"""
+ORACLE["batched_orders"] = ORACLE["staged_orders"]
+
 # Layouts that files really have, and reports over them -------------------------------------------
 
 ORACLE["json_array_orders"] = ORACLE["json_orders"]

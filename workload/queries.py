@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane import operators as ops
@@ -25,7 +26,7 @@ from ledgerlane.plans import (
 )
 from ledgerlane.plans.ingest import Store, run_ingest
 from ledgerlane.settings import Settings
-from ledgerlane.sinks import stage, staging_folder, write_table
+from ledgerlane.sinks import BATCH, stage, staging_folder, write_table
 from ledgerlane.sources import decode_workbooks, read_dataset
 from ledgerlane.sources.files import CORRUPT
 from workload import views
@@ -399,23 +400,47 @@ def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
-def _ingest_feeds(spark: SparkSession, folder: str) -> tuple[Store, Settings]:
-    """Feeds as files, then everything ingestion does with them."""
-    root = staging_folder(spark)
-    _with_headers(views.text_orders(spark, folder), ORDERS).write.json(f"{root}/orders")
+def _write_feeds(spark: SparkSession, folder: str, root: str, part: Column | None = None) -> dict[str, str]:
+    """Feeds as files; of the orders all rows or a part of them."""
+    orders = views.text_orders(spark, folder)
+    orders = orders if part is None else orders.where(part)
+    _with_headers(orders, ORDERS).write.json(f"{root}/orders")
     for contract, view in ((PRODUCTS, views.text_products), (CUSTOMERS, views.text_customers)):
         feed = _with_headers(view(spark, folder), contract)
         feed.write.option("header", "true").csv(f"{root}/{contract.name}")
-    settings = Settings(
-        sources={name: f"{root}/{name}" for name in ("orders", "products", "customers")},
-        formats={"orders": "json", "products": "csv", "customers": "csv"},
-        read_options={"orders": {"multiLine": "false"}},
-        schema="ledgerlane_raw",
-        location=f"{root}/tables",
-    )
+    return {name: f"{root}/{name}" for name in ("orders", "products", "customers")}
+
+
+_FEED_FORMATS = {
+    "formats": {"orders": "json", "products": "csv", "customers": "csv"},
+    "read_options": {"orders": {"multiLine": "false"}},
+}
+
+
+def _ingest_feeds(spark: SparkSession, folder: str) -> tuple[Store, Settings]:
+    """Feeds as files, then everything ingestion does with them."""
+    root = staging_folder(spark)
+    sources = _write_feeds(spark, folder, root)
+    settings = Settings(sources=sources, schema="ledgerlane_raw", location=f"{root}/tables", **_FEED_FORMATS)
     return run_ingest(spark, settings), settings
 
 
+def _ingest_batches(spark: SparkSession, folder: str) -> tuple[Store, Settings]:
+    """Two loads of halves of the orders, and one more run of the first, which had read the other half."""
+    root = staging_folder(spark)
+    even = F.col("order_id").cast("long") % 2 == 0
+    halves = {
+        name: _write_feeds(spark, folder, f"{root}/{name}", part) for name, part in (("even", even), ("odd", ~even))
+    }
+    loads = (("first load", "odd"), ("second load", "odd"), ("first load", "even"))
+    # Tables of batches stay, so each call has a schema of its own.
+    fixed = {"schema": f"ledgerlane_{uuid.uuid4().hex}", "location": f"{root}/tables", **_FEED_FORMATS}
+    for batch, half in loads:
+        settings = Settings(sources=halves[half], batch=batch, **fixed)
+        store = run_ingest(spark, settings)
+    return store, settings
+
+
 @query
 def ingested_profit_by_year_category(spark: SparkSession, folder: str) -> DataFrame:
     """From files through quarantine and clean tables to a profit table."""
@@ -435,6 +460,24 @@ def ingested_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def batched_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """The quarantine after two loads and a rerun, counted by load and reason."""
+    _, settings = _ingest_batches(spark, folder)
+    return (
+        spark.table(settings.quarantine_table)
+        .groupBy(BATCH, "dataset", FIRST_FAILED)
+        .agg(F.count(F.lit(1)).alias("row_count"), F.count_if(F.size("raw") > 0).alias("with_raw_values"))
+    )
+
+
+@query
+def batched_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The clean orders of all loads."""
+    store, _ = _ingest_batches(spark, folder)
+    return store.orders.clean.select("order_id", "row_id", "product_id", "order_date")
+
+
 @query
 def staged_orders(spark: SparkSession, folder: str) -> DataFrame:
     """The pipeline's middle step: verdicts written once, clean rows read back."""
