@@ -1,3 +1,12 @@
+from ledgerlane.operators.key_filters import (
+    KeyFilter,
+    blocks_for,
+    key_filter,
+    merge_filters,
+    read_key_filter,
+    run_orphans,
+    write_key_filter,
+)
 from ledgerlane.operators.lookups import (
     Dimension,
     left_lookup,
@@ -30,16 +39,20 @@ __all__ = [
     "CompareRule",
     "Dimension",
     "EmailRule",
+    "KeyFilter",
     "Rule",
     "ReadableRule",
     "TypeRule",
+    "blocks_for",
     "conform",
     "customer_metrics",
     "duplicate_keys",
     "duplicate_rows",
     "evaluate",
+    "key_filter",
     "keys_are_unique",
     "left_lookup",
+    "merge_filters",
     "null_counts",
     "null_counts_wide",
     "order_info",
@@ -47,14 +60,17 @@ __all__ = [
     "orphans",
     "product_metrics",
     "quarantine",
+    "read_key_filter",
     "rejected",
     "run_hot_keys",
     "run_measure",
     "run_has_rows",
+    "run_orphans",
     "run_null_report",
     "split",
     "summarize",
     "valid",
     "wide_fact",
+    "write_key_filter",
     "with_copies",
 ]

@@ -422,6 +422,14 @@ WITH {ORDERS}, {CUSTOMERS}
 SELECT customer_id, CAST(discount AS DOUBLE) AS discount, order_date, order_id, CAST(price AS DOUBLE) AS price,
        product_id, CAST(profit AS DOUBLE) AS profit, quantity, row_id, ship_date, ship_mode
 FROM orders_v o WHERE NOT EXISTS (SELECT 1 FROM customers_v c WHERE c.customer_id = o.customer_id)"""
+ORACLE["orphans_by_customer_and_product"] = f"""
+WITH {ORDERS}
+SELECT order_id, row_id, customer_id, product_id FROM orders_v o
+WHERE NOT EXISTS (SELECT 1 FROM orders_v r WHERE r.ship_mode = 'N' AND r.customer_id = o.customer_id AND r.product_id = o.product_id)"""
+ORACLE["orphans_by_stored_filter"] = f"""
+WITH {ORDERS}, {CUSTOMERS}
+SELECT order_id, row_id, customer_id, product_id FROM orders_v o
+WHERE NOT EXISTS (SELECT 1 FROM customers_v c WHERE c.customer_id = o.customer_id)"""
 ORACLE["orphans_by_product"] = f"""
 WITH {ORDERS}, {PRODUCTS}
 SELECT order_id, row_id, product_id, customer_id

@@ -357,6 +357,30 @@ def orphans_by_product(spark: SparkSession, folder: str) -> DataFrame:
     return missing.select("order_id", "row_id", "product_id", "customer_id")
 
 
+@query
+def orphans_by_customer_and_product(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines whose customer never got that product by mode N: two keys, and a reference as long as the lines."""
+    lines = views.orders(spark, folder)
+    reference = lines.where(F.col("ship_mode") == "N").select("customer_id", "product_id")
+    missing = ops.run_orphans(lines, reference, ["customer_id", "product_id"])
+    return missing.select("order_id", "row_id", "customer_id", "product_id")
+
+
+@query
+def orphans_by_stored_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines without a customer of positive balance, by the merged filters of two loads of customers."""
+    people = views.clean_customers(spark, folder).select("customer_id")
+    table = f"spark_catalog.default.key_filters_{uuid.uuid4().hex}"
+    path = f"{staging_folder(spark)}/key_filters"
+    loads = {"first load": F.col("customer_id") % 2 == 0, "second load": F.col("customer_id") % 2 == 1}
+    blocks = ops.blocks_for(people.count())
+    for batch, part in loads.items():
+        ops.write_key_filter(ops.key_filter(people.where(part), "customer_id", blocks), table, batch, path)
+    known = ops.read_key_filter(spark, table)
+    missing = ops.run_orphans(views.orders(spark, folder), people, "customer_id", known)
+    return missing.select("order_id", "row_id", "customer_id", "product_id")
+
+
 @query
 def conform_types(spark: SparkSession, folder: str) -> DataFrame:
     return ops.conform(views.text_orders(spark, folder), ORDERS.schema)
