@@ -18,10 +18,11 @@ BLOCKS = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section "
     "summary table tbody td tfoot th thead title tr ul".split()
 )
-NO_TEXT = frozenset(
-    "aside button canvas datalist dialog footer form head iframe input math menu meta nav noframes noscript object "
-    "option script select style svg template textarea title".split()
+NEVER_TEXT = frozenset(
+    "button canvas datalist head iframe input math meta noframes noscript object option script select style svg template "
+    "textarea title".split()
 )
+SELDOM_TEXT = frozenset("aside dialog footer form menu nav".split())
 NO_TEXT_ROLES = frozenset("alert banner complementary contentinfo dialog menu navigation search".split())
 NO_TEXT_NAMES = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment commentlist comments consent cookie "
@@ -30,6 +31,8 @@ NO_TEXT_NAMES = frozenset(
     "social sponsor sponsored subscribe subscription toolbar widget".split()
 )
 HEADER_NAMES = frozenset("header topbar".split())
+#: Names that begin so tell of a state of the page, not what an element holds.
+STATE_NAMES = ("has", "hide", "is", "no", "open", "show", "with", "without")
 #: What counts as a tag in densities; other elements only dress up the text of a block.
 COUNTED = (BLOCKS | {"a", "img"}) - {"br"}
 #: Starting one of these ends an open element of the same group, up to the given container.
@@ -45,6 +48,10 @@ ENDS_ITSELF = {
 CLOSES_PARAGRAPH = BLOCKS - {"br", "body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "option"}
 
 _NAME_PARTS = re.compile(r"[^a-z0-9]+")
+#: An element that would be left out stays if it holds so many times the text outside of such elements,
+#: and no less than so many characters.
+MOST_TEXT = 4
+SOME_TEXT = 80
 
 
 class Node:
@@ -108,13 +115,26 @@ def _in_order(root: Node) -> list[Node]:
     return found
 
 
+def _names(node: Node) -> set[str]:
+    """Parts of the class names and the id, but those of names that only tell of a state."""
+    own = node.attributes
+    whole = f"{own.get('class') or ''} {own.get('id') or ''}".lower().split()
+    parts = [[p for p in _NAME_PARTS.split(name) if p] for name in whole]
+    return {p for name in parts if name and name[0] not in STATE_NAMES and name[-1] not in STATE_NAMES for p in name}
+
+
 def _drop(nodes: list[Node]) -> None:
-    """Marks elements that hold no article text, by kind, role, class or id."""
+    """Marks elements that hold no article text, by kind, role, class or id.
+
+    Only some kinds and hidden elements are certain. All others are suspects, and go unless they hold the
+    page: an article of their own, or by far the most text that no other suspect has.
+    """
     holds_article = {id(n) for n in nodes if n.tag in ("article", "main")}
     for node in reversed(nodes):
         if id(node) in holds_article and node.parent is not None:
             holds_article.add(id(node.parent))
     in_article: set[int] = set()
+    suspects: set[int] = set()
     for node in nodes:
         parent = node.parent
         if parent is not None and parent.dropped:
@@ -126,14 +146,62 @@ def _drop(nodes: list[Node]) -> None:
         if node.tag == "#text" or node.tag in ("html", "body", "article", "main"):
             continue
         own = node.attributes
-        if node.tag in NO_TEXT or "hidden" in own or (own.get("role") or "").lower() in NO_TEXT_ROLES:
+        if node.tag in NEVER_TEXT or "hidden" in own or own.get("aria-hidden") == "true":
             node.dropped = True
-        elif "display:none" in (own.get("style") or "").replace(" ", "").lower() or own.get("aria-hidden") == "true":
+        elif "display:none" in (own.get("style") or "").replace(" ", "").lower():
             node.dropped = True
         elif id(node) not in holds_article:
-            names = {*_NAME_PARTS.split(f"{own.get('class') or ''} {own.get('id') or ''}".lower())}
+            names = _names(node)
             outer = not inside and (node.tag == "header" or names & HEADER_NAMES)
-            node.dropped = bool(names & NO_TEXT_NAMES or outer)
+            by_kind = node.tag in SELDOM_TEXT or (own.get("role") or "").lower() in NO_TEXT_ROLES
+            if by_kind or names & NO_TEXT_NAMES or outer:
+                suspects.add(id(node))
+    _drop_suspects(nodes, suspects)
+
+
+def _plain(nodes: list[Node]) -> dict[int, int]:
+    """Characters below every node that stand in no link."""
+    found = dict.fromkeys(map(id, nodes), 0)
+    for node in reversed(nodes):
+        if node.dropped or node.tag == "a":
+            found[id(node)] = 0
+            continue
+        if node.tag == "#text":
+            found[id(node)] = len("".join(node.text.split()))
+        if node.parent is not None:
+            found[id(node.parent)] += found[id(node)]
+    return found
+
+
+def _drop_suspects(nodes: list[Node], suspects: set[int]) -> None:
+    """Drops the outermost suspects, after those that hold the page are cleared, one at a time from the outside."""
+    plain = _plain(nodes)
+
+    def outermost(root: Node) -> list[Node]:
+        found, waiting = [], list(reversed(root.children))
+        while waiting:
+            node = waiting.pop()
+            if node.dropped:
+                continue
+            if id(node) in suspects:
+                found.append(node)
+            else:
+                waiting.extend(reversed(node.children))
+        return found
+
+    asked = outermost(nodes[0])
+    while asked:
+        largest = max(asked, key=lambda n: plain[id(n)])
+        rest = plain[id(nodes[0])] - sum(plain[id(n)] for n in asked)
+        if largest.tag in ("footer", "nav") or plain[id(largest)] < max(SOME_TEXT, MOST_TEXT * rest + 1):
+            break
+        suspects.discard(id(largest))
+        asked = [n for n in asked if n is not largest] + outermost(largest)
+    for node in asked:
+        node.dropped = True
+    for node in nodes:
+        if node.parent is not None and node.parent.dropped:
+            node.dropped = True
 
 
 def _measure(nodes: list[Node]) -> None:
@@ -246,8 +314,9 @@ def main_text(html: str) -> str:
 def extract_text(pages: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """id, url, text and n_chars (code points of text) per page.
 
-    Navigation, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-    comments are told by element kind, role, class or id and left out. Every other node gets a
+    Scripts, styles and what is hidden are left out. Navigation, headers, footers, sidebars, notices,
+    adverts, forms and reader comments are told by element kind, role, class or id, and left out unless such
+    an element holds an article element or nearly all the text of the page. Every other node gets a
     density: its characters per tag, less the more of them are links. The subtree whose children
     have the greatest sum is the article, together with the densest parts of other subtrees that
     reach the least density on the way from it to the page's root. Its blocks are joined by line
