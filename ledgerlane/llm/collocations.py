@@ -46,6 +46,21 @@ def _run_hashes(words: Words, languages: np.ndarray, width: int) -> np.ndarray:
     return found
 
 
+def _parts(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Chunks of folded texts; texts that are longer than a chunk come in parts that end where a piece of text does."""
+    for start, offsets, data in text_chunks(column, CHUNK_BYTES):
+        data = FOLD_ASCII[data]
+        if len(offsets) > 2 or len(data) <= 2 * CHUNK_BYTES:
+            yield start, offsets, data
+            continue
+        ends, at = np.append(np.flatnonzero(IS_BREAK[data]), len(data)), 0
+        while at < len(data):
+            later = np.searchsorted(ends, at + CHUNK_BYTES, side="right")
+            end = int(ends[max(later - 1, np.searchsorted(ends, at + 1))])
+            yield start, np.array([0, end - at]), data[at:end]
+            at = end
+
+
 def _counts(rows: DataFrame, width: int, filtered: str | None) -> DataFrame:
     """(lang, phrase, f) of phrases of `width` words, and of a null phrase for all words if that is one.
 
@@ -60,29 +75,30 @@ def _counts(rows: DataFrame, width: int, filtered: str | None) -> DataFrame:
             names = coded.dictionary.to_pylist()
             hashes = np.array([_language_hash(name) for name in names], dtype=np.uint64)
             codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            for start, offsets, data in text_chunks(batch.column("text"), CHUNK_BYTES):
-                data = FOLD_ASCII[data]
+            for start, offsets, data in _parts(batch.column("text")):
                 words = words_of(data, offsets, IS_WORD)
                 if not len(words.starts):
                     continue
                 row = np.repeat(np.arange(len(offsets) - 1), np.diff(words.bounds))
                 language = codes[start:][row]
-                first, member = distinct_spans(data, words.starts, words.ends)
-                _, numbers = np.unique(language * len(first) + member, return_inverse=True)
                 # Words that follow each other within a piece of text.
-                breaks = np.concatenate([[0], np.cumsum(IS_BREAK[data])])
+                breaks = np.concatenate([[0], np.cumsum(IS_BREAK[data], dtype=np.int32)])
                 linked = (row[1:] == row[:-1]) & (breaks[words.starts[1:]] == breaks[words.ends[:-1]])
                 linked = np.append(linked, False)
-                runs, at = numbers, np.arange(len(numbers))
+                at = np.arange(len(row))
                 for k in range(1, width):
-                    whole = linked[at + k - 1]
-                    runs, at = runs[whole], at[whole]
-                    _, runs = np.unique(runs * len(numbers) + numbers[at + k], return_inverse=True)
+                    at = at[linked[at + k - 1]]
                 if bits is not None:
                     slots = _run_hashes(words, hashes[language], width - 1) & np.uint64(FILTER_BITS - 1)
                     known = bits[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8) & 1 == 1
-                    kept = known[at] & known[at + 1]
-                    runs, at = runs[kept], at[kept]
+                    at = at[known[at] & known[at + 1]]
+                first, member = distinct_spans(data, words.starts, words.ends)
+                runs, values = language[at], len(names)
+                for k in range(width):
+                    if values * len(first) >= 1 << 62:
+                        _, runs = np.unique(runs, return_inverse=True)
+                        values = len(at)
+                    runs, values = runs * len(first) + member[at + k], values * len(first)
                 _, which, found = np.unique(runs, return_index=True, return_counts=True)
                 at = at[which]
                 # The words of each phrase, with a space after each of them but the last.
