@@ -100,39 +100,53 @@ def _split(df: DataFrame, name: str, copies: str | None) -> tuple[Column, Column
 def rounded_sum(df: DataFrame, name: str, digits: int = 2, copies: str | None = None) -> Column:
     """Aggregate: sum of a column, each row counted `copies` times."""
     exact, rest = _split(df, name, copies)
-    total = F.round(F.sum(exact), digits)
-    if rest is None:
+    return finished_sum(F.sum(exact), None if rest is None else F.sum(rest), digits)
+
+
+def finished_sum(exact: Column, leftover: Column | None, digits: int) -> Column:
+    """The rounded total of an exact sum and a sum of doubles, null where there were none."""
+    total = F.round(exact, digits)
+    if leftover is None:
         return total
-    leftover = F.sum(rest)
     return F.when(leftover.isNull(), total.cast("double")).otherwise(
-        F.round(F.coalesce(F.sum(exact).cast("double"), F.lit(0.0)) + leftover, digits)
+        F.round(F.coalesce(exact.cast("double"), F.lit(0.0)) + leftover, digits)
     )
 
 
 def rounded_avg(df: DataFrame, name: str, digits: int = 2, copies: str | None = None) -> Column:
-    """Aggregate: average of the non-null values, each row counted `copies` times.
+    """Aggregate: average of the non-null values, each row counted `copies` times."""
+    exact, rest = _split(df, name, copies)
+    rows = F.count(ref(name)) if copies is None else F.sum(F.when(ref(name).isNotNull(), ref(copies).cast(WHOLE)))
+    leftover = None if rest is None else F.sum(rest)
+    return finished_avg(F.sum(exact), leftover, rows, df.schema[name].dataType, digits)
+
+
+def finished_avg(exact: Column, leftover: Column | None, rows: Column, kind: T.DataType, digits: int) -> Column:
+    """The rounded average of values of a type, from their sums and their number.
 
     Divides an exact sum by an exact count, which keeps at least 15 digits for two-digit money;
     averaging decimals directly would round to six digits first and can turn 0.1249996 into 0.13.
     """
-    exact, rest = _split(df, name, copies)
-    kind = df.schema[name].dataType
-    scale = kind.scale if is_decimal(df, name) else ADDEND.scale if rest is not None else 0
-    rows = F.count(ref(name)) if copies is None else F.sum(F.when(ref(name).isNotNull(), ref(copies).cast(WHOLE)))
+    decimal = isinstance(kind, T.DecimalType)
+    scale = kind.scale if decimal else ADDEND.scale if leftover is not None else 0
     some_rows = F.nullif(rows.cast(WHOLE), F.lit(0).cast(WHOLE))
     # A sum too large for this width has no decimal places left to lose in a double.
-    total = F.sum(exact).try_cast(T.DecimalType(20 + scale, scale))
-    in_doubles = F.coalesce(F.sum(exact).cast("double"), F.when(rows > 0, F.lit(0.0)))
+    total = exact.try_cast(T.DecimalType(20 + scale, scale))
+    in_doubles = F.coalesce(exact.cast("double"), F.when(rows > 0, F.lit(0.0)))
     mean = F.round(F.try_divide(total, some_rows), digits)
-    if rest is None:
-        mean = F.coalesce(mean, F.round(F.sum(exact).cast("double") / some_rows.cast("double"), digits).try_cast("decimal(38,6)"))
-        return mean if is_decimal(df, name) else mean.cast("double")
-    leftover = F.sum(rest)
+    if leftover is None:
+        mean = F.coalesce(mean, F.round(exact.cast("double") / some_rows.cast("double"), digits).try_cast("decimal(38,6)"))
+        return mean if decimal else mean.cast("double")
     return F.when(leftover.isNull() & total.isNotNull(), mean.cast("double")).otherwise(
         F.round((in_doubles + F.coalesce(leftover, F.lit(0.0))) / some_rows.cast("double"), digits)
     )
 
 
+def addends(df: DataFrame, name: str) -> tuple[Column, Column | None]:
+    """What of a column can be summed exactly, and what can't, as doubles; the second is None if all can."""
+    return _split(df, name, None)
+
+
 def decimals_as_double(df: DataFrame) -> DataFrame:
     """Decimal columns leave the engine as doubles, the type the published schemas use."""
     return df.select(

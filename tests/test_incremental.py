@@ -1,0 +1,76 @@
+"""Metrics added up over loads against the metrics of all lines at once."""
+
+import random
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlane.operators.distinct_parts import distinct_counts, distinct_parts, merge_parts
+from ledgerlane.operators.metrics import customer_metrics, product_metrics
+from ledgerlane.plans.incremental import CUSTOMER_METRICS, PRODUCT_METRICS, Metric, MetricStore, partials, read_totals, write_load
+from ledgerlane.sinks import staging_folder
+
+
+@pytest.fixture(params=["decimal(12,2)", "double"])
+def lines(spark, request):
+    pick = random.Random(5)
+    rows = []
+    for i in range(1500):
+        # One customer and one product have a third of the lines.
+        customer = 1 if pick.random() < 0.33 else pick.choice([None, *range(2, 40)])
+        product = "hot" if pick.random() < 0.33 else f"p{pick.randrange(30)}"
+        rows.append((
+            customer, product, pick.choice([pick.randrange(300), -pick.randrange(300), None]), pick.randrange(5) or None,
+            pick.choice([None, pick.randrange(10**6) / 100]), pick.randrange(10**5) / 100, date(2020, 1, 1) + timedelta(pick.randrange(900)),
+            i % 3,
+        ))
+    schema = "customer_id long, product_id string, order_id long, quantity long, final_price double, x double, order_date date, part int"
+    df = spark.createDataFrame(rows, schema)
+    kind = request.param
+    return df.withColumns({"profit": (F.col("x") / 7).cast(kind), "discount_amount": F.col("x").cast(kind), "final_price": F.col("final_price").cast(kind)})
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("key", ["customer_id", "product_id"])
+def test_totals_of_loads_are_those_of_all_lines(spark, lines, key):
+    metrics, whole = (CUSTOMER_METRICS, customer_metrics) if key == "customer_id" else (PRODUCT_METRICS, product_metrics)
+    kind = "d" if dict(lines.dtypes)["profit"] == "double" else "m"
+    store = MetricStore(f"spark_catalog.default.inc_{key}_{kind}", key, metrics, staging_folder(spark))
+    for load, part in (("a", 0), ("b", 0), ("c", 2), ("b", 1)):  # b is run again
+        write_load(lines.where(F.col("part") == part), store, load)
+    found = read_totals(spark, store, lines.schema)
+    expected = whole(lines)
+    assert [(f.name, f.dataType.simpleString().split("(")[0]) for f in found.schema] == [
+        (f.name, f.dataType.simpleString().split("(")[0]) for f in expected.schema
+    ]
+    names = [f"round({c}, 2) AS {c}" if t == "double" or t.startswith("decimal") else c for c, t in expected.dtypes]
+    assert rows_of(found.selectExpr(*names)) == rows_of(expected.selectExpr(*names))
+    write_load(lines.where("false"), store, "c")
+    fewer = read_totals(spark, store, lines.schema).selectExpr(*names)
+    assert rows_of(fewer) == rows_of(whole(lines.where("part < 2")).selectExpr(*names))
+
+
+def test_distinct_parts_of_any_type(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, -1L, 'a', 1.5D), (1, -64L, 'b', 1.5D), (1, -65L, NULL, NULL), (1, 63L, 'a', -0.5D),
+        (NULL, 9223372036854775807L, 'é', 2D), (NULL, -9223372036854775808L, 'é', 2D), (2, NULL, NULL, NULL) AS t(k, i, s, d)""")
+    for column in ("i", "s", "d"):
+        halves = [distinct_parts(df.where(F.coalesce("k", F.lit(0)) % 2 == n), "k", column) for n in (0, 1)]
+        again = merge_parts(*halves, halves[0])
+        expected = df.where(F.col(column).isNotNull()).groupBy("k").agg(F.countDistinct(column).alias("n"))
+        assert rows_of(distinct_counts(again, "n")) == rows_of(expected)
+
+
+def test_dense_keys_take_a_bit_per_value(spark):
+    parts = distinct_parts(spark.range(64_000).withColumn("k", F.lit(1)), "k", "id")
+    assert parts.count() == 1000 and distinct_counts(parts, "n").first()["n"] == 64_000
+
+
+def test_unknown_kinds_and_names(spark):
+    with pytest.raises(ValueError, match="unknown kind"):
+        partials(spark.range(1), "id", [Metric("m", "median", "id")])
+    with pytest.raises(ValueError, match="can't be named"):
+        distinct_parts(spark.range(1).withColumnRenamed("id", "part"), "part", "part")
