@@ -1,0 +1,93 @@
+"""Sessions against a walk over each key's events."""
+
+import random
+from collections import defaultdict
+from datetime import datetime, timedelta
+from decimal import Decimal
+
+import pytest
+
+from ledgerlane.operators.sessions import run_sessions
+
+GAP = timedelta(minutes=30)
+MEASURES = {"total": ("sum", "x"), "least": ("min", "n"), "most": ("max", "n"), "sum of n": ("sum", "n")}
+
+
+def some_events(seed, size=900):
+    pick = random.Random(seed)
+    rows = []
+    for _ in range(size):
+        # One key has half of the events, close together.
+        key = "hot" if pick.random() < 0.5 else pick.choice(["a", "b", None, "c"])
+        at = datetime(2024, 1, 1) + timedelta(seconds=pick.randrange(0, 400_000, 300))
+        rows.append((key, pick.choice([at, at, at, None]), pick.choice([None, Decimal(pick.randrange(1000)) / 100]), pick.choice([None, pick.randrange(9)])))
+    return rows
+
+
+def expected(rows):
+    by_key = defaultdict(list)
+    for key, at, x, n in rows:
+        if at is not None:
+            by_key[key].append((at, x, n))
+    found = []
+    for key, events in by_key.items():
+        events.sort(key=lambda e: e[0])
+        groups = [[events[0]]]
+        for before, event in zip(events, events[1:]):
+            if event[0] - before[0] > GAP:
+                groups.append([])
+            groups[-1].append(event)
+        for group in groups:
+            xs, ns = [e[1] for e in group if e[1] is not None], [e[2] for e in group if e[2] is not None]
+            measured = (sum(xs) if xs else None, min(ns, default=None), max(ns, default=None), sum(ns) if ns else None)
+            found.append((key, group[0][0], group[-1][0], len(group), *measured))
+    return sorted(found, key=repr)
+
+
+def plain(df):
+    return sorted(((r[0], r[1].replace(tzinfo=None), r[2].replace(tzinfo=None), *r[3:]) for r in df.collect()), key=repr)
+
+
+@pytest.fixture(params=["1", "31"])
+def ranges(spark, request):
+    """One range, or many of a few events each."""
+    settings = {"spark.sql.shuffle.partitions": request.param, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_a_walk(spark, ranges, kind, seed):
+    rows = some_events(seed)
+    df = spark.createDataFrame(rows, f"`k.e` string, t {kind}, x decimal(6,2), n int")
+    assert plain(run_sessions(df, "k.e", "t", GAP, MEASURES)) == expected(rows)
+
+
+def test_small_batches_change_nothing(spark, ranges):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        rows = some_events(3, 300)
+        df = spark.createDataFrame(rows, "k string, t timestamp_ntz, x decimal(6,2), n int")
+        assert plain(run_sessions(df, "k", "t", GAP, MEASURES)) == expected(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_one_session_over_all_ranges(spark, ranges):
+    rows = [("k", datetime(2024, 1, 1) + timedelta(minutes=m), None, m) for m in range(500)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, x decimal(6,2), n int")
+    assert plain(run_sessions(df, "k", "t", GAP, MEASURES)) == expected(rows)
+    assert run_sessions(df, "k", "t", GAP).columns == ["k", "session_start", "session_end", "events"]
+
+
+def test_no_events_and_unknown_kinds(spark):
+    df = spark.createDataFrame([], "k string, t timestamp_ntz, x double")
+    assert run_sessions(df, "k", "t", GAP, {"x": ("sum", "x")}).count() == 0
+    with pytest.raises(ValueError, match="unknown kind"):
+        run_sessions(df, "k", "t", GAP, {"x": ("avg", "x")})
