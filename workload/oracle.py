@@ -164,6 +164,8 @@ ORACLE["customer_metrics_fan_out"] = f"""
 WITH {REPEATED}, {measured("wide_v")} SELECT customer_id, {CUSTOMER_METRICS} FROM measured GROUP BY customer_id"""
 ORACLE["product_metrics"] = f"""
 WITH {wide()}, {measured("wide_v")} SELECT product_id, {PRODUCT_METRICS} FROM measured GROUP BY product_id"""
+ORACLE["customer_metrics_by_loads"] = ORACLE["customer_metrics"]
+ORACLE["product_metrics_by_loads"] = ORACLE["product_metrics"]
 ORACLE["product_metrics_fan_out"] = f"""
 WITH {REPEATED}, {measured("wide_v")} SELECT product_id, {PRODUCT_METRICS} FROM measured GROUP BY product_id"""
 ORACLE["enriched_table"] = f"""
@@ -483,6 +485,93 @@ SELECT load_batch, dataset, first_failed_rule, CAST(COUNT(*) AS BIGINT) AS row_c
 FROM everything WHERE first_failed_rule IS NOT NULL GROUP BY load_batch, dataset, first_failed_rule"""
 ORACLE["batched_orders"] = ORACLE["staged_orders"]
 
+ORACLE["streamed_orders"] = ORACLE["staged_orders"]
+ORACLE["streamed_counts"] = f"""
+WITH {TEXT_ORDERS}, {ORDER_FLAGS}
+SELECT 'orders' AS dataset, first_failed_rule, CAST(COUNT(*) AS BIGINT) AS row_count
+FROM flagged WHERE first_failed_rule IS NOT NULL GROUP BY first_failed_rule"""
+
+PRICES = """
+price_list AS (
+  SELECT p_partkey AS product_id, v AS version,
+         DATE '1992-01-01' + CAST(v * 420 + p_partkey % 90 AS INTEGER) AS valid_from,
+         CASE WHEN v < 5 THEN DATE '1992-01-01' + CAST(v * 420 + p_partkey % 90 + 379 AS INTEGER) END AS valid_to
+  FROM part, (VALUES (0), (1), (2), (3), (4), (5)) AS versions(v)
+),
+dated_lines AS (
+  SELECT order_id, row_id, CASE WHEN order_id % 3 = 0 THEN 1 ELSE product_id END AS product_id, order_date FROM orders_v
+)"""
+ORACLE["list_price_at_order"] = f"""
+WITH {ORDERS}, {PRICES}
+SELECT order_id, row_id, d.product_id, order_date, valid_from, valid_to, version
+FROM dated_lines d LEFT JOIN price_list p
+  ON p.product_id = d.product_id AND order_date BETWEEN valid_from AND COALESCE(valid_to, DATE '9999-12-31')"""
+ORACLE["last_price_before_order"] = f"""
+WITH {ORDERS}, {PRICES}
+SELECT order_id, row_id, d.product_id, order_date, p.valid_from, p.version
+FROM dated_lines d LEFT JOIN price_list p ON p.product_id = d.product_id AND p.valid_from = (
+  SELECT max(valid_from) FROM price_list q WHERE q.product_id = d.product_id AND q.valid_from <= order_date)"""
+
+# Profiles, sessions, differences and greatest rows ------------------------------------------------
+
+ORACLE["line_profile"] = f"""
+WITH {ORDERS}, lines AS (SELECT customer_id, product_id, quantity, price, ship_mode, order_date FROM orders_v)
+""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) FILTER ({c} IS NULL) AS null_count, "
+    "TRUE AS distinct_close, TRUE AS median_close, TRUE AS frequent_close FROM lines"
+    for c in ("customer_id", "product_id", "quantity", "price", "ship_mode", "order_date")
+)
+ORACLE["event_sessions"] = """
+WITH placed AS (
+  SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, ts, CAST(value AS DECIMAL(12,2)) AS value, event_id FROM events
+), marked AS (
+  SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS begins FROM placed
+), numbered AS (
+  SELECT *, SUM(begins) OVER (PARTITION BY user_id ORDER BY ts) AS number FROM marked
+)
+SELECT user_id, MIN(ts) AS session_start, MAX(ts) AS session_end, COUNT(*) AS events, CAST(SUM(value) AS DOUBLE) AS total_value,
+       MIN(event_id) AS first_event, MAX(event_id) AS last_event
+FROM numbered GROUP BY user_id, number"""
+
+LOADS = """
+old_lines AS (SELECT order_id, row_id, product_id, price, ship_mode FROM orders_v),
+kept AS (
+  SELECT order_id, row_id, product_id, CAST(CASE WHEN product_id % 50 = 0 THEN price + 1 ELSE price END AS DECIMAL(12,2)) AS price,
+         CASE WHEN order_id % 40 <> 1 THEN ship_mode END AS ship_mode
+  FROM old_lines WHERE row_id <> 7
+),
+new_lines AS (
+  SELECT * FROM kept UNION ALL SELECT * FROM kept WHERE order_id % 30 = 2 UNION ALL SELECT * FROM kept WHERE order_id % 30 = 2
+),
+removed AS (SELECT * FROM old_lines EXCEPT ALL SELECT * FROM new_lines),
+added AS (SELECT * FROM new_lines EXCEPT ALL SELECT * FROM old_lines)"""
+ORACLE["line_differences"] = f"""
+WITH {ORDERS}, {LOADS}, both_ways AS (SELECT *, -1 AS copy FROM removed UNION ALL SELECT *, 1 FROM added)
+SELECT order_id, row_id, product_id, CAST(price AS DOUBLE) AS price, ship_mode, CAST(SUM(copy) AS BIGINT) AS copies
+FROM both_ways GROUP BY order_id, row_id, product_id, price, ship_mode"""
+ORACLE["line_changes"] = f"""
+WITH {ORDERS}, {LOADS},
+both_ways AS (SELECT *, -1 AS copy FROM removed UNION ALL SELECT *, 1 FROM added),
+totals AS (
+  SELECT order_id, row_id, COUNT(*) FILTER (copy < 0) AS removed, COUNT(*) FILTER (copy > 0) AS added
+  FROM both_ways GROUP BY order_id, row_id
+),
+differing AS (
+  SELECT DISTINCT order_id, row_id, place, name FROM (
+    SELECT order_id, row_id, 1 AS place, 'product_id' AS name FROM both_ways GROUP BY order_id, row_id, product_id HAVING SUM(copy) <> 0
+    UNION ALL SELECT order_id, row_id, 2, 'price' FROM both_ways GROUP BY order_id, row_id, price HAVING SUM(copy) <> 0
+    UNION ALL SELECT order_id, row_id, 3, 'ship_mode' FROM both_ways GROUP BY order_id, row_id, ship_mode HAVING SUM(copy) <> 0)
+),
+listed AS (SELECT order_id, row_id, string_agg(name, ',' ORDER BY place) AS columns FROM differing GROUP BY order_id, row_id)
+SELECT t.order_id, t.row_id, removed, added, columns,
+       CASE WHEN NOT EXISTS (SELECT 1 FROM new_lines n WHERE n.order_id = t.order_id AND n.row_id = t.row_id) THEN 'removed' ELSE 'changed' END AS change
+FROM totals t JOIN listed l ON l.order_id = t.order_id AND l.row_id = t.row_id"""
+ORACLE["top_lines_by_customer"] = f"""
+WITH {ORDERS}, placed AS (
+  SELECT CASE WHEN order_id % 3 = 0 THEN 1 ELSE customer_id END AS customer_id, order_id, row_id, quantity FROM orders_v
+), ranked AS (SELECT *, rank() OVER (PARTITION BY customer_id ORDER BY quantity DESC NULLS LAST) AS place FROM placed)
+SELECT customer_id, order_id, row_id, quantity FROM ranked WHERE place <= 3"""
+
 # Layouts that files really have, and reports over them -------------------------------------------
 
 ORACLE["json_array_orders"] = ORACLE["json_orders"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,20 @@ from pyspark.sql import functions as F
 from ledgerlane import operators as ops
 from ledgerlane.contracts import CUSTOMERS, ORDERS, PRODUCTS
 from ledgerlane.functions import compare, compare_columns, decimals_as_double, is_email
+from ledgerlane.operators.differences import key_changes, row_differences
+from ledgerlane.operators.intervals import run_as_of_lookup, run_interval_lookup
+from ledgerlane.operators.profiles import (
+    COUNT_ERROR,
+    DISTINCT_ERROR,
+    RANK_ERROR,
+    measure,
+    merge_profiles,
+    profile,
+    profile_parts,
+)
 from ledgerlane.operators.quality import FAILED_RULES, FIRST_FAILED
+from ledgerlane.operators.sessions import run_sessions
+from ledgerlane.operators.top import run_top
 from ledgerlane.plans import (
     PROFIT_TABLES,
     customer_table,
@@ -24,11 +38,13 @@ from ledgerlane.plans import (
     profit_totals,
     register_view,
 )
+from ledgerlane.plans.incremental import CUSTOMER_METRICS, PRODUCT_METRICS, MetricStore, read_totals, write_load
 from ledgerlane.plans.ingest import Store, run_ingest
 from ledgerlane.settings import Settings
 from ledgerlane.sinks import BATCH, stage, staging_folder, write_table
 from ledgerlane.sources import decode_workbooks, read_dataset
 from ledgerlane.sources.files import CORRUPT
+from ledgerlane.streaming import run_drops
 from workload import views
 from workload.workbooks import as_workbooks, write_workbooks
 
@@ -176,6 +192,48 @@ def largest_discount_by_region(spark: SparkSession, folder: str) -> DataFrame:
     return decimals_as_double(result)
 
 
+def _metrics_by_loads(spark: SparkSession, folder: str, key: str, metrics) -> DataFrame:
+    """Three loads by year, the last one run twice, the first time with lines of another load."""
+    lines = ops.order_measures(views.orders(spark, folder))
+    root = staging_folder(spark)
+    store = MetricStore(f"spark_catalog.default.metrics_{uuid.uuid4().hex}", key, metrics, root)
+    year = F.year("order_date") % 3
+    for load, part in ((0, 0), (2, 0), (1, 1), (2, 2)):
+        write_load(lines.where(year == part), store, f"load {load}")
+    return decimals_as_double(read_totals(spark, store, lines.schema))
+
+
+@query
+def customer_metrics_by_loads(spark: SparkSession, folder: str) -> DataFrame:
+    return _metrics_by_loads(spark, folder, "customer_id", CUSTOMER_METRICS)
+
+
+@query
+def product_metrics_by_loads(spark: SparkSession, folder: str) -> DataFrame:
+    return _metrics_by_loads(spark, folder, "product_id", PRODUCT_METRICS)
+
+
+def _dated_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines, a third of them of one product."""
+    lines = views.orders(spark, folder)
+    hot = F.when(F.col("order_id") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("product_id"))
+    return lines.select("order_id", "row_id", hot.alias("product_id"), "order_date")
+
+
+@query
+def list_price_at_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with the list price that was valid when they were ordered, if any was."""
+    prices = views.price_list(spark, folder)
+    return run_interval_lookup(_dated_lines(spark, folder), prices, "product_id", "order_date", "valid_from", "valid_to")
+
+
+@query
+def last_price_before_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with the list price that was set last before they were ordered."""
+    prices = views.price_list(spark, folder).drop("valid_to")
+    return run_as_of_lookup(_dated_lines(spark, folder), prices, "product_id", "order_date", "valid_from")
+
+
 # Rules and quarantine -----------------------------------------------------------------------
 
 
@@ -386,6 +444,85 @@ def conform_types(spark: SparkSession, folder: str) -> DataFrame:
     return ops.conform(views.text_orders(spark, folder), ORDERS.schema)
 
 
+# Profiles, sessions, differences and greatest rows -------------------------------------------
+
+
+@query
+def line_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """A profile of the lines from two loads, and whether its estimates are as close to the truth as it says."""
+    lines = views.orders(spark, folder).select("customer_id", "product_id", "quantity", "price", "ship_mode", "order_date")
+    root = staging_folder(spark)
+    odd = F.col("product_id") % 2
+    loads = [stage(profile_parts(lines.where(odd == n)), f"{root}/profile_{n}") for n in range(2)]
+    found = profile(merge_profiles(*loads), ranks=(0.5,), top=1)
+    # Of each column the exact numbers, in one pass, with the estimates they are compared with.
+    estimates = {r["column_name"]: r for r in found.collect()}
+    checks = []
+    for name in lines.columns:
+        row, value = estimates[name], measure(lines, name)
+        median = F.lit(row["quantiles"][0])
+        distinct, total = F.count_distinct(name), F.count(F.lit(1))
+        often = F.count_if(F.col(name).cast("string") == F.lit(row["frequent"][0]["item"]))
+        checks.append(
+            F.struct(
+                F.lit(name).alias("column_name"),
+                (F.abs(distinct - row["distinct_estimate"]) <= DISTINCT_ERROR * distinct).alias("distinct_close"),
+                (
+                    (F.count_if(value < median) <= (0.5 + RANK_ERROR) * total) & (F.count_if(value <= median) >= (0.5 - RANK_ERROR) * total)
+                ).alias("median_close"),
+                (F.abs(often - row["frequent"][0]["count"]) <= COUNT_ERROR * total + 1).alias("frequent_close"),
+            )
+        )
+    close = lines.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
+    return found.select("column_name", "row_count", "null_count").join(close, "column_name")
+
+
+@query
+def event_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions of users, one of whom has a third of the events, with gaps of at most six hours."""
+    events = views.table(spark, folder, "events")
+    user = F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id"))
+    rows = events.select(user.alias("user_id"), "ts", F.col("value").cast("decimal(12,2)").alias("value"), "event_id")
+    measures = {"total_value": ("sum", "value"), "first_event": ("min", "event_id"), "last_event": ("max", "event_id")}
+    return decimals_as_double(run_sessions(rows, "user_id", "ts", timedelta(hours=6), measures))
+
+
+def _next_load(lines: DataFrame) -> DataFrame:
+    """The lines as a later load might hold them: some gone, some changed, some twice."""
+    order, product = F.col("order_id"), F.col("product_id")
+    price = F.when(product % 50 == 0, F.col("price") + 1).otherwise(F.col("price")).cast("decimal(12,2)")
+    mode = F.when(order % 40 != 1, F.col("ship_mode"))
+    kept = lines.where(F.col("row_id") != 7).withColumns({"price": price, "ship_mode": mode})
+    return kept.union(kept.where(order % 30 == 2)).union(kept.where(order % 30 == 2))
+
+
+def _line_loads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    lines = views.orders(spark, folder).select("order_id", "row_id", "product_id", "price", "ship_mode")
+    return lines, _next_load(lines)
+
+
+@query
+def line_differences(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that one of two loads has more often."""
+    return decimals_as_double(row_differences(*_line_loads(spark, folder)))
+
+
+@query
+def line_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """What became of each line between two loads."""
+    changes = key_changes(*_line_loads(spark, folder), ["order_id", "row_id"])
+    return changes.withColumn("columns", F.array_join("columns", ","))
+
+
+@query
+def top_lines_by_customer(spark: SparkSession, folder: str) -> DataFrame:
+    """The three lines of each customer with the highest quantity, ties included; one customer has a third of all."""
+    lines = views.orders(spark, folder)
+    customer = F.when(F.col("order_id") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("customer_id"))
+    rows = lines.select(customer.alias("customer_id"), "order_id", "row_id", "quantity")
+    return run_top(rows, "customer_id", "quantity", 3)
+
+
 # Sources and sinks --------------------------------------------------------------------------
 
 
@@ -502,6 +639,36 @@ def batched_orders(spark: SparkSession, folder: str) -> DataFrame:
     return store.orders.clean.select("order_id", "row_id", "product_id", "order_date")
 
 
+DELIVERY_KEYS = ("order_id", "row_id", "product_id", "price")
+
+
+@query
+def streamed_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Three drops of order files, each with rows that came before, taken up call by call."""
+    root = staging_folder(spark)
+    lines = _with_headers(views.text_orders(spark, folder), ORDERS)
+    third = F.col("Order ID").cast("long") % 3
+    # A drop brings its own orders and once more half of those of the drop before.
+    again = F.col("Product ID").cast("long") % 2 == 0
+    drops = [lines.where((third == n) | ((third == n - 1) & again)) for n in range(3)]
+    for number, drop in enumerate(drops):
+        drop.write.mode("append").json(f"{root}/arrived/drop={number}")
+        run = run_drops(spark, f"{root}/arrived/*", f"{root}/taken", ORDERS, DELIVERY_KEYS)
+    return run.clean.select("order_id", "row_id", "product_id", "order_date")
+
+
+@query
+def streamed_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The quarantine that the drops leave, counted by reason."""
+    root = staging_folder(spark)
+    lines = _with_headers(views.text_orders(spark, folder), ORDERS)
+    half = F.col("Order ID").cast("long") % 2
+    for number in range(2):
+        lines.where(half <= number).write.json(f"{root}/arrived/drop={number}")
+        run = run_drops(spark, f"{root}/arrived/*", f"{root}/taken", ORDERS, DELIVERY_KEYS)
+    return run.quarantine.groupBy("dataset", FIRST_FAILED).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @query
 def staged_orders(spark: SparkSession, folder: str) -> DataFrame:
     """The pipeline's middle step: verdicts written once, clean rows read back."""

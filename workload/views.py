@@ -81,6 +81,18 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def price_list(spark: SparkSession, folder: str) -> DataFrame:
+    """Six list prices of each product, one after the other with gaps; the last one is still valid."""
+    versions = table(spark, folder, "part").select("*", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("version"))
+    begins = F.date_add(F.lit("1992-01-01").cast("date"), (F.col("version") * 420 + F.col("p_partkey") % 90).cast("int"))
+    return versions.select(
+        F.col("p_partkey").alias("product_id"),
+        begins.alias("valid_from"),
+        F.when(F.col("version") < 5, F.date_add(begins, 379)).alias("valid_to"),
+        F.col("version").alias("version"),
+    )
+
+
 def clean_customers(spark: SparkSession, folder: str) -> DataFrame:
     """Customers that meet a rule; orders of the others find no match."""
     kept = valid(evaluate(customers(spark, folder), [CompareRule("balance", ">=", "0")]))
