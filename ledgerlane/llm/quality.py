@@ -156,18 +156,23 @@ def statistics_table(documents: DataFrame, id_column: str, text: str) -> DataFra
 
 
 def run_fit(statistics: DataFrame, labels: DataFrame, id_column: str = "doc_id", label: str = "quality") -> Discriminant:
-    """Learns from all labelled rows that are not held out: one join on the id and one sum per label."""
+    """Learns from all labelled rows that are not held out: one join on the id and one sum per label.
+
+    Labels are counted by id first, so an id that repeats on both sides is met once by each of its rows.
+    """
     known = labels.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("label")).where(
         ~held_out("id") & F.col("label").isin(0, 1)
     )
-    rows = statistics.join(known, "id")
+    counted = known.groupBy("id").agg(*[F.count_if(F.col("label") == k).alias(f"times_{k}") for k in (0, 1)])
+    times = F.explode(F.array(*[F.struct(F.lit(k).alias("label"), F.col(f"times_{k}").alias("times")) for k in (0, 1)]))
+    rows = statistics.join(counted, "id").select("statistics", times.alias("known")).select("statistics", "known.*").where("times > 0")
     size = len(FEATURES)
     values = [F.col("statistics")[i] for i in range(size)]
     cells = [(i, j) for i in range(size) for j in range(i + 1)]
     sums = rows.groupBy("label").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.array(*(F.sum(v) for v in values)).alias("sums"),
-        F.array(*(F.sum(values[i] * values[j]) for i, j in cells)).alias("products"),
+        F.sum("times").alias("rows"),
+        F.array(*(F.sum(v * F.col("times")) for v in values)).alias("sums"),
+        F.array(*(F.sum(values[i] * values[j] * F.col("times")) for i, j in cells)).alias("products"),
     )
     counts, totals, products = np.zeros(2), np.zeros((2, size)), np.zeros((2, size, size))
     for row in sums.collect():

@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 from helpers import DOCUMENTS, clashing, empty, odd_documents, rows_of
 
-from ledgerlane.llm.quality import FEATURES, fit, run_keep_good, run_quality, text_statistics
+from ledgerlane.llm.quality import FEATURES, fit, run_fit, run_keep_good, run_quality, statistics_table, text_statistics
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -74,3 +74,13 @@ def test_statistics_do_not_depend_on_the_batch():
     whole = text_statistics(pa.array(texts))
     assert np.allclose(whole, np.concatenate([text_statistics(pa.array([t], pa.string())) for t in texts]))
     assert (whole[1] == 0).all() and (whole[2] == 0).all()
+
+
+def test_an_id_that_repeats_in_both_tables_is_met_once_by_each_row(spark):
+    documents = spark.createDataFrame([(3, f"text number {k} of many words") for k in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(3, k % 2) for k in range(500)] + [(3, None), (3, 7), (None, 1)], "doc_id long, quality int")
+    statistics = statistics_table(documents, "doc_id", "text")
+    model = run_fit(statistics, labels)
+    twice = run_fit(statistics, spark.createDataFrame([(3, 0), (3, 1)], "doc_id long, quality int"))
+    assert np.allclose(model.means, twice.means) and np.allclose(model.factors, twice.factors)
+    assert np.allclose(model.offsets, twice.offsets)
