@@ -21,7 +21,7 @@ from ledgerlane.llm.pii import KINDS, run_find_personal_data
 from ledgerlane.llm.quality import run_quality
 from ledgerlane.llm.repair import conversation_counts, conversation_digests, run_repair
 from ledgerlane.llm.storage import cut
-from ledgerlane.llm.url_filter import Rule, run_judge
+from ledgerlane.llm.url_filter import LONG_SUFFIXES, Rule, run_judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -165,9 +165,21 @@ RULES = (
 )
 
 
+# Words that mark a page nobody wants to read.
+BAD_WORDS = ("adult", "bets", "casino", "pills", "poker", "porn", "spam", "viagra", "xxx")
+
+
+def page_outcome() -> Column:
+    """The label of a page, from the page itself: bad if its url or title has a bad word; none without both."""
+    title = F.regexp_extract(F.coalesce("html", F.lit("")), "(?is)<title[^>]*>(.*?)</title>", 1)
+    said = F.lower(F.concat_ws(" ", "url", title))
+    bad = said.rlike("(^|[^a-z])(" + "|".join(BAD_WORDS) + ")([^a-z]|$)")
+    return F.when(F.trim(said) != "", ~bad)
+
+
 @query
 def op1_url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
-    return run_judge(table(spark, folder, "pages"), RULES)
+    return run_judge(table(spark, folder, "pages"), RULES, good=page_outcome())
 
 
 ORACLE["op1_url_verdicts"] = r"""
@@ -175,7 +187,8 @@ WITH split AS (
     SELECT page_id,
         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
-        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+        lower(concat_ws(' ', url, regexp_extract(coalesce(html, ''), '(?is)<title[^>]*>(.*?)</title>', 1))) AS said
     FROM pages
 ), rules(action, pattern, rule_host, rule_path) AS (
     VALUES ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
@@ -187,10 +200,10 @@ WITH split AS (
     FROM split s
 ), plain AS (
     SELECT host, regexp_replace(host, '^.*@|:[0-9]*$', '', 'g') AS name,
-        sum((found.action = 'allow')::INT) AS good, count(found.action) AS labelled
-    FROM ruled GROUP BY host
+        sum((NOT regexp_matches(said, '(^|[^a-z])(BAD_WORDS)([^a-z]|$)'))::INT) AS good, count(*) AS labelled
+    FROM ruled WHERE trim(said) <> '' GROUP BY host
 ), suffixed AS (
-    SELECT *, CASE WHEN regexp_matches(name, '(^|[.])(ac[.]uk|co[.]jp|co[.]uk|com[.]au|com[.]br|org[.]uk)$')
+    SELECT *, CASE WHEN regexp_matches(name, '(^|[.])(LONG_SUFFIXES)$')
         THEN array_to_string(string_split(name, '.')[-2:], '.') ELSE string_split(name, '.')[-1] END AS suffix
     FROM plain
 ), hosts AS (
@@ -229,6 +242,9 @@ SELECT page_id, host, path, found.pattern AS rule,
     coalesce(found.action, CASE WHEN bound >= 0.5 THEN 'allow' ELSE 'block' END) AS verdict
 FROM ruled JOIN reputation USING (host)
 """
+ORACLE["op1_url_verdicts"] = ORACLE["op1_url_verdicts"].replace("BAD_WORDS", "|".join(BAD_WORDS)).replace(
+    "LONG_SUFFIXES", "|".join(LONG_SUFFIXES).replace(".", "[.]")
+)
 
 
 @query

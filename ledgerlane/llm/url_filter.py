@@ -11,8 +11,17 @@ from pyspark.sql import functions as F
 from ledgerlane.llm.storage import cut
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Suffixes of more than one label under which domains are registered.
-LONG_SUFFIXES = ("ac.uk", "co.jp", "co.uk", "com.au", "com.br", "org.uk")
+# Common suffixes of more than one label under which domains are registered.
+LONG_SUFFIXES = (
+    "ac.at", "ac.id", "ac.il", "ac.in", "ac.jp", "ac.kr", "ac.nz", "ac.uk", "ac.za", "co.at", "co.id", "co.il", "co.in", "co.jp",
+    "co.kr", "co.nz", "co.th", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.co", "com.eg", "com.hk", "com.mx",
+    "com.my", "com.ng", "com.pe", "com.ph", "com.pk", "com.pl", "com.sa", "com.sg", "com.tr", "com.tw", "com.ua", "com.vn",
+    "edu.au", "edu.br", "edu.cn", "edu.hk", "edu.in", "edu.mx", "edu.pl", "edu.sg", "edu.tr", "edu.tw", "go.id", "go.jp", "go.kr",
+    "go.th", "gob.ar", "gob.mx", "gov.au", "gov.br", "gov.cn", "gov.in", "gov.il", "gov.sg", "gov.tr", "gov.uk", "gov.za", "ne.jp",
+    "net.au", "net.br", "net.cn", "net.in", "net.nz", "net.pl", "net.tr", "net.uk", "nom.br", "or.at", "or.id", "or.jp", "or.kr",
+    "org.ar", "org.au", "org.br", "org.cn", "org.il", "org.in", "org.mx", "org.nz", "org.pl", "org.tr", "org.tw", "org.uk", "org.za",
+    "sch.uk",
+)
 #: A host is allowed if its share of good pages is at least THRESHOLD with a probability of about 95 %.
 THRESHOLD = 0.5
 SIGMAS = 1.645
@@ -49,16 +58,25 @@ def first_fitting(rules: Sequence[Rule], host: Column, path: Column) -> Column:
     return found
 
 
-def _suffix(host: Column) -> Column:
-    plain = F.regexp_replace(host, "^.*@|:[0-9]*$", "")
-    long = F.regexp_extract(plain, "(?:^|[.])(" + "|".join(s.replace(".", "[.]") for s in LONG_SUFFIXES) + ")$", 1)
-    return F.when(long != "", long).otherwise(F.substring_index(plain, ".", -1))
+_PLAIN = "^.*@|:[0-9]*$"
+_ADDRESS = "^[0-9]{1,3}([.][0-9]{1,3}){3}$|^\\[.*\\]$"
+
+
+def _suffix(host: Column, suffixes: Sequence[str]) -> Column:
+    """The longest known suffix of a name, else its last label; an address has no suffix."""
+    plain = F.regexp_replace(host, _PLAIN, "")
+    several = sorted(suffixes, key=len, reverse=True)
+    pattern = "(?:^|[.])(" + "|".join(s.replace(".", "[.]") for s in several) + ")$" if several else "(x^)"
+    long = F.regexp_extract(plain, pattern, 1)
+    return F.when(plain.rlike(_ADDRESS), "").when(long != "", long).otherwise(F.substring_index(plain, ".", -1))
 
 
 def _domain(host: Column, suffix: Column) -> Column:
-    labels = F.split(F.regexp_replace(host, "^.*@|:[0-9]*$", ""), "[.]")
+    """The suffix and one label more; an address is a domain of its own."""
+    plain = F.regexp_replace(host, _PLAIN, "")
+    labels = F.split(plain, "[.]")
     wanted = F.least(F.size(F.split(suffix, "[.]")) + 1, F.size(labels))
-    return F.array_join(F.slice(labels, F.size(labels) - wanted + 1, wanted), ".")
+    return F.when(plain.rlike(_ADDRESS), plain).otherwise(F.array_join(F.slice(labels, F.size(labels) - wanted + 1, wanted), "."))
 
 
 def _run_strength(units: DataFrame) -> float:
@@ -88,18 +106,18 @@ def _shrunk(strength: float) -> Column:
     return (F.col("good") + strength * F.col("prior")) / (F.col("labelled") + strength)
 
 
-def run_reputation(outcomes: DataFrame) -> DataFrame:
+def run_reputation(outcomes: DataFrame, suffixes: Sequence[str] = LONG_SUFFIXES) -> DataFrame:
     """(host, bound) per host of `outcomes` (host, good: null where a page has no label).
 
     Shares of good pages are shrunk from the suffix to the overall share, from the registered domain
     to its suffix, and from the host to its domain; each prior's weight is learned from all units of its
-    level. `bound` is the lower bound of the host's beta posterior, mean less 1.645 deviations. A host
+    level. Suffixes of several labels are those of `suffixes`; an address is its own domain. `bound` is the lower bound of the host's beta posterior, mean less 1.645 deviations. A host
     without labels has its domain's prior.
     """
     hosts = cut(
         outcomes.groupBy("host")
         .agg(F.sum(F.when(F.col("good"), 1).otherwise(0)).alias("good"), F.count("good").alias("labelled"))
-        .withColumn("suffix", _suffix(F.col("host")))
+        .withColumn("suffix", _suffix(F.col("host"), suffixes))
         .withColumn("domain", _domain(F.col("host"), F.col("suffix")))
     )
 
@@ -120,22 +138,38 @@ def run_reputation(outcomes: DataFrame) -> DataFrame:
     return units.select("host", F.round(good / (good + bad) - SIGMAS * deviation, 9).alias("bound"))
 
 
-def run_judge(pages: DataFrame, rules: Sequence[Rule], id_column: str = "page_id", url: str = "url") -> DataFrame:
+def run_judge(
+    pages: DataFrame,
+    rules: Sequence[Rule],
+    id_column: str = "page_id",
+    url: str = "url",
+    good: Column | None = None,
+    outcomes: DataFrame | None = None,
+    suffixes: Sequence[str] = LONG_SUFFIXES,
+) -> DataFrame:
     """id, host, path, rule and verdict (allow or block) per page.
 
     The host stands after the first :// up to /, ? or #, A-Z lower-cased; the path goes from there up to
     ? or #. Both are empty without :// or url. The longest rule whose host is the url's or a parent
     of it and whose path starts the url's decides; of two equal patterns the blocking one.
 
-    Other pages go by reputation: pages with a rule are the labelled outcomes, good if allowed, and a host
-    is allowed if the lower bound of its share of good pages is at least 0.5. Without any rule
-    every host is blocked, as nothing speaks for it. Ids may be null or repeat; empty tables are
-    allowed; other columns are not looked at.
+    Other pages go by reputation: a host is allowed if the lower bound of its share of good pages is at
+    least 0.5. Labelled outcomes are `good`, a condition on the pages (null where a page tells nothing),
+    and the rows of `outcomes` (host, good) from elsewhere; with neither, pages with a rule are the
+    labelled ones, good if allowed. Without any label every host is blocked, as nothing speaks for it. Ids
+    may be null or repeat; empty tables are allowed; other columns are not looked at.
     """
-    split = pages.select(F.col(id_column).alias("id"), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
+    judged = F.lit(None).cast("boolean") if good is None else good
+    split = pages.select(
+        F.col(id_column).alias("id"), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"), judged.alias("good")
+    )
     ruled = split.withColumn("found", first_fitting(rules, F.col("host"), F.col("path")))
-    outcomes = ruled.select("host", (F.col("found.action") == "allow").alias("good"))
-    reputation = run_reputation(outcomes).select(
+    by_rule = good is None and outcomes is None
+    known = ruled.select("host", (F.col("found.action") == "allow" if by_rule else F.col("good")).alias("good"))
+    if outcomes is not None:
+        # Hosts without pages speak for their domains.
+        known = known.union(outcomes.select(F.lower("host"), F.col("good").cast("boolean")))
+    reputation = run_reputation(known, suffixes).select(
         "host", F.when(F.col("bound") >= THRESHOLD, "allow").otherwise("block").alias("reputed")
     )
     return ruled.join(reputation, "host").select(
