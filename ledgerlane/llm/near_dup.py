@@ -17,13 +17,15 @@ from ledgerlane.llm.wordspace import FOLD_ASCII, NOT_ASCII_SPACE, mixed, shingle
 
 COORDINATES = 64
 #: Equal coordinates that two documents need before their sets are compared. Of 64, a pair with a
-#: similarity of 0.8 has 51 on average and fewer than 36 once in 236,000 times; at 0.81 once in 690,000.
-#: Such a pair is not linked, unless other links join it.
-MATCHES = 36
+#: similarity of 0.8 has 51 on average and fewer than 32 once in 50 million times, at 0.81 once in 300
+#: million. Such a pair is not linked, unless other links join it.
+MATCHES = 32
 #: Bits of the longer sketch that open pairs are tested with. Sets of similarity s agree in a bit with
-#: probability (1 + s) / 2; a similar pair falls five deviations below that once in two million times.
+#: probability (1 + s) / 2; a similar pair falls six deviations below that once in a billion times.
 BITS = 4096
-DEVIATIONS = 5
+DEVIATIONS = 6
+#: Sizes of sets are told apart in steps of this ratio, so that pairs of unlike sizes need not meet.
+SIZE_STEP = 1.02
 
 _VALUES_AT_ONCE = 1 << 18
 
@@ -105,7 +107,9 @@ def _classes(sketched: DataFrame) -> DataFrame:
     grouped = (
         sketched.where("n_shingles > 0 and id is not null")
         .groupBy("digest")
-        .agg(F.min("id").alias("least_id"), F.first("n_shingles").alias("size"), F.first("signature").alias("signature"))
+        .agg(F.min(F.struct("id", "text_sha256")).alias("least"), F.first("n_shingles").alias("size"), F.first("signature").alias("signature"))
+        .withColumns({"least_id": F.col("least.id"), "least_sha256": F.col("least.text_sha256")})
+        .drop("least")
     )
     return cut(grouped.withColumn("class", F.monotonically_increasing_id()))
 
@@ -127,7 +131,7 @@ def _posted(classes: DataFrame, matches: int) -> DataFrame:
         .where(F.col("common") >= matches)
         .select("class", "common", F.slice("found.token", F.lit(1), F.col("common") - (matches - 1)).alias("prefix"))
     )
-    kept = classes.select("class", "least_id", "digest", "size", "signature")
+    kept = classes.select("class", "least_id", "least_sha256", "digest", "size", "signature")
     return cut(ordered.join(kept, "class"))
 
 
@@ -153,8 +157,11 @@ def _full_sets(documents: DataFrame, posted: DataFrame, id_column: str, text: st
             names=["class", "shingles"],
         )
 
-    rows = documents.select(F.col(id_column).cast("long").alias("least_id"), F.col(text).cast("string").alias("text"))
-    owners = rows.join(posted.select("least_id", "digest", "class"), "least_id")
+    # By id and text: an id that very many rows have brings each class its own row only.
+    rows = documents.select(
+        F.col(id_column).cast("long").alias("least_id"), text_sha256(F.col(text)).alias("least_sha256"), F.col(text).cast("string").alias("text")
+    )
+    owners = rows.join(posted.select("least_id", "least_sha256", "digest", "class"), ["least_id", "least_sha256"])
     # Rows that repeat an id and a text would give the same set again.
     return cut(owners.mapInArrow(shingled, "class long, shingles array<long>").dropDuplicates(["class"]))
 
@@ -247,7 +254,7 @@ def _open_pairs(lists: DataFrame, partners: DataFrame, percent: int) -> DataFram
 
     Classes of the most frequent label in a list meet only those of other labels, so that a large
     group which is already connected costs nothing. A pair is met in the first of its lists only,
-    and only if its sizes and its bit sketches allow the similarity.
+    only if their sizes allow the similarity, and only if their bit sketches do.
     """
     rows = lists.join(partners.select("class"), "class")
     counted = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("rows"))
@@ -255,6 +262,14 @@ def _open_pairs(lists: DataFrame, partners: DataFrame, percent: int) -> DataFram
     known = rows.join(largest.select("token", F.col("found.label").alias("main")), "token").join(partners, "class")
     others = known.where("label <> main").drop("main")
     others = others.toDF(*(c if c == "token" else f"{c}_u" for c in others.columns))
+
+    def step(size: str) -> Column:
+        return F.floor(F.log(F.col(size)) / math.log(SIZE_STEP)).cast("int")
+
+    # Sets that are too small or large to be similar are in other steps, so that, say, documents made from
+    # one template, each with too much of its own, do not meet at all.
+    others = others.withColumn("step", F.explode(F.sequence(step("least_u") - 1, step("most_u") + 1)))
+    known = known.withColumn("step", step("size"))
     first_list = F.array_min(F.array_intersect("prefix", "prefix_u")) == F.col("token")
     unequal = F.aggregate(
         F.zip_with("bits", "bits_u", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, k: n + k
@@ -268,7 +283,7 @@ def _open_pairs(lists: DataFrame, partners: DataFrame, percent: int) -> DataFram
         & (unequal <= math.ceil(most))
     )
     return (
-        others.join(known, "token")
+        others.join(known, ["token", "step"])
         .where(fitting)
         .select(F.least("class_u", "class").alias("u"), F.greatest("class_u", "class").alias("v"))
     )

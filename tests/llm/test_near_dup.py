@@ -1,8 +1,10 @@
 import random
+import time
 
 import pytest
 from helpers import DOCUMENTS, clashing, empty, odd_documents, shingles, space_words, story
 
+from ledgerlane.llm import near_dup
 from ledgerlane.llm.graph import run_components
 from ledgerlane.llm.near_dup import run_near_duplicates
 
@@ -82,3 +84,39 @@ def test_components_of_paths_and_stars(spark):
     assert {labels[i] for i in range(31)} == {0}
     assert {labels[100 + i] for i in range(20)} == {100}
     assert labels[250] == labels[240] == 240
+
+
+def test_an_id_that_most_rows_have(spark):
+    """Each row of it is judged by its own text, in time that grows with the rows only."""
+    rng = random.Random(3)
+    texts = [" ".join(f"t{rng.randrange(10**6)}" for _ in range(30)) for _ in range(900)]
+    texts += [t.replace(t.split()[0], "other") for t in texts[:300]]
+    own = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    same = spark.createDataFrame([(5, t) for t in texts], "doc_id long, text string")
+    seconds = []
+    for documents in (own, own, same):
+        started = time.time()
+        found = run_near_duplicates(documents, width=4, digests=True).collect()
+        seconds.append(time.time() - started)
+    assert len(found) == 1200 and {r.component_id for r in found} == {5} and {r.kept for r in found} == {True}
+    assert seconds[2] < 2 * seconds[1] + 2
+
+
+def test_documents_of_one_template_do_not_all_meet(spark, monkeypatch):
+    """They share seven tenths and have the rest for themselves; two of them are near copies of others."""
+    rng = random.Random(4)
+    template = [f"p{i}" for i in range(170)]
+    rows = [(i, " ".join(template + [f"d{i}x{k}" for k in range(45)])) for i in range(300)]
+    rows += [(1000 + i, rows[i][1].replace("p5 ", "q ")) for i in (7, 8)]
+    tried = []
+    confirm = near_dup._confirmed
+
+    def counted(pairs, *rest):
+        tried.append(pairs.count())
+        return confirm(pairs, *rest)
+
+    monkeypatch.setattr(near_dup, "_confirmed", counted)
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in run_near_duplicates(documents, width=4).collect()}
+    assert found == brute(rows, 4)
+    assert sum(tried) < 3000
