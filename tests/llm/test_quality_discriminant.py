@@ -77,10 +77,10 @@ def test_statistics_do_not_depend_on_the_batch():
 
 
 def test_an_id_that_repeats_in_both_tables_is_met_once_by_each_row(spark):
-    documents = spark.createDataFrame([(3, f"text number {k} of many words") for k in range(400)], "doc_id long, text string")
-    labels = spark.createDataFrame([(3, k % 2) for k in range(500)] + [(3, None), (3, 7), (None, 1)], "doc_id long, quality int")
+    documents = spark.createDataFrame([(9, f"text number {k} of many words") for k in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(9, k % 2) for k in range(500)] + [(9, None), (9, 7), (None, 1)], "doc_id long, quality int")
     statistics = statistics_table(documents, "doc_id", "text")
     model = run_fit(statistics, labels)
-    twice = run_fit(statistics, spark.createDataFrame([(3, 0), (3, 1)], "doc_id long, quality int"))
+    twice = run_fit(statistics, spark.createDataFrame([(9, 0), (9, 1)], "doc_id long, quality int"))
     assert np.allclose(model.means, twice.means) and np.allclose(model.factors, twice.factors)
     assert np.allclose(model.offsets, twice.offsets)
