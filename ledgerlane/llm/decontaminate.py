@@ -7,10 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.fm_index import FmIndex
+from ledgerlane.llm.storage import cut as write_out
+from ledgerlane.llm.storage import discard
 from ledgerlane.llm.wordspace import ALPHANUMERIC, FOLD_ASCII, mixed, text_chunks, words_of
 
 #: Benchmark texts go to the tasks in blocks of about so many code points, one pass over the documents each.
@@ -25,9 +28,14 @@ _BITMAP_BITS = 22
 
 
 class Phrases:
-    """The windows of a block of items as word numbers, and what words and word pairs they have."""
+    """The windows of a block of items as word numbers, and what words and word pairs they have.
+
+    A window that several items have is one, with the set of its items; sets are numbered, as the
+    windows of a passage that many items share all have the same.
+    """
 
     def __init__(self, items: list[tuple[str | None, str]], width: int):
+        self.items = [item for item, _ in items]
         texts = pa.array([text for _, text in items], pa.large_string())
         per_item = []
         for _, offsets, data in text_chunks(texts):
@@ -47,13 +55,36 @@ class Phrases:
                 pairs.append(self.pair(self.symbols[at : at + count - 1], self.symbols[at + 1 : at + count]))
             at += count
         none = [np.zeros(0, np.int64)]
-        self.starts, self.lengths, self.owners = (np.concatenate(x or none) for x in (starts, lengths, owners))
+        self._distinct(*(np.concatenate(x or none) for x in (starts, lengths, owners)))
         self.pairs = np.unique(np.concatenate(pairs or none))
         self.shortest = int(self.lengths.min(initial=width))
-        self.items = [item for item, _ in items]
         self.word_map = self._bitmap(self.vocabulary)
         self.pair_map = self._bitmap(mixed(self.pairs.astype(np.uint64)))
 
+    def _distinct(self, starts: np.ndarray, lengths: np.ndarray, owners: np.ndarray) -> None:
+        code = np.zeros(len(starts), dtype=np.int64)
+        for step in range(int(lengths.max(initial=0))):
+            inside = lengths > step
+            word = np.zeros(len(starts), dtype=np.int64)
+            word[inside] = self.symbols[starts[inside] + step]
+            _, code = np.unique(code * (len(self.vocabulary) + 2) + word, return_inverse=True)
+        order = np.lexsort((owners, code))
+        first = np.flatnonzero(np.concatenate([[True], np.diff(code[order]) > 0])) if len(order) else order
+        self.starts, self.lengths = starts[order[first]], lengths[order[first]]
+        known: dict[bytes, int] = {}
+        self.owner_sets: list[np.ndarray] = []
+        self.sets = np.zeros(len(first), dtype=np.int64)
+        for window, (a, b) in enumerate(zip(first.tolist(), [*first[1:].tolist(), len(order)])):
+            found = np.unique(owners[order[a:b]])
+            number = known.setdefault(found.tobytes(), len(known))
+            if number == len(self.owner_sets):
+                self.owner_sets.append(found)
+            self.sets[window] = number
+
+    def items_of(self, sets: tuple[int, ...]) -> list[str]:
+        """The ids of the items of some sets, sorted."""
+        return sorted({self.items[owner] for number in sets for owner in self.owner_sets[number].tolist()} - {None})
+
     def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return left * (len(self.vocabulary) + 1) + right
 
@@ -121,7 +152,7 @@ class Shard:
         self.size += len(symbols)
 
     def matches(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(rows, places) of hit words, row by row in order, and the distinct (rows, items) found."""
+        """(rows, places) of hit words, row by row in order, and the distinct (rows, item sets) found."""
         none = np.zeros(0, dtype=np.int64)
         if not self.size:
             return none, none, none, none
@@ -136,8 +167,9 @@ class Shard:
         np.add.at(change, found, 1)
         np.add.at(change, found + phrases.lengths[windows], -1)
         hit = np.flatnonzero(np.cumsum(change[:-1]) > 0)
-        owned = np.unique(rows[found] * len(phrases.items) + phrases.owners[windows])
-        return rows[hit], places[hit], owned // len(phrases.items), owned % len(phrases.items)
+        count = len(phrases.owner_sets)
+        owned = np.unique(rows[found] * count + phrases.sets[windows])
+        return rows[hit], places[hit], owned // count, owned % count
 
 
 def _spans(places: np.ndarray) -> list[tuple[int, int]]:
@@ -146,23 +178,27 @@ def _spans(places: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(places[np.concatenate([[0], cuts])].tolist(), (places[np.concatenate([cuts - 1, [len(places) - 1]])] + 1).tolist()))
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[str | None, str]]]:
-    """The items in blocks that fit into a task, a job for each."""
+def _run_block_count(benchmark: DataFrame) -> int:
+    chars = benchmark.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    return max(1, math.ceil(chars / BLOCK_CHARS))
+
+
+def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).cast("string").alias("text"))
-    rows = rows.where("text is not null").distinct()
-    chars = rows.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    count = max(1, math.ceil(chars / BLOCK_CHARS))
-    for number in range(count):
-        block = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == number)
-        yield [tuple(row) for row in block.orderBy("item", "text").collect()]
+    return rows.where("text is not null").distinct()
+
+
+def _run_block(items: DataFrame, number: int, count: int) -> list[tuple[str | None, str]]:
+    """One block of items that fits into a task."""
+    block = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == number)
+    return [tuple(row) for row in block.orderBy("item", "text").collect()]
 
 
 _FOUND = "n_words long, hits array<struct<first:int,last:int>>, items array<string>"
 
 
-def _marked(documents: DataFrame, text: str, phrases: Phrases, cut: bool) -> DataFrame:
+def _marked(documents: DataFrame, text: str, shared: Broadcast, cut: bool) -> DataFrame:
     """`documents` with the hits and items of one more block of phrases; with `cut`, the texts without the hits."""
-    shared = documents.sparkSession.sparkContext.broadcast(phrases)
     columns = documents.columns
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,15 +207,16 @@ def _marked(documents: DataFrame, text: str, phrases: Phrases, cut: bool) -> Dat
             rows = len(batch)
             counts = np.zeros(rows, dtype=np.int64)
             hits: dict[int, np.ndarray] = {}
-            items: dict[int, set] = {}
+            sets: dict[int, list] = {}
+            listed: dict[tuple, list] = {}  # rows with the same passages share their list
             shard = Shard(known)
 
             def gather() -> None:
-                hit_rows, hit_places, owned_rows, owned = shard.matches()
+                hit_rows, hit_places, set_rows, found_sets = shard.matches()
                 for row in np.unique(hit_rows).tolist():
                     hits[row] = hit_places[np.searchsorted(hit_rows, row) : np.searchsorted(hit_rows, row, side="right")]
-                for row, owner in zip(owned_rows.tolist(), owned.tolist()):
-                    items.setdefault(row, set()).add(known.items[owner])
+                for row, number in zip(set_rows.tolist(), found_sets.tolist()):
+                    sets.setdefault(row, []).append(number)
 
             for first, offsets, data in text_chunks(batch.column(text)):
                 words = words_of(FOLD_ASCII[data], offsets, ALPHANUMERIC)
@@ -199,7 +236,11 @@ def _marked(documents: DataFrame, text: str, phrases: Phrases, cut: bool) -> Dat
                     places = hits.get(row, np.zeros(0, np.int64))
                     places = np.unique(np.concatenate([places, *(np.arange(x["first"], x["last"]) for x in earlier)]))
                     all_hits[row] = [{"first": a, "last": b} for a, b in _spans(places)]
-                    all_items[row] = sorted({*old_items[row].as_py(), *(items.get(row, set()) - {None})})
+                    key = tuple(sets.get(row, ()))
+                    if key not in listed:
+                        listed[key] = known.items_of(key)
+                    before = old_items[row].as_py()
+                    all_items[row] = sorted({*before, *listed[key]}) if before else listed[key]
             replaced = {
                 "n_words": pa.array(counts),
                 "hits": pa.array(all_hits, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
@@ -253,9 +294,19 @@ def _run_marks(documents, kept: list, benchmark, text: str, item: str, item_text
         F.array().cast("array<struct<first:int,last:int>>").alias("hits"),
         F.array().cast("array<string>").alias("items"),
     )
-    blocks = list(_blocks(benchmark, item, item_text))
-    for number, block in enumerate(blocks):
-        marked = _marked(marked, "text", Phrases(block, width), cut and number == len(blocks) - 1)
+    items = _items(benchmark, item, item_text)
+    count = _run_block_count(items)
+    context = documents.sparkSession.sparkContext
+    for number in range(count):
+        shared = context.broadcast(Phrases(_run_block(items, number, count), width))
+        last = number == count - 1
+        before, marked = marked, _marked(marked, "text", shared, cut and last)
+        if not last:
+            # Driver and tasks hold one block at a time.
+            marked = write_out(marked)
+            shared.destroy()
+            if number:
+                discard(before)
     return marked
 
 

@@ -94,3 +94,18 @@ def test_passages_are_cut_out_of_texts(spark):
     wide = clashing(odd_documents(spark))
     kept = run_decontaminate(wide, spark.createDataFrame([("x", passage)], ITEMS))
     assert kept.dtypes == wide.dtypes and rows_of(kept, "*") == rows_of(wide, "*")
+
+
+@pytest.mark.parametrize("block", [8 << 20, 6000])
+def test_items_that_share_a_passage(spark, monkeypatch, block):
+    """Thousands of items times thousands of places are two lists, not their product."""
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", block)
+    passage = " ".join(f"p{i}" for i in range(25))
+    items = [(f"i{k:04}", f"{passage} own{k % 40} " + " ".join(f"o{k % 40}x{j}" for j in range(10))) for k in range(3000 if block > 6000 else 300)]
+    documents = [(n, f"a {passage} b" if n % 3 else f"own{n % 40} " + " ".join(f"o{n % 40}x{j}" for j in range(10))) for n in range(600)]
+    frame = spark.createDataFrame(documents, "doc_id long, text string").coalesce(1)
+    found = found_rows(run_contamination(frame, spark.createDataFrame(items, ITEMS)))
+    whole = [item for item, _ in items]
+    for number, words, hits, listed in found:
+        mine = whole if number % 3 else [item for k, item in enumerate(whole) if k % 40 == number % 40]
+        assert listed == mine and hits == (25 if number % 3 else 11) and words == (27 if number % 3 else 11)
