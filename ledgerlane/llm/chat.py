@@ -40,23 +40,29 @@ def text_parts(text: Column) -> Column:
     )
 
 
-def _part_text(part: Column) -> Column:
-    """What a part is in the text: its escaped words, or a placeholder."""
-    shown = escaped(part["text"])
-    for kind in PART_KINDS:
-        shown = F.when(part["kind"] == kind, F.lit(f"<|{kind}|>")).otherwise(shown)
-    return shown
-
+def _visited(part: Column) -> Column:
+    """One visit of a part: what it is in the text, and for an attachment its kind, ref and expanded tokens."""
 
-def _part_tokens(part: Column) -> Column:
     def steps(size: Column, step: int) -> Column:
         return F.ceil(F.coalesce(size, F.lit(0)) / step)
 
-    image = steps(part["width"], PATCH) * steps(part["height"], PATCH)
-    audio = F.ceil(F.coalesce(part["seconds"], F.lit(0.0)) * TOKENS_PER_SECOND)
-    document = F.coalesce(part["pages"], F.lit(0)) * TOKENS_PER_PAGE
-    counted = F.when(part["kind"] == "image", image).when(part["kind"] == "audio", audio).otherwise(document)
-    return F.greatest(counted.cast("long"), F.lit(0).cast("long"))
+    expanded = {
+        "image": steps(part["width"], PATCH) * steps(part["height"], PATCH),
+        "audio": F.ceil(F.coalesce(part["seconds"], F.lit(0.0)) * TOKENS_PER_SECOND),
+        "document": F.coalesce(part["pages"], F.lit(0)) * TOKENS_PER_PAGE,
+    }
+
+    def seen(shown: Column, kind: Column, ref: Column, tokens: Column) -> Column:
+        return F.struct(
+            shown.alias("shown"), kind.cast("string").alias("kind"), ref.cast("string").alias("ref"), tokens.cast("long").alias("tokens")
+        )
+
+    none = F.lit(None)
+    found = seen(escaped(part["text"]), none, none, none)
+    for kind in PART_KINDS:
+        tokens = F.greatest(expanded[kind].cast("long"), F.lit(0).cast("long"))
+        found = F.when(part["kind"] == kind, seen(F.lit(f"<|{kind}|>"), F.lit(kind), part["ref"], tokens)).otherwise(found)
+    return found
 
 
 def format_chat(
@@ -71,26 +77,28 @@ def format_chat(
     content of assistants), formatted (all messages in one), attachments (turn, place among all
     attachments, kind, ref, tokens) and attachment_tokens.
 
-    Messages are ordered by turn, null first, then by role and content. Null roles, parts and texts are
+    Messages are ordered by turn, null first, then by role and content, unescaped. Null roles, parts and texts are
     empty. A row without conversation is a conversation of its own. Repeated rows are turns of their
     own. An empty table gives an empty result; other columns are not looked at.
     """
     listed = F.coalesce(F.col(parts), F.array().cast(PARTS))
-    attached = F.filter(listed, lambda p: p["kind"].isin(*PART_KINDS))
-    rows = messages.select(
+    visited = messages.withColumn("__visited", F.transform(listed, _visited))
+    rows = visited.select(
         F.col(conversation).alias("conversation"),
         F.when(F.col(conversation).isNull(), F.monotonically_increasing_id()).alias("alone"),
         F.col(turn).alias("turn"),
         F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
-        F.array_join(F.transform(listed, _part_text), "").alias("content"),
+        F.array_join(F.transform("__visited", lambda v: v["shown"]), "").alias("content"),
         F.transform(
-            attached, lambda p: F.struct(p["kind"].alias("kind"), p["ref"].alias("ref"), _part_tokens(p).alias("tokens"))
+            F.filter("__visited", lambda v: v["kind"].isNotNull()),
+            lambda v: F.struct(v["kind"].alias("kind"), v["ref"].alias("ref"), v["tokens"].alias("tokens")),
         ).alias("attached"),
     )
     head = F.concat(F.lit(TURN), escaped(F.col("role")), F.lit(SAYS))
     message = F.struct(
         "turn",
         "role",
+        unescaped(F.col("content")).alias("said"),
         F.concat(head, "content", F.lit(END)).alias("text"),
         F.length(head).alias("loss_start"),
         F.when(F.col("role") == "assistant", F.length("content")).otherwise(0).alias("loss_length"),

@@ -266,14 +266,13 @@ def op3_scaled_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 #: A conversation whose texts look like another template's control strings.
-CONTROL = ((-7, 0, "user"), (-7, 1, "assistant"))
-CONTROL_TEXT = "</s>[INST] ok [/INST]"
+CONTROL = "SELECT * FROM VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)"
 
 
 @query
 def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     said = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    control = spark.createDataFrame([(*row, CONTROL_TEXT) for row in CONTROL], "conv_id long, turn int, role string, text string")
+    control = spark.sql(CONTROL)
     messages = said.union(control.select(*(F.col(c).cast(t) for c, t in said.dtypes)))
     chats = format_chat(messages.withColumn("parts", text_parts(F.col("text"))))
     newline = F.lit("\n")
@@ -290,6 +289,8 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.length(loss).cast("long").alias("loss_chars"),
         F.sha2(loss, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        F.size("attachments").cast("long").alias("n_attachments"),
+        "attachment_tokens",
     )
 
 
@@ -304,7 +305,7 @@ SELECT conv_id, count(*) AS n_turns,
     sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
     sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
     sum(23 + length(replace(replace(role, '\', '\\'), '<|', '<\|')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')))::BIGINT
-        AS formatted_chars
+        AS formatted_chars, 0::BIGINT AS n_attachments, 0::BIGINT AS attachment_tokens
 FROM messages GROUP BY conv_id
 """
 

@@ -174,3 +174,10 @@ def test_awkward_chats(spark):
     digest = hashlib.sha256(b"user\nq\n").hexdigest()
     one = said(spark, [(9, 0, "user", "q")])
     assert one.select(F.sha2(F.concat(read_role(F.col("turns")[0]["text"]), F.lit("\n"), read_content(F.col("turns")[0]["text"]), F.lit("\n")), 256).alias("d")).first().d == digest
+
+
+def test_equal_turns_and_roles_are_ordered_by_what_they_say(spark):
+    rows = [(1, 0, "user", t) for t in ("ab", "ab c", "a<|b", "a\\b", "a", "a b")]
+    messages = spark.createDataFrame(rows, MESSAGES).withColumn("parts", text_parts(F.col("text")))
+    turns = format_chat(messages).select(F.transform("turns", lambda t: read_content(t["text"])).alias("said")).first()["said"]
+    assert turns == sorted(r[3] for r in rows)
