@@ -20,6 +20,7 @@ from ledgerlane.llm.pieces import encode_pieces
 from ledgerlane.llm.pii import KINDS, run_find_personal_data
 from ledgerlane.llm.quality import run_quality
 from ledgerlane.llm.repair import conversation_counts, conversation_digests, run_repair
+from ledgerlane.llm.repair_sql import REPAIRS
 from ledgerlane.llm.storage import cut
 from ledgerlane.llm.url_filter import LONG_SUFFIXES, Rule, run_judge
 
@@ -400,3 +401,6 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
     )
+
+
+ORACLE["op12_conversation_repair"] = REPAIRS
