@@ -1,9 +1,11 @@
 """The operators that are column expressions only: urls, fingerprints, chats."""
 
 import hashlib
+import random
 import re
 
 import pytest
+import xxhash
 from helpers import DOCUMENTS, clashing, empty, odd_documents, rows_of
 from pyspark.sql import functions as F
 
@@ -181,3 +183,39 @@ def test_equal_turns_and_roles_are_ordered_by_what_they_say(spark):
     messages = spark.createDataFrame(rows, MESSAGES).withColumn("parts", text_parts(F.col("text")))
     turns = format_chat(messages).select(F.transform("turns", lambda t: read_content(t["text"])).alias("said")).first()["said"]
     assert turns == sorted(r[3] for r in rows)
+
+
+def plain_sketch(text):
+    """The sketch with the public hash of the xxhash library, chained over the words of a shingle as Spark does."""
+
+    def chained(words):
+        value = 42
+        for word in words:
+            value = xxhash.xxh64_intdigest(word.encode(), value)
+        return value - (1 << 64) if value >> 63 else value
+
+    words = re.findall(r"[^ \t\n\x0B\f\r]+", text)
+    runs = [words[i : i + 5] for i in range(len(words) - 4)] or ([words] if words else [])
+    hashes = [chained(run) for run in runs]
+    return sorted({h for h in hashes if h < -(2**63) + 2**64 // 4}) or sorted(hashes)[:1]
+
+
+def test_fingerprints_and_likeness_equal_plain_counting(spark):
+    pick = random.Random(6)
+    rows = []
+    for i in range(70):
+        words = [f"w{pick.randrange(40)}" for _ in range(pick.choice([0, 1, 4, 5, 9, 60, 200]))]
+        rows.append((i, pick.choice([" ", "\n", "  "]).join(words)))
+    rows += [(100 + i, rows[i][1]) for i in range(5)]  # copies under other ids
+    found = {r["doc_id"]: r for r in run_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).select(
+        "doc_id", "sketch", "edited_sketch", likeness("sketch", "edited_sketch").alias("near"), likeness("sketch", "next_sketch").alias("after")
+    ).collect()}
+
+    def alike(a, b):
+        return len({*a} & {*b}) / len({*a} | {*b}) if a or b else 1.0
+
+    for number, text, edited, following in edits(rows):
+        own, changed = plain_sketch(text), plain_sketch(edited)
+        row = found[number]
+        assert row["sketch"] == own and row["edited_sketch"] == changed
+        assert row["near"] == pytest.approx(alike(own, changed)) and row["after"] == pytest.approx(alike(own, plain_sketch(following)))
