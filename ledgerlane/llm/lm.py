@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.storage import cut, discard
+from ledgerlane.llm.tables import Bits, Counts, run_bits, run_counts
 from ledgerlane.llm.wordspace import ALPHANUMERIC, FOLD_ASCII, text_chunks, words_of
 
 BACKOFF = 0.4
@@ -127,14 +128,49 @@ def _exploded(documents: DataFrame) -> DataFrame:
     return documents.mapInArrow(explode, f"id {kind}, key long, times long")
 
 
-def _exploded_pairs(documents: DataFrame) -> DataFrame:
-    """(id, key, first, word, own, wide): the pairs of every text.
+def _scored_words(documents: DataFrame, table: str, less_own: bool) -> DataFrame:
+    """(id, key, times, value): of every text one row without key, with the number of those of its words that
+    are in the table of counts and the sum of the logarithms of these counts, and the other words as `_exploded`."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counts(table)
+        for batch in batches:
+            ids, folds = batch.column("id"), batch.column("fold").to_numpy(zero_copy_only=False)
+            for start, offsets, data in text_chunks(batch.column("text")):
+                rows, _, words, _ = _chunk_grams(offsets, data, folds[start:], False)
+                if not len(rows):
+                    continue
+                order, at = _by_row(rows, words)
+                owners, times, keys = rows[order][at], np.diff(np.append(at, len(rows))), words[order][at]
+                found = counts.of(keys)
+                known = found > 0
+                value = times * np.log(np.maximum(found - times * less_own, 1))
+                size = len(offsets) - 1
+                whole = np.bincount(owners[known], weights=times[known], minlength=size).astype(np.int64)
+                total = np.bincount(owners[known], weights=value[known], minlength=size)
+                texts = np.flatnonzero(whole)
+                rest = ~known
+                columns = [
+                    ids.take(pa.array(np.concatenate([texts, owners[rest]]) + start)),
+                    pa.concat_arrays([pa.nulls(len(texts), pa.int64()), pa.array(keys[rest].view(np.int64))]),
+                    pa.array(np.concatenate([whole[texts], times[rest]])),
+                    pa.array(np.concatenate([total[texts], np.zeros(int(rest.sum()))])),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "times", "value"])
+
+    kind = dict(documents.dtypes)["id"]
+    return documents.mapInArrow(score, f"id {kind}, key long, times long, value double")
+
+
+def _exploded_pairs(documents: DataFrame, bits: str | None = None) -> DataFrame:
+    """(id, key, first, word, own, wide): the pairs of every text, but those that the shared bits exclude.
 
     `own` holds the numbers of the pair, of its first and of its second word in that text in 8, 12 and
     12 bits, as the shuffled rows are many and mostly hashes; where they don't fit, `wide` has them.
     """
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Bits(bits) if bits else None
         for batch in batches:
             ids, folds = batch.column("id"), batch.column("fold").to_numpy(zero_copy_only=False)
             for start, offsets, data in text_chunks(batch.column("text")):
@@ -142,6 +178,9 @@ def _exploded_pairs(documents: DataFrame) -> DataFrame:
                 in_row = _times_in_row(word_rows, words)
                 rows, first, second, places = _chunk_grams(offsets, data, folds[start:], True)
                 keys = _key(first, second)
+                if known is not None:
+                    kept = known.maybe(keys)
+                    rows, first, second, places, keys = (x[kept] for x in (rows, first, second, places, keys))
                 order, at = _by_row(rows, keys)
                 at_pair = order[at]
                 times = np.diff(np.append(at, len(keys)))
@@ -173,11 +212,11 @@ def _unpacked() -> tuple[Column, Column, Column]:
     return tuple(F.coalesce(F.col("wide")[k], p.cast("long")) for k, p in enumerate(packed))
 
 
-def _parts_together(parts: DataFrame) -> DataFrame:
+def _parts_together(parts: DataFrame, bits: str) -> DataFrame:
     """(id, key, own, wide) like those of `_exploded_pairs`, for documents that have several rows."""
     words = cut(_exploded(parts).groupBy("id", "key").agg(F.sum("times").alias("n")))
     times = _unpacked()[0]
-    pairs = _exploded_pairs(parts).groupBy("id", "key", "first", "word").agg(F.sum(times).alias("times"))
+    pairs = _exploded_pairs(parts, bits).groupBy("id", "key", "first", "word").agg(F.sum(times).alias("times"))
     for place in ("first", "word"):
         own = words.toDF("i", "w", f"n_{place}")
         pairs = pairs.join(own, F.col("id").eqNullSafe(F.col("i")) & (F.col(place) == F.col("w"))).drop("i", "w")
@@ -200,7 +239,8 @@ def run_backoff_scores(
     of all their words; words they lack count as if they had them once. The first word has no factor.
     Counts are tables by hash, joined to the distinct words and pairs of every document and summed per
     document; common ones are summed in their tasks first, and a pair that very many documents have is
-    split by the join.
+    split by the join. The counts of the most frequent words, a bounded number, go to the tasks, and
+    pairs that no other document has are told by a bounded set of bits; both leave the result as it is.
 
     Null and empty texts have no words and score 0, per word too. Rows that repeat an id are parts of
     one document; rows without id are one document of their own. An empty table gives an empty result.
@@ -217,9 +257,6 @@ def run_backoff_scores(
     def rest(count: str, own: str) -> Column:
         return F.col(count) - F.col(own) if by_document else F.col(count)
 
-    def summed(found: DataFrame, name: str, value: Column) -> DataFrame:
-        return cut(found.groupBy("id").agg(F.sum("times").alias(f"n_{name}"), F.sum(F.col("times") * value).alias(name)))
-
     whole, parts = rows, None
     if by_document and ids.where("parts > 1").head(1):
         several = ids.where("parts > 1").select(F.col("id").alias("i"))
@@ -227,30 +264,31 @@ def run_backoff_scores(
 
     # The largest shuffles are told apart by smaller ones, so that their files never lie side by side.
     words = cut(_counts(counted, False).select("word", "c"))
-    own_words = _exploded(whole)
+    table = run_counts(words, "word", "c")
+    scored = cut(_scored_words(whole, table, by_document))
+    others = scored.where(F.col("key").isNotNull()).select("id", "key", "times")
     if parts is not None:
-        own_words = own_words.union(_exploded(parts).groupBy("id", "key").agg(F.sum("times").alias("times")))
-    read = own_words.join(words.withColumnRenamed("word", "key").hint("shuffle_hash"), "key", "left")
-    single = summed(read, "words", F.log(F.greatest(F.coalesce(rest("c", "times"), F.lit(1)), F.lit(1))))
+        others = others.union(_exploded(parts).groupBy("id", "key").agg(F.sum("times").alias("times")))
+    looked_up = others.join(words.withColumnRenamed("word", "key").hint("shuffle_hash"), "key", "left")
+    value = F.col("times") * F.log(F.greatest(F.coalesce(rest("c", "times"), F.lit(1)), F.lit(1)))
+    read = looked_up.select("id", "times", value.alias("value")).union(
+        scored.where(F.col("key").isNull()).select("id", "times", "value")
+    )
+    single = cut(read.groupBy("id").agg(F.sum("times").alias("n_words"), F.sum("value").alias("words")))
+    discard(scored)
     # A pair that occurs once is left by its own document only.
     shared = cut(_counts(counted, True).where(F.col("c") > int(by_document)))
-    before = words.toDF("first", "c_first")
-    after = words.toDF("word", "c_word")
-    pairs = cut(
-        shared.join(before, "first")
-        .join(after, "word")
-        .select("first", "word", "c", "c_first", "c_word")
-        .mapInArrow(_with_key, "key long, c long, c_first long, c_word long")
-    )
-    discard(shared)
-    discard(words)
-    own_pairs = _exploded_pairs(whole).select("id", "key", "own", "wide")
+    pairs = _with_word_counts(shared, words, table)
+    discard(shared, words)
+    # Of the pairs of all texts, the largest table here, only those go on that another text may have.
+    bits = run_bits(pairs.select("key"))
+    own_pairs = _exploded_pairs(whole, bits).select("id", "key", "own", "wide")
     if parts is not None:
-        own_pairs = own_pairs.union(_parts_together(parts))
+        own_pairs = own_pairs.union(_parts_together(parts, bits))
     read = own_pairs.join(pairs.hint("shuffle_hash"), "key").withColumns(dict(zip(("times", "n_first", "n_word"), _unpacked())))
     read = read.where(rest("c", "times") > 0)
     gain = F.log(rest("c", "times")) - F.log(rest("c_first", "n_first")) - F.log(rest("c_word", "n_word"))
-    double = summed(read, "matched", gain)
+    double = cut(read.groupBy("id").agg(F.sum("times").alias("n_matched"), F.sum(F.col("times") * gain).alias("matched")))
     discard(pairs)
     known = ids.join(single.withColumnRenamed("id", "i"), F.col("id").eqNullSafe(F.col("i")), "left").drop("i")
     known = known.join(double.withColumnRenamed("id", "j"), F.col("id").eqNullSafe(F.col("j")), "left").drop("j")
@@ -276,9 +314,24 @@ def run_backoff_scores(
     )
 
 
-def _with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        first, word = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("first", "word"))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(_key(first, word).view(np.int64)), *batch.columns[2:]], names=["key", *batch.schema.names[2:]]
-        )
+def _with_word_counts(pairs: DataFrame, words: DataFrame, table: str) -> DataFrame:
+    """(key, c, c_first, c_word) of pairs: counts of frequent words from the table, of others by joins."""
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counts(table)
+        for batch in batches:
+            first, word = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("first", "word"))
+            found = [counts.of(x.view(np.uint64)) for x in (first, word)]
+            key = pa.array(_key(first.view(np.uint64), word.view(np.uint64)).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [key, pa.array(first), pa.array(word), batch.column("c"), *map(pa.array, found)],
+                names=["key", "first", "word", "c", "c_first", "c_word"],
+            )
+
+    found = cut(pairs.mapInArrow(look_up, "key long, first long, word long, c long, c_first long, c_word long"))
+    lacking = found.where("c_first = 0 or c_word = 0").drop("c_first", "c_word")
+    joined = lacking.join(words.toDF("first", "c_first"), "first").join(words.toDF("word", "c_word"), "word")
+    columns = ("key", "c", "c_first", "c_word")
+    whole = cut(found.where("c_first > 0 and c_word > 0").select(*columns).union(joined.select(*columns)))
+    discard(found)
+    return whole

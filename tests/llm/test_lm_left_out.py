@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from helpers import DOCUMENTS, clashing, empty, odd_documents, plain_words
 
+from ledgerlane.llm import tables
 from ledgerlane.llm.lm import run_backoff_scores
 from ledgerlane.llm.queries import QUERIES
 
@@ -102,3 +103,12 @@ def test_scores_hold_four_decimals_on_long_texts(spark):
     for row in run_backoff_scores(frame_of(spark, rows)).collect():
         assert abs(row.score - by_halves(rows)[row.doc_id][2]) < 1e-4
     check(spark, rows)
+
+
+@pytest.mark.parametrize(("keys", "bits"), [(0, 64), (7, 1 << 27), (40, 128)])
+def test_bounded_tables_change_nothing(spark, monkeypatch, keys, bits):
+    """Few counts at hand, or bits that exclude next to nothing: the joins do the rest."""
+    monkeypatch.setattr(tables, "KEYS", keys)
+    monkeypatch.setattr(tables, "BITS", bits)
+    rows = mixed_rows()
+    check(spark, rows + [(3, "only here only here"), (5, rows[11][1])])
