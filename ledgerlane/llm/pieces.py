@@ -24,6 +24,7 @@ CHUNK_BYTES = 1 << 19
 #: Units of more characters are merged one by one, with a queue.
 LONG_UNIT = 48
 NO_RANK = np.int64(1) << 40
+NO_PAIR = -1
 
 # Field numbers and kinds of the public model file format, and its space symbol.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -156,17 +157,37 @@ class PieceModel:
                 left, right = symbols.get(letters[:cut].encode()), symbols.get(letters[cut:].encode())
                 if left is not None and right is not None:
                     pairs.append((left << 32 | right, made, ranks[-scores[made]]))
-        pairs.sort()
-        self.pairs, self.made, self.ranks = (np.array(x, dtype=np.int64) for x in zip(*pairs or [(-1, 0, NO_RANK)]))
+        self.pairs, self.made, self.ranks = (np.array(x, dtype=np.int64) for x in zip(*pairs or [(NO_PAIR - 1, 0, NO_RANK)]))
+        self._index()
         #: No merge goes from another character to a space, so what stands between is merged on its own.
         self.by_words = not any(SPACE in t.lstrip(SPACE) for t in normal if not t.startswith(SPACE) or SPACE in _unspaced(t))
 
+    def _index(self) -> None:
+        """A table with a place for each pair, the first free one from where its scrambled number points."""
+        bits = max(4, (4 * len(self.pairs)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.full(1 << bits, NO_PAIR, dtype=np.int64)
+        self.slot_of = np.zeros(1 << bits, dtype=np.int64)
+        for number, (pair, slot) in enumerate(zip(self.pairs.tolist(), self._first_slots(self.pairs).tolist())):
+            while self.slots[slot] != NO_PAIR:
+                slot = (slot + 1) & (len(self.slots) - 1)
+            self.slots[slot], self.slot_of[slot] = pair, number
+
+    def _first_slots(self, pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
     def lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, piece) of pairs of symbols; NO_RANK where they make none."""
         wanted = left << 32 | right
-        at = np.searchsorted(self.pairs, wanted)
-        at[at == len(self.pairs)] = 0
-        return np.where(self.pairs[at] == wanted, self.ranks[at], NO_RANK), self.made[at]
+        slot = self._first_slots(wanted)
+        held = self.slots[slot]
+        asked = np.flatnonzero((held != wanted) & (held != NO_PAIR))
+        while len(asked):
+            slot[asked] = (slot[asked] + 1) & (len(self.slots) - 1)
+            now = self.slots[slot[asked]]
+            asked = asked[(now != wanted[asked]) & (now != NO_PAIR)]
+        number = self.slot_of[slot]
+        return np.where(self.slots[slot] == wanted, self.ranks[number], NO_RANK), self.made[number]
 
 
 def _unspaced(text: bytes) -> bytes:
