@@ -262,7 +262,8 @@ def run_encode(
     `run_lexicon` gave, else it is called first) are looked up in the mapped transducer, all others
     are merged once per chunk.
 
-    Null and empty texts have no ids. Columns named like the new ones are replaced. Repeated rows are
+    Null and empty texts have no ids. Texts of any length are encoded whole; a word of megabytes is merged
+    through a queue, in time that grows little faster than its length. Columns named like the new ones are replaced. Repeated rows are
     encoded each; an empty table gives an empty result.
     """
     context = documents.sparkSession.sparkContext

@@ -323,7 +323,8 @@ def extract_text(pages: DataFrame, id_column: str = "page_id", url: str = "url",
     ends, with white space as single spaces.
 
     Null, empty and blank pages give an empty text. Broken and unclosed markup is read as far as it
-    goes. Repeated rows are read each; other columns are not looked at.
+    goes, pages of any length to their end. Repeated rows are read each; other columns are not looked
+    at; an empty table gives an empty result.
     """
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -243,7 +243,8 @@ def run_backoff_scores(
     pairs that no other document has are told by a bounded set of bits; both leave the result as it is.
 
     Null and empty texts have no words and score 0, per word too. Rows that repeat an id are parts of
-    one document; rows without id are one document of their own. An empty table gives an empty result.
+    one document; rows without id are one document of their own. Texts of any length are scored whole,
+    other columns are not read, and an empty table gives an empty result.
     """
     if left_out not in LEFT_OUT:
         raise ValueError(f"left_out is one of {LEFT_OUT}")

@@ -313,7 +313,8 @@ def run_near_duplicates(
     need not be paired any more. All remaining pairs of every list are then tried, without a limit,
     except those that their sizes, the shingles nobody else has, or a longer sketch rule out.
 
-    Empty, blank and null texts have no shingles and are linked with nothing. A row without id is
+    Texts of any length are shingled whole. Empty, blank and null texts have no shingles and are linked
+    with nothing. A row without id is
     linked with nothing, has no component and is kept. Rows that repeat an id are rows of one
     document if their sets are equal; otherwise each has the least id of its own group, so two of
     them can be kept. An empty table gives an empty result.

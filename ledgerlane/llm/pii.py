@@ -244,7 +244,8 @@ def run_find_personal_data(documents: DataFrame, id_column: str = "doc_id", text
 
     Spans of the patterns are exact and always there. A conditional random field over word shapes,
     trained here from a small labelled table, labels the words around digits, @, + and "[at]"; runs
-    of a label that touch no pattern's span are added. Spans are ordered by kind (email, ip, card,
+    of a label that touch no pattern's span are added. Words further from those are not decoded: a run
+    without any of them is no personal data of these kinds, whatever its label. Spans are ordered by kind (email, ip, card,
     phone), then start.
 
     Null and empty texts have no spans, very long ones are searched whole and in linear time.
@@ -278,7 +279,9 @@ def redacted(text: str, spans: list[tuple[int, int, int, bool]]) -> str:
 def run_redact(documents: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """All rows and columns of `documents` with personal data replaced in the texts.
 
-    `n_chars`, where there is such a column, is counted anew for texts that changed; null texts stay.
+    `n_chars`, where there is such a column, is counted anew for texts that changed; null texts stay. Texts of
+    any length are cleaned whole, repeated rows each, other columns stay whatever their names, and an empty
+    table gives an empty result.
     """
     model = documents.sparkSession.sparkContext.broadcast(train(labelled_table()))
     columns, types = documents.columns, dict(documents.dtypes)

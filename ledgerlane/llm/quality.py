@@ -190,8 +190,10 @@ def run_quality(documents: DataFrame, labels: DataFrame, id_column: str = "doc_i
     shrunk towards the pooled one. It depends on the text only. Labels of rows whose crc32 of the id
     as text leaves 1 when divided by 3 are not learned from (held_out).
 
-    Null and empty texts have zeros for statistics and get a score too. Labels other than 0 and 1
-    and those without id are ignored; repeated labels count each. With fewer than two rows of a label
+    Null and empty texts have zeros for statistics and get a score too; texts of any length are measured
+    whole. Repeated documents are scored each, other columns, whatever their names, are not read, and an
+    empty table gives an empty result. Labels other than 0 and 1 and those without id are ignored;
+    repeated labels count each. With fewer than two rows of a label
     every score is the share of label 1, or 0.5 without labels. predicted is 1 from 0.5 on.
     """
     statistics = cut(statistics_table(documents, id_column, text))
@@ -213,7 +215,7 @@ def run_quality(documents: DataFrame, labels: DataFrame, id_column: str = "doc_i
 
 
 def run_keep_good(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `documents` with predicted = 1, all columns; see `run_quality`."""
+    """The rows of `documents` with predicted = 1, all columns; see `run_quality`, also for nulls and repeated rows."""
     statistics = cut(statistics_table(documents, id_column, text))
     model = run_fit(statistics, labels, id_column)
     discard(statistics)

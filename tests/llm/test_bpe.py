@@ -109,3 +109,13 @@ def test_forgetting_pieces_changes_nothing(monkeypatch, library):
         assert [i for w in text.split(" ") for i in model.encode_word(w)] == [
             i for w in text.split(" ") for i in expected(library, w)[0]
         ]
+
+
+def test_a_word_of_a_quarter_megabyte(spark, library):
+    """Merged whole, in time that grows little faster than its length."""
+    pick = random.Random(2)
+    long = "".join(pick.choice("abcdefghij") for _ in range(1 << 18))
+    rows = [(1, long), (2, f"short {long[:5000]} end"), (3, None)]
+    found = run_encode(spark.createDataFrame(rows, "doc_id long, text string"), PATH, decoded=True)
+    found = {r["doc_id"]: (np.frombuffer(r["ids"], "<u4").tolist(), r["decoded"]) for r in found.collect()}
+    assert found == {number: expected(library, text) for number, text in rows}

@@ -133,3 +133,10 @@ def test_awkward_rows(spark):
         [(1, "u", "é b", 3), (1, "u", "é b", 3), (2, None, "", 0), (None, "v", "", 0)], key=repr
     )
     assert extract_text(empty(spark, PAGES)).collect() == []
+
+
+def test_very_long_pages_and_an_empty_table(spark):
+    html = "<body><article>" + "".join(f"<p>Paragraph {i} of a page that goes on and on.</p>" for i in range(30_000)) + "</article></body>"
+    found = extract_text(spark.createDataFrame([(1, "u", html)], PAGES)).first()
+    assert found["text"].count("\n") == 29_999 and found["n_chars"] == len(found["text"])
+    assert extract_text(empty(spark, PAGES)).count() == 0

@@ -112,3 +112,13 @@ def test_bounded_tables_change_nothing(spark, monkeypatch, keys, bits):
     monkeypatch.setattr(tables, "BITS", bits)
     rows = mixed_rows()
     check(spark, rows + [(3, "only here only here"), (5, rows[11][1])])
+
+
+def test_very_long_texts_and_clashing_names(spark):
+    rng = random.Random(8)
+    long = " ".join(f"w{rng.randrange(3000)}" for _ in range(60_000))
+    rows = [(1, long), (2, long[:5000]), (3, "w1 w2 w3")]
+    expected = brute(rows)
+    for row in run_backoff_scores(clashing(frame_of(spark, rows)), left_out="document").collect():
+        assert (row.n_words, row.n_matched) == expected[row.doc_id][:2]
+        assert abs(row.score_per_word - expected[row.doc_id][2] / row.n_words) < 1e-5

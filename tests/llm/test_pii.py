@@ -110,3 +110,13 @@ def test_awkward_rows(spark):
 
 def test_overlapping_spans_share_a_marker():
     assert redacted("ab 1234 cd", [(2, 3, 6, True), (3, 5, 7, True)]) == "ab [CARD] cd"
+
+
+def test_redaction_of_repeated_rows_and_an_empty_table(spark):
+    text = "write to a.b@c.example.com or 10.1.2.3 now " + "x " * 30_000
+    rows = [(1, text, "en", "s", len(text))] * 3 + [(2, None, None, None, None)]
+    documents = clashing(spark.createDataFrame(rows, DOCUMENTS))
+    cleaned = run_redact(documents)
+    assert cleaned.columns == documents.columns and cleaned.count() == 4
+    assert {r["text"] for r in cleaned.where("doc_id = 1").collect()} == {"write to [EMAIL] or [IP] now " + "x " * 30_000}
+    assert run_redact(empty(spark)).collect() == []
