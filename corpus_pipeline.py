@@ -21,14 +21,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality discriminant accepts."""
+    """Documents that the quality discriminant accepts.
+
+    Null and empty texts are judged by statistics of zeros; repeated rows stay or go together.
+    """
     return run_keep_good(docs, _table(spark, sf_dir, "labels"))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near duplicates (five words, 0.8), and once only.
 
-    Rows of one id and different texts go or stay each by its own text.
+    Rows of one id and different texts go or stay each by its own text; null and blank texts are like no
+    other and stay, once per id.
     """
     others = run_near_duplicates(docs, digests=True).where("not kept").select("doc_id", "text_sha256").distinct()
     same = (docs["doc_id"] == others["doc_id"]) & (text_sha256(docs["text"]) == others["text_sha256"])
@@ -36,17 +40,17 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of benchmark items."""
+    """Texts without passages of benchmark items; all rows stay, null texts as they are."""
     return run_decontaminate(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with markers for personal data."""
+    """Texts with markers for personal data; all rows stay, null texts as they are."""
     return run_redact(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their token ids and what these decode to, as a digest."""
+    """Documents with their token ids and what these decode to, as a digest; null texts have no ids."""
     encoded = run_encode(docs, public_tokenizers.path(VOCABULARY), decoded=True)
     return encoded.withColumn("decoded_sha256", F.sha2(F.col("decoded").cast("binary"), 256)).drop("decoded")
 
