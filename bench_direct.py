@@ -56,12 +56,20 @@ def _orphans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _enriched(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics joined back to the wide fact."""
+    measured = order_measures(_wide(spark, folder))
+    by_customer, by_product = customer_metrics(measured), product_metrics(measured)
+    return measured.join(by_product, "product_id", "left").join(by_customer, "customer_id", "left")
+
+
 DIRECT = {
     **{name: _profit(name) for name in PROFIT_TABLES},
     "wide_fact": _wide,
     "order_measures": lambda spark, folder: order_measures(views.orders(spark, folder)),
     "customer_metrics": lambda spark, folder: customer_metrics(order_measures(_wide(spark, folder))),
     "product_metrics": lambda spark, folder: product_metrics(order_measures(_wide(spark, folder))),
+    "enriched_table": _enriched,
     "order_info": lambda spark, folder: order_info(_wide(spark, folder)),
     "duplicate_order_lines": _duplicates,
     "orphans_by_customer": _orphans,

@@ -13,6 +13,7 @@ from ledgerlane.operators.lookups import (
     orphans,
     run_hot_keys,
     run_measure,
+    run_measure_unique,
     with_copies,
 )
 from ledgerlane.operators.measures import order_info, order_measures, wide_fact
@@ -64,6 +65,7 @@ __all__ = [
     "rejected",
     "run_hot_keys",
     "run_measure",
+    "run_measure_unique",
     "run_has_rows",
     "run_orphans",
     "run_null_report",

@@ -72,6 +72,18 @@ def run_measure(
     return [replace(table, hot=hot.get(table.key, {})) for table in known]
 
 
+def run_measure_unique(table: DataFrame, key: str, limit: int = BROADCAST_BYTES) -> Dimension:
+    """A table known to hold each key once, with its measured size.
+
+    Where all columns have a fixed width the number of rows tells it, which a written table has at hand.
+    """
+    fixed = not any(
+        isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in table.schema
+    )
+    size = table.count() * (16 + 16 * len(table.columns)) if fixed else table.agg(F.sum(row_bytes(table))).first()[0]
+    return Dimension(table, key, unique=True, small=(size or 0) <= limit)
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Approximate bytes of a row: texts by their length, arrays, maps and structs by their JSON text
     twice over, everything else by a fixed width."""

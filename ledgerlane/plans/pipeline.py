@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlane.operators.lookups import run_measure
+from ledgerlane.operators.lookups import run_measure_unique
 from ledgerlane.operators.measures import order_info, order_measures, wide_fact
 from ledgerlane.plans.enrichment import customer_table, fully_enriched, product_table
 from ledgerlane.plans.ingest import Store, run_ingest
@@ -39,7 +39,8 @@ def run_enrichment(spark: SparkSession, store: Store, settings: Settings) -> dic
             orders,
             customers,
             products,
-            *run_measure((by_customer, "customer_id"), (by_product, "product_id")),
+            run_measure_unique(by_customer, "customer_id"),
+            run_measure_unique(by_product, "product_id"),
             store.orders.hot,
         ),
         "order_info": order_info(wide),

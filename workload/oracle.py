@@ -470,6 +470,20 @@ LEFT JOIN product_flags p ON o.product_id = p.product_id AND p.first_failed_rule
 WHERE o.first_failed_rule IS NULL
 GROUP BY 1, 2"""
 
+ORACLE["ingested_counts"] = f"""
+WITH {TEXT_ORDERS}, {renamed(ORDER_FLAGS, "order_flags")},
+{TEXT_CUSTOMERS}, {renamed(CUSTOMER_FLAGS, "customer_flags")},
+{TEXT_PRODUCTS}, {renamed(PRODUCT_FLAGS, "product_flags")},
+everything AS (
+  SELECT 'orders' AS dataset, first_failed_rule FROM order_flags
+  UNION ALL SELECT 'customers', first_failed_rule FROM customer_flags
+  UNION ALL SELECT 'products', first_failed_rule FROM product_flags
+),
+counters AS (
+  SELECT dataset, 'rows' AS counter FROM everything
+  UNION ALL SELECT dataset, COALESCE(first_failed_rule, 'kept') FROM everything
+)
+SELECT dataset, counter, CAST(COUNT(*) AS BIGINT) AS row_count FROM counters GROUP BY dataset, counter"""
 ORACLE["batched_quarantine"] = f"""
 WITH {TEXT_ORDERS}, {renamed(ORDER_FLAGS, "order_flags")},
 {TEXT_CUSTOMERS}, {renamed(CUSTOMER_FLAGS, "customer_flags")},

@@ -162,13 +162,14 @@ def product_metrics_fan_out(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def enriched_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Metrics as written and measured tables, then one reading of the lines."""
+    """Lines as a written table, metrics as written and measured ones, then one more reading of the lines."""
     orders, customers, products = views.measured(spark, folder)
     root = staging_folder(spark)
-    by_customer = stage(customer_table(orders, customers, products), f"{root}/customer_metrics")
-    by_product = stage(product_table(orders, customers, products), f"{root}/product_metrics")
-    metrics = ops.run_measure((by_customer, "customer_id"), (by_product, "product_id"))
-    return decimals_as_double(fully_enriched(orders, customers, products, *metrics))
+    lines = stage(orders, f"{root}/lines")
+    by_customer = stage(customer_table(lines, customers, products), f"{root}/customer_metrics")
+    by_product = stage(product_table(lines, customers, products), f"{root}/product_metrics")
+    metrics = ops.run_measure_unique(by_customer, "customer_id"), ops.run_measure_unique(by_product, "product_id")
+    return decimals_as_double(fully_enriched(lines, customers, products, *metrics))
 
 
 @query
@@ -621,6 +622,19 @@ def ingested_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def ingested_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What ingestion counted on its way: rows, rows kept, and rows that each rule caught first."""
+    store, _ = _ingest_feeds(spark, folder)
+    counted = [
+        (found.contract.name, name, number)
+        for found in (store.orders, store.customers, store.products)
+        for name, number in found.counts.items()
+        if number
+    ]
+    return spark.createDataFrame(counted, "dataset string, counter string, row_count long")
+
+
 @query
 def batched_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """The quarantine after two loads and a rerun, counted by load and reason."""
