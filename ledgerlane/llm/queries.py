@@ -12,7 +12,7 @@ from ledgerlane.llm.bpe import run_encode
 from ledgerlane.llm.chat import format_chat, read_content, read_loss, read_role, text_parts
 from ledgerlane.llm.collocations import run_collocations
 from ledgerlane.llm.decontaminate import run_contamination
-from ledgerlane.llm.fingerprints import as_text, likeness, repeated, run_fingerprints
+from ledgerlane.llm.fingerprints import as_text, containment, likeness, repeated, run_fingerprints
 from ledgerlane.llm.html_text import extract_text
 from ledgerlane.llm.lm import run_backoff_scores
 from ledgerlane.llm.near_dup import run_near_duplicates
@@ -21,7 +21,6 @@ from ledgerlane.llm.pii import KINDS, run_find_personal_data
 from ledgerlane.llm.quality import run_quality
 from ledgerlane.llm.repair import conversation_counts, conversation_digests, run_repair
 from ledgerlane.llm.repair_sql import REPAIRS
-from ledgerlane.llm.storage import cut
 from ledgerlane.llm.url_filter import LONG_SUFFIXES, Rule, run_judge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -260,6 +259,7 @@ def op3_scaled_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
             as_text("edited_sketch").alias("edited_fingerprint"),
             likeness("sketch", "edited_sketch").alias("near_edited"),
             likeness("sketch", "next_sketch").alias("near_next"),
+            containment("sketch", "edited_sketch").alias("contained_in_edited"),
             F.col("next_id").alias("next_doc_id"),
             "copies",
         )
@@ -389,7 +389,7 @@ def damaged(messages: DataFrame) -> DataFrame:
 @query
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     said = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    edited = cut(run_repair(damaged(said), copies="copies"))
+    edited = run_repair(damaged(said), copies="copies")
     counts, digests = conversation_counts(edited), conversation_digests(edited)
     found = counts.join(digests.withColumnRenamed("conv", "c"), F.col("conv").eqNullSafe(F.col("c"))).drop("c")
     known = said.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")

@@ -361,9 +361,10 @@ def run_repair(
     fault = (
         F.when(F.col("blank"), "blank").when(~F.col("live"), "duplicate").when(F.col("truncated"), "truncated")
     )
-    return found.select(
-        "conv", "seq", "turn", "role", "text", "copies", fault.alias("fault"), "edits", "before", "illegal", cost.cast("long").alias("cost")
-    )
+    columns = ("conv", "seq", "turn", "role", "text", "copies", fault.alias("fault"), "edits", "before", "illegal", cost.cast("long").alias("cost"))
+    edited = cut(found.select(*columns))
+    discard(ordered, narrow, exits, traced, entries)
+    return edited
 
 
 def repaired_messages(edited: DataFrame) -> DataFrame:
