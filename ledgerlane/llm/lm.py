@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.llm.storage import cut, discard
 from ledgerlane.llm.tables import Bits, Counts, run_bits, run_counts
-from ledgerlane.llm.wordspace import ALPHANUMERIC, FOLD_ASCII, mixed, text_chunks, words_of
+from ledgerlane.llm.wordspace import ALPHANUMERIC, FOLD_ASCII, text_chunks, words_of
 
 BACKOFF = 0.4
 #: Counts are put together over so many words of a task before they are shuffled.
@@ -30,20 +30,16 @@ def _rows_of(bounds: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
 
 
-def _chunk_grams(
-    offsets: np.ndarray, data: np.ndarray, folds: np.ndarray, pairs: bool
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, first word or 0, word, place of the word) of every word, or of every two consecutive words of a row.
-
-    Words of rows of fold 1 are others than those of fold 0.
-    """
+def _chunk_words(offsets: np.ndarray, data: np.ndarray, folds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, word) of every word; words of rows of fold 1 are others than those of fold 0."""
     words = words_of(FOLD_ASCII[data], offsets, ALPHANUMERIC)
     rows = _rows_of(words.bounds)
-    hashes = words.hashes ^ folds[rows].astype(np.uint64) * _FOLD
-    if not pairs:
-        return rows, np.zeros(len(hashes), np.uint64), hashes, np.arange(len(hashes))
-    inside = np.flatnonzero(rows[1:] == rows[:-1]) if len(rows) else rows
-    return rows[inside], hashes[inside], hashes[inside + 1], inside + 1
+    return rows, words.hashes ^ folds[rows].astype(np.uint64) * _FOLD
+
+
+def _pair_places(rows: np.ndarray) -> np.ndarray:
+    """Where the second word of every two consecutive words of a row stands."""
+    return np.flatnonzero(rows[1:] == rows[:-1]) + 1 if len(rows) else np.zeros(0, np.int64)
 
 
 def _key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -69,6 +65,15 @@ def _by_row(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return order, np.union1d(_starts(keys[order]), _starts(rows[order]))
 
 
+def _times_in_row(rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """How often each key occurs in its row."""
+    order, at = _by_row(rows, keys)
+    times = np.diff(np.append(at, len(keys)))
+    found = np.empty(len(keys), dtype=np.int64)
+    found[order] = np.repeat(times, times)
+    return found
+
+
 def _counts(documents: DataFrame, pairs: bool) -> DataFrame:
     """(first, word, c): how often each word or pair occurs in rows of the same fold."""
 
@@ -88,7 +93,12 @@ def _counts(documents: DataFrame, pairs: bool) -> DataFrame:
         for batch in batches:
             folds = batch.column("fold").to_numpy(zero_copy_only=False)
             for start, offsets, data in text_chunks(batch.column("text")):
-                _, first, second, _ = _chunk_grams(offsets, data, folds[start:], pairs)
+                rows, words = _chunk_words(offsets, data, folds[start:])
+                if pairs:
+                    places = _pair_places(rows)
+                    first, second = words[places - 1], words[places]
+                else:
+                    first, second = np.zeros(len(words), np.uint64), words
                 held.append((first, second))
                 size += len(first)
                 if size >= SHARD_WORDS:
@@ -99,7 +109,8 @@ def _counts(documents: DataFrame, pairs: bool) -> DataFrame:
             yield put_out()
 
     found = documents.mapInArrow(count, "first long, word long, c long")
-    return found.groupBy("first", "word").agg(F.sum("c").alias("c"))
+    # Tasks have put their rows together, so Spark need not try before it shuffles.
+    return found.repartition("first", "word").groupBy("first", "word").agg(F.sum("c").alias("c"))
 
 
 def _exploded(documents: DataFrame) -> DataFrame:
@@ -109,7 +120,7 @@ def _exploded(documents: DataFrame) -> DataFrame:
         for batch in batches:
             ids, folds = batch.column("id"), batch.column("fold").to_numpy(zero_copy_only=False)
             for start, offsets, data in text_chunks(batch.column("text")):
-                rows, _, words, _ = _chunk_grams(offsets, data, folds[start:], False)
+                rows, words = _chunk_words(offsets, data, folds[start:])
                 order, at = _by_row(rows, words)
                 owners, times = rows[order][at] + start, np.diff(np.append(at, len(rows)))
                 yield pa.RecordBatch.from_arrays(
@@ -121,31 +132,55 @@ def _exploded(documents: DataFrame) -> DataFrame:
     return documents.mapInArrow(explode, f"id {kind}, key long, times long")
 
 
-def _exploded_grams(documents: DataFrame, bits: str, table: str | None = None, less_own: bool = True) -> DataFrame:
-    """(id, key, own, wide, first, word): the pairs of every text, but those that the shared bits exclude.
+def _scored_words(documents: DataFrame, table: str, seldom: str, less_own: bool) -> DataFrame:
+    """(id, key, times, value): of every text one row without key, with the number of its words and the sum of
+    the logarithms of the counts in the table, and those other words as `_exploded` that the shared bits don't exclude."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, looked_up = Counts(table), Bits(seldom)
+        for batch in batches:
+            ids, folds = batch.column("id"), batch.column("fold").to_numpy(zero_copy_only=False)
+            for start, offsets, data in text_chunks(batch.column("text")):
+                rows, words = _chunk_words(offsets, data, folds[start:])
+                if not len(rows):
+                    continue
+                order, at = _by_row(rows, words)
+                owners, times, keys = rows[order][at], np.diff(np.append(at, len(rows))), words[order][at]
+                found = counts.of(keys)
+                value = times * np.log(np.maximum(found - times * less_own, 1))
+                size = len(offsets) - 1
+                whole = np.bincount(rows, minlength=size)
+                total = np.bincount(owners, weights=value, minlength=size)
+                texts = np.flatnonzero(whole)
+                rest = (found == 0) & looked_up.maybe(keys)
+                columns = [
+                    ids.take(pa.array(np.concatenate([texts, owners[rest]]) + start)),
+                    pa.concat_arrays([pa.nulls(len(texts), pa.int64()), pa.array(keys[rest].view(np.int64))]),
+                    pa.array(np.concatenate([whole[texts], times[rest]])),
+                    pa.array(np.concatenate([total[texts], np.zeros(int(rest.sum()))])),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "times", "value"])
+
+    kind = dict(documents.dtypes)["id"]
+    return documents.mapInArrow(score, f"id {kind}, key long, times long, value double")
+
+
+def _exploded_pairs(documents: DataFrame, bits: str, spelled: bool = False) -> DataFrame:
+    """(id, key, own, wide): the pairs of every text, but those that the shared bits exclude; `spelled`, with both words.
 
     `own` holds the numbers of the pair, of its first and of its second word in that text in 8, 12 and
-    12 bits, as the shuffled rows are many and mostly hashes; where they don't fit, `wide` has them. Given the
-    table of frequent counts, there is `words` in place of both words, a row besides for each word that is not
-    in the table (by its hash, numbered as a pair of whose words there are none), and one for the text:
-    `words` then has the number of its words and the sum of the logarithms of the counts at hand, and its
-    key is met by nothing.
+    12 bits, as the shuffled rows are many and mostly hashes; where they don't fit, `wide` has them.
     """
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = Bits(bits), Counts(table) if table else None
+        known = Bits(bits)
         for batch in batches:
             ids, folds = batch.column("id"), batch.column("fold").to_numpy(zero_copy_only=False)
             for start, offsets, data in text_chunks(batch.column("text")):
-                word_rows, _, words, _ = _chunk_grams(offsets, data, folds[start:], False)
-                if not len(words):
-                    continue
-                # The different words of every text, with their numbers.
-                word_order, word_at = _by_row(word_rows, words)
-                word_times = np.diff(np.append(word_at, len(words)))
-                in_row = np.empty(len(words), dtype=np.int64)
-                in_row[word_order] = np.repeat(word_times, word_times)
-                rows, first, second, places = _chunk_grams(offsets, data, folds[start:], True)
+                word_rows, words = _chunk_words(offsets, data, folds[start:])
+                in_row = _times_in_row(word_rows, words)
+                places = _pair_places(word_rows)
+                rows, first, second = word_rows[places], words[places - 1], words[places]
                 keys = _key(first, second)
                 kept = known.maybe(keys)
                 rows, first, second, places, keys = (x[kept] for x in (rows, first, second, places, keys))
@@ -153,41 +188,20 @@ def _exploded_grams(documents: DataFrame, bits: str, table: str | None = None, l
                 at_pair = order[at]
                 times = np.diff(np.append(at, len(keys)))
                 a, b = in_row[places[at_pair] - 1], in_row[places[at_pair]]
-                owners, found, left, right = rows[at_pair], keys[at_pair], first[at_pair], second[at_pair]
-                texts = np.zeros(0, np.int64)
-                if counts is not None:
-                    word_owners, word_keys = word_rows[word_order][word_at], words[word_order][word_at]
-                    frequent = counts.of(word_keys)
-                    # What is not at hand is looked up, if another text may have it.
-                    other = np.flatnonzero((frequent == 0) & known.maybe(word_keys))
-                    value = word_times * np.log(np.maximum(frequent - word_times * less_own, 1))
-                    size = len(offsets) - 1
-                    numbers = np.bincount(word_rows, minlength=size)
-                    texts = np.flatnonzero(numbers)
-                    totals = np.bincount(word_owners, weights=value, minlength=size)[texts]
-                    unmet = mixed(texts.astype(np.uint64) + np.uint64(start) ^ np.uint64(0xA24BAED4963EE407))
-                    owners = np.concatenate([owners, word_owners[other], texts])
-                    found = np.concatenate([found, word_keys[other], unmet])
-                    times = np.concatenate([times, word_times[other], np.zeros(len(texts), np.int64)])
-                    a, b = (np.concatenate([x, np.zeros(len(other) + len(texts), np.int64)]) for x in (a, b))
                 fits = (times < 1 << 8) & (a < 1 << 12) & (b < 1 << 12)
                 own = np.where(fits, times | a << 8 | b << 20, 0).astype(np.uint32).view(np.int32)
                 columns = {
-                    "id": ids.take(pa.array(owners + start)),
-                    "key": pa.array(found.view(np.int64)),
+                    "id": ids.take(pa.array(rows[at_pair] + start)),
+                    "key": pa.array(keys[at_pair].view(np.int64)),
                     "own": pa.array(own),
                     "wide": _where_not(fits, times, a, b),
                 }
-                if counts is None:
-                    columns |= {"first": pa.array(left.view(np.int64)), "word": pa.array(right.view(np.int64))}
-                else:
-                    sums = pa.StructArray.from_arrays([pa.array(numbers[texts]), pa.array(totals)], ["n", "value"])
-                    columns["words"] = pa.concat_arrays([pa.nulls(len(owners) - len(texts), sums.type), sums])
+                if spelled:
+                    columns |= {"first": pa.array(first[at_pair].view(np.int64)), "word": pa.array(second[at_pair].view(np.int64))}
                 yield pa.RecordBatch.from_pydict(columns)
 
     kind = dict(documents.dtypes)["id"]
-    further = "words struct<n:long,value:double>" if table else "first long, word long"
-    return documents.mapInArrow(explode, f"id {kind}, key long, own int, wide array<long>, {further}")
+    return documents.mapInArrow(explode, f"id {kind}, key long, own int, wide array<long>" + ", first long, word long" * spelled)
 
 
 def _where_not(fits: np.ndarray, *numbers: np.ndarray) -> pa.Array:
@@ -208,10 +222,10 @@ def _unpacked() -> tuple[Column, Column, Column]:
 
 
 def _parts_together(parts: DataFrame, bits: str) -> DataFrame:
-    """(id, key, own, wide) of pairs like those of `_exploded_grams`, for documents that have several rows."""
+    """(id, key, own, wide) like those of `_exploded_pairs`, for documents that have several rows."""
     words = cut(_exploded(parts).groupBy("id", "key").agg(F.sum("times").alias("n")))
     times = _unpacked()[0]
-    pairs = _exploded_grams(parts, bits).groupBy("id", "key", "first", "word").agg(F.sum(times).alias("times"))
+    pairs = _exploded_pairs(parts, bits, spelled=True).groupBy("id", "key", "first", "word").agg(F.sum(times).alias("times"))
     for place in ("first", "word"):
         own = words.toDF("i", "w", f"n_{place}")
         pairs = pairs.join(own, F.col("id").eqNullSafe(F.col("i")) & (F.col(place) == F.col("w"))).drop("i", "w")
@@ -261,41 +275,35 @@ def run_backoff_scores(
     # The largest shuffles are told apart by smaller ones, so that their files never lie side by side.
     words = cut(_counts(counted, False).select("word", "c"))
     table = run_counts(words.where(F.col("c") >= FREQUENT), "word", "c")
-    # A pair or word that occurs once is left by its own document only.
+    # Words that no other text has, and in most corpora these are most words, need not be looked up.
+    scored = cut(_scored_words(whole, table, run_bits(words.where("c > 1").select("word")), by_document))
+    others = scored.where(F.col("key").isNotNull()).select("id", "key", "times", F.lit(0).alias("number"))
+    if parts is not None:
+        own = _exploded(parts).groupBy("id", "key").agg(F.sum("times").alias("times"))
+        others = others.union(own.withColumn("number", F.col("times")))
+    looked_up = others.join(words.withColumnRenamed("word", "key"), "key", "left")
+    value = F.col("times") * F.log(F.greatest(F.coalesce(rest("c", "times"), F.lit(1)), F.lit(1)))
+    read = looked_up.select("id", F.col("number").alias("times"), value.alias("value")).union(
+        scored.where(F.col("key").isNull()).select("id", "times", "value")
+    )
+    single = cut(read.groupBy("id").agg(F.sum("times").alias("n_words"), F.sum("value").alias("words")))
+    discard(scored)
+    # A pair that occurs once is left by its own document only.
     shared = cut(_counts(counted, True).where(F.col("c") > int(by_document)))
-    pairs, seldom = _with_word_counts(shared, words, table, int(by_document))
-    discard(shared)
-    none = F.lit(None).cast("long")
-    met = cut(pairs.union(seldom.select(F.col("word").alias("key"), "c", none, none)))
-    discard(pairs, seldom)
+    pairs = _with_word_counts(shared, words, table)
+    discard(shared, words)
     # Of the pairs of all texts, the largest table here, only those go on that another text may have.
-    grams = _exploded_grams(whole, run_bits(met.select("key")), table, by_document).select("id", "key", "own", "wide", "words")
+    bits = run_bits(pairs.select("key"))
+    own_pairs = _exploded_pairs(whole, bits).select("id", "key", "own", "wide")
     if parts is not None:
-        empty = F.lit(None).cast("struct<n:long,value:double>").alias("words")
-        grams = grams.union(_parts_together(parts, run_bits(met.select("key"))).select("id", "key", "own", "wide", empty))
-    read = grams.join(met.hint("shuffle_hash"), "key", "left").withColumns(dict(zip(("times", "n_first", "n_word"), _unpacked())))
-    read = read.where(F.col("words").isNotNull() | (rest("c", "times") > 0))
-    pair = F.col("c_first").isNotNull()
+        own_pairs = own_pairs.union(_parts_together(parts, bits))
+    read = own_pairs.join(pairs.hint("shuffle_hash"), "key").withColumns(dict(zip(("times", "n_first", "n_word"), _unpacked())))
+    read = read.where(rest("c", "times") > 0)
     gain = F.log(rest("c", "times")) - F.log(rest("c_first", "n_first")) - F.log(rest("c_word", "n_word"))
-    alone = F.coalesce(F.col("words.value"), F.when(~pair & F.col("c").isNotNull(), F.col("times") * F.log(rest("c", "times"))))
-    single = cut(
-        read.groupBy("id").agg(
-            F.sum("words.n").alias("n_words"),
-            F.sum(alone).alias("words"),
-            F.sum(F.when(pair, F.col("times"))).alias("n_matched"),
-            F.sum(F.when(pair, F.col("times") * gain)).alias("matched"),
-        )
-    )
-    if parts is not None:
-        # Words of documents of several rows are put together before they are scored.
-        own = _exploded(parts).groupBy("id", "key").agg(F.sum("times").alias("times"))
-        looked_up = own.join(words.withColumnRenamed("word", "key"), "key", "left")
-        value = F.col("times") * F.log(F.greatest(F.coalesce(rest("c", "times"), F.lit(1)), F.lit(1)))
-        several = looked_up.groupBy("id").agg(F.sum("times").alias("n_words"), F.sum(value).alias("words"))
-        both = single.unionByName(several, allowMissingColumns=True)
-        single = cut(both.groupBy("id").agg(*[F.sum(c).alias(c) for c in ("n_words", "words", "n_matched", "matched")]))
-    discard(met, words)
+    double = cut(read.groupBy("id").agg(F.sum("times").alias("n_matched"), F.sum(F.col("times") * gain).alias("matched")))
+    discard(pairs)
     known = ids.join(single.withColumnRenamed("id", "i"), F.col("id").eqNullSafe(F.col("i")), "left").drop("i")
+    known = known.join(double.withColumnRenamed("id", "j"), F.col("id").eqNullSafe(F.col("j")), "left").drop("j")
     known = known.fillna(0, ["n_words", "n_matched"]).fillna(0.0, ["words", "matched"])
     sizes = dict(single.groupBy(half("id")).agg(F.sum("n_words")).collect())
     totals = sizes.get(0, 0), sizes.get(1, 0)
@@ -318,9 +326,8 @@ def run_backoff_scores(
     )
 
 
-def _with_word_counts(pairs: DataFrame, words: DataFrame, table: str, own: int) -> tuple[DataFrame, DataFrame]:
-    """(key, c, c_first, c_word) of pairs: counts of frequent words from the table, of others by joins; and the
-    counts of the other words that more than `own` rows have."""
+def _with_word_counts(pairs: DataFrame, words: DataFrame, table: str) -> DataFrame:
+    """(key, c, c_first, c_word) of pairs: counts of frequent words from the table, of others by joins."""
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts(table)
@@ -333,17 +340,10 @@ def _with_word_counts(pairs: DataFrame, words: DataFrame, table: str, own: int)
                 names=["key", "first", "word", "c", "c_first", "c_word"],
             )
 
-    def lacking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counts(table)
-        for batch in batches:
-            known = counts.of(batch.column("word").to_numpy(zero_copy_only=False).view(np.uint64)) > 0
-            yield batch.filter(pa.array(~known))
-
     found = cut(pairs.mapInArrow(look_up, "key long, first long, word long, c long, c_first long, c_word long"))
-    seldom = cut(words.where(F.col("c") > own).mapInArrow(lacking, words.schema))
-    unmet = found.where("c_first = 0 or c_word = 0").drop("c_first", "c_word")
-    joined = unmet.join(words.toDF("first", "c_first"), "first").join(words.toDF("word", "c_word"), "word")
+    lacking = found.where("c_first = 0 or c_word = 0").drop("c_first", "c_word")
+    joined = lacking.join(words.toDF("first", "c_first"), "first").join(words.toDF("word", "c_word"), "word")
     columns = ("key", "c", "c_first", "c_word")
     whole = cut(found.where("c_first > 0 and c_word > 0").select(*columns).union(joined.select(*columns)))
     discard(found)
-    return whole, seldom
+    return whole

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from ledgerlane.llm.storage import share_file
 from ledgerlane.llm.wordspace import mixed
 
-#: Bits that tell whether a key may be there. With more keys they tell less, never anything wrong.
+#: Bits that tell whether a key may be there, so many per key and at most so many. With more keys they tell
+#: less, never anything wrong.
+BITS_PER_KEY = 8
 BITS = 1 << 27
 #: Keys of a table of counts; others are left to a join.
 KEYS = 1 << 20
@@ -21,24 +23,25 @@ KEYS = 1 << 20
 COUNT_STEPS = 16
 
 
-def _slots(keys: np.ndarray) -> np.ndarray:
-    return mixed(keys) & np.uint64(BITS - 1)
+def _slots(keys: np.ndarray, size: int) -> np.ndarray:
+    return mixed(keys) & np.uint64(size - 1)
 
 
 def run_bits(keys: DataFrame) -> str:
     """Shares the bits of the keys in the only column; at most BITS / 64 rows come to the driver."""
     (name,) = keys.columns
+    size = min(BITS, max(64, 1 << (BITS_PER_KEY * keys.count() - 1).bit_length()))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots = _slots(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            slots = _slots(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), size)
             bit = np.uint64(1) << (slots & np.uint64(63))
             yield pa.RecordBatch.from_arrays(
                 [pa.array((slots >> np.uint64(6)).astype(np.int32)), pa.array(bit.view(np.int64))], names=["block", "bits"]
             )
 
     blocks = keys.mapInArrow(mark, "block int, bits long").groupBy("block").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bits = np.zeros(BITS // 64, dtype="<i8")
+    bits = np.zeros(size // 64, dtype="<i8")
     bits[blocks.column("block").to_numpy()] = blocks.column("bits").to_numpy()
     return share_file(keys.sparkSession, f"bits-{name}", bits.tobytes())
 
@@ -49,7 +52,7 @@ class Bits:
 
     def maybe(self, keys: np.ndarray) -> np.ndarray:
         """False for keys that are certainly not there."""
-        slots = _slots(keys)
+        slots = _slots(keys, 8 * len(self.bytes))
         return self.bytes[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8) & 1 == 1
 
 
