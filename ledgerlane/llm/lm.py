@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,9 @@ BACKOFF = 0.4
 SHARD_WORDS = 1 << 22
 #: Words that occur so often are worth a place in the table of counts that tasks have at hand.
 FREQUENT = 16
+#: Pairs of all texts go through the shuffle in so many turns (a power of two), by their keys, so that less
+#: lies on disk at a time.
+TURNS = 2
 _FOLD = np.uint64(0xA0761D6478BD642F)
 
 
@@ -165,7 +169,7 @@ def _scored_words(documents: DataFrame, table: str, seldom: str, less_own: bool)
     return documents.mapInArrow(score, f"id {kind}, key long, times long, value double")
 
 
-def _exploded_pairs(documents: DataFrame, bits: str, spelled: bool = False) -> DataFrame:
+def _exploded_pairs(documents: DataFrame, bits: str, turn: int | None = None, spelled: bool = False) -> DataFrame:
     """(id, key, own, wide): the pairs of every text, but those that the shared bits exclude; `spelled`, with both words.
 
     `own` holds the numbers of the pair, of its first and of its second word in that text in 8, 12 and
@@ -183,6 +187,8 @@ def _exploded_pairs(documents: DataFrame, bits: str, spelled: bool = False) -> D
                 rows, first, second = word_rows[places], words[places - 1], words[places]
                 keys = _key(first, second)
                 kept = known.maybe(keys)
+                if turn is not None:
+                    kept &= keys & np.uint64(TURNS - 1) == np.uint64(turn)
                 rows, first, second, places, keys = (x[kept] for x in (rows, first, second, places, keys))
                 order, at = _by_row(rows, keys)
                 at_pair = order[at]
@@ -294,13 +300,17 @@ def run_backoff_scores(
     discard(shared, words)
     # Of the pairs of all texts, the largest table here, only those go on that another text may have.
     bits = run_bits(pairs.select("key"))
-    own_pairs = _exploded_pairs(whole, bits).select("id", "key", "own", "wide")
-    if parts is not None:
-        own_pairs = own_pairs.union(_parts_together(parts, bits))
-    read = own_pairs.join(pairs.hint("shuffle_hash"), "key").withColumns(dict(zip(("times", "n_first", "n_word"), _unpacked())))
-    read = read.where(rest("c", "times") > 0)
-    gain = F.log(rest("c", "times")) - F.log(rest("c_first", "n_first")) - F.log(rest("c_word", "n_word"))
-    double = cut(read.groupBy("id").agg(F.sum("times").alias("n_matched"), F.sum(F.col("times") * gain).alias("matched")))
+    sums = []
+    for turn in range(TURNS):
+        now = F.col("key").bitwiseAND(TURNS - 1) == turn
+        own_pairs = _exploded_pairs(whole, bits, turn).select("id", "key", "own", "wide")
+        if parts is not None:
+            own_pairs = own_pairs.union(_parts_together(parts, bits).where(now))
+        read = own_pairs.join(pairs.where(now).hint("shuffle_hash"), "key")
+        read = read.withColumns(dict(zip(("times", "n_first", "n_word"), _unpacked()))).where(rest("c", "times") > 0)
+        gain = F.log(rest("c", "times")) - F.log(rest("c_first", "n_first")) - F.log(rest("c_word", "n_word"))
+        sums.append(cut(read.groupBy("id").agg(F.sum("times").alias("n_matched"), F.sum(F.col("times") * gain).alias("matched"))))
+    double = reduce(DataFrame.union, sums).groupBy("id").agg(*[F.sum(c).alias(c) for c in ("n_matched", "matched")])
     discard(pairs)
     known = ids.join(single.withColumnRenamed("id", "i"), F.col("id").eqNullSafe(F.col("i")), "left").drop("i")
     known = known.join(double.withColumnRenamed("id", "j"), F.col("id").eqNullSafe(F.col("j")), "left").drop("j")
