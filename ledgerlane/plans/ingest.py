@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerlane.contracts import CONTRACTS, DatasetContract
+from ledgerlane.operators.key_filters import run_orphans
 from ledgerlane.operators.lookups import Dimension, heavy_hitters, hot_keys, orphans, run_measure
 from ledgerlane.operators.rules import ReadableRule
 from ledgerlane.operators.quality import (
@@ -106,10 +107,16 @@ class Store:
     _dimensions: tuple[Dimension, Dimension] | None = field(default=None, repr=False)
 
     def missing_products(self) -> DataFrame:
-        return orphans(self.orders.clean, self.dimensions()[1], "product_id")
+        return self._missing(self.dimensions()[1])
 
     def missing_customers(self) -> DataFrame:
-        return orphans(self.orders.clean, self.dimensions()[0], "customer_id")
+        return self._missing(self.dimensions()[0])
+
+    def _missing(self, table: Dimension) -> DataFrame:
+        """Order lines whose key a dimension lacks; lines are shuffled for none, however large it is."""
+        if table.small:
+            return orphans(self.orders.clean, table, table.key)
+        return run_orphans(self.orders.clean, table.df, table.key)
 
     def dimensions(self) -> tuple[Dimension, Dimension]:
         """Customers and products with their measured size and the orders' hot keys; a job the first time."""

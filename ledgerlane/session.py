@@ -14,6 +14,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
+    # Keys that streams have seen live on disk, not in the executors' memory.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

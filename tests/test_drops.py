@@ -8,6 +8,7 @@ from ledgerlane.contracts import ORDERS, PRODUCTS
 from ledgerlane.operators.quality import FIRST_FAILED, evaluate, quarantine, valid
 from ledgerlane.operators.rules import ReadableRule
 from ledgerlane.operators.shape import conform
+from ledgerlane.session import CLUSTER_CONF
 from ledgerlane.sources import read_dataset
 from ledgerlane.sources.files import CORRUPT
 from ledgerlane.streaming import run_drops
@@ -64,6 +65,21 @@ def test_three_drops_equal_one_batch(spark, tmp_path, horizon):
     assert reasons[0] == [r for r in reasons[1] if r] and len(reasons[0]) == 5
 
 
+def test_keys_seen_are_kept_on_disk(spark, tmp_path):
+    """With the state store that clusters should use."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, CLUSTER_CONF[name])
+    try:
+        source, target = tmp_path / "in", str(tmp_path / "out")
+        for number, rows in enumerate(([order(1), order(2)], [order(2), order(3)], [order(1), order(3)])):
+            write(source, f"{number}.json", rows)
+            found = run_drops(spark, str(source), target, ORDERS, ["order_id", "row_id"])
+        assert sorted(r["row_id"] for r in found.clean.collect()) == [1, 2, 3] and found.counts["rows"] == 0
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_csv_drops(spark, tmp_path):
     source, target = tmp_path / "in", str(tmp_path / "out")
     header = ",".join(PRODUCTS.headers)
