@@ -177,6 +177,7 @@ SELECT {WIDE_COLUMNS}, {MEASURE_COLUMNS},
        customer_lifetime_value, customer_lifetime_profit, total_orders, avg_bag_size, avg_order_value,
        first_order_date, latest_order_date
 FROM measured LEFT JOIN by_product ON product_id = pid LEFT JOIN by_customer ON customer_id = cid"""
+ORACLE["enriched_table_from_metrics"] = ORACLE["enriched_table"]
 ORACLE["order_info"] = f"""
 WITH {wide()}
 SELECT order_id, customer_name, country, category, sub_category, quantity, CAST(price AS DOUBLE) AS price,

@@ -11,6 +11,7 @@ from ledgerlane.sinks import stage, staging_folder
 
 _LANDED: dict[tuple, DataFrame] = {}
 _STATISTICS: dict[tuple, list[Dimension]] = {}
+_HOT: dict[tuple, dict[str, dict]] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -146,6 +147,18 @@ def measured(
     return orders(spark, folder), customers, products
 
 
+def run_hot_keys(spark: SparkSession, folder: str) -> dict[str, dict]:
+    return ops.run_hot_keys(orders(spark, folder), ["customer_id", "product_id"])
+
+
+def hot_keys(spark: SparkSession, folder: str) -> dict[str, dict]:
+    """The hot keys of the lines, known like the measures of the dimensions once per version of the tables."""
+    key = table_state(spark, folder)
+    if key not in _HOT:
+        _HOT[key] = run_hot_keys(spark, folder)
+    return _HOT[key]
+
+
 def text_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as a feed would deliver them: texts, two date layouts and some bad values."""
     line, key = F.col("row_id"), F.col("order_id")
