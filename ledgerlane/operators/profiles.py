@@ -85,7 +85,8 @@ def profile(parts: DataFrame, ranks: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.
 
     `frequent` holds (item, count) with values as text, the most frequent first. Errors are at most
     DISTINCT_ERROR of the count, RANK_ERROR of the rows in rank, and COUNT_ERROR of the rows in a count, in
-    all but a few of a thousand cases for the first two. Least and greatest, ranks 0 and 1, are exact.
+    all but a few of a thousand cases for the first two. Least and greatest, ranks 0 and 1, are exact. Where no
+    value is certain to be more frequent than that error, `frequent` is empty.
     """
     some = F.kll_sketch_get_n_double("quantiles") > 0
     at = F.array(*[F.kll_sketch_get_quantile_double("quantiles", F.lit(r)) for r in ranks])
@@ -97,3 +98,11 @@ def profile(parts: DataFrame, ranks: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.
         F.when(some, at).alias("quantiles"),
         F.call_function("approx_top_k_estimate", F.col("frequent"), F.lit(top)).alias("frequent"),
     )
+
+
+def run_most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Exact: how many rows hold the most frequent value of each column, nulls left out. One job; counts combine on the map side."""
+    held = F.array(*[F.struct(F.lit(c).alias("column_name"), _text(df, c).alias("item")) for c in columns])
+    counted = df.select(F.inline(held)).where("item is not null").groupBy("column_name", "item").count()
+    found = {r["column_name"]: r["rows"] for r in counted.groupBy("column_name").agg(F.max("count").alias("rows")).collect()}
+    return {c: found.get(c, 0) for c in columns}

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlane.operators.profiles import COUNT_ERROR, DISTINCT_ERROR, RANK_ERROR, measure, merge_profiles, profile, profile_parts
+from ledgerlane.operators.profiles import COUNT_ERROR, DISTINCT_ERROR, RANK_ERROR, measure, merge_profiles, profile, profile_parts, run_most_frequent
 from ledgerlane.sinks import stage, staging_folder
 
 
@@ -65,3 +65,12 @@ def test_chosen_columns_and_no_rows(spark, rows):
         ("s", 0, 0, 0, None),
         ("d", 0, 0, 0, None),
     }
+
+
+def test_no_value_is_frequent(spark):
+    """Of values that are all as rare as each other the sketch names none; the exact count says so too."""
+    rows = spark.range(0, 300_000, numPartitions=4).select((F.col("id") % 100_000).alias("rare"), (F.col("id") % 2).alias("often"), F.lit(None).cast("int").alias("no"))
+    found = {r["column_name"]: r for r in profile(profile_parts(rows), top=1).collect()}
+    assert not found["rare"]["frequent"] and found["often"]["frequent"][0]["count"] == 150_000
+    most = run_most_frequent(rows, ["rare", "often", "no"])
+    assert most == {"rare": 3, "often": 150_000, "no": 0} and most["rare"] <= COUNT_ERROR * 300_000

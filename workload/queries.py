@@ -23,6 +23,7 @@ from ledgerlane.operators.profiles import (
     merge_profiles,
     profile,
     profile_parts,
+    run_most_frequent,
 )
 from ledgerlane.operators.quality import FAILED_RULES, FIRST_FAILED
 from ledgerlane.operators.sessions import run_sessions
@@ -465,12 +466,19 @@ def line_profile(spark: SparkSession, folder: str) -> DataFrame:
     found = profile(merge_profiles(*loads), ranks=(0.5,), top=1)
     # Of each column the exact numbers, in one pass, with the estimates they are compared with.
     estimates = {r["column_name"]: r for r in found.collect()}
+    # Where the sketch names no value, none may be more frequent than its error.
+    unnamed = [name for name, row in estimates.items() if not row["frequent"]]
+    most = run_most_frequent(lines, unnamed) if unnamed else {}
     checks = []
     for name in lines.columns:
         row, value = estimates[name], measure(lines, name)
         median = F.lit(row["quantiles"][0])
         distinct, total = F.count_distinct(name), F.count(F.lit(1))
-        often = F.count_if(F.col(name).cast("string") == F.lit(row["frequent"][0]["item"]))
+        if name in most:
+            often, estimate = F.lit(most[name]), 0
+        else:
+            often = F.count_if(F.col(name).cast("string") == F.lit(row["frequent"][0]["item"]))
+            estimate = row["frequent"][0]["count"]
         checks.append(
             F.struct(
                 F.lit(name).alias("column_name"),
@@ -478,7 +486,7 @@ def line_profile(spark: SparkSession, folder: str) -> DataFrame:
                 (
                     (F.count_if(value < median) <= (0.5 + RANK_ERROR) * total) & (F.count_if(value <= median) >= (0.5 - RANK_ERROR) * total)
                 ).alias("median_close"),
-                (F.abs(often - row["frequent"][0]["count"]) <= COUNT_ERROR * total + 1).alias("frequent_close"),
+                (F.abs(often - estimate) <= COUNT_ERROR * total + 1).alias("frequent_close"),
             )
         )
     close = lines.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
