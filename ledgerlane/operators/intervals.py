@@ -1,8 +1,9 @@
 """Lookups by key and time: the version of a row that is valid at a date, or the last one before it.
 
 Time is cut into ranges. An interval is repeated for each range it touches, a date lies in one, so
-the join is one on key and range; the dates are compared only within it. A key with very many lines
-is spread over the ranges by that.
+the join is one on key and range; the dates are compared only within it. A range is as long as the
+intervals are on average, so that these are repeated once or twice. Only keys with very many lines or
+versions have shorter ranges, and are spread over them.
 """
 
 from __future__ import annotations
@@ -12,11 +13,15 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlane.functions import ref
+from ledgerlane.operators.lookups import BROADCAST_BYTES, ROWS_PER_TASK, heavy_hitters, hot_keys, row_bytes
 
 #: Ranges that the dates of the lines are cut into; no interval is repeated more often.
 RANGES = 64
+#: Kinds of keys that a sketch counts.
+COUNTED = (T.IntegralType, T.DecimalType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def _day(column: Column) -> Column:
@@ -24,9 +29,16 @@ def _day(column: Column) -> Column:
     return F.unix_date(column.cast("date"))
 
 
-def _run_span(fact: DataFrame, at: str) -> tuple[date, date] | None:
-    first, last = fact.agg(F.min(ref(at).cast("date")), F.max(ref(at).cast("date"))).first()
-    return None if first is None else (first, last)
+def _hitters(df: DataFrame, key: str) -> Column:
+    kind = next(f.dataType for f in df.schema if f.name == key)
+    return heavy_hitters(key) if isinstance(kind, COUNTED) else F.lit(None)
+
+
+def _run_lines(fact: DataFrame, key: str, at: str, rows_per_task: int) -> tuple[tuple[date, date] | None, list]:
+    """First and last date of the lines, and the keys that have more of them than a task should read."""
+    day = ref(at).cast("date")
+    first, last, hitters = fact.agg(F.min(day), F.max(day), _hitters(fact, key)).first()
+    return None if first is None else (first, last), list(hot_keys(hitters, rows_per_task))
 
 
 def run_interval_lookup(
@@ -40,28 +52,37 @@ def run_interval_lookup(
     end_included: bool = True,
     span: tuple[date, date] | None = None,
     ranges: int = RANGES,
+    limit: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Lines with the rows of `table` that have their key and whose interval holds their date.
 
     A null start or end is open. Intervals may overlap, and then repeat lines, as BETWEEN does; a line
     without a match, a key or a date keeps nulls ("left") or goes ("inner"). Dates or times of one type.
     The columns of the table but its key come after those of the lines. `span` holds the first and last
-    date of the lines; unless given, a job finds it.
+    date of the lines; a job finds it and the keys with many lines, another one measures the intervals. Spark
+    can't estimate how often these are repeated, so beyond `limit` bytes it is kept from a broadcast.
     """
-    span = span or _run_span(fact, at)
+    found, crowded = _run_lines(fact, key, at, rows_per_task)
+    span = span or found
     if span is None:
         span = (date(1970, 1, 1), date(1970, 1, 1))
     epoch = date(1970, 1, 1)
     low, high = ((d - epoch).days for d in span)
-    days = max(1, math.ceil((high - low + 1) / ranges))
+    least = max(1, math.ceil((high - low + 1) / ranges))
+    begin = F.greatest(F.coalesce(_day(ref(start)), F.lit(low)), F.lit(low))
+    over = F.least(F.coalesce(_day(ref(end)), F.lit(high)), F.lit(high))
+    inside = table.where(ref(key).isNotNull() & (begin <= over))
+    length, size, hitters = inside.agg(F.avg(over - begin + 1), F.sum(row_bytes(table)), _hitters(table, key)).first()
+    days = max(least, math.ceil(length or 0))
+    # A key with more versions than there are ranges.
+    crowded = [*{*crowded, *hot_keys(hitters, ranges)}] if days > least else []
 
     def place(day: Column) -> Column:
-        return F.floor((day - low) / days).cast("int")
+        width = F.when(ref(key).isin(crowded), least).otherwise(days) if crowded else F.lit(days)
+        return F.floor((day - low) / width).cast("int")
 
-    last = (high - low) // days
-    first_range = F.greatest(F.coalesce(place(_day(ref(start))), F.lit(0)), F.lit(0))
-    last_range = F.least(F.coalesce(place(_day(ref(end))), F.lit(last)), F.lit(last))
-    touching = table.withColumns({"__from": first_range, "__to": last_range}).where(ref(key).isNotNull() & (F.col("__from") <= F.col("__to")))
+    touching = inside.withColumns({"__from": place(begin), "__to": place(over)})
     others = [c for c in table.columns if c != key]
     names = {c: f"__c{i}" for i, c in enumerate(others)}
     repeated = touching.select(
@@ -72,7 +93,8 @@ def run_interval_lookup(
     until = ref(at) <= ends if end_included else ref(at) < ends
     within = (begins.isNull() | (begins <= ref(at))) & (ends.isNull() | until)
     same = (ref(key) == F.col("__key")) & (F.col("__place") == F.col("__range")) & within
-    joined = placed.join(repeated, same, how)
+    # An interval of average length touches two ranges at most.
+    joined = placed.join(repeated if 2 * (size or 0) <= limit else repeated.hint("merge"), same, how)
     return joined.select(*map(ref, fact.columns), *[F.col(n).alias(c) for c, n in names.items()])
 
 

@@ -90,3 +90,21 @@ def test_empty_sides(spark):
     assert run_interval_lookup(fact.withColumn("d", F.lit(None).cast("date")), table, "k", "d", "a.b", "e", how="inner").count() == 0
     assert as_intervals(table.select("k", F.col("`a.b`").alias("s")), "k", "s", "u").columns == ["k", "s", "u"]
     assert run_interval_lookup(fact, table, "k", "d", "a.b", "e", span=(date(2021, 1, 1), datetime(2022, 12, 1).date())).count() > 0
+
+
+def test_long_intervals_are_not_repeated_for_every_range(spark):
+    """Spark takes the repeated intervals for as small as their file, and would broadcast them."""
+    fact = spark.range(20_000).select("id", (F.col("id") % 500).alias("k"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 640).cast("int")).alias("d"))
+    start = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("v") * 160).cast("int"))
+    table = spark.range(2000).select((F.col("id") % 500).alias("k"), F.floor(F.col("id") / 500).alias("v")).select("k", start.alias("a"), F.date_add(start, 159).alias("b"), "v")
+    found = run_interval_lookup(fact, table, "k", "d", "a", "b", limit=1000)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 20_000 and found.where("v is null or v != floor(datediff(d, date'2020-01-01') / 160)").isEmpty()
+
+
+def test_crowded_keys_keep_short_ranges(spark):
+    fact, table = lines(spark), versions(spark)
+    found = run_interval_lookup(fact, table, "k", "d", "a.b", "e", rows_per_task=100)
+    whole = run_interval_lookup(fact, table, "k", "d", "a.b", "e", ranges=1)
+    assert "CASE WHEN" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
