@@ -38,6 +38,7 @@ class Dimension:
     unique: bool = False  # no key occurs twice (null keys never match and do not count)
     small: bool = False  # its measured size fits a broadcast
     hot: Mapping[Any, int] = field(default_factory=dict)  # frequent fact keys -> number of salts
+    few_repeated: bool = False  # its repeated keys with their counts fit a broadcast
 
     def of(self, df: DataFrame) -> Dimension:
         """Same knowledge about a narrower or renamed version of the table."""
@@ -60,11 +61,21 @@ def run_measure(
     """
     measures = []
     for number, (df, key) in enumerate(tables):
-        size, unique = F.sum(row_bytes(df)), F.count(ref(key)) == F.count_distinct(ref(key))
-        measures.append(df.agg(F.lit(number).alias("number"), size.alias("bytes"), unique.alias("unique")))
+        # Each repeated key has a row more than needed at least, so there are no more such keys than surplus rows.
+        size, surplus = F.sum(row_bytes(df)), F.count(ref(key)) - F.count_distinct(ref(key))
+        counted = F.max(row_bytes(df.select(ref(key)))) + 16
+        measures.append(
+            df.agg(F.lit(number).alias("number"), size.alias("bytes"), surplus.alias("surplus"), counted.alias("counted"))
+        )
     found = sorted(reduce(DataFrame.union, measures).collect())  # one row per table
     known = [
-        Dimension(df, key, unique=row["unique"], small=(row["bytes"] or 0) <= limit)
+        Dimension(
+            df,
+            key,
+            unique=row["surplus"] == 0,
+            small=(row["bytes"] or 0) <= limit,
+            few_repeated=row["surplus"] * (row["counted"] or 0) <= limit,
+        )
         for (df, key), row in zip(tables, found)
     ]
     large = [table.key for table in known if not table.small]
@@ -189,6 +200,6 @@ def with_copies(fact: DataFrame, tables: Sequence[Dimension], name: str = "copie
         helper = f"__copies_{number}"
         helpers.append(helper)
         repeated = duplicate_keys(table.df.filter(ref(table.key).isNotNull()), [table.key], helper)
-        fact = left_lookup(fact, table.of(repeated))
+        fact = left_lookup(fact, replace(table.of(repeated), small=table.small or table.few_repeated))
         product = product * F.coalesce(F.col(helper), F.lit(1))
     return fact.withColumn(name, product).drop(*helpers)

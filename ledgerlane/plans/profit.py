@@ -123,7 +123,7 @@ def profit_totals(
     rows, copies = orders.select(*columns), []
 
     if silent:
-        if not all(table.small for table in silent):
+        if not all(table.small or table.few_repeated for table in silent):
             # Without a broadcast the fact would travel: its sums do instead.
             rows = _add_up(rows, [*ids, *year])
         rows, copies = with_copies(rows, silent, "__copies"), ["__copies"]

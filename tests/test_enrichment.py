@@ -269,3 +269,25 @@ def test_sums_and_averages_are_exact(spark, values):
     two = Decimal("0.01")
     assert summarize(df, ["k"], "x", F.sum, 2, "s").first().s == float(total.quantize(two, "ROUND_HALF_UP"))
     assert summarize(df, ["k"], "x", F.avg, 2, "s").first().s == float(mean.quantize(two, "ROUND_HALF_UP"))
+
+
+def test_few_repeated_keys_of_a_large_table_are_broadcast(spark):
+    orders = spark.range(4000).select(
+        (F.col("id") % 50).alias("customer_id"), (F.col("id") % 40).alias("product_id"), F.lit(date(2020, 1, 1)).alias("order_date"),
+        F.col("id").cast("decimal(12,2)").alias("profit"),
+    )
+    people = spark.range(50).select(F.col("id").alias("customer_id"), F.repeat(F.lit("x"), F.lit(1000)).alias("customer_name"))
+    customers = people.union(people.where("customer_id in (3, 4)"))
+    goods = spark.range(40).select(F.col("id").alias("product_id"), F.lit("c").alias("category"), F.lit("s").alias("sub_category"))
+    known = run_measure((customers, "customer_id"), (goods, "product_id"), limit=2000)
+    assert [(t.unique, t.small, t.few_repeated) for t in known] == [(False, False, True), (True, True, True)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        totals = profit_totals(orders, *known, PROFIT_TABLES["profit_by_year"][0])
+        plan = totals._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        direct = wide_fact(orders, customers, goods).agg(F.sum("profit")).first()[0]
+        assert totals.first()["profit"] == direct
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
