@@ -49,7 +49,8 @@ def fully_enriched(
     two; rows without a key keep null attributes and null metrics. Pass metrics that were already
     written as tables, with their measured size, to spare the lines a second reading and, where they
     fit a broadcast with their dimension, a shuffle. Otherwise hot keys of the lines must be salted;
-    unless given, a job finds them.
+    unless given, a job finds them. The measures follow from a line alone, so they are added when it has
+    been through the shuffles.
     """
     if by_customer is None:
         by_customer = customer_table(orders, customers, products)
@@ -63,10 +64,11 @@ def fully_enriched(
     large = [info.key for metrics, info in sides if not (metrics.small and info.small)]
     if large and hot is None:
         hot = run_hot_keys(orders, large)
-    joined = order_measures(orders).withColumn("order_year", F.year("order_date"))
+    joined = orders
     for metrics, info in sides:
         side = Dimension(left_lookup(metrics.df, info), info.key, small=info.key not in large)
         joined = left_lookup(joined, replace(side, hot=hot[info.key]) if info.key in large else side)
+    joined = order_measures(joined).withColumn("order_year", F.year("order_date"))
     by_customer, by_product = (metrics.df for metrics, _ in sides)
 
     keys = ["customer_id", "product_id"]

@@ -271,6 +271,18 @@ def test_sums_and_averages_are_exact(spark, values):
     assert summarize(df, ["k"], "x", F.avg, 2, "s").first().s == float(mean.quantize(two, "ROUND_HALF_UP"))
 
 
+def test_measures_are_added_behind_the_lookups(spark, tables):
+    """Five decimals a line need not travel through the shuffles of both lookups."""
+    orders, customers, products = tables
+    by_customer = customers.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+    by_product = products.groupBy("product_id").agg(F.count(F.lit(1)).alias("m"))
+    found = fully_enriched(orders, customers, products, by_customer, by_product, hot={"customer_id": {}, "product_id": {}})
+    plan = found._jdf.queryExecution().analyzed().toString().split("\n")
+    first_join = next(i for i, line in enumerate(plan) if "Join" in line)
+    made = [i for i, line in enumerate(plan) if "total_sales" in line]
+    assert made and max(made) < first_join
+
+
 def test_few_repeated_keys_of_a_large_table_are_broadcast(spark):
     orders = spark.range(4000).select(
         (F.col("id") % 50).alias("customer_id"), (F.col("id") % 40).alias("product_id"), F.lit(date(2020, 1, 1)).alias("order_date"),

@@ -148,7 +148,11 @@ def measured(
 
 
 def run_hot_keys(spark: SparkSession, folder: str) -> dict[str, dict]:
-    return ops.run_hot_keys(orders(spark, folder), ["customer_id", "product_id"])
+    """Those that measuring the dimensions found already are not looked for again."""
+    _, *tables = measured(spark, folder)
+    known = {table.key: table.hot for table in tables if not table.small}
+    others = [table.key for table in tables if table.small]
+    return {**known, **(ops.run_hot_keys(orders(spark, folder), others) if others else {})}
 
 
 def hot_keys(spark: SparkSession, folder: str) -> dict[str, dict]:
