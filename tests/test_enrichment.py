@@ -303,3 +303,16 @@ def test_few_repeated_keys_of_a_large_table_are_broadcast(spark):
         assert totals.first()["profit"] == direct
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_cells_are_summed_once(tables, spark):
+    """Sums by customer and product labels have hardly fewer rows than the lines, so only the cells are summed."""
+    orders, customers, products = tables
+    known = Dimension(customers, "customer_id", unique=True), Dimension(products, "product_id", unique=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        totals = profit_totals(orders, *known, PROFIT_TABLES["profit_by_year_cat_sub_customer"][0])
+        plan = spark._jvm.PythonSQLUtils.explainString(totals._jdf.queryExecution(), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum("Aggregate" in line and "partial_sum" in line for line in plan.split("\n")) == 1
