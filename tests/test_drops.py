@@ -97,3 +97,15 @@ def test_no_files_yet(spark, tmp_path):
     assert found.clean.count() == 0 and found.counts == {}
     with pytest.raises(ValueError, match="can't be streamed"):
         run_drops(spark, str(tmp_path / "in"), str(tmp_path / "out"), ORDERS, ["row_id"], fmt="excel")
+
+
+def test_keys_are_shuffled_and_kept_once(spark, tmp_path):
+    """The state is told apart by the key columns, not by one more text of them, and files are packed tightly."""
+    source, target = tmp_path / "in", tmp_path / "out"
+    write(source, "a.json", [order(1), order(1), order(2), order(1, **{"Order ID": None}), order(1, **{"Order ID": None})])
+    found = run_drops(spark, str(source), str(target), ORDERS, ["order_id", "row_id"])
+    assert found.counts["rows"] == 3
+    files = [f for f in (target / "progress" / "state").rglob("*") if f.is_file() and not f.name.endswith(".crc")]
+    schemas = [f.read_bytes() for f in files if "schema" in str(f)]
+    assert schemas and all(b"order_id" in s and b"row_id" in s for s in schemas)
+    assert list((target / "staged").glob("*.zstd.parquet"))
