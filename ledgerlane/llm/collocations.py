@@ -26,6 +26,8 @@ CHUNK_BYTES = 1 << 20
 #: Bits that say which phrases may be frequent. Beyond that many phrases it leaves out less, never too much.
 FILTER_BITS = 1 << 26
 SCALE = 1_000_000
+#: Walked rows: all counts known, some perhaps in other ranges, or the most frequent extension that a range begins with.
+WHOLE, SEAM, LEAD = range(3)
 UNKNOWN_LANGUAGE = "und"
 
 IS_BREAK = np.zeros(256, dtype=bool)
@@ -155,21 +157,24 @@ def _walked(phrases: DataFrame, longest: int, side: str) -> DataFrame:
     ... are the counts of the first word, of the first two and so on, as far as a phrase is longer;
     {side}_most is 0 without extension. A range that begins within extensions of earlier phrases lacks
     at most longest - 1 of them. These few are found, per range, and put in by a broadcast of as many rows.
+    Only rows that stand at the seam of two ranges meet it: those that lack a count of their first words, and
+    those still open at the end of a range, whose extensions may go on in the next.
     """
     columns = ["lang", "words", "f", *(c for c in phrases.columns if c not in ("lang", "words", "f"))]
     heads = [f"{side}_{k}" for k in range(1, longest)]
-    names = [*columns, *heads, f"{side}_most", "lead"]
+    names = [*columns, *heads, f"{side}_most", "kind"]
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stack: list[list] = []  # [language and words, count, most frequent extension, whole row]
         leads: dict[tuple, int] = {}
         out: list[tuple] = []
 
-        def put(entry: list) -> None:
-            out.append((*entry[3], entry[2], False))
+        def put(entry: list, ended: bool = True) -> None:
+            lacking = None in entry[3][len(columns) : len(columns) + len(entry[0]) - 2]
+            out.append((*entry[3], entry[2], WHOLE if ended and not lacking else SEAM))
 
         def made(schema: pa.Schema) -> pa.RecordBatch:
-            kinds = [*(schema.field(c).type for c in columns), *[pa.int64()] * (len(heads) + 1), pa.bool_()]
+            kinds = [*(schema.field(c).type for c in columns), *[pa.int64()] * (len(heads) + 1), pa.int8()]
             rows = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
             out.clear()
             return rows
@@ -193,30 +198,30 @@ def _walked(phrases: DataFrame, longest: int, side: str) -> DataFrame:
             if out:
                 yield made(schema)
         while stack:
-            put(stack.pop())
+            put(stack.pop(), ended=False)
         for key, most in leads.items():
-            out.append((key[0], list(key[1:]), *[None] * (len(names) - 4), most, True))
+            out.append((key[0], list(key[1:]), *[None] * (len(names) - 4), most, LEAD))
         if out:
             yield made(schema)
 
     ordered = phrases.select(*columns).repartitionByRange("lang", "words").sortWithinPartitions("lang", "words")
     kinds = dict(phrases.dtypes)
     fields = [f"{n} {kinds[n]}" for n in columns] + [f"{n} long" for n in (*heads, f"{side}_most")]
-    walked = cut(ordered.mapInArrow(walk, ", ".join([*fields, "lead boolean"])))
+    walked = cut(ordered.mapInArrow(walk, ", ".join([*fields, "kind byte"])))
 
-    leads = walked.where("lead").groupBy("lang", "words").agg(F.max(f"{side}_most").alias("lead_most"))
-    whole = walked.where("not lead").drop("lead")
+    leads = walked.where(F.col("kind") == LEAD).groupBy("lang", "words").agg(F.max(f"{side}_most").alias("lead_most"))
+    seam = walked.where(F.col("kind") == SEAM).drop("kind")
     asked = cut(phrases.select("lang", "words", "f").join(F.broadcast(leads), ["lang", "words"]))
     later = F.broadcast(asked.select("lang", "words", "lead_most"))
-    whole = whole.join(later, ["lang", "words"], "left")
-    whole = whole.withColumn(f"{side}_most", F.greatest(f"{side}_most", F.coalesce("lead_most", F.lit(0)))).drop("lead_most")
+    seam = seam.join(later, ["lang", "words"], "left")
+    seam = seam.withColumn(f"{side}_most", F.greatest(f"{side}_most", F.coalesce("lead_most", F.lit(0)))).drop("lead_most")
     for k, head in enumerate(heads, 1):
         parts = F.broadcast(asked.where(F.size("words") == k).select(F.col("lang").alias("l"), F.col("words").alias("w"), F.col("f").alias("head_f")))
         lacking = (F.size("words") > k) & F.col(head).isNull()
         part = F.when(lacking, F.slice("words", 1, k))
-        whole = whole.join(parts, (whole["lang"] == F.col("l")) & (part == F.col("w")), "left")
-        whole = whole.withColumn(head, F.coalesce(head, "head_f")).drop("l", "w", "head_f")
-    return whole
+        seam = seam.join(parts, (seam["lang"] == F.col("l")) & (part == F.col("w")), "left")
+        seam = seam.withColumn(head, F.coalesce(head, "head_f")).drop("l", "w", "head_f")
+    return walked.where(F.col("kind") == WHOLE).drop("kind").unionByName(seam)
 
 
 def _exact(column: Column | str) -> Column:

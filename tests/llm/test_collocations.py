@@ -118,3 +118,25 @@ def test_odd_repeated_and_long_rows_and_clashing_columns(spark):
 def test_empty_table(spark):
     found = run_collocations(empty(spark))
     assert found.count() == 0 and found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def joined_rows(plan):
+    """The rows that all joins of an executed plan made."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return joined_rows(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return joined_rows(plan.plan())
+    children = plan.children()
+    own = plan.metrics().apply("numOutputRows").value() if "Join" in name else 0
+    return own + sum(joined_rows(children.apply(k)) for k in range(children.size()))
+
+
+def test_only_phrases_at_seams_meet_a_join(spark, narrow):
+    phrases = [("en", [f"w{i:03}", *rest], 20 - len(rest)) for i in range(300) for rest in ([], ["a"], ["a", "b"], ["b"])]
+    df = spark.createDataFrame(phrases, "lang string, words array<string>, f long")
+    walked = collocations._walked(df, 3, "left")
+    found = {tuple(r["words"]): (r["left_1"], r["left_2"], r["left_most"]) for r in walked.collect()}
+    assert 0 < joined_rows(walked._jdf.queryExecution().executedPlan()) < len(phrases) / 2
+    wanted = {(): (None, None, 19), ("a",): (20, None, 18), ("a", "b"): (20, 19, 0), ("b",): (20, None, 0)}
+    assert found == {tuple(words): wanted[tuple(words[1:])] for _, words, _ in phrases}
