@@ -3,6 +3,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import DOCUMENTS, clashing, empty, odd_documents, plain_words
 
@@ -58,3 +59,32 @@ def test_awkward_rows(spark):
     assert all((found[i].n_words, found[i].score, found[i].score_per_word) == (0, 0.0, 0.0) for i in (2, 3, 4))
     assert all(r.score is not None and r.score <= 0 for r in found.values())
     assert run_backoff_scores(empty(spark)).collect() == []
+
+
+def refuse(*_):
+    raise AssertionError("a slow sort of places")
+
+
+@pytest.mark.parametrize("spread", [True, False])
+def test_words_of_texts_are_ordered_by_plain_numbers(monkeypatch, spread):
+    """Keys that differ in their last bits only are told apart as well."""
+    rng = np.random.default_rng(8)
+    rows = np.sort(rng.integers(0, 43, 5000))
+    keys = rng.integers(0, 1 << 63, 60).astype(np.uint64)[rng.integers(0, 60, 5000)]
+    if spread:
+        for name in ("argsort", "lexsort", "union1d"):
+            monkeypatch.setattr(lm.np, name, refuse)
+    else:
+        keys = keys & ~np.uint64(3) | rng.integers(0, 4, 5000).astype(np.uint64)
+    order, starts = lm._by_row(rows, keys)
+    wanted = sorted(zip(rows.tolist(), keys.tolist()))
+    found = list(zip(rows[order].tolist(), keys[order].tolist()))
+    assert sorted(order.tolist()) == list(range(5000)) and sorted(found) == wanted
+    runs = [found[k] for k in starts.tolist()]
+    assert len(runs) == len(set(runs)) == len(set(wanted))
+    assert [found[a:b] for a, b in zip(starts.tolist(), [*starts.tolist()[1:], 5000])] == [[r] * wanted.count(r) for r in runs]
+
+
+def test_no_words_have_an_order():
+    order, starts = lm._by_row(np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    assert not len(order) and not len(starts)
