@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import SparkFiles
+from pyspark import Broadcast, SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +26,11 @@ LEXICON_BYTES = 16 * LEXICON_WORDS
 #: Classes of counts per doubling; a class is compiled as a whole.
 COUNT_STEPS = 16
 #: Text in which each different word is looked up once.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
+#: Values whose places are worked out at a time.
+TAKEN = 1 << 16
 #: Pieces of unseen words that a task remembers at a time.
-REMEMBERED = 150_000
+REMEMBERED = 50_000
 #: Greater than the rank of any pair.
 NO_RANK = 1 << 60
 
@@ -151,7 +153,16 @@ def _take(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarr
     ends = np.cumsum(lengths)
     if not len(ends) or not ends[-1]:
         return flat[:0]
-    return flat[np.arange(ends[-1]) + np.repeat(starts - ends + lengths, lengths)]
+    taken = np.empty(ends[-1], flat.dtype)
+    # Places take 8 bytes for each value, so they are made block by block.
+    cuts = np.searchsorted(ends, np.arange(TAKEN, ends[-1], TAKEN)).tolist()
+    begin = 0
+    for a, b in zip([0, *cuts], [*cuts, len(ends)]):
+        if a < b:
+            end = int(ends[b - 1])
+            taken[begin:end] = flat[np.arange(begin, end) + np.repeat(starts[a:b] - ends[a:b] + lengths[a:b], lengths[a:b])]
+            begin = end
+    return taken
 
 
 class Encoder:
@@ -214,15 +225,18 @@ def _word_counts(documents: DataFrame, text: str) -> DataFrame:
     return rows.mapInArrow(count, "word binary, found long").groupBy("word").agg(F.sum("found").alias("found"))
 
 
-def run_lexicon(documents: DataFrame, path: str, text: str = "text", words: int = LEXICON_WORDS) -> str:
+def run_lexicon(
+    documents: DataFrame, path: str, text: str = "text", words: int = LEXICON_WORDS, model: Broadcast | None = None
+) -> str:
     """Counts the words of all documents, compiles the most frequent ones and returns the name of the shared file.
 
     A word is what ASCII white space separates, in some scripts a sentence. Words of more than
     LEXICON_WORD_BYTES are not compiled. The least count is found from a histogram of counts, so that at
     most `words` of them with at most LEXICON_BYTES are taken, without sorting them. These numbers bound
-    the driver's work, not the result: words that are not compiled are merged exactly.
+    the driver's work, not the result: words that are not compiled are merged exactly. `model` is the
+    vocabulary of that path, if the executors have it.
     """
-    model = documents.sparkSession.sparkContext.broadcast(WordBpe(path))
+    model = model or documents.sparkSession.sparkContext.broadcast(WordBpe(path))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,8 +281,8 @@ def run_encode(
     encoded each; an empty table gives an empty result.
     """
     context = documents.sparkSession.sparkContext
-    lexicon = lexicon or run_lexicon(documents, path, text, words)
     model = context.broadcast(WordBpe(path))
+    lexicon = lexicon or run_lexicon(documents, path, text, words, model)
     added = {"n_tokens": pa.int64(), "ids": pa.binary()} | ({"decoded": pa.string()} if decoded else {})
     columns = [c for c in documents.columns if c not in added]
 

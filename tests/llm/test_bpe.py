@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -119,3 +120,20 @@ def test_a_word_of_a_quarter_megabyte(spark, library):
     found = run_encode(spark.createDataFrame(rows, "doc_id long, text string"), PATH, decoded=True)
     found = {r["doc_id"]: (np.frombuffer(r["ids"], "<u4").tolist(), r["decoded"]) for r in found.collect()}
     assert found == {number: expected(library, text) for number, text in rows}
+
+
+def test_taking_needs_little_more_than_what_is_taken():
+    rng = np.random.default_rng(3)
+    flat = rng.integers(0, 256, 1 << 16).astype(np.uint8)
+    lengths = rng.integers(0, 30, 200_000)
+    lengths[[5, 100_000]] = 60_000
+    starts = rng.integers(0, len(flat) - lengths + 1)
+    tracemalloc.start()
+    try:
+        taken = bpe._take(flat, starts, lengths)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert taken.tobytes() == b"".join(flat[a : a + n].tobytes() for a, n in zip(starts, lengths))
+    assert most < 4 * len(taken)
+    assert not len(bpe._take(flat, starts[:0], lengths[:0])) and not len(bpe._take(flat, starts[:2], lengths[:2] * 0))
