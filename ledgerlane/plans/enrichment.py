@@ -65,7 +65,10 @@ def fully_enriched(
     if large and hot is None:
         hot = run_hot_keys(orders, large)
     joined = orders
-    for metrics, info in sides:
+    # The lines carry what they found through the next shuffle: the narrower of two shuffled tables comes
+    # first, broadcast ones last.
+    widths = {info.key: len(metrics.df.columns) + len(info.df.columns) for metrics, info in sides}
+    for metrics, info in sorted(sides, key=lambda side: (side[1].key not in large, widths[side[1].key])):
         side = Dimension(left_lookup(metrics.df, info), info.key, small=info.key not in large)
         joined = left_lookup(joined, replace(side, hot=hot[info.key]) if info.key in large else side)
     joined = order_measures(joined).withColumn("order_year", F.year("order_date"))

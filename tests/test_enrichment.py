@@ -283,6 +283,18 @@ def test_measures_are_added_behind_the_lookups(spark, tables):
     assert made and max(made) < first_join
 
 
+@pytest.mark.parametrize("small, last", [((), "customer_id"), (("customer_id",), "customer_id"), (("product_id",), "product_id")])
+def test_lines_carry_the_narrower_table_through_the_next_shuffle(spark, tables, small, last):
+    orders, customers, products = tables
+    customers = customers.withColumn("note", F.lit("n"))
+    metrics = [t.groupBy(k).agg(F.count(F.lit(1)).alias(n)) for t, k, n in ((customers, "customer_id", "n"), (products, "product_id", "m"))]
+    known = [Dimension(t, k, small=k in small) for t, k in zip((customers, products, *metrics), ("customer_id", "product_id") * 2)]
+    found = fully_enriched(orders, *known, hot={"customer_id": {}, "product_id": {}})
+    plan = found._jdf.queryExecution().analyzed().toString().split("\n")
+    assert last in next(line for line in plan if "Join" in line)
+    assert found.count() == wide_fact(orders, customers, products).count()
+
+
 def test_few_repeated_keys_of_a_large_table_are_broadcast(spark):
     orders = spark.range(4000).select(
         (F.col("id") % 50).alias("customer_id"), (F.col("id") % 40).alias("product_id"), F.lit(date(2020, 1, 1)).alias("order_date"),
