@@ -171,6 +171,24 @@ def heavy_hitters(key: str, kept: int = HOT_KEYS_KEPT) -> Column:
     return F.call_function("approx_top_k", ref(key), F.lit(kept), F.lit(KEYS_COUNTED))
 
 
+def key_hash(key: str) -> Column:
+    return F.when(ref(key).isNotNull(), F.xxhash64(ref(key)))
+
+
+def heavy_hashes(key: str, kept: int = HOT_KEYS_KEPT) -> Column:
+    """Like `heavy_hitters`, by the hashes of the keys: numbers cost a sketch less than texts do."""
+    return F.call_function("approx_top_k", key_hash(key), F.lit(kept), F.lit(KEYS_COUNTED))
+
+
+def run_keys_of_hashes(fact: DataFrame, key: str, hot: Mapping[int, int]) -> dict[Any, int]:
+    """The keys behind hot hashes, of which there are a bounded number; one pass over the key column if there are any."""
+    if not hot:
+        return {}
+    hashed = fact.select(ref(key).alias("item"), key_hash(key).alias("hash"))
+    found = {row["hash"]: row["item"] for row in hashed.where(F.col("hash").isin(list(hot))).distinct().collect()}
+    return {found[number]: salts for number, salts in hot.items() if number in found}
+
+
 def hot_keys(hitters: Sequence[Any], rows_per_task: int = ROWS_PER_TASK) -> dict[Any, int]:
     """Keys with more than `rows_per_task` rows, with a salt for each that many."""
     return {

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerlane.contracts import CONTRACTS, DatasetContract
 from ledgerlane.operators.key_filters import run_orphans
-from ledgerlane.operators.lookups import Dimension, heavy_hitters, hot_keys, orphans, run_measure
+from ledgerlane.operators.lookups import Dimension, heavy_hashes, hot_keys, orphans, run_keys_of_hashes, run_measure
 from ledgerlane.operators.rules import ReadableRule
 from ledgerlane.operators.quality import (
     duplicate_rows,
@@ -19,6 +19,7 @@ from ledgerlane.operators.quality import (
     rule_counters,
     valid,
     without_raw_of_valid,
+    without_values_of_rejected,
 )
 from ledgerlane.operators.shape import conform
 from ledgerlane.settings import Settings
@@ -74,12 +75,12 @@ def ingest(
     flagged = evaluate(source, rules)
     keys = LOOKUP_KEYS.get(contract.name, ())
     seen = Observation(f"ingest {contract.name}")
-    observed = without_raw_of_valid(flagged).observe(
-        seen, *rule_counters(rules), *[heavy_hitters(k).alias(f"frequent {k}") for k in keys]
-    )
-    staged = stage(observed, f"{staging or staging_folder(spark)}/{contract.name}")
+    observed = flagged.observe(seen, *rule_counters(rules), *[heavy_hashes(k).alias(f"frequent {k}") for k in keys])
+    needed = without_values_of_rejected(without_raw_of_valid(observed), contract.rules_after_key_report)
+    staged = stage(needed, f"{staging or staging_folder(spark)}/{contract.name}")
     counts = dict(seen.get)
-    hot = {k: hot_keys(counts.pop(f"frequent {k}")) for k in keys}
+    # Keys without a valid row need no salt: the clean table does not hold them.
+    hot = {k: run_keys_of_hashes(staged, k, hot_keys(counts.pop(f"frequent {k}"))) for k in keys}
 
     table = settings.table(contract.name)
     batch = settings.batch if contract.name in settings.growing else None

@@ -19,6 +19,7 @@ from ledgerlane.operators import (
     summarize,
     wide_fact,
 )
+from ledgerlane.operators.lookups import heavy_hashes, hot_keys, run_keys_of_hashes
 from ledgerlane.plans import (
     PROFIT_TABLES,
     customer_table,
@@ -295,6 +296,15 @@ def test_lines_carry_the_narrower_table_through_the_next_shuffle(spark, tables,
     assert found.count() == wide_fact(orders, customers, products).count()
 
 
+def test_keys_behind_hot_hashes(spark):
+    """A sketch of hashes finds the keys that one of the keys themselves finds."""
+    df = spark.createDataFrame([(k,) for k in ["a"] * 900 + ["b"] * 350 + [None] * 500 + [f"x{i}" for i in range(300)]], "k string")
+    seen = df.agg(heavy_hashes("k").alias("k")).first()["k"]
+    assert run_keys_of_hashes(df, "k", hot_keys(seen, 300)) == run_hot_keys(df, ["k"], 300)["k"] == {"a": 3, "b": 2}
+    assert run_keys_of_hashes(df.where("k = 'b'"), "k", hot_keys(seen, 300)) == {"b": 2}
+    assert run_keys_of_hashes(df, "k", {}) == {}
+
+
 def test_few_repeated_keys_of_a_large_table_are_broadcast(spark):
     orders = spark.range(4000).select(
         (F.col("id") % 50).alias("customer_id"), (F.col("id") % 40).alias("product_id"), F.lit(date(2020, 1, 1)).alias("order_date"),
