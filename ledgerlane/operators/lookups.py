@@ -19,10 +19,11 @@ SALT = "__salt"
 HOT_KEY = "__hot_key"
 SALTS = "__salts"
 BROADCAST_BYTES = 64 * 1024 * 1024
-# The sketch returns so many keys, and counts so many to find them. A key that is not among them has
-# less than a thousandth of the rows; what skew it still causes is left to Spark's splitting.
+# The sketch returns so many keys, and counts so many to find them, which bounds what a task sends of
+# each to some 200 KB. A key that is not among them has less than a thousandth of the rows; what skew it
+# still causes is left to Spark's splitting.
 HOT_KEYS_KEPT = 1000
-KEYS_COUNTED = 100_000
+KEYS_COUNTED = 12_000
 # A key with more rows than one task should read is hot, and gets a salt per so many rows.
 ROWS_PER_TASK = 4_000_000
 # Rows without a key match nothing, so they can be spread as far as there are tasks.
@@ -165,8 +166,8 @@ def _hashable(field: T.StructField) -> Column:
 def heavy_hitters(key: str, kept: int = HOT_KEYS_KEPT) -> Column:
     """Aggregate: the most frequent keys as array<struct<item,count>>, from a mergeable sketch.
 
-    Bounded however many keys there are, so it can ride along in `observe`. It only decides which
-    keys are salted; results do not depend on it.
+    Bounded however many keys there are. It only decides which keys are salted; results do not depend on it.
+    Not for `observe`: each task would send its whole sketch to the driver.
     """
     return F.call_function("approx_top_k", ref(key), F.lit(kept), F.lit(KEYS_COUNTED))
 
@@ -189,6 +190,14 @@ def run_keys_of_hashes(fact: DataFrame, key: str, hot: Mapping[int, int]) -> dic
     return {found[number]: salts for number, salts in hot.items() if number in found}
 
 
+def run_hot_keys_by_hash(fact: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> dict[str, dict[Any, int]]:
+    """Like `run_hot_keys` where the keys are texts: one pass over their hashes, one more for a key that has hot ones."""
+    if not keys:
+        return {}
+    found = fact.agg(*[heavy_hashes(k).alias(k) for k in keys]).first()
+    return {k: run_keys_of_hashes(fact, k, hot_keys(found[k], rows_per_task)) for k in keys}
+
+
 def hot_keys(hitters: Sequence[Any], rows_per_task: int = ROWS_PER_TASK) -> dict[Any, int]:
     """Keys with more than `rows_per_task` rows, with a salt for each that many."""
     return {

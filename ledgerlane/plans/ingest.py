@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerlane.contracts import CONTRACTS, DatasetContract
 from ledgerlane.operators.key_filters import run_orphans
-from ledgerlane.operators.lookups import Dimension, heavy_hashes, hot_keys, orphans, run_keys_of_hashes, run_measure
+from ledgerlane.operators.lookups import Dimension, orphans, run_hot_keys_by_hash, run_measure
 from ledgerlane.operators.rules import ReadableRule
 from ledgerlane.operators.quality import (
     duplicate_rows,
@@ -60,8 +60,9 @@ def ingest(
     """Reads a source once and writes its clean table, or its batch of that table if the load is named and the table grows.
 
     The source text is parsed in a single pass into a staged table that carries the verdicts;
-    row and rule counters and the frequent lookup keys are observed on the way. Everything after
-    that reads columns of the staged table. Counts, repeated keys, rejected rows and hot keys are those of
+    row and rule counters are observed on the way. Everything after that reads columns of the staged
+    table, also the frequent lookup keys: their sketches are merged by a task, the driver gets the keys
+    with more rows than a task should read. Counts, repeated keys, rejected rows and hot keys are those of
     this load; the clean table, and the nulls counted in it, are of all loads.
     """
     source = read_dataset(
@@ -75,12 +76,12 @@ def ingest(
     flagged = evaluate(source, rules)
     keys = LOOKUP_KEYS.get(contract.name, ())
     seen = Observation(f"ingest {contract.name}")
-    observed = flagged.observe(seen, *rule_counters(rules), *[heavy_hashes(k).alias(f"frequent {k}") for k in keys])
+    observed = flagged.observe(seen, *rule_counters(rules))
     needed = without_values_of_rejected(without_raw_of_valid(observed), contract.rules_after_key_report)
     staged = stage(needed, f"{staging or staging_folder(spark)}/{contract.name}")
     counts = dict(seen.get)
     # Keys without a valid row need no salt: the clean table does not hold them.
-    hot = {k: run_keys_of_hashes(staged, k, hot_keys(counts.pop(f"frequent {k}"))) for k in keys}
+    hot = run_hot_keys_by_hash(valid(staged), keys)
 
     table = settings.table(contract.name)
     batch = settings.batch if contract.name in settings.growing else None

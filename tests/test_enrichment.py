@@ -19,7 +19,7 @@ from ledgerlane.operators import (
     summarize,
     wide_fact,
 )
-from ledgerlane.operators.lookups import heavy_hashes, hot_keys, run_keys_of_hashes
+from ledgerlane.operators.lookups import heavy_hashes, hot_keys, run_hot_keys_by_hash, run_keys_of_hashes
 from ledgerlane.plans import (
     PROFIT_TABLES,
     customer_table,
@@ -305,6 +305,13 @@ def test_keys_behind_hot_hashes(spark):
     assert run_keys_of_hashes(df, "k", {}) == {}
 
 
+def test_hot_keys_by_hash(spark):
+    keys = ["a"] * 900 + ["b"] * 350 + [None] * 500 + [f"x{i}" for i in range(300)]
+    df = spark.createDataFrame([(k, "one") for k in keys], "k string, n string")
+    assert run_hot_keys_by_hash(df, ["k", "n"], 300) == {"k": {"a": 3, "b": 2}, "n": {"one": 7}}
+    assert run_hot_keys_by_hash(df, ["k"]) == {"k": {}} and run_hot_keys_by_hash(df, []) == {}
+
+
 def test_few_repeated_keys_of_a_large_table_are_broadcast(spark):
     orders = spark.range(4000).select(
         (F.col("id") % 50).alias("customer_id"), (F.col("id") % 40).alias("product_id"), F.lit(date(2020, 1, 1)).alias("order_date"),

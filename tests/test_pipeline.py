@@ -6,6 +6,7 @@ import pytest
 
 from ledgerlane.contracts import CUSTOMERS, ORDERS, PRODUCTS
 from ledgerlane.plans import PROFIT_SQL, profit_sql
+from ledgerlane.plans.ingest import ingest
 from ledgerlane.plans.pipeline import run_pipeline
 from ledgerlane.settings import Settings
 from ledgerlane.sinks import stage, staging_folder, table_format, write_table
@@ -260,3 +261,22 @@ def test_workbooks_that_lack_a_header_are_quarantined(spark, tmp_path):
     rows = [tuple(r) for r in found.collect()]
     assert rows[0][:3] == ("a", "n", None) and json.loads(rows[0][3]) == {"lacks": ["Missing"], "row": {"CUSTOMER id": "a", "Name": "n"}}
     assert rows[1:] == [("b", "n", "m", None), ("c", "z", "m", None)]
+
+
+def test_sketches_of_keys_do_not_go_through_the_driver(spark, tmp_path, monkeypatch):
+    """What is observed goes to the driver from each task: counters only, however many keys there are."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen, observe = [], DataFrame.observe
+    monkeypatch.setattr(DataFrame, "observe", lambda df, name, *exprs: seen.append(exprs) or observe(df, name, *exprs))
+    lines = [json.dumps({h: "1" for h in ORDERS.headers} | {"Customer ID": f"C{i}", "Order Date": "2023-01-01", "Ship Date": "2023-01-02"}) for i in range(50)]
+    (tmp_path / "orders").mkdir()
+    (tmp_path / "orders" / "part.json").write_text("\n".join([*lines, "{"]))
+    settings = Settings(
+        sources={"orders": str(tmp_path / "orders")}, schema="default", location=str(tmp_path / "tables"),
+        formats={"orders": "json"}, read_options={"orders": {"multiLine": "false"}},
+    )
+    found = ingest(spark, ORDERS, settings)
+    spark.sql(f"DROP TABLE {found.table}")
+    assert (found.counts["rows"], found.counts["kept"], found.hot) == (51, 50, {"customer_id": {}, "product_id": {}})
+    assert len(seen) == 1 and "approx_top_k" not in str(seen)
