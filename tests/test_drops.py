@@ -109,3 +109,16 @@ def test_keys_are_shuffled_and_kept_once(spark, tmp_path):
     schemas = [f.read_bytes() for f in files if "schema" in str(f)]
     assert schemas and all(b"order_id" in s and b"row_id" in s for s in schemas)
     assert list((target / "staged").glob("*.zstd.parquet"))
+
+
+def test_keys_seen_live_on_disk(spark, tmp_path):
+    """In memory the keys of 6 GB of tables take 75 GB; the session's own settings stay."""
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting, None)
+    target = tmp_path / "out"
+    write(tmp_path / "in", "a.json", [order(1), order(1), order(2)])
+    assert run_drops(spark, str(tmp_path / "in"), str(target), ORDERS, ["order_id", "row_id"]).clean.count() == 2
+    write(tmp_path / "in", "b.json", [order(2), order(3)])
+    assert run_drops(spark, str(tmp_path / "in"), str(target), ORDERS, ["order_id", "row_id"]).clean.count() == 3
+    assert list((target / "progress" / "state").rglob("*.changelog"))
+    assert spark.conf.get(setting, None) == before
