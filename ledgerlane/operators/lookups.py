@@ -18,6 +18,10 @@ from ledgerlane.operators.quality import duplicate_keys
 SALT = "__salt"
 HOT_KEY = "__hot_key"
 SALTS = "__salts"
+MEET = "__meet"
+SIDE = "__side"
+HAS_KEY = "__has_key"
+LINE = "__line"
 BROADCAST_BYTES = 64 * 1024 * 1024
 # The sketch returns so many keys, and counts so many to find them, which bounds what a task sends of
 # each to some 200 KB. A key that is not among them has less than a thousandth of the rows; what skew it
@@ -120,6 +124,38 @@ def left_lookup(fact: DataFrame, table: Dimension) -> DataFrame:
     return _match(fact, table, "left")
 
 
+def can_meet(fact: DataFrame, key: str) -> bool:
+    """Whether `meeting` takes this key: whole numbers and texts can stand in for a missing one."""
+    return isinstance(fact.schema[key].dataType, (T.LongType, T.StringType))
+
+
+def meeting(fact: DataFrame, key: str) -> DataFrame:
+    """The fact shuffled by its key once, for a lookup of what is summed from these same rows.
+
+    Rows without a key go anywhere and have HAS_KEY false. All columns lie in one that is opened behind the
+    shuffle, so that Spark asks less of it for neither reader and sees that it is the same for both.
+    """
+    others = [f for f in fact.schema if f.name != key]
+    kind = fact.schema[key].dataType
+    # Not pmod, which might be null: what may be null is filtered before the shuffle for one of the readers only.
+    anywhere = F.xxhash64(*map(_hashable, others)).bitwiseAND(F.lit(NULL_PARTS - 1).cast("bigint")).cast(kind)
+    columns = [*[ref(f.name) for f in others], ref(key).isNotNull().alias(HAS_KEY)]
+    shuffled = fact.select(F.coalesce(ref(key), anywhere).alias(MEET), F.struct(*columns).alias(LINE)).repartition(MEET)
+    return shuffled.select(MEET, F.inline(F.array(LINE)))
+
+
+def rows_met(met: DataFrame, key: str) -> DataFrame:
+    """The rows with a key, where they meet."""
+    return met.where(HAS_KEY).withColumnRenamed(MEET, key).drop(HAS_KEY)
+
+
+def left_lookup_met(met: DataFrame, table: Dimension) -> DataFrame:
+    """`left_lookup` for what `meeting` returned."""
+    side = table.df.withColumnRenamed(table.key, SIDE)
+    joined = met.join(side, (F.col(MEET) == F.col(SIDE)) & F.col(HAS_KEY), "left")
+    return joined.withColumn(table.key, F.when(F.col(HAS_KEY), F.col(MEET))).drop(MEET, SIDE, HAS_KEY)
+
+
 def orphans(fact: DataFrame, reference: DataFrame | Dimension, keys: str | Sequence[str]) -> DataFrame:
     """Fact rows whose key is absent from the reference; a null key is always absent.
 

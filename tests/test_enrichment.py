@@ -345,3 +345,52 @@ def test_cells_are_summed_once(tables, spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum("Aggregate" in line and "partial_sum" in line for line in plan.split("\n")) == 1
+
+
+def few_lines(spark, kind):
+    """Lines without a customer, a product or both, with unknown ones and with keys that stand in for missing ones."""
+    rows = [(n % 7 if n % 11 else None, n % 5 - 1 if n % 13 else None, n // 3, n % 3, n % 4 + 1, n) for n in range(200)]
+    lines = spark.createDataFrame(rows, "customer_id long, product_id long, order_id long, row_id long, quantity long, cents long")
+    lines = lines.union(spark.range(1 << 12).selectExpr("null", "id * 256", "id", "1", "1", "id"))
+    day = F.date_add(F.lit(date(2020, 1, 1)), F.col("cents").cast("int") % 300)
+    orders = lines.select(
+        F.col("customer_id").cast(kind), F.lit(0.1).cast("decimal(4,2)").alias("discount"), day.alias("order_date"), "order_id",
+        (F.col("cents") / 4).cast("decimal(12,2)").alias("price"), F.col("product_id").cast(kind),
+        F.col("cents").cast("decimal(18,4)").alias("profit"), "quantity", "row_id", F.date_add(day, 3).alias("ship_date"),
+    )
+    customers = spark.range(1 << 12).select((F.col("id") * 256).cast(kind).alias("customer_id"), F.lit("c").alias("segment"))
+    customers = customers.union(spark.range(5).select(F.col("id").cast(kind) + F.lit(1).cast(kind), F.lit("d"))) if kind == "bigint" else customers
+    products = spark.range(-1, 3).select(F.col("id").cast(kind).alias("product_id"), F.lit("p").alias("category"))
+    return orders, customers, products
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+@pytest.mark.parametrize("repeated", [False, True])
+def test_lines_meet_their_metrics_and_dimensions(spark, kind, repeated):
+    """Where keys are hot, metrics are summed of a reading of their own; both ways give the same rows."""
+    orders, customers, products = few_lines(spark, kind)
+    products = products.union(products.limit(2)) if repeated else products
+    known = Dimension(customers, "customer_id", unique=True), Dimension(products, "product_id", unique=not repeated)
+    hot = {key: {orders.schema[key].dataType.typeName() == "string" and "2" or 2: 3} for key in ("customer_id", "product_id")}
+    together = fully_enriched(orders, *known, hot={key: {} for key in hot})
+    apart = fully_enriched(orders, *known, hot=hot)
+    assert together.dtypes == apart.dtypes
+    assert sorted(map(repr, together.collect())) == sorted(map(repr, apart.collect()))
+
+
+def test_metrics_and_lookup_share_a_shuffle(spark):
+    """Lines are shuffled once by each key, not once more for the metrics of it."""
+    orders, customers, products = few_lines(spark, "bigint")
+    known = Dimension(customers, "customer_id", unique=True), Dimension(products, "product_id", unique=True)
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        found = fully_enriched(orders, *known, hot={"customer_id": {}, "product_id": {}})
+        plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "simple")
+    finally:
+        for name in changed:
+            spark.conf.unset(name)
+    made = [line for line in plan.split("\n") if "Exchange" in line and "Reused" not in line]
+    # Lines by each key, and each dimension.
+    assert len(made) == 4 and plan.count("ReusedExchange") == 2
