@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Runtime re-planning does the sizing: many small initial partitions are merged to 128 MB, skewed
@@ -33,3 +36,16 @@ def local_session(name: str, cores: int = 8, **conf: str) -> SparkSession:
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     return session
+
+
+@contextmanager
+def changed_settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
+    """The session with these settings for a while; a stream keeps those that it was started with."""
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -8,8 +8,7 @@ every file counts once.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -23,6 +22,7 @@ from ledgerlane.functions import quoted, ref
 from ledgerlane.operators.quality import evaluate, quarantine, rule_counters, valid, without_raw_of_valid
 from ledgerlane.operators.rules import ReadableRule
 from ledgerlane.operators.shape import conform
+from ledgerlane.session import changed_settings
 from ledgerlane.sources.files import CORRUPT
 from ledgerlane.sources.json_arrays import by_headers
 
@@ -83,19 +83,6 @@ def _without_keys(rows: DataFrame, keys: Sequence[str]) -> Column:
     return F.when(~present, F.to_json(F.struct(*map(ref, rows.columns))))
 
 
-@contextmanager
-def _settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
-    """The session with these settings; a query keeps those that it was started with."""
-    before = {name: spark.conf.get(name, None) for name in wanted}
-    try:
-        for name, value in wanted.items():
-            spark.conf.set(name, value)
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
 def run_drops(
     spark: SparkSession,
     source: str,
@@ -135,7 +122,7 @@ def run_drops(
         .option("checkpointLocation", f"{target}/progress")
         .trigger(availableNow=True)
     )
-    with _settings(spark, STATE):
+    with changed_settings(spark, STATE):
         query = writer.start(f"{target}/staged")
     query.awaitTermination()
     counts: Counter[str] = Counter()

@@ -4,6 +4,7 @@ import os
 from datetime import datetime
 
 from ledgerlane.contracts import ORDERS
+from ledgerlane.session import changed_settings
 from ledgerlane.sources import read_dataset
 from workload import queries, views
 
@@ -30,3 +31,19 @@ def test_line_feeds_are_packed_and_whole(spark, tmp_path, monkeypatch):
     feed = read_dataset(spark, paths["orders"], ORDERS, fmt="json", multiLine="false").select(*ORDERS.schema.names)
     assert sorted(map(repr, feed.collect())) == sorted(map(repr, views.text_orders(spark, str(tmp_path)).collect()))
     assert feed.count() == 20
+
+
+def test_lines_of_a_file_meet_where_they_are_joined(spark, tmp_path):
+    tables(spark, tmp_path)
+    folder, setting = str(tmp_path), "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting, None)
+    found = queries._array_feed(spark, folder, 2)
+    assert spark.conf.get(setting, None) == before
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, views.text_orders(spark, folder).collect()))
+    together = views.text_orders(spark, folder, together=2)
+    assert {(int(r.order_id) // 2, r.block) for r in together.collect()} == {(n, n) for n in range(4)}
+    with changed_settings(spark, {setting: "false", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        grouped = together.groupBy("block").count()
+        plan = spark._jvm.PythonSQLUtils.explainString(grouped._jdf.queryExecution(), "simple")
+    # The lines and the orders, and not the lines again as texts.
+    assert plan.count("Exchange") == 2

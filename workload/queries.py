@@ -41,6 +41,7 @@ from ledgerlane.plans import (
 )
 from ledgerlane.plans.incremental import CUSTOMER_METRICS, PRODUCT_METRICS, MetricStore, read_totals, write_load
 from ledgerlane.plans.ingest import Store, run_ingest
+from ledgerlane.session import changed_settings
 from ledgerlane.settings import Settings
 from ledgerlane.sinks import BATCH, stage, staging_folder, write_table
 from ledgerlane.sources import decode_workbooks, read_dataset
@@ -718,11 +719,14 @@ def staged_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def _array_feed(spark: SparkSession, folder: str, orders_in_file: int) -> DataFrame:
     path = f"{staging_folder(spark)}/orders_arrays"
-    rows = _with_headers(views.text_orders(spark, folder), ORDERS)
-    block = F.floor(F.col("Order ID").cast("long") / orders_in_file).alias("block")
-    arrays = rows.groupBy(block).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+    # The lines of a file meet in the shuffle that joins them, so their texts are not shuffled.
+    rows = _with_headers(views.text_orders(spark, folder, together=orders_in_file), ORDERS)
+    record = F.struct(*[c for c in rows.columns if c != "block"])
+    arrays = rows.groupBy("block").agg(F.to_json(F.collect_list(record)).alias("value"))
     arrays = arrays.withColumn("value", F.regexp_replace("value", r"\},\{", "},\n{"))
-    arrays.write.partitionBy("block").text(path)
+    # Both sides of the join lie by the block, which is enough to tell where a key is.
+    with changed_settings(spark, {"spark.sql.requireAllClusterKeysForCoPartition": "false"}):
+        arrays.write.partitionBy("block").text(path)
     return read_dataset(spark, f"{path}/block=*/", ORDERS, fmt="json").select(*ORDERS.schema.names)
 
 

@@ -26,11 +26,19 @@ def rate(name: str) -> Column:
     return F.col(name).cast("decimal(4,2)")
 
 
-def orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines. Amounts are decimals, read once from doubles that hold two digits."""
-    lines = table(spark, folder, "lineitem").join(
-        table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+def orders(spark: SparkSession, folder: str, together: int | None = None) -> DataFrame:
+    """Order lines. Amounts are decimals, read once from doubles that hold two digits.
+
+    With `together` the lines of so many orders that follow each other come together in the shuffle that joins
+    them, and have a column `block` that tells which.
+    """
+    lines, placed, number = table(spark, folder, "lineitem"), table(spark, folder, "orders"), []
+    same = F.col("l_orderkey") == F.col("o_orderkey")
+    if together is not None:
+        lines = lines.withColumn("block", F.floor(F.col("l_orderkey") / together)).repartition("block")
+        placed = placed.withColumn("o_block", F.floor(F.col("o_orderkey") / together)).repartition("o_block")
+        same, number = same & (F.col("block") == F.col("o_block")), ["block"]
+    lines = lines.join(placed, same)
     return lines.select(
         F.col("o_custkey").alias("customer_id"),
         rate("l_discount").alias("discount"),
@@ -43,6 +51,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_linenumber").cast("bigint").alias("row_id"),
         F.col("l_shipdate").cast("date").alias("ship_date"),
         F.col("l_returnflag").alias("ship_mode"),
+        *number,
     )
 
 
@@ -163,14 +172,17 @@ def hot_keys(spark: SparkSession, folder: str) -> dict[str, dict]:
     return _HOT[key]
 
 
-def text_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines as a feed would deliver them: texts, two date layouts and some bad values."""
+def text_orders(spark: SparkSession, folder: str, together: int | None = None) -> DataFrame:
+    """Order lines as a feed would deliver them: texts, two date layouts and some bad values.
+
+    With `together` also the column `block` of `orders`.
+    """
     line, key = F.col("row_id"), F.col("order_id")
     iso = F.col("order_date").cast("string")
     day_first = F.concat_ws("/", F.day("order_date"), F.month("order_date"), F.year("order_date"))
     no_such_month = F.concat(F.substring(iso, 1, 5), F.lit("13"), F.substring(iso, 8, 3))
     layout = F.when(key % 10 == 0, no_such_month).when(key % 2 == 0, day_first).otherwise(iso)
-    return orders(spark, folder).select(
+    return orders(spark, folder, together).select(
         F.col("customer_id").cast("string").alias("customer_id"),
         F.col("discount").cast("string").alias("discount"),
         layout.alias("order_date"),
@@ -184,6 +196,7 @@ def text_orders(spark: SparkSession, folder: str) -> DataFrame:
         line.cast("string").alias("row_id"),
         F.col("ship_date").cast("string").alias("ship_date"),
         F.col("ship_mode"),
+        *([] if together is None else ["block"]),
     )
 
 
